@@ -243,7 +243,155 @@ gold_los AS (
   FROM silver WHERE city IS NOT NULL GROUP BY city, search_date, los_bucket
 )"""
 
-BASE = FEED + "," + LANDED_LIGHT + "," + SILVER + "," + GOLD
+
+# --- full contract validation ---------------------------------------------
+
+def _sq(x: str) -> str:
+    return x.replace("'", "''")
+
+
+def _err(key: str, path: str, msg: str, cond: str) -> str:
+    return f"CASE WHEN {cond} THEN {{'k': {key}, 'e': {path} || ': ' || '{_sq(msg)}'}} END"
+
+
+def _contract_rules() -> list[str]:
+    from staylens.operators import validation as V
+    out = []
+    k = {f: f"k_{f}" for f in R.REQUIRED_FIELDS}
+    for f in R.REQUIRED_FIELDS:
+        out.append(_err("''", "'root'", V.MSG_REQUIRED.format(field=f), f"{k[f]} IS NULL"))
+    for f in R.STRING_FIELDS:
+        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="string"),
+                        f"{k[f]} IS NOT NULL AND {k[f]} <> 'STRING'"))
+    is_int = {f: f"({k[f]} = 'NUMBER' AND n_{f} = floor(n_{f}))" for f in R.INTEGER_FIELDS}
+    for f in R.INTEGER_FIELDS:
+        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="integer"),
+                        f"{k[f]} IS NOT NULL AND NOT {is_int[f]}"))
+    for f in R.NUMBER_FIELDS:
+        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="number"),
+                        f"{k[f]} IS NOT NULL AND {k[f]} <> 'NUMBER'"))
+    for f, lo, hi in R.NUMERIC_BOUNDS:
+        ok = is_int[f] if f in R.INTEGER_FIELDS else f"({k[f]} = 'NUMBER')"
+        if lo is not None:
+            out.append(_err(f"'{f}'", f"'{f}'", V.MSG_MIN.format(bound=lo), f"{ok} AND n_{f} < {lo}"))
+        if hi is not None:
+            out.append(_err(f"'{f}'", f"'{f}'", V.MSG_MAX.format(bound=hi), f"{ok} AND n_{f} > {hi}"))
+    for f, lo, hi in R.LENGTH_BOUNDS:
+        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TOO_SHORT, f"{k[f]} = 'STRING' AND length(s_{f}) < {lo}"))
+        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TOO_LONG, f"{k[f]} = 'STRING' AND length(s_{f}) > {hi}"))
+    kr = k["search_results"]
+    out.append(_err("'search_results'", "'search_results'", V.MSG_TYPE.format(type="array"),
+                    f"{kr} IS NOT NULL AND {kr} <> 'ARRAY'"))
+    out.append(_err("'search_results'", "'search_results'", V.MSG_EMPTY, f"{kr} = 'ARRAY' AND len(items) = 0"))
+    return out
+
+
+def _item_rules() -> str:
+    from staylens.operators import validation as V
+    base = "('search_results.' || CAST(i - 1 AS VARCHAR))"
+    key = "('search_results.' || lpad(CAST(i - 1 AS VARCHAR), 10, '0'))"
+    kx = jkind("x")
+    kf = {f: jkind("x", f) for f in R.RESULT_ITEM_FIELDS}
+    obj = f"{kx} = 'OBJECT'"
+    rules = [_err(key, base, V.MSG_NOT_OBJECT, f"NOT ({obj})")]
+    for f in R.RESULT_ITEM_FIELDS:
+        rules.append(_err(key, base, V.MSG_REQUIRED.format(field=f), f"{obj} AND {kf[f]} IS NULL"))
+    sub = {f: (f"({key} || '.{f}')", f"({base} || '.{f}')") for f in R.RESULT_ITEM_FIELDS}
+    room, price, cur = jtext("x", "room_name"), jnum("x", "price"), jtext("x", "currency")
+    rules += [
+        _err(*sub["room_name"], V.MSG_TYPE.format(type="string"),
+             f"{obj} AND {kf['room_name']} IS NOT NULL AND {kf['room_name']} <> 'STRING'"),
+        _err(*sub["room_name"], V.MSG_TOO_SHORT, f"{obj} AND {kf['room_name']} = 'STRING' AND length({room}) < 1"),
+        _err(*sub["price"], V.MSG_TYPE.format(type="number"),
+             f"{obj} AND {kf['price']} IS NOT NULL AND {kf['price']} <> 'NUMBER'"),
+        _err(*sub["price"], V.MSG_EXCL_MIN, f"{obj} AND {kf['price']} = 'NUMBER' AND {price} <= 0"),
+        _err(*sub["currency"], V.MSG_TYPE.format(type="string"),
+             f"{obj} AND {kf['currency']} IS NOT NULL AND {kf['currency']} <> 'STRING'"),
+        _err(*sub["currency"], V.MSG_PATTERN.format(pattern=R.CURRENCY_PATTERN),
+             f"{obj} AND {kf['currency']} = 'STRING' AND NOT regexp_matches({cur}, '{R.CURRENCY_PATTERN}')"),
+    ]
+    return "[" + ", ".join(rules) + "]"
+
+
+def _business() -> str:
+    from staylens.operators import validation as V
+    a, d, t = strict_date("s_arrival_date"), strict_date("s_departure_date"), strict_ts("s_timestamp")
+    los = "CAST(n_length_of_stay AS INTEGER)"
+    nights = f"date_diff('day', {a}, {d})"
+    both = f"{a} IS NOT NULL AND {d} IS NOT NULL"
+    known = _list(R.KNOWN_COUNTRIES)
+    rules = [
+        f"CASE WHEN {a} IS NULL THEN 'arrival_date: {V.MSG_BAD_DATE}' END",
+        f"CASE WHEN {d} IS NULL THEN 'departure_date: {V.MSG_BAD_DATE}' END",
+        f"CASE WHEN {t} IS NULL THEN 'timestamp: {V.MSG_BAD_DATETIME}' END",
+        f"CASE WHEN {both} AND {d} <= {a} THEN 'departure_date: {V.MSG_DEP_AFTER}' END",
+        f"CASE WHEN {both} AND {d} > {a} AND {los} <> {nights} "
+        f"THEN printf('length_of_stay: {V.MSG_LOS}', {nights}, {los}) END",
+        f"CASE WHEN NOT list_contains({known}, lower(regexp_replace(s_user_country, '^\\s+|\\s+$', '', 'g'))) "
+        f"THEN printf('user_country: {_sq(V.MSG_COUNTRY)}', s_user_country) END",
+    ]
+    cur = jtext("x", "currency")
+    currencies = _list(R.VALID_CURRENCIES)
+    items = (f"list_transform(items, lambda x, i: CASE WHEN NOT list_contains({currencies}, {cur}) "
+             f"THEN printf('search_results[%d].currency: {_sq(V.MSG_CURRENCY)}', i - 1, {cur}) END)")
+    return f"list_filter(list_concat([{', '.join(rules)}], {items}), lambda e: e IS NOT NULL)"
+
+
+def validated_cte(source: str = "feed", id_col: str = "request_id") -> str:
+    """CTE ``validated(event_id, value, errors, failed_stage)`` over a raw message relation."""
+    from staylens.operators import validation as V
+    facts = [f"{jkind('j', f)} AS k_{f}" for f in R.REQUIRED_FIELDS]
+    facts += [f"{jnum('j', f)} AS n_{f}" for f in R.INTEGER_FIELDS + R.NUMBER_FIELDS]
+    facts += [f"{jtext('j', f)} AS s_{f}" for f in R.STRING_FIELDS]
+    return f"""
+v_j AS (
+  SELECT {id_col} AS event_id, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM {source}
+),
+v_facts AS (
+  SELECT *, {jkind('j')} AS k_root, {', '.join(facts)},
+    CASE WHEN json_type(j, '$.search_results') = 'ARRAY' THEN json_extract(j, '$.search_results[*]')
+         ELSE CAST([] AS JSON[]) END AS items
+  FROM v_j
+),
+v_stage1 AS (
+  SELECT *, CASE WHEN k_root <> 'OBJECT' THEN ['root: {_sq(V.MSG_NOT_OBJECT)}'] ELSE list_transform(list_sort(
+      list_filter(list_concat([{', '.join(_contract_rules())}],
+                              flatten(list_transform(items, lambda x, i: {_item_rules()}))),
+      lambda e: e IS NOT NULL)), lambda e: e.e) END AS stage1
+  FROM v_facts
+),
+v_stage2 AS (
+  SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business()} END AS stage2 FROM v_stage1
+),
+validated AS (
+  SELECT event_id, value,
+    CASE WHEN j IS NULL THEN ['root: {V.MSG_INVALID_JSON}'] WHEN len(stage1) > 0 THEN stage1 ELSE stage2 END
+      AS errors,
+    CASE WHEN j IS NULL THEN 'parse' WHEN len(stage1) > 0 THEN 'contract' WHEN len(stage2) > 0 THEN 'business' END
+      AS failed_stage
+  FROM v_stage2
+)"""
+
+
+def error_rule(e: str) -> str:
+    r = f"regexp_replace({e}, 'search_results(\\.\\d+|\\[\\d+\\])', 'search_results[]', 'g')"
+    r = "regexp_replace(" + r + ", '''[^'']*''$', '''?''')"
+    return f"regexp_replace({r}, '-?\\d+ based on dates, got -?\\d+', 'N based on dates, got M', 'g')"
+
+
+LANDED_FULL = validated_cte() + f""",
+landed_full AS (
+  SELECT t.event_id, t.ingestion_time, t.payload, t.ingest_date,
+    CASE WHEN t.pre_reason IS NOT NULL THEN t.pre_reason WHEN len(v.errors) > 0 THEN 'validation_failed' END
+      AS reason,
+    CASE WHEN t.pre_reason = 'payload_too_large' THEN
+           [printf('root: body of %d bytes exceeds {R.MAX_REQUEST_BYTES}', strlen(t.payload))]
+         WHEN t.pre_reason = 'invalid_json' THEN ['root: invalid JSON'] ELSE v.errors END AS errors
+  FROM landed_t t JOIN validated v ON t.event_id = v.event_id
+)"""
+
+
+BASE = FEED + "," + LANDED_LIGHT + "," + SILVER + "," + GOLD + "," + LANDED_FULL
 
 
 def with_base(select: str, *extra_ctes: str) -> str:
@@ -292,4 +440,19 @@ def oracles() -> dict[str, str]:
                 SELECT city FROM gold_arrival UNION SELECT city FROM gold_country UNION SELECT city FROM gold_los) p
               ON h.city = p.city""",
     }
+    q.update({
+        "validate_schema_errors": """SELECT event_id, len(errors) AS error_count,
+              array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'contract'""",
+        "validate_business_errors": """SELECT event_id, len(errors) AS error_count,
+              array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'business'""",
+        "validate_split": """SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome,
+              coalesce(reason, 'none') AS reason, count(*) AS events FROM landed_full GROUP BY ALL""",
+        "rejections_by_code": f"""SELECT {error_rule('e')} AS rule, count(*) AS error_count,
+              round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM validated), 2) AS pct_of_events
+              FROM (SELECT unnest(errors) AS e FROM validated) GROUP BY ALL""",
+        "quarantine_full": f"""SELECT event_id, ingestion_time, reason, array_to_string(errors, ' | ') AS error_text,
+              CASE WHEN reason IN ('invalid_json', 'payload_too_large') THEN left(payload, {R.DLQ_RAW_CHARS})
+                   ELSE payload END AS raw, 1 AS attempts, ingest_date
+              FROM landed_full WHERE reason IS NOT NULL""",
+    })
     return {k: with_base(v) for k, v in q.items()}

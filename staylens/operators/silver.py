@@ -83,25 +83,23 @@ def silver_rejects(bronze: DataFrame, dim_hotels: DataFrame | None = None,
                    country_map: DataFrame | None = None) -> DataFrame:
     """Bronze rows that did not become silver rows, with the reason.
 
-    The winner of each key comes from an aggregate (partial aggregation keeps
-    a hot key cheap) joined back on the key; a skewed key on the big side is
-    split by AQE's skew-join handling instead of landing in one task.
+    Rows kept by silver are identified by ``event_id`` (unique, so the join is
+    evenly spread whatever the skew of ``dedup_key``); a consistent row that
+    was not kept lost to a later copy of its key.
     """
     spark = bronze.sparkSession
     dim_hotels = dim_hotels if dim_hotels is not None else Ref.dim_hotels(spark)
     country_map = country_map if country_map is not None else Ref.country_map(spark)
     e = enrich(stage(bronze), dim_hotels, country_map)
+    kept = latest_per_key(keep_consistent(e)).select("event_id", F.lit(True).alias("_kept"))
     complete = (F.col("arrival_date").isNotNull() & F.col("departure_date").isNotNull()
                 & F.col("length_of_stay").isNotNull())
     reason = (F.when(~complete, REJECT_NULL_FIELD)
               .when(F.coalesce(F.col("computed_los") != F.col("length_of_stay"), F.lit(True)), REJECT_LOS_MISMATCH)
-              .when(F.col("los_bucket") == Ref.LOS_OTHER, REJECT_LOS_RANGE))
-    rank_key = F.struct("ingestion_time", "event_id")
-    winners = (keep_consistent(e).groupBy("dedup_key")
-               .agg(F.max(rank_key).alias("_winner")))
-    return (e.withColumn("reason", reason)
-            .join(winners, "dedup_key", "left")
-            .withColumn("reason", F.coalesce("reason", F.when(rank_key != F.col("_winner"), F.lit(REJECT_DUPLICATE))))
+              .when(F.col("los_bucket") == Ref.LOS_OTHER, REJECT_LOS_RANGE)
+              .when(F.col("_kept").isNull(), REJECT_DUPLICATE))
+    return (e.join(kept, "event_id", "left")
+            .withColumn("reason", reason)
             .filter(F.col("reason").isNotNull())
             .select("event_id", "dedup_key", "ingestion_time", "hotel_id", "search_date", "reason"))
 

@@ -170,31 +170,36 @@ def business_errors() -> Column:
     return F.filter(F.concat(rules, cur), lambda e: e.isNotNull())
 
 
-def errors_column() -> Column:
-    """All errors over the fact columns: stage 1, else stage 2 (empty array = valid)."""
-    stage1 = contract_errors()
-    return F.when(F.size(stage1) > 0, stage1).otherwise(business_errors())
-
-
-def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors") -> DataFrame:
+def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors",
+                stage_out: str | None = None) -> DataFrame:
     """Adds ``errors array<string>`` computed from a VARIANT column (NULL = not JSON).
 
-    The errors are produced by a one-row ``inline`` (a Generate node). Filters
-    on ``errors`` (or on columns derived from it) cannot be pushed below a
-    Generate, so the optimizer never substitutes the rule tree into them and
-    every rule is evaluated exactly once per event.
+    Stage-1 errors and then the final errors are each produced by a one-row
+    ``inline`` (a Generate node). Filters on ``errors`` (or on columns derived
+    from it) cannot be pushed below a Generate, so the optimizer never
+    substitutes the rule tree into them and every rule runs once per event.
+    ``stage_out`` optionally names a column saying which stage failed
+    (``parse``, ``contract``, ``business``; NULL when valid).
     """
-    keep = [c for c in df.columns]
+    keep = list(df.columns)
     facts = df.select("*", *fact_columns(F.col(variant_col)))
-    err = (F.when(F.col(variant_col).isNull(), F.array(F.lit(f"root: {MSG_INVALID_JSON}")))
-           .otherwise(errors_column()))
-    return facts.select(*keep, F.inline(F.array(F.struct(err.alias(out)))))
+    s1 = facts.select("*", F.inline(F.array(F.struct(contract_errors().alias("_stage1")))))
+    v_null = F.col(variant_col).isNull()
+    has1 = F.size("_stage1") > 0
+    stage2 = business_errors()
+    errors = (F.when(v_null, F.array(F.lit(f"root: {MSG_INVALID_JSON}")))
+              .when(has1, F.col("_stage1")).otherwise(stage2))
+    fields = [errors.alias(out)]
+    if stage_out:
+        fields.append(F.when(v_null, "parse").when(has1, "contract")
+                      .when(F.size(stage2) > 0, "business").alias(stage_out))
+    return s1.select(*keep, F.inline(F.array(F.struct(*fields))))
 
 
 def validate(raw: DataFrame, text_col: str = "value") -> DataFrame:
     """Adds ``errors`` and ``is_valid`` to a frame of raw JSON text."""
-    parsed = raw.withColumn("_v", J.parse(text_col))
-    return (with_errors(parsed).drop("_v")
+    parsed = J.with_parsed(raw, text_col)
+    return (with_errors(parsed, stage_out="failed_stage").drop("_v")
             .withColumn("is_valid", F.size("errors") == 0))
 
 

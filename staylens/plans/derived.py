@@ -15,7 +15,7 @@ from staylens import reference_data as Ref
 from staylens.operators import gold, landing, silver as silver_ops
 from staylens.session import prepare
 from staylens.sources.search_feed import search_feed
-from staylens.sources.tables import table
+from staylens.sources.tables import spread, table
 
 
 class Flow:
@@ -26,7 +26,7 @@ class Flow:
 
     @cached_property
     def events(self) -> DataFrame:
-        return table(self.spark, self.sf_dir, "events", "event_id", "ts", "user_id", "value")
+        return spread(table(self.spark, self.sf_dir, "events", "event_id", "ts", "user_id", "value"), "event_id")
 
     @cached_property
     def raw(self) -> DataFrame:

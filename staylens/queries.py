@@ -130,3 +130,46 @@ def trends_missing_city(spark, sf_dir):
     f = Flow(spark, sf_dir)
     requested = f.dim_hotels.select("city")
     return serving.trends_status(serving.Marts(f.arrival, f.country, f.los), requested)
+
+
+# --- validation / dead letters --------------------------------------------
+
+def _validated(spark, sf_dir):
+    from staylens.operators.validation import validate
+    return validate(Flow(spark, sf_dir).raw).withColumnRenamed("request_id", "event_id")
+
+
+def _error_rows(df, stage):
+    return (df.filter(F.col("failed_stage") == stage)
+            .select("event_id", F.size("errors").alias("error_count"),
+                    F.array_join("errors", " | ").alias("error_text")))
+
+
+@query
+def validate_schema_errors(spark, sf_dir):
+    return _error_rows(_validated(spark, sf_dir), "contract")
+
+
+@query
+def validate_business_errors(spark, sf_dir):
+    return _error_rows(_validated(spark, sf_dir), "business")
+
+
+@query
+def validate_split(spark, sf_dir):
+    landed = Flow(spark, sf_dir, gate="full").landed
+    return (landed.groupBy(F.when(F.col("reason").isNull(), "accepted").otherwise("rejected").alias("outcome"),
+                           F.coalesce("reason", F.lit("none")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("events")))
+
+
+@query
+def rejections_by_code(spark, sf_dir):
+    from staylens.operators.validation import rejections_by_rule
+    return rejections_by_rule(_validated(spark, sf_dir))
+
+
+@query
+def quarantine_full(spark, sf_dir):
+    q = Flow(spark, sf_dir, gate="full").quarantine
+    return q.withColumn("error_text", F.array_join("errors", " | ")).drop("errors")

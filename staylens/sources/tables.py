@@ -9,3 +9,18 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     """Read ``<sf_dir>/<name>.parquet``; selecting columns here keeps the scan pruned."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     return df.select(*columns) if columns else df
+
+
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread an under-split input before CPU-heavy per-row work (JSON parsing).
+
+    A source delivered as few large files / row groups yields fewer scan tasks
+    than cores; everything up to the first shuffle would then run on those few
+    tasks. Only in that case the rows are hash-partitioned on ``key`` (a unique
+    id: even and deterministic under task retry) or round-robin. Inputs that
+    already have enough splits — the normal case on a cluster — are untouched.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
