@@ -404,6 +404,34 @@ def with_base(select: str, *extra_ctes: str) -> str:
 CITY, FROM_DATE, TO_DATE = "Paris", "2024-01-08", "2024-01-14"
 RANGE = f"city = '{CITY}' AND search_date BETWEEN DATE '{FROM_DATE}' AND DATE '{TO_DATE}'"
 
+AS_OF = "2024-01-31 00:00:00"
+_ACC = ", ".join("'" + b + "'" for b in R.ACCEPTED_LOS_BUCKETS)
+
+
+def _metric(table: str, check: str, value: str, op: str, threshold: str, severity: str, src: str) -> str:
+    cond = {">": "metric > threshold", "<": "metric < threshold", "=": "metric = threshold"}[op]
+    return (f"SELECT '{table}' AS table_name, '{check}' AS \"check\", metric, '{op}' AS op, threshold, "
+            f"CASE WHEN {cond} THEN 'pass' ELSE 'fail' END AS outcome, '{severity}' AS severity FROM "
+            f"(SELECT CAST({value} AS DOUBLE) AS metric, CAST({threshold} AS DOUBLE) AS threshold FROM {src})")
+
+
+DQ_SCAN = " UNION ALL ".join([
+    _metric("searches_enriched", "row_count", "count(*)", ">", "0", "error", "silver"),
+    _metric("searches_enriched", "missing_count_city", "count(*) FILTER (WHERE city IS NULL)", "<", "1", "warn",
+            "silver"),
+    _metric("searches_enriched", "missing_pct_city",
+            "coalesce(count(*) FILTER (WHERE city IS NULL) * 100.0 / count(*), 0.0)", "<", "1", "warn", "silver"),
+    _metric("searches_enriched", "duplicate_count_dedup_key", "count(*) - count(DISTINCT dedup_key)", "=", "0",
+            "error", "silver"),
+    _metric("gold_country_trends", "row_count", "count(*)", ">", "0", "error", "gold_country"),
+    _metric("gold_country_trends", "invalid_count_pct_of_total",
+            "count(*) FILTER (WHERE pct_of_total IS NULL OR NOT pct_of_total BETWEEN 0 AND 100)", "=", "0", "error",
+            "gold_country"),
+    _metric("gold_los_distribution", "row_count", "count(*)", ">", "0", "error", "gold_los"),
+    _metric("gold_los_distribution", "failed_rows_los_bucket",
+            f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", "gold_los"),
+])
+
 
 def oracles() -> dict[str, str]:
     q = {
@@ -455,4 +483,40 @@ def oracles() -> dict[str, str]:
                    ELSE payload END AS raw, 1 AS attempts, ingest_date
               FROM landed_full WHERE reason IS NOT NULL""",
     })
+    q.update({
+        "dq_unique": "SELECT dedup_key, count(*) AS copies FROM silver GROUP BY dedup_key HAVING count(*) > 1",
+        "dq_not_null": """SELECT event_id, dedup_key, hotel_id, c.check AS "check", c.severity AS severity FROM (
+              SELECT event_id, dedup_key, hotel_id, unnest(list_filter([
+                CASE WHEN dedup_key IS NULL THEN {'check': 'not_null_dedup_key', 'severity': 'error'} END,
+                CASE WHEN hotel_id IS NOT NULL AND city IS NULL
+                     THEN {'check': 'not_null_city', 'severity': 'warn'} END,
+                CASE WHEN length_of_stay IS NULL THEN {'check': 'not_null_length_of_stay', 'severity': 'error'} END
+              ], lambda c: c IS NOT NULL)) AS c FROM silver)""",
+        "dq_accepted_values": f"""SELECT city, search_date, los_bucket FROM gold_los
+              WHERE los_bucket NOT IN ({', '.join("'" + b + "'" for b in R.ACCEPTED_LOS_BUCKETS)})""",
+        "dq_los_consistency": f"""SELECT dedup_key, length_of_stay, arrival_date, departure_date FROM silver
+              WHERE NOT coalesce(date_diff('day', {strict_date('arrival_date')}, {strict_date('departure_date')})
+                                 = length_of_stay, false)""",
+        "dq_scan": DQ_SCAN,
+        "dq_gate": """SELECT count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') = 0 AS passed,
+              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') AS failed_errors,
+              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'warn') AS failed_warnings,
+              coalesce(string_agg(CASE WHEN outcome = 'fail' AND severity = 'error'
+                                       THEN table_name || '.' || "check" END, ',' ORDER BY
+                                  CASE WHEN outcome = 'fail' AND severity = 'error'
+                                       THEN table_name || '.' || "check" END), '') AS failed_checks
+              FROM (""" + DQ_SCAN + ")",
+        "dq_freshness": f"""SELECT newest_ingestion,
+                round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(newest_ingestion)) / 6.0e7, 2) AS ingest_lag_minutes,
+                (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(newest_ingestion)) / 6.0e7 > {R.GOLD_STALE_MINUTES}
+                  AS gold_stale,
+                round(null_city * 100.0 / silver_rows, 2) AS null_city_pct,
+                round((bronze_rows - bronze_keys) * 100.0 / bronze_rows, 2) AS duplicate_pct,
+                round(dead_letters * 100.0 / (dead_letters + bronze_rows), 2) AS dead_letter_pct,
+                bronze_rows, silver_rows, dead_letters
+              FROM (SELECT max(ingestion_time) AS newest_ingestion, count(*) AS bronze_rows,
+                      count(DISTINCT dedup_key) AS bronze_keys FROM bronze) b,
+                   (SELECT count(*) AS silver_rows, count(*) FILTER (WHERE city IS NULL) AS null_city FROM silver) s,
+                   (SELECT count(*) AS dead_letters FROM landed WHERE reason IS NOT NULL) q""",
+    })
     return {k: with_base(v) for k, v in q.items()}

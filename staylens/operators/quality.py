@@ -111,21 +111,25 @@ def enforce(scan_rows: DataFrame) -> None:
 
 def freshness(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, as_of: Column,
               gold_refreshed_at: Column | None = None) -> DataFrame:
-    """Lag of the newest ingestion, staleness and the pipeline's rates as one row."""
+    """Lag of the newest ingestion, staleness and the pipeline's rates as one row.
+
+    One aggregate over bronze; the silver and dead-letter counts are scalar
+    subqueries (each a single partial-aggregated count).
+    """
+    silver_rows = silver.select(F.count(F.lit(1))).scalar()
+    null_city = silver.select(F.count_if(F.col("city").isNull())).scalar()
+    dead = quarantine.select(F.count(F.lit(1))).scalar()
     b = bronze.agg(F.max("ingestion_time").alias("newest_ingestion"), F.count(F.lit(1)).alias("bronze_rows"),
                    F.count_distinct("dedup_key").alias("bronze_keys"))
-    s = silver.agg(F.count(F.lit(1)).alias("silver_rows"), F.count_if(F.col("city").isNull()).alias("null_city_rows"))
-    q = quarantine.agg(F.count(F.lit(1)).alias("dead_letters"))
     refreshed = gold_refreshed_at if gold_refreshed_at is not None else F.col("newest_ingestion")
     lag_min = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("newest_ingestion"))) / 6.0e7
     gold_lag = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(refreshed.cast("timestamp"))) / 6.0e7
-    return (b.crossJoin(s).crossJoin(q)  # three single-row aggregates
-            .select("newest_ingestion",
-                    F.round(lag_min, 2).alias("ingest_lag_minutes"),
-                    (gold_lag > Ref.GOLD_STALE_MINUTES).alias("gold_stale"),
-                    F.round(F.col("null_city_rows") * 100.0 / F.col("silver_rows"), 2).alias("null_city_pct"),
-                    F.round((F.col("bronze_rows") - F.col("bronze_keys")) * 100.0 / F.col("bronze_rows"), 2)
-                    .alias("duplicate_pct"),
-                    F.round(F.col("dead_letters") * 100.0 / (F.col("dead_letters") + F.col("bronze_rows")), 2)
-                    .alias("dead_letter_pct"),
-                    "bronze_rows", "silver_rows", "dead_letters"))
+    return b.select(
+        "newest_ingestion",
+        F.round(lag_min, 2).alias("ingest_lag_minutes"),
+        (gold_lag > Ref.GOLD_STALE_MINUTES).alias("gold_stale"),
+        F.round(null_city * 100.0 / silver_rows, 2).cast("double").alias("null_city_pct"),
+        F.round((F.col("bronze_rows") - F.col("bronze_keys")) * 100.0 / F.col("bronze_rows"), 2)
+        .cast("double").alias("duplicate_pct"),
+        F.round(dead * 100.0 / (dead + F.col("bronze_rows")), 2).cast("double").alias("dead_letter_pct"),
+        "bronze_rows", silver_rows.alias("silver_rows"), dead.alias("dead_letters"))

@@ -173,3 +173,53 @@ def rejections_by_code(spark, sf_dir):
 def quarantine_full(spark, sf_dir):
     q = Flow(spark, sf_dir, gate="full").quarantine
     return q.withColumn("error_text", F.array_join("errors", " | ")).drop("errors")
+
+
+# --- data quality ------------------------------------------------------------
+
+AS_OF = "2024-01-31 00:00:00"
+
+
+@query
+def dq_unique(spark, sf_dir):
+    from staylens.operators.quality import duplicate_keys
+    return duplicate_keys(Flow(spark, sf_dir).silver)
+
+
+@query
+def dq_not_null(spark, sf_dir):
+    from staylens.operators.quality import null_violations
+    return null_violations(Flow(spark, sf_dir).silver)
+
+
+@query
+def dq_accepted_values(spark, sf_dir):
+    from staylens.operators.quality import unaccepted_los_buckets
+    return unaccepted_los_buckets(Flow(spark, sf_dir).los).select("city", "search_date", "los_bucket")
+
+
+@query
+def dq_los_consistency(spark, sf_dir):
+    from staylens.operators.quality import los_inconsistent
+    return los_inconsistent(Flow(spark, sf_dir).silver)
+
+
+@query
+def dq_scan(spark, sf_dir):
+    from staylens.operators.quality import scan
+    f = Flow(spark, sf_dir)
+    return scan(f.silver, f.country, f.los)
+
+
+@query
+def dq_gate(spark, sf_dir):
+    from staylens.operators.quality import gate, scan
+    f = Flow(spark, sf_dir)
+    return gate(scan(f.silver, f.country, f.los))
+
+
+@query
+def dq_freshness(spark, sf_dir):
+    from staylens.operators.quality import freshness
+    f = Flow(spark, sf_dir)
+    return freshness(f.bronze, f.silver, f.quarantine, F.lit(AS_OF).cast("timestamp"))
