@@ -131,7 +131,8 @@ feed AS (
            '"search_results":' || results,
            CASE WHEN d = 10 THEN '"partner_ref":' || {_q("'p' || CAST(k AS VARCHAR)")} END,
            CASE WHEN d = 8 THEN '"note":' || {_q("repeat('x', 2100)")} END
-         ) || '}}' END AS value
+         ) || '}}' END AS value,
+    'client-' || CAST(user_id % 16 AS VARCHAR) AS client
   FROM feed_h
 )"""
 
@@ -519,4 +520,27 @@ def oracles() -> dict[str, str]:
                    (SELECT count(*) AS silver_rows, count(*) FILTER (WHERE city IS NULL) AS null_city FROM silver) s,
                    (SELECT count(*) AS dead_letters FROM landed WHERE reason IS NOT NULL) q""",
     })
+    q.update({
+        "oversize_quarantine": f"""SELECT event_id, ingestion_time, strlen(left(payload, {R.DLQ_RAW_CHARS})) AS kept_bytes,
+              left(payload, {R.DLQ_RAW_CHARS}) AS raw FROM landed WHERE reason = 'payload_too_large'""",
+        "rate_limit_audit": f"""SELECT client, request_id, received_at,
+              count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
+                             RANGE BETWEEN 999999 PRECEDING AND CURRENT ROW) AS window_count,
+              count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
+                             RANGE BETWEEN 999999 PRECEDING AND CURRENT ROW) > {R.RATE_LIMIT_PER_SECOND} AS over_limit
+              FROM feed""",
+        "gold_last_7_days": f"""SELECT city, (SELECT max(search_date) FROM silver) - 6 AS from_date,
+              (SELECT max(search_date) FROM silver) AS to_date, user_country, user_country_iso,
+              count(*) AS search_count,
+              {share('count(*)', 'sum(count(*)) OVER (PARTITION BY city)')} AS pct_of_total,
+              round(avg(length_of_stay), 1) AS avg_los
+              FROM silver WHERE city IS NOT NULL AND search_date BETWEEN (SELECT max(search_date) FROM silver) - 6
+                AND (SELECT max(search_date) FROM silver)
+              GROUP BY city, user_country, user_country_iso""",
+        "gold_weekly_arrivals": f"""SELECT city, week_start, count(*) AS search_count,
+              count(*) >= {R.WEEKLY_HIGHLIGHT_THRESHOLD} AS highlight FROM (
+                SELECT city, CAST(time_bucket(INTERVAL 7 DAY, CAST(arrival_date AS DATE),
+                                              DATE '1970-01-01') AS DATE) AS week_start
+                FROM silver WHERE city IS NOT NULL) GROUP BY city, week_start""",
+    })
     return {k: with_base(v) for k, v in q.items()}

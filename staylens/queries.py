@@ -223,3 +223,33 @@ def dq_freshness(spark, sf_dir):
     from staylens.operators.quality import freshness
     f = Flow(spark, sf_dir)
     return freshness(f.bronze, f.silver, f.quarantine, F.lit(AS_OF).cast("timestamp"))
+
+
+# --- edge checks -------------------------------------------------------------
+
+@query
+def oversize_quarantine(spark, sf_dir):
+    q = Flow(spark, sf_dir).quarantine
+    return (q.filter(F.col("reason") == "payload_too_large")
+            .select("event_id", "ingestion_time", F.octet_length("raw").alias("kept_bytes"), "raw"))
+
+
+@query
+def rate_limit_audit(spark, sf_dir):
+    from staylens.operators.rate_limit import rate_limit_audit as audit
+    return audit(Flow(spark, sf_dir).raw.select("client", "request_id", "received_at"))
+
+
+# --- marts over several days -------------------------------------------------
+
+@query
+def gold_last_7_days(spark, sf_dir):
+    from staylens.operators.gold import trailing_days
+    s = Flow(spark, sf_dir).silver
+    return trailing_days(s, s.select(F.max("search_date")).scalar())
+
+
+@query
+def gold_weekly_arrivals(spark, sf_dir):
+    from staylens.operators.gold import weekly_arrivals
+    return weekly_arrivals(Flow(spark, sf_dir).silver)

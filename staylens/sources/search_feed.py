@@ -19,6 +19,7 @@ Rule (k = event_id):
                 the copy changes departure and stay by one night when k mod 40 = 0
                 (a valid correction) and only the stay when k mod 40 = 20 (invalid)
   received_at   ts + 5 s (+ 3600 s for the copy)
+  client        sending address, 'client-' + user_id mod 16
 
 With ``dirty=True`` rows with k mod 50 in 1..15 get one defect each (see DEFECTS).
 """
@@ -151,4 +152,5 @@ def search_feed(events: DataFrame, dirty: bool = True) -> DataFrame:
         (F.col("ts").cast("timestamp")
          + F.make_dt_interval(secs=(F.lit(5) + F.col("copy") * 3600).cast("decimal(18,6)"))).alias("received_at"),
         body.alias("value"),
+        F.concat(F.lit("client-"), (F.col("user_id") % 16).cast("string")).alias("client"),
     )
