@@ -406,6 +406,8 @@ CITY, FROM_DATE, TO_DATE = "Paris", "2024-01-08", "2024-01-14"
 RANGE = f"city = '{CITY}' AND search_date BETWEEN DATE '{FROM_DATE}' AND DATE '{TO_DATE}'"
 
 AS_OF = "2024-01-31 00:00:00"
+RETENTION_AS_OF = "2024-04-15"
+BACKFILL = ("2024-01-08", "2024-01-14")
 _ACC = ", ".join("'" + b + "'" for b in R.ACCEPTED_LOS_BUCKETS)
 
 
@@ -543,4 +545,14 @@ def oracles() -> dict[str, str]:
                                               DATE '1970-01-01') AS DATE) AS week_start
                 FROM silver WHERE city IS NOT NULL) GROUP BY city, week_start""",
     })
+    q.update({
+        "bronze_layout": """SELECT ingest_date, count(*) AS rows, count(DISTINCT hotel_id) AS hotels,
+              min(hotel_id) AS min_hotel_id, max(hotel_id) AS max_hotel_id FROM bronze GROUP BY ingest_date""",
+        "bronze_retention": f"""SELECT ingest_date, count(*) AS rows FROM bronze
+              WHERE ingest_date >= DATE '{RETENTION_AS_OF}' - {R.RETENTION_DAYS} GROUP BY ingest_date""",
+        "bronze_idempotent_insert": "SELECT event_id, dedup_key, ingestion_time, ingest_date FROM bronze",
+        "silver_incremental": "SELECT * EXCLUDE (payload) FROM silver",
+        "gold_incremental": "SELECT * FROM gold_los",
+        "backfill_range": f"SELECT * FROM gold_country WHERE search_date BETWEEN DATE '{BACKFILL[0]}' AND DATE '{BACKFILL[1]}'",
+    })
     return {k: with_base(v) for k, v in q.items()}

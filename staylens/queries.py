@@ -253,3 +253,107 @@ def gold_last_7_days(spark, sf_dir):
 def gold_weekly_arrivals(spark, sf_dir):
     from staylens.operators.gold import weekly_arrivals
     return weekly_arrivals(Flow(spark, sf_dir).silver)
+
+
+# --- storage: layout, retention, idempotent append, incremental merge --------
+
+def _stored_bronze(spark, sf_dir, name):
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    path = work_dir(spark, name)
+    sinks.write_bronze(Flow(spark, sf_dir).bronze, path)
+    return path
+
+
+@query
+def bronze_layout(spark, sf_dir):
+    from staylens.sources import sinks
+    path = _stored_bronze(spark, sf_dir, "bronze-layout")
+    return (sinks.read_bronze(spark, path).groupBy("ingest_date")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("hotel_id").alias("hotels"),
+                 F.min("hotel_id").alias("min_hotel_id"), F.max("hotel_id").alias("max_hotel_id")))
+
+
+RETENTION_AS_OF = "2024-04-15"
+
+
+@query
+def bronze_retention(spark, sf_dir):
+    import datetime as dt
+    from staylens.sources import sinks
+    path = _stored_bronze(spark, sf_dir, "bronze-retention")
+    sinks.apply_retention(spark, path, dt.date.fromisoformat(RETENTION_AS_OF))
+    return sinks.read_bronze(spark, path).groupBy("ingest_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+SPLIT_DAY = "2024-01-16"
+
+
+@query
+def bronze_idempotent_insert(spark, sf_dir):
+    """The table holds the days before SPLIT_DAY; the whole batch is then replayed into it."""
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    f = Flow(spark, sf_dir)
+    path = work_dir(spark, "bronze-idempotent")
+    sinks.write_bronze(f.bronze.filter(F.col("ingest_date") < F.lit(SPLIT_DAY).cast("date")), path)
+    sinks.append_bronze_idempotent(spark, f.bronze, path)
+    sinks.append_bronze_idempotent(spark, f.bronze, path)  # a second replay adds nothing
+    return sinks.read_bronze(spark, path).select("event_id", "dedup_key", "ingestion_time", "ingest_date")
+
+
+BATCH_BOUNDS = ["2024-01-11", "2024-01-21"]
+
+
+@query
+def silver_incremental(spark, sf_dir):
+    """Bronze arrives in three ingest-day batches (newest first); silver is merged after each."""
+    from staylens.plans.refresh import merge_silver
+    from staylens.session import work_dir
+    f = Flow(spark, sf_dir)
+    silver_path = work_dir(spark, "silver-incremental")
+    d = F.col("ingest_date")
+    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
+    for cond in [d >= hi, d < lo, (d >= lo) & (d < hi)]:
+        merge_silver(spark, f.bronze.filter(cond), silver_path)
+    return spark.read.parquet(silver_path).drop("payload")
+
+
+@query
+def gold_incremental(spark, sf_dir):
+    """Marts refreshed per touched day after each merged batch equal the full marts."""
+    from staylens.plans.refresh import merge_silver, refresh_gold
+    from staylens.session import work_dir
+    f = Flow(spark, sf_dir)
+    silver_path, gold_root = work_dir(spark, "silver-inc"), work_dir(spark, "gold-inc")
+    d = F.col("ingest_date")
+    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
+    for cond in [d < lo, (d >= lo) & (d < hi), d >= hi]:
+        refresh_gold(spark, silver_path, gold_root, merge_silver(spark, f.bronze.filter(cond), silver_path))
+    return spark.read.parquet(f"{gold_root}/gold_los_distribution")
+
+
+BACKFILL = ("2024-01-08", "2024-01-14")
+
+
+@query
+def backfill_range(spark, sf_dir):
+    from staylens.plans.refresh import backfill
+    from staylens.sources import sinks
+    path = _stored_bronze(spark, sf_dir, "bronze-backfill")
+    return backfill(spark, sinks.read_bronze(spark, path), *BACKFILL)["gold_country_trends"]
+
+
+@query
+def archive_jsonl(spark, sf_dir):
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    path = work_dir(spark, "archive")
+    sinks.write_archive(Flow(spark, sf_dir).bronze, path)
+    return spark.read.text(path)
+
+
+@query
+def publish_envelope(spark, sf_dir):
+    from staylens.sources import sinks
+    return sinks.publish_envelope(Flow(spark, sf_dir).bronze)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -68,9 +67,6 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, uniquely named folder under the shared checkpoint root."""
+    """A fresh, uniquely named path under the shared checkpoint root (not created)."""
     root = checkpoint_root(spark).rstrip("/")
-    path = f"{root}/staylens/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
-    return path
+    return f"{root}/staylens/{name}-{uuid.uuid4().hex[:12]}"
