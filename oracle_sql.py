@@ -555,4 +555,14 @@ def oracles() -> dict[str, str]:
         "gold_incremental": "SELECT * FROM gold_los",
         "backfill_range": f"SELECT * FROM gold_country WHERE search_date BETWEEN DATE '{BACKFILL[0]}' AND DATE '{BACKFILL[1]}'",
     })
+    q.update({
+        "stream_landing": "SELECT * FROM bronze",
+        "stream_alerts": f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, requests, dead_letters,
+              round(CAST(dead_letters AS DOUBLE) / requests * 100.0, 2) AS error_pct,
+              CAST(dead_letters AS DOUBLE) / requests > {R.ALERT_ERROR_RATE} AS error_rate_alert,
+              dead_letters > {R.ALERT_DEAD_LETTERS} AS dead_letter_alert
+              FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ingestion_time) AS window_start, count(*) AS requests,
+                           count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters
+                    FROM landed GROUP BY ALL)""",
+    })
     return {k: with_base(v) for k, v in q.items()}

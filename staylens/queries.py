@@ -357,3 +357,51 @@ def archive_jsonl(spark, sf_dir):
 def publish_envelope(spark, sf_dir):
     from staylens.sources import sinks
     return sinks.publish_envelope(Flow(spark, sf_dir).bronze)
+
+
+# --- streaming ---------------------------------------------------------------
+
+STREAM_FILES = 6
+
+
+def _message_log(spark, sf_dir):
+    """The derived feed written as a folder of message-log files (the stream's source).
+
+    Files are written one time slice after another, so the stream sees them in
+    arrival order, as a message bus would deliver them.
+    """
+    from staylens.session import work_dir
+    path = work_dir(spark, "landing-zone")
+    raw = Flow(spark, sf_dir).raw
+    t = F.unix_micros("received_at")
+    lo, hi = raw.agg(F.min(t), F.max(t)).first()
+    width = (hi - lo) // STREAM_FILES + 1
+    for i in range(STREAM_FILES):
+        part = raw.filter((t >= lo + i * width) & (t < lo + (i + 1) * width))
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path
+
+
+@query
+def stream_landing(spark, sf_dir):
+    from staylens.session import work_dir
+    from staylens.streaming.landing import start_landing
+    src = _message_log(spark, sf_dir)
+    bronze, quarantine, archive = (work_dir(spark, n) for n in ("s-bronze", "s-quarantine", "s-archive"))
+    q = start_landing(spark, src, bronze, quarantine, work_dir(spark, "s-ckpt"), archive,
+                      available_now=True, max_files_per_trigger=2)
+    q.awaitTermination()
+    from staylens.sources.sinks import read_bronze
+    return read_bronze(spark, bronze)
+
+
+@query
+def stream_alerts(spark, sf_dir):
+    from staylens.session import work_dir
+    from staylens.streaming.alerts import latest_windows, start_alerts
+    from staylens.streaming.landing import read_messages
+    src = _message_log(spark, sf_dir)
+    out = work_dir(spark, "s-alerts")
+    q = start_alerts(spark, read_messages(spark, src, 2), out, work_dir(spark, "a-ckpt"), available_now=True)
+    q.awaitTermination()
+    return latest_windows(spark, out)
