@@ -314,13 +314,13 @@ def _item_rules() -> str:
     return "[" + ", ".join(rules) + "]"
 
 
-def _business() -> str:
+def _business(known=None) -> str:
     from staylens.operators import validation as V
     a, d, t = strict_date("s_arrival_date"), strict_date("s_departure_date"), strict_ts("s_timestamp")
     los = "CAST(n_length_of_stay AS INTEGER)"
     nights = f"date_diff('day', {a}, {d})"
     both = f"{a} IS NOT NULL AND {d} IS NOT NULL"
-    known = _list(R.KNOWN_COUNTRIES)
+    known = _list(known or R.KNOWN_COUNTRIES)
     rules = [
         f"CASE WHEN {a} IS NULL THEN 'arrival_date: {V.MSG_BAD_DATE}' END",
         f"CASE WHEN {d} IS NULL THEN 'departure_date: {V.MSG_BAD_DATE}' END",
@@ -338,39 +338,40 @@ def _business() -> str:
     return f"list_filter(list_concat([{', '.join(rules)}], {items}), lambda e: e IS NOT NULL)"
 
 
-def validated_cte(source: str = "feed", id_col: str = "request_id") -> str:
+def validated_cte(source: str = "feed", id_col: str = "request_id", known=None, name: str = "validated",
+                  p: str = "v") -> str:
     """CTE ``validated(event_id, value, errors, failed_stage)`` over a raw message relation."""
     from staylens.operators import validation as V
     facts = [f"{jkind('j', f)} AS k_{f}" for f in R.REQUIRED_FIELDS]
     facts += [f"{jnum('j', f)} AS n_{f}" for f in R.INTEGER_FIELDS + R.NUMBER_FIELDS]
     facts += [f"{jtext('j', f)} AS s_{f}" for f in R.STRING_FIELDS]
     return f"""
-v_j AS (
+{p}_j AS (
   SELECT {id_col} AS event_id, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM {source}
 ),
-v_facts AS (
+{p}_facts AS (
   SELECT *, {jkind('j')} AS k_root, {', '.join(facts)},
     CASE WHEN json_type(j, '$.search_results') = 'ARRAY' THEN json_extract(j, '$.search_results[*]')
          ELSE CAST([] AS JSON[]) END AS items
-  FROM v_j
+  FROM {p}_j
 ),
-v_stage1 AS (
+{p}_stage1 AS (
   SELECT *, CASE WHEN k_root <> 'OBJECT' THEN ['root: {_sq(V.MSG_NOT_OBJECT)}'] ELSE list_transform(list_sort(
       list_filter(list_concat([{', '.join(_contract_rules())}],
                               flatten(list_transform(items, lambda x, i: {_item_rules()}))),
       lambda e: e IS NOT NULL)), lambda e: e.e) END AS stage1
-  FROM v_facts
+  FROM {p}_facts
 ),
-v_stage2 AS (
-  SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business()} END AS stage2 FROM v_stage1
+{p}_stage2 AS (
+  SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business(known)} END AS stage2 FROM {p}_stage1
 ),
-validated AS (
+{name} AS (
   SELECT event_id, value,
     CASE WHEN j IS NULL THEN ['root: {V.MSG_INVALID_JSON}'] WHEN len(stage1) > 0 THEN stage1 ELSE stage2 END
       AS errors,
     CASE WHEN j IS NULL THEN 'parse' WHEN len(stage1) > 0 THEN 'contract' WHEN len(stage2) > 0 THEN 'business' END
       AS failed_stage
-  FROM v_stage2
+  FROM {p}_stage2
 )"""
 
 
@@ -565,4 +566,39 @@ def oracles() -> dict[str, str]:
                            count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters
                     FROM landed GROUP BY ALL)""",
     })
-    return {k: with_base(v) for k, v in q.items()}
+    replay_ctes = ("replay_src AS (SELECT event_id AS request_id, payload AS value FROM landed_full "
+                   "WHERE reason = 'validation_failed')," + validated_cte(
+                       "replay_src", "request_id", R.KNOWN_COUNTRIES + ["norway"], "revalidated", "r"))
+    hav = (f"2 * 6371.0088 * asin(least(1.0, sqrt(pow(sin((radians(c_lat) - radians(lat)) / 2), 2) + "
+           f"cos(radians(lat)) * cos(radians(c_lat)) * pow(sin((radians(c_lon) - radians(lon)) / 2), 2))))")
+    q.update({
+        "quarantine_replay": f"""WITH {replay_ctes}
+              SELECT r.event_id, t.dedup_key,
+                CASE WHEN len(r.errors) > 0 THEN 'still_failing'
+                     WHEN t.dedup_key IN (SELECT t2.dedup_key FROM landed_t t2 JOIN landed_full f2 USING (event_id)
+                                          WHERE f2.reason IS NULL) THEN 'already_landed'
+                     ELSE 'relanded' END AS outcome, 2 AS attempts
+              FROM revalidated r JOIN landed_t t ON r.event_id = t.event_id""",
+        "nearest_city_fallback": f"""SELECT u.hotel_id, round(u.lat, 6) AS lat, round(u.lon, 6) AS lon,
+                b.city AS fallback_city, round(b.d, 3) AS distance_km
+              FROM (SELECT hotel_id, avg(hotel_latitude) AS lat, avg(hotel_longitude) AS lon FROM silver
+                    WHERE city IS NULL AND hotel_id IS NOT NULL AND hotel_latitude BETWEEN -90 AND 90
+                      AND hotel_longitude BETWEEN -180 AND 180 GROUP BY hotel_id) u
+              LEFT JOIN (
+                SELECT hotel_id, city, d FROM (
+                  SELECT u2.hotel_id, c.city, {hav} AS d
+                  FROM (SELECT hotel_id, avg(hotel_latitude) AS lat, avg(hotel_longitude) AS lon FROM silver
+                        WHERE city IS NULL AND hotel_id IS NOT NULL AND hotel_latitude BETWEEN -90 AND 90
+                          AND hotel_longitude BETWEEN -180 AND 180 GROUP BY hotel_id) u2,
+                       (SELECT city, avg(hotel_latitude) AS c_lat, avg(hotel_longitude) AS c_lon FROM silver
+                        WHERE city IS NOT NULL AND hotel_latitude IS NOT NULL AND hotel_longitude IS NOT NULL
+                        GROUP BY city) c)
+                WHERE d <= 100.0 QUALIFY row_number() OVER (PARTITION BY hotel_id ORDER BY d, city) = 1
+              ) b ON u.hotel_id = b.hotel_id""",
+    })
+    out = {}
+    for k, v in q.items():
+        v = v.strip()
+        # A query with its own CTEs extends the shared WITH list.
+        out[k] = ("WITH " + BASE + "," + v[5:]) if v.startswith("WITH ") else with_base(v)
+    return out

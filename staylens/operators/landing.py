@@ -42,7 +42,8 @@ def _falsy(v: Column, field: str) -> Column:
 
 
 def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
-         schema_version: str = R.SCHEMA_VERSION, max_bytes: int = R.MAX_REQUEST_BYTES) -> DataFrame:
+         schema_version: str = R.SCHEMA_VERSION, max_bytes: int = R.MAX_REQUEST_BYTES,
+         known_countries=None, currencies=None) -> DataFrame:
     """Label each raw body; returns bronze columns + ``reason``, ``errors``, ``raw``."""
     if gate not in ("light", "full"):
         raise ValueError(f"unknown gate {gate!r}")
@@ -71,7 +72,8 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
                                       received.cast("timestamp").alias("ingestion_time"),
                                       body.alias("value")), "value")
     if gate == "full":
-        staged = with_errors(staged, "_v", "_contract_errors")
+        staged = with_errors(staged, "_v", "_contract_errors", known_countries=known_countries,
+                             currencies=currencies)
     labelled = (staged
                 .withColumn("errors", F.when(too_large, F.array(F.format_string(
                                           "root: body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes))))

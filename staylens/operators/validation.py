@@ -145,8 +145,10 @@ def python_strip(s: Column) -> Column:
     return F.regexp_replace(s, r"^\s+|\s+$", "")
 
 
-def business_errors() -> Column:
+def business_errors(known_countries=None, currencies=None) -> Column:
     """Stage 2 (business rules V17-V24) in rule order; meaningful once stage 1 passed."""
+    known_countries = known_countries or R.KNOWN_COUNTRIES
+    currencies = currencies or R.VALID_CURRENCIES
     a = strict_date(_c("s", "arrival_date"))
     d = strict_date(_c("s", "departure_date"))
     t = strict_timestamp(_c("s", "timestamp"))
@@ -161,17 +163,17 @@ def business_errors() -> Column:
         F.when(both & (d <= a), F.lit(f"departure_date: {MSG_DEP_AFTER}")),                   # V19
         F.when(both & (d > a) & (los != nights),                                              # V20
                F.format_string("length_of_stay: " + MSG_LOS, nights, los)),
-        F.when(~F.lower(python_strip(country)).isin(*R.KNOWN_COUNTRIES),                      # V22
+        F.when(~F.lower(python_strip(country)).isin(*known_countries),                      # V22
                F.format_string("user_country: " + MSG_COUNTRY, country)),
     )
     cur = F.transform(F.col("_items"), lambda x, i: F.when(                                  # V24
-        ~x["cs"].isin(*R.VALID_CURRENCIES),
+        ~x["cs"].isin(*currencies),
         F.format_string("search_results[%d].currency: " + MSG_CURRENCY, i, x["cs"])))
     return F.filter(F.concat(rules, cur), lambda e: e.isNotNull())
 
 
 def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors",
-                stage_out: str | None = None) -> DataFrame:
+                stage_out: str | None = None, known_countries=None, currencies=None) -> DataFrame:
     """Adds ``errors array<string>`` computed from a VARIANT column (NULL = not JSON).
 
     Stage-1 errors and then the final errors are each produced by a one-row
@@ -186,7 +188,7 @@ def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors",
     s1 = facts.select("*", F.inline(F.array(F.struct(contract_errors().alias("_stage1")))))
     v_null = F.col(variant_col).isNull()
     has1 = F.size("_stage1") > 0
-    stage2 = business_errors()
+    stage2 = business_errors(known_countries, currencies)
     errors = (F.when(v_null, F.array(F.lit(f"root: {MSG_INVALID_JSON}")))
               .when(has1, F.col("_stage1")).otherwise(stage2))
     fields = [errors.alias(out)]

@@ -405,3 +405,25 @@ def stream_alerts(spark, sf_dir):
     q = start_alerts(spark, read_messages(spark, src, 2), out, work_dir(spark, "a-ckpt"), available_now=True)
     q.awaitTermination()
     return latest_windows(spark, out)
+
+
+# --- recovery and fallbacks ---------------------------------------------------
+
+# Allow list after a contract update that admits one more country.
+REPLAY_COUNTRIES = ["norway"]
+
+
+@query
+def quarantine_replay(spark, sf_dir):
+    from staylens import reference_data as Ref
+    from staylens.operators.recovery import replay
+    f = Flow(spark, sf_dir, gate="full")
+    return replay(f.quarantine, f.bronze, known_countries=Ref.KNOWN_COUNTRIES + REPLAY_COUNTRIES) \
+        .select("event_id", "dedup_key", "outcome", "attempts")
+
+
+@query
+def nearest_city_fallback(spark, sf_dir):
+    from staylens.operators.geo_fallback import city_centroids, nearest_city, unknown_hotels
+    s = Flow(spark, sf_dir).silver
+    return nearest_city(unknown_hotels(s), city_centroids(s))
