@@ -20,16 +20,23 @@ from staylens.schemas import SILVER_COLUMNS
 
 
 def stage(bronze: DataFrame) -> DataFrame:
-    """T1/T2/A15 staging: payload fields extracted once (typed, never aborting)."""
+    """T1/T2/A15 staging: payload fields extracted once (typed, never aborting).
+
+    The payload is parsed once, and the typed fields come out of a one-row
+    ``inline``: later filters on them (T10/T11) then read plain columns instead
+    of having the JSON extraction substituted into every predicate branch.
+    """
+    v = F.col("_v")
+    fields = F.struct(
+        J.text(v, "arrival_date").alias("arrival_date"),
+        J.text(v, "departure_date").alias("departure_date"),
+        J.integer(v, "length_of_stay").alias("length_of_stay"),
+        J.text(v, "user_country").alias("user_country"),
+        J.text(v, "hotel_name").alias("hotel_name"),
+        J.number(v, "hotel_latitude").alias("hotel_latitude"),
+        J.number(v, "hotel_longitude").alias("hotel_longitude"))
     return (J.with_parsed(bronze, "payload")
-            .select(*[c for c in bronze.columns if c != "ingest_date"],
-                    J.text(F.col("_v"), "arrival_date").alias("arrival_date"),
-                    J.text(F.col("_v"), "departure_date").alias("departure_date"),
-                    J.integer(F.col("_v"), "length_of_stay").alias("length_of_stay"),
-                    J.text(F.col("_v"), "user_country").alias("user_country"),
-                    J.text(F.col("_v"), "hotel_name").alias("hotel_name"),
-                    J.number(F.col("_v"), "hotel_latitude").alias("hotel_latitude"),
-                    J.number(F.col("_v"), "hotel_longitude").alias("hotel_longitude")))
+            .select(*[c for c in bronze.columns if c != "ingest_date"], F.inline(F.array(fields))))
 
 
 def enrich(staged: DataFrame, dim_hotels: DataFrame, country_map: DataFrame) -> DataFrame:

@@ -3,6 +3,11 @@
 ``Flow(spark, sf_dir)`` derives the raw message log from ``events`` and
 exposes every stage as a DataFrame (nothing is computed until an action):
 raw -> landed (labelled) -> bronze / quarantine -> silver -> marts.
+
+With ``stored=True`` the landed batch and silver are written once as tables
+in the shared checkpoint folder (as the production pipeline stores them) and
+read back, so plans that fan out into several marts or checks scan stored
+tables instead of re-deriving silver in every branch.
 """
 
 from __future__ import annotations
@@ -13,16 +18,24 @@ from pyspark.sql import DataFrame, SparkSession
 
 from staylens import reference_data as Ref
 from staylens.operators import gold, landing, silver as silver_ops
-from staylens.session import prepare
+from staylens.session import prepare, work_dir
 from staylens.sources.search_feed import search_feed
 from staylens.sources.tables import spread, table
 
 
 class Flow:
-    def __init__(self, spark: SparkSession, sf_dir: str, gate: str = "light"):
+    def __init__(self, spark: SparkSession, sf_dir: str, gate: str = "light", stored: bool = False):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.gate = gate
+        self.stored = stored
+
+    def _store(self, df: DataFrame, name: str, partition_col: str) -> DataFrame:
+        if not self.stored:
+            return df
+        path = work_dir(self.spark, name)
+        df.write.partitionBy(partition_col).parquet(path)
+        return self.spark.read.parquet(path).select(*df.columns)
 
     @cached_property
     def events(self) -> DataFrame:
@@ -34,7 +47,7 @@ class Flow:
 
     @cached_property
     def landed(self) -> DataFrame:
-        return landing.land(self.raw, self.gate)
+        return self._store(landing.land(self.raw, self.gate), "landed", "ingest_date")
 
     @cached_property
     def bronze(self) -> DataFrame:
@@ -54,7 +67,7 @@ class Flow:
 
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_ops.silver(self.bronze, self.dim_hotels, self.country_map)
+        return self._store(silver_ops.silver(self.bronze, self.dim_hotels, self.country_map), "silver", "search_date")
 
     @cached_property
     def arrival(self) -> DataFrame:
