@@ -106,3 +106,19 @@ def test_marts_agree_with_silver(spark):
     n = f.silver.filter(F.col("city").isNotNull()).count()
     for mart in (f.arrival, f.country, f.los):
         assert mart.agg(F.sum("search_count")).first()[0] == n
+
+
+def test_bus_records_decode_and_route(spark):
+    from staylens.operators import landing
+    from staylens.sources.requests import from_bus_records
+    import datetime as dt
+    good = b'{"hotel_id": 1235, "timestamp": "2024-01-01T00:00:00"}'
+    bad = b'\xff\xfe{"hotel_id": 1}'
+    recs = spark.createDataFrame(
+        [(b"k1", dt.datetime(2024, 1, 1), good, [("schema_version", b"v1")]),
+         (b"k2", dt.datetime(2024, 1, 1), bad, [])],
+        "key binary, timestamp timestamp, value binary, headers array<struct<key:string,value:binary>>")
+    msgs = from_bus_records(recs)
+    assert {r.request_id: r.schema_version for r in msgs.collect()} == {"k1": "v1", "k2": None}
+    got = {r.event_id: r.reason for r in landing.land(msgs, "light").collect()}
+    assert got == {"k1": None, "k2": "invalid_json"}
