@@ -4,7 +4,8 @@
 exposes every stage as a DataFrame (nothing is computed until an action):
 raw -> landed (labelled) -> bronze / quarantine -> silver -> marts.
 
-With ``stored=True`` the landed batch and silver are written once as tables
+With ``stored=True`` (or a subset such as ``("silver",)``) the landed batch
+and/or silver are written once as tables
 in the shared checkpoint folder (as the production pipeline stores them) and
 read back, so plans that fan out into several marts or checks scan stored
 tables instead of re-deriving silver in every branch.
@@ -24,14 +25,14 @@ from staylens.sources.tables import spread, table
 
 
 class Flow:
-    def __init__(self, spark: SparkSession, sf_dir: str, gate: str = "light", stored: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, gate: str = "light", stored=False):
         self.spark = prepare(spark)
         self.sf_dir = sf_dir
         self.gate = gate
-        self.stored = stored
+        self.stored = {"landed", "silver"} if stored is True else set(stored or ())
 
     def _store(self, df: DataFrame, name: str, partition_col: str) -> DataFrame:
-        if not self.stored:
+        if name not in self.stored:
             return df
         path = work_dir(self.spark, name)
         df.write.partitionBy(partition_col).parquet(path)

@@ -23,7 +23,7 @@ def query(fn):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     return serving.city_trends(f.arrival, f.country, f.los)
 
 
@@ -88,7 +88,7 @@ def gold_los_distribution(spark, sf_dir):
 
 @query
 def pipeline_counts(spark, sf_dir):
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     n = lambda df: df.select(F.count(F.lit(1))).scalar()
     return f.silver.agg(F.count(F.lit(1)).alias("silver_rows")).select(
         "silver_rows",
@@ -121,13 +121,13 @@ def los_trends(spark, sf_dir):
 
 @query
 def city_trends(spark, sf_dir):
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     return serving.city_trends(f.arrival, f.country, f.los, CITY, FROM_DATE, TO_DATE)
 
 
 @query
 def trends_missing_city(spark, sf_dir):
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     requested = f.dim_hotels.select("city")
     return serving.trends_status(serving.Marts(f.arrival, f.country, f.los), requested)
 
@@ -207,14 +207,14 @@ def dq_los_consistency(spark, sf_dir):
 @query
 def dq_scan(spark, sf_dir):
     from staylens.operators.quality import scan
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     return scan(f.silver, f.country, f.los)
 
 
 @query
 def dq_gate(spark, sf_dir):
     from staylens.operators.quality import gate, scan
-    f = Flow(spark, sf_dir, stored=True)
+    f = Flow(spark, sf_dir, stored=("silver",))
     return gate(scan(f.silver, f.country, f.los))
 
 
@@ -245,7 +245,7 @@ def rate_limit_audit(spark, sf_dir):
 @query
 def gold_last_7_days(spark, sf_dir):
     from staylens.operators.gold import trailing_days
-    s = Flow(spark, sf_dir, stored=True).silver
+    s = Flow(spark, sf_dir, stored=("silver",)).silver
     return trailing_days(s, s.select(F.max("search_date")).scalar())
 
 
@@ -425,5 +425,5 @@ def quarantine_replay(spark, sf_dir):
 @query
 def nearest_city_fallback(spark, sf_dir):
     from staylens.operators.geo_fallback import city_centroids, nearest_city, unknown_hotels
-    s = Flow(spark, sf_dir, stored=True).silver
+    s = Flow(spark, sf_dir, stored=("silver",)).silver
     return nearest_city(unknown_hotels(s), city_centroids(s))
