@@ -31,6 +31,7 @@ REASON_INVALID_JSON = "invalid_json"
 REASON_MISSING = "missing_required_fields"
 REASON_BAD_TIMESTAMP = "invalid_timestamp"
 REASON_VALIDATION = "validation_failed"
+REASON_VERSION = "unsupported_schema_version"
 
 # JSON spellings of Python-falsy values (None, 0, "", False, [], {}).
 _FALSY_TEXT = ["", "0", "0.0", "false", "[]", "{}"]
@@ -50,6 +51,9 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
     cols = set(raw.columns)
     event_id = F.col("request_id") if "request_id" in cols else F.expr("uuid()")
     received = F.col("received_at") if "received_at" in cols else F.current_timestamp()
+    # The version travels with each message (bus header); absent = the default.
+    version = (F.coalesce(F.col("schema_version"), F.lit(schema_version)) if "schema_version" in cols
+               else F.lit(schema_version))
     v = F.col("_v")
     body = F.col("value")
     ts = strict_timestamp(J.text(v, "timestamp"))
@@ -72,16 +76,21 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
     not_json = v.isNull() | ~is_obj
     staged = J.with_parsed(raw.select(event_id.cast("string").alias("event_id"),
                                       received.cast("timestamp").alias("ingestion_time"),
-                                      body.alias("value")), "value")
+                                      body.alias("value"), version.alias("schema_version")), "value")
     if gate == "full":
         staged = with_errors(staged, "_v", "_contract_errors", known_countries=known_countries,
                              currencies=currencies)
     labelled = (staged
-                .withColumn("errors", F.when(too_large, F.array(F.format_string(
+                .withColumn("errors", F.when(~F.col("schema_version").isin(*R.ACCEPTED_SCHEMA_VERSIONS),
+                                             F.array(F.format_string("root: unsupported schema version %s",
+                                                                     F.col("schema_version"))))
+                            .when(too_large, F.array(F.format_string(
                                           "root: body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes))))
                             .when(not_json, F.array(F.lit("root: invalid JSON")))
                             .otherwise(errors))
-                .withColumn("reason", F.when(body.isNull(), REASON_INVALID_JSON)
+                .withColumn("reason", F.when(~F.col("schema_version").isin(*R.ACCEPTED_SCHEMA_VERSIONS),
+                                             REASON_VERSION)
+                            .when(body.isNull(), REASON_INVALID_JSON)
                             .when(too_large, REASON_TOO_LARGE)
                             .when(not_json, REASON_INVALID_JSON)
                             .otherwise(gate_reason)))
@@ -90,7 +99,7 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
         dedup_key(v).alias("dedup_key"),
         "ingestion_time",
         F.lit(partner_id).alias("partner_id"),
-        F.lit(schema_version).alias("schema_version"),
+        "schema_version",
         F.col("value").alias("payload"),
         J.integer(v, "hotel_id").alias("hotel_id"),
         ts.alias("search_timestamp"),

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 PARTNER_ID = "ota-partner-1"
 SCHEMA_VERSION = "v1"
+# Contract versions landing accepts (a new version is added here with its rules).
+ACCEPTED_SCHEMA_VERSIONS = ["v1"]
 MAX_REQUEST_BYTES = 2048
 RATE_LIMIT_PER_SECOND = 100
 RETENTION_DAYS = 90

@@ -113,3 +113,14 @@ def test_share_sums_to_100(spark, base_event):
     _, _, s = run(spark, evs)
     total = gold.country_trends(s).agg(F.sum("pct_of_total")).first()[0]
     assert abs(total - 100.0) <= 0.15
+
+
+def test_schema_version_routing(spark, base_event):
+    import json
+    rows = [("a", None, json.dumps(base_event)), ("b", "v1", json.dumps({**base_event, "timestamp": "2022-01-24T11:02:00"})),
+            ("c", "v9", json.dumps({**base_event, "timestamp": "2022-01-24T11:03:00"}))]
+    import datetime as dt
+    df = spark.createDataFrame([(r, dt.datetime(2022, 1, 24, 12), v, b) for r, v, b in rows],
+                               "request_id string, received_at timestamp, schema_version string, value string")
+    got = {r.event_id: (r.schema_version, r.reason) for r in landing.land(df, "full").collect()}
+    assert got == {"a": ("v1", None), "b": ("v1", None), "c": ("v9", "unsupported_schema_version")}
