@@ -84,7 +84,7 @@ def full_refresh(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_
     error-severity failure raises before anything is published.
     """
     staging = work_dir(spark, "silver-full")
-    latest_per_key(silver_candidates(bronze)).write.mode("overwrite").partitionBy("search_date").parquet(staging)
+    sinks.write_partitions(latest_per_key(silver_candidates(bronze)), staging, tiebreak="dedup_key")
     cand = spark.read.parquet(staging)
     if enforce_gate:
         quality.enforce(quality.scan(cand, gold.country_trends(cand), gold.los_distribution(cand)))

@@ -122,3 +122,12 @@ def test_bus_records_decode_and_route(spark):
     assert {r.request_id: r.schema_version for r in msgs.collect()} == {"k1": "v1", "k2": None}
     got = {r.event_id: r.reason for r in landing.land(msgs, "light").collect()}
     assert got == {"k1": None, "k2": "invalid_json"}
+
+
+def test_full_refresh_publishes_and_counts(spark):
+    from staylens.plans.derived import Flow
+    from staylens.plans.refresh import full_refresh
+    f = Flow(spark, "/root/testdata/sf0.001")
+    counts = full_refresh(spark, f.bronze, work_dir(spark, "fr-silver"), work_dir(spark, "fr-gold"))
+    assert counts["silver_rows"] == f.silver.count()
+    assert counts["gold_los_distribution"] == f.los.count()
