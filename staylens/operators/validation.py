@@ -15,7 +15,7 @@ keeps the generated code small (whole-stage codegen) and plan time flat.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from staylens import reference_data as R
 from staylens.functions import json as J
@@ -219,9 +219,17 @@ def error_rule(error: Column) -> Column:
 
 
 def rejections_by_rule(validated: DataFrame) -> DataFrame:
-    """Error count per rule with its share of all validated events (SLI < 0.5 %)."""
-    total = validated.select(F.count(F.lit(1)).alias("n")).scalar()
-    return (validated.select(F.explode("errors").alias("error"))
-            .groupBy(error_rule(F.col("error")).alias("rule"))
-            .agg(F.count(F.lit(1)).alias("error_count"))
-            .withColumn("pct_of_events", F.round(F.col("error_count").cast("double") * 100.0 / total, 2)))
+    """Error count per rule with its share of all validated events (SLI < 0.5 %).
+
+    One pass: ``posexplode_outer`` yields one row per error and one marker row
+    (position 0 or NULL) per event, so the event total is summed from the
+    per-rule aggregate with a window over that small result.
+    """
+    rows = validated.select(F.posexplode_outer("errors").alias("pos", "error"))
+    per_rule = (rows.groupBy(error_rule(F.col("error")).alias("rule"))
+                .agg(F.count("error").alias("error_count"),
+                     F.count_if(F.coalesce(F.col("pos") == 0, F.lit(True))).alias("_events")))
+    total = F.sum("_events").over(Window.partitionBy())
+    return (per_rule.withColumn("pct_of_events", F.round(F.col("error_count").cast("double") * 100.0 / total, 2))
+            .filter(F.col("rule").isNotNull())
+            .select("rule", "error_count", "pct_of_events"))
