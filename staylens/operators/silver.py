@@ -16,6 +16,7 @@ from staylens import reference_data as Ref
 from staylens.functions import json as J
 from staylens.functions.buckets import los_bucket
 from staylens.functions.dates import strict_date
+from staylens.functions.joins import broadcast_if_small
 from staylens.schemas import SILVER_COLUMNS
 
 
@@ -41,9 +42,15 @@ def stage(bronze: DataFrame) -> DataFrame:
 
 def enrich(staged: DataFrame, dim_hotels: DataFrame, country_map: DataFrame) -> DataFrame:
     """Hotel city (left join), user country ISO (left join on trimmed lower name),
-    search_date, LOS bucket and the stay computed from the dates."""
-    hotels = F.broadcast(dim_hotels.select("hotel_id", "city", F.col("country_iso").alias("hotel_country_iso")))
-    countries = F.broadcast(country_map.select(F.lower("name").alias("_country_key"), F.col("iso").alias("_iso")))
+    search_date, LOS bucket and the stay computed from the dates.
+
+    The dimensions are broadcast only when their estimated size is small (the
+    seed data is a few rows); a large hotel dimension is joined by shuffle.
+    """
+    hotels = broadcast_if_small(dim_hotels.select("hotel_id", "city",
+                                                  F.col("country_iso").alias("hotel_country_iso")))
+    countries = broadcast_if_small(country_map.select(F.lower("name").alias("_country_key"),
+                                                      F.col("iso").alias("_iso")))
     return (staged.join(hotels, "hotel_id", "left")
             .join(countries, F.lower(F.trim("user_country")) == F.col("_country_key"), "left")
             .withColumn("user_country_iso", F.coalesce("_iso", F.upper(F.left("user_country", F.lit(2)))))

@@ -87,20 +87,32 @@ WEEKLY_HIGHLIGHT_THRESHOLD = 170
 # ---------------------------------------------------------------------------
 
 
+def _sql_literal(x) -> str:
+    return str(x) if isinstance(x, int) else "'" + str(x).replace("'", "''") + "'"
+
+
+def _values(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
+    """A5: inline relation (``VALUES``): a local relation with exact size statistics."""
+    body = ", ".join("(" + ", ".join(_sql_literal(x) for x in r) + ")" for r in rows)
+    names = ", ".join(c for c, _ in columns)
+    casts = ", ".join(f"CAST({c} AS {t}) AS {c}" for c, t in columns)
+    return spark.sql(f"SELECT {casts} FROM VALUES {body} AS t({names})")
+
+
 def dim_hotels(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DIM_HOTELS, "hotel_id INT, city STRING, country_iso STRING")
+    return _values(spark, DIM_HOTELS, [("hotel_id", "INT"), ("city", "STRING"), ("country_iso", "STRING")])
 
 
 def country_map(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(COUNTRY_MAP, "name STRING, iso STRING")
+    return _values(spark, COUNTRY_MAP, [("name", "STRING"), ("iso", "STRING")])
 
 
 def known_countries(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(c,) for c in KNOWN_COUNTRIES], "country_key STRING")
+    return _values(spark, [(c,) for c in KNOWN_COUNTRIES], [("country_key", "STRING")])
 
 
 def accepted_los_buckets(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(b,) for b in ACCEPTED_LOS_BUCKETS], "los_bucket STRING")
+    return _values(spark, [(b,) for b in ACCEPTED_LOS_BUCKETS], [("los_bucket", "STRING")])
 
 
 def valid_currencies_col():

@@ -48,3 +48,14 @@ def test_landing_has_no_shuffle(spark):
 def test_no_cartesian_or_nested_loop_joins(spark, name):
     text = plan_of(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+def test_dimension_broadcast_is_size_checked(spark):
+    from staylens.functions.joins import broadcast_if_small, estimated_bytes
+    from staylens import reference_data as R
+    small = R.dim_hotels(spark)
+    assert estimated_bytes(small) < 1024
+    assert "broadcast" in broadcast_if_small(small)._jdf.queryExecution().analyzed().toString().lower()
+    big = spark.range(10_000_000).selectExpr("id as k", "cast(id as string) as v")
+    assert "ResolvedHint (strategy=broadcast)" not in broadcast_if_small(big, limit=1024)._jdf.queryExecution() \
+        .analyzed().toString()
