@@ -101,9 +101,14 @@ def backfill(spark: SparkSession, bronze: DataFrame, from_date: str, to_date: st
 
     A search on day d can only be ingested on day d or later, so the bronze
     scan is pruned to ``ingest_date >= from`` (partition filter) and the
-    search-date range is applied before the dedup shuffle.
+    search-date range is pushed to Parquet as a timestamp range, before the
+    dedup shuffle.
     """
-    lo, hi = F.lit(from_date).cast("date"), F.lit(to_date).cast("date")
-    sliced = bronze.filter((F.col("ingest_date") >= lo) & (F.to_date("search_timestamp").between(lo, hi)))
+    lo = F.lit(from_date).cast("date")
+    ts_lo = lo.cast("timestamp")
+    ts_hi = F.date_add(F.lit(to_date).cast("date"), 1).cast("timestamp")
+    # A range on the raw timestamp column (not on to_date of it) reaches the Parquet reader.
+    sliced = bronze.filter((F.col("ingest_date") >= lo) & (F.col("search_timestamp") >= ts_lo)
+                           & (F.col("search_timestamp") < ts_hi))
     silver = latest_per_key(silver_candidates(sliced))
     return {"silver": silver, **{name: build(silver) for name, build in MARTS.items()}}

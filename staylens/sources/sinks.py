@@ -61,6 +61,16 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
+def stored_ids(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
+    """(ingest_date, event_id) already stored on the days present in ``batch``.
+
+    The batch's days (bounded by the calendar) are broadcast into a semi join
+    on the partition column, which prunes the stored scan to those days.
+    """
+    days = F.broadcast(batch.select("ingest_date").distinct())
+    return spark.read.parquet(path).select("ingest_date", "event_id").join(days, "ingest_date", "left_semi")
+
+
 def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
     """Append only events whose ``event_id`` is not stored yet (re-runs add nothing).
 
@@ -70,8 +80,7 @@ def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str) ->
     """
     batch = new.select(*BRONZE_COLUMNS).dropDuplicates(["event_id"])
     if table_exists(spark, path):
-        stored = read_bronze(spark, path).select("ingest_date", "event_id")
-        batch = batch.join(stored, ["ingest_date", "event_id"], "left_anti")
+        batch = batch.join(stored_ids(spark, path, batch), ["ingest_date", "event_id"], "left_anti")
     write_bronze(batch, path, "append")
     return batch
 

@@ -32,8 +32,7 @@ def read_messages(spark: SparkSession, source_dir: str, max_files_per_trigger: i
 def _append_new(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str]) -> None:
     """Append rows whose event_id is not stored yet (idempotent under batch replay)."""
     if sinks.table_exists(spark, path):
-        stored = spark.read.parquet(path).select("ingest_date", "event_id")
-        df = df.join(stored, ["ingest_date", "event_id"], "left_anti")
+        df = df.join(sinks.stored_ids(spark, path, df), ["ingest_date", "event_id"], "left_anti")
     df.write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 

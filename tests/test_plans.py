@@ -16,6 +16,12 @@ def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def formatted(df):
+    """The text of ``df.explain("formatted")``."""
+    return df.sparkSession._jvm.org.apache.spark.sql.api.python.PythonSQLUtils.explainString(
+        df._jdf.queryExecution(), "formatted")
+
+
 def test_latest_wins_is_limited_before_the_shuffle(spark):
     path = work_dir(spark, "p-bronze")
     sinks.write_bronze(Flow(spark, SF).bronze, path)
@@ -59,3 +65,12 @@ def test_dimension_broadcast_is_size_checked(spark):
     big = spark.range(10_000_000).selectExpr("id as k", "cast(id as string) as v")
     assert "ResolvedHint (strategy=broadcast)" not in broadcast_if_small(big, limit=1024)._jdf.queryExecution() \
         .analyzed().toString()
+
+
+def test_backfill_pushes_partition_and_timestamp_filters(spark):
+    from staylens.plans.refresh import backfill
+    path = work_dir(spark, "p-bf")
+    sinks.write_bronze(Flow(spark, SF).bronze, path)
+    text = formatted(backfill(spark, sinks.read_bronze(spark, path), "2024-01-08", "2024-01-14")["silver"])
+    assert "PartitionFilters: [isnotnull(ingest_date" in text
+    assert "GreaterThanOrEqual(search_timestamp" in text and "LessThan(search_timestamp" in text
