@@ -182,10 +182,10 @@ def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors",
                 stage_out: str | None = None, known_countries=None, currencies=None) -> DataFrame:
     """Adds ``errors array<string>`` computed from a VARIANT column (NULL = not JSON).
 
-    Stage-1 errors and then the final errors are each produced by a one-row
-    ``inline`` (a Generate node). Filters on ``errors`` (or on columns derived
-    from it) cannot be pushed below a Generate, so the optimizer never
-    substitutes the rule tree into them and every rule runs once per event.
+    Stage-1 and stage-2 errors are each produced by a one-row ``inline`` (a
+    Generate node). Filters on ``errors`` (or on columns derived from it)
+    cannot be pushed below a Generate, so the optimizer never substitutes the
+    rule trees into them and every rule runs at most once per event.
     ``stage_out`` optionally names a column saying which stage failed
     (``parse``, ``contract``, ``business``; NULL when valid).
     """
@@ -194,14 +194,17 @@ def with_errors(df: DataFrame, variant_col: str = "_v", out: str = "errors",
     s1 = facts.select("*", F.inline(F.array(F.struct(contract_errors().alias("_stage1")))))
     v_null = F.col(variant_col).isNull()
     has1 = F.size("_stage1") > 0
-    stage2 = business_errors(known_countries, currencies)
+    # Stage 2 only runs for parsed events that passed stage 1, in its own Generate.
+    s2 = s1.select("*", F.inline(F.array(F.struct(
+        F.when(v_null | has1, F.array().cast("array<string>"))
+        .otherwise(business_errors(known_countries, currencies)).alias("_stage2")))))
     errors = (F.when(v_null, F.array(F.lit(f"root: {MSG_INVALID_JSON}")))
-              .when(has1, F.col("_stage1")).otherwise(stage2))
-    fields = [errors.alias(out)]
+              .when(has1, F.col("_stage1")).otherwise(F.col("_stage2")))
+    cols = [errors.alias(out)]
     if stage_out:
-        fields.append(F.when(v_null, "parse").when(has1, "contract")
-                      .when(F.size(stage2) > 0, "business").alias(stage_out))
-    return s1.select(*keep, F.inline(F.array(F.struct(*fields))))
+        cols.append(F.when(v_null, "parse").when(has1, "contract")
+                    .when(F.size("_stage2") > 0, "business").alias(stage_out))
+    return s2.select(*keep, *cols)
 
 
 def validate(raw: DataFrame, text_col: str = "value") -> DataFrame:
