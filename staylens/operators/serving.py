@@ -7,7 +7,6 @@ row-group filter. ``city=None`` gives the all-cities (bulk) form.
 
 from __future__ import annotations
 
-import datetime as dt
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -113,15 +112,10 @@ def load_marts(spark: SparkSession, root: str) -> Marts:
 
 def trends_status(marts: Marts, requested: DataFrame) -> DataFrame:
     """Q7: outcome per requested city: ok, not_found (no rows in any panel), not_ready."""
-    spark = requested.sparkSession
     if not marts.ready:
         return requested.select("city", F.lit(STATUS_NOT_READY).alias("status"))
     present = (marts.arrival.select("city").unionByName(marts.country.select("city"))
                .unionByName(marts.los.select("city")).distinct().withColumn("_has", F.lit(True)))
-    _ = spark
     return (requested.select("city").distinct().join(present, "city", "left")
             .select("city", F.when(F.col("_has"), STATUS_OK).otherwise(STATUS_NO_DATA).alias("status")))
 
-
-def as_date(x) -> dt.date | None:
-    return None if x is None else (x if isinstance(x, dt.date) else dt.date.fromisoformat(str(x)))
