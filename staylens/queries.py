@@ -427,3 +427,17 @@ def nearest_city_fallback(spark, sf_dir):
     from staylens.operators.geo_fallback import city_centroids, nearest_city, unknown_hotels
     s = Flow(spark, sf_dir, stored=("silver",)).silver
     return nearest_city(unknown_hotels(s), city_centroids(s))
+
+
+@query
+def rate_limit_exact(spark, sf_dir):
+    """Accepted-only limiter run as a stateful stream over the message log (no SQL twin)."""
+    from staylens.session import work_dir
+    from staylens.streaming.landing import read_messages
+    from staylens.streaming.rate_limiter import limit_requests
+    src = _message_log(spark, sf_dir)
+    out = work_dir(spark, "s-limit")
+    q = (limit_requests(read_messages(spark, src, 2)).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", work_dir(spark, "l-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.parquet(out)

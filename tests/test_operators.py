@@ -131,3 +131,42 @@ def test_full_refresh_publishes_and_counts(spark):
     counts = full_refresh(spark, f.bronze, work_dir(spark, "fr-silver"), work_dir(spark, "fr-gold"))
     assert counts["silver_rows"] == f.silver.count()
     assert counts["gold_los_distribution"] == f.los.count()
+
+
+def test_exact_rate_limiter_matches_greedy_brute_force(spark):
+    import random
+    from collections import deque
+    from staylens.streaming.rate_limiter import limit_requests
+    rnd = random.Random(3)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(1500):
+        client = "hot" if i % 4 else "calm"                       # one client sends 3/4, in bursts
+        rows.append((client, f"r{i:05d}", t0 + dt.timedelta(microseconds=rnd.randint(0, 6_000_000))))
+    rows.sort(key=lambda r: r[2])
+    src = work_dir(spark, "rl-src")
+    # arrival order = time order: three files written one after another
+    for part in range(3):
+        chunk = rows[part * 500:(part + 1) * 500]
+        spark.createDataFrame(chunk, "client string, request_id string, received_at timestamp") \
+            .coalesce(1).write.mode("append").parquet(src)
+    stream = (spark.readStream.schema("client string, request_id string, received_at timestamp")
+              .option("maxFilesPerTrigger", 1).parquet(src))
+    out = work_dir(spark, "rl-out")
+    q = (limit_requests(stream, limit=100).writeStream.format("parquet").option("path", out)
+         .option("checkpointLocation", work_dir(spark, "rl-ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = {r.request_id: r.accepted for r in spark.read.parquet(out).collect()}
+    expected = {}
+    per_client = {}
+    for client, rid, t in sorted(rows, key=lambda r: (r[2], r[1])):
+        dq = per_client.setdefault(client, deque())
+        us = int((t - dt.datetime(1970, 1, 1)).total_seconds() * 1_000_000)
+        while dq and dq[0] <= us - 1_000_000:
+            dq.popleft()
+        expected[rid] = len(dq) < 100
+        if expected[rid]:
+            dq.append(us)
+    assert len(got) == len(rows)
+    assert got == expected
+    assert not all(expected.values())                               # the hot client was limited
