@@ -43,20 +43,7 @@ MSG_CURRENCY = "unsupported currency '%s'"
 _ITEM = "struct<kind:string,rk:string,rs:string,pk:string,pn:double,ck:string,cs:string>"
 
 
-def _kind(v: Column) -> Column:
-    """JSON kind of a VARIANT: OBJECT, ARRAY, STRING, NUMBER, BOOLEAN, NULL; NULL if absent.
-
-    Containers are recognised by a cast to ``array<variant>`` / ``map<string,
-    variant>`` (no rendering of their whole type); ``schema_of_variant`` is
-    only reached for scalars, where its result is a short type name.
-    """
-    t = F.schema_of_variant(v)
-    return (F.when(v.isNull(), F.lit(None).cast("string"))
-            .when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("ARRAY"))
-            .when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), F.lit("OBJECT"))
-            .when(t.isin("STRING", "BOOLEAN"), t)
-            .when(t == "VOID", F.lit("NULL"))
-            .otherwise(F.lit("NUMBER")))
+_kind = J.kind
 
 
 def _c(prefix: str, field: str) -> Column:

@@ -170,3 +170,29 @@ def test_exact_rate_limiter_matches_greedy_brute_force(spark):
     assert len(got) == len(rows)
     assert got == expected
     assert not all(expected.values())                               # the hot client was limited
+
+
+def test_dim_csv_reader_and_quarantine_writer(spark, base_event):
+    from staylens.operators import landing
+    from staylens.operators.silver import read_dim_hotels
+    from staylens import reference_data as R
+    import os
+    d = work_dir(spark, "dim-csv").replace("file:", "")
+    os.makedirs(d)
+    with open(f"{d}/dim_hotels.csv", "w") as fh:
+        fh.write("hotel_id,city,country_iso\n" + "".join(f"{a},{b},{c}\n" for a, b, c in R.DIM_HOTELS))
+    dim = read_dim_hotels(spark, f"{d}/dim_hotels.csv")
+    assert sorted(tuple(r) for r in dim.collect()) == sorted(R.DIM_HOTELS)
+    qpath = work_dir(spark, "quarantine")
+    labelled = landing.land(messages(spark, [("a", "2022-01-24 11:01:13", "nope"),
+                                             ("b", "2022-01-24 11:01:13", {**base_event, "hotel_id": 0})]), "full")
+    sinks.write_quarantine(landing.quarantine_rows(labelled), qpath)
+    got = {r.event_id: r.reason for r in spark.read.parquet(qpath).collect()}
+    assert got == {"a": "invalid_json", "b": "validation_failed"}
+
+
+def test_trends_not_ready_when_a_mart_is_missing(spark):
+    from staylens.operators import serving
+    marts = serving.load_marts(spark, work_dir(spark, "no-marts"))
+    req = spark.createDataFrame([("Paris",)], "city string")
+    assert [tuple(r) for r in serving.trends_status(marts, req).collect()] == [("Paris", "not_ready")]
