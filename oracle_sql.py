@@ -473,9 +473,9 @@ def oracles() -> dict[str, str]:
               ON h.city = p.city""",
     }
     q.update({
-        "validate_schema_errors": """SELECT event_id, len(errors) AS error_count,
+        "validate_schema_errors": """SELECT event_id, CAST(len(errors) AS INTEGER) AS error_count,
               array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'contract'""",
-        "validate_business_errors": """SELECT event_id, len(errors) AS error_count,
+        "validate_business_errors": """SELECT event_id, CAST(len(errors) AS INTEGER) AS error_count,
               array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'business'""",
         "validate_split": """SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome,
               coalesce(reason, 'none') AS reason, count(*) AS events FROM landed_full GROUP BY ALL""",
@@ -524,7 +524,7 @@ def oracles() -> dict[str, str]:
                    (SELECT count(*) AS dead_letters FROM landed WHERE reason IS NOT NULL) q""",
     })
     q.update({
-        "oversize_quarantine": f"""SELECT event_id, ingestion_time, strlen(left(payload, {R.DLQ_RAW_CHARS})) AS kept_bytes,
+        "oversize_quarantine": f"""SELECT event_id, ingestion_time, CAST(strlen(left(payload, {R.DLQ_RAW_CHARS})) AS INTEGER) AS kept_bytes,
               left(payload, {R.DLQ_RAW_CHARS}) AS raw FROM landed WHERE reason = 'payload_too_large'""",
         "rate_limit_audit": f"""SELECT client, request_id, received_at,
               count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)

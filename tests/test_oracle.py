@@ -9,6 +9,9 @@ import __spark_entry__ as E
 from tools.compare import TABLES, digest
 
 SF = "/root/testdata/sf0.001"
+# Spark simple type name -> DuckDB type name.
+TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "date": "DATE",
+         "timestamp": "TIMESTAMP", "boolean": "BOOLEAN"}
 ORACLES = E.oracle_sql()
 
 
@@ -32,6 +35,8 @@ def test_query_matches_oracle(spark, con, name):
     rel = con.sql(ORACLES[name])
     o_rows = rel.fetchall()
     assert sorted(df.columns) == sorted(rel.columns)
+    duck_types = dict(zip(rel.columns, [str(t) for t in rel.types]))
+    assert {c: TYPES.get(t, t) for c, t in df.dtypes} == duck_types
     assert len(rows) == len(o_rows)
     assert digest(df.columns, rows)[0] == digest(rel.columns, o_rows)[0]
 
