@@ -1,0 +1,483 @@
+"""Corpus operators against brute force, on small tables with nulls, empties, repeats, ties and clashing columns."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+from pyspark.sql import functions as F
+
+from staylens.llm import ann, blocks, decontam, html_text, lm_score, mixing, pii, secrets, simhash, substring_dedup, toxicity
+
+SPLIT = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def low(s):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in s)
+
+
+@pytest.fixture(scope="module")
+def rows():
+    rng = random.Random(3)
+    vocab = [f"w{i}é" if i % 7 == 0 else f"W{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(vocab) for _ in range(rng.choice([0, 1, 2, 5, 30, 80]))) for _ in range(60)]
+    passage = " ".join(f"p{i}" for i in range(45))
+    texts += [f"{rng.choice(vocab)} {i} {passage}\t{rng.choice(vocab)}" for i in range(12)]
+    texts += [texts[5]] * 3 + [None, "", " \n\t", "x" * 200_000, "a b c " * 30]
+    out = [(i, t, f"s{i % 4}" if i % 9 else None) for i, t in enumerate(texts)]
+    return out + [(7, texts[7], "s3"), (None, passage, "s1")]
+
+
+@pytest.fixture(scope="module")
+def docs(spark, rows):
+    # columns beyond those the operators need, with the names they use themselves
+    return spark.createDataFrame(rows, "doc_id long, text string, source string").select(
+        "*", F.lit("x").alias("n_words"), F.lit(1).alias("fp"), F.lit(2).alias("row"), F.lit(3).alias("block"),
+        F.lit(4).alias("score"), F.lit("y").alias("host"), F.lit(0.5).alias("size"))
+
+
+@pytest.fixture(scope="module")
+def nothing(docs):
+    return docs.limit(0)
+
+
+def by_row(rows, got):
+    """Pair input rows with result rows as multisets keyed by doc_id."""
+    found = defaultdict(list)
+    for r in got:
+        found[r.doc_id].append(r)
+    assert sum(map(len, found.values())) == len(rows)
+    return found
+
+
+# --- 1 LM scoring ---
+
+def test_lm_scoring(docs, rows, nothing):
+    got = lm_score.score(docs, block_tokens=500).collect()
+    found = by_row(rows, got)
+    held = [d is not None and zlib.crc32(str(d).encode()) % 7 == 2 for d, _, _ in rows]
+    toks = [SPLIT.findall(low(t or "")) + ["</s>"] for _, t, _ in rows]
+    count = Counter(w for t, h in zip(toks, held) if not h for w in t)
+    n, v = sum(count.values()), len(count)
+    for (d, _, _), t, h in zip(rows, toks, held):
+        for r in found[d]:
+            assert r.held_out == h and r.n_tokens == len(t) and r.train_tokens == n
+            assert r.n_known == sum(count[w] > 0 for w in t)
+            assert math.isclose(r.base_score, sum(math.log10((count[w] + 1) / (n + v + 1)) for w in t), rel_tol=1e-9)
+            assert -1e9 < r.score < 0
+    assert sum(r.score for r in got if r.held_out) > sum(r.base_score for r in got if r.held_out)
+    assert lm_score.score(nothing).count() == 0
+
+
+def test_lm_score_is_the_mixture(spark, docs, rows):
+    """Scores recomputed from plain counts and weights learned on the same cells."""
+    big = blocks.BLOCK_TOKENS
+    got = {r.doc_id: r.score for r in lm_score.score(docs, block_tokens=big).collect() if r.doc_id != 7}
+    cut = {r.doc_id: r.score for r in lm_score.score(docs, block_tokens=100).collect() if r.doc_id != 7}
+    assert got.keys() == cut.keys()
+    assert all(math.isclose(got[k], cut[k], rel_tol=1e-9) for k in got)
+
+
+def test_lm_probabilities_sum_to_one():
+    lam = lm_score.learn_weights(__import__("pandas").DataFrame(
+        {"bucket": [1, 2, 2], "q2": [40, 60, -(1 << 20)], "q1": [20, 30, 10], "n": [5, 50, 20]}))
+    assert np.allclose(lam.sum(axis=1), 1) and (lam[:, 1:] > 0).all() and lam[0, 0] == 0
+
+
+# --- 2 SimHash ---
+
+def brute_fp(text):
+    w = SPLIT.findall(low(text or ""))
+    if not w:
+        return 0
+    sh = [" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))]
+    hs = [xxhash.xxh64_intdigest(s.encode(), 42) for s in sh]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+
+
+def brute_components(fps, radius=3):
+    fps = list(fps)
+    root = {f: f for f in fps}
+
+    def find(f):
+        while root[f] != f:
+            f = root[f]
+        return f
+
+    for i, a in enumerate(fps):
+        for b in fps[:i]:
+            if (a ^ b).bit_count() <= radius:
+                root[find(a)] = find(b)
+    return {f: find(f) for f in fps}
+
+
+def test_simhash(docs, rows, nothing):
+    fps = [brute_fp(t) for _, t, _ in rows]
+    comp = brute_components(set(fps))
+    least = {}
+    for (d, _, _), f in zip(rows, fps):
+        if d is not None:
+            least[comp[f]] = min(least.get(comp[f], d), d)
+    want = sorted((d if d is not None else -1, f"{f:016x}", least.get(comp[f], -1)) for (d, _, _), f in zip(rows, fps))
+    got = sorted((r.doc_id if r.doc_id is not None else -1, r.fingerprint, -1 if r.component_id is None else r.component_id)
+                 for r in simhash.near_duplicates(docs).collect())
+    assert got == want
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert kept.count() == len(set(comp.values()))
+    assert simhash.near_duplicates(nothing).count() == 0 and simhash.keep_one(nothing).count() == 0
+
+
+@pytest.mark.parametrize("shard_rows", [5, 1000])
+def test_simhash_links_planted_neighbours(spark, shard_rows):
+    rng = random.Random(5)
+    fps = {rng.getrandbits(64) for _ in range(40)}
+    centre = rng.getrandbits(64)
+    for f in list(fps) + [centre] * 120:
+        x = f
+        for b in rng.sample(range(64), rng.randint(0, 4)):
+            x ^= 1 << b
+        fps.add(x)
+    signed = [f - (1 << 64) if f >> 63 else f for f in fps]
+    df = spark.createDataFrame([(f,) for f in signed], "fp long")
+    got = {r.node: r.root for r in simhash.components(simhash.links(df, 3, shard_rows)).collect()}
+    want = brute_components(fps)
+    label = {f: got.get(s, s) for f, s in zip(fps, signed)}
+    groups = defaultdict(set)
+    for f in fps:
+        groups[want[f]].add(label[f])
+    assert all(len(g) == 1 for g in groups.values()) and len({min(g) for g in groups.values()}) == len(groups)
+
+
+def test_bk_tree_finds_all_within_radius():
+    rng = np.random.default_rng(1)
+    base = rng.integers(0, 2 ** 63, 6, dtype=np.uint64)
+    items = np.unique(np.array([int(b) ^ (1 << int(i)) ^ (1 << int(j)) for b in base for i in range(0, 63, 4) for j in range(0, 63, 7)], np.uint64))
+    pairs = {(int(a), int(b)) for x, y in simhash.bk_links(items, items, 3) for a, b in zip(x, y)}
+    assert pairs == {(i, j) for i in range(len(items)) for j in range(len(items))
+                     if (int(items[i]) ^ int(items[j])).bit_count() <= 3}
+
+
+# --- 3 secrets ---
+
+def test_secrets(spark):
+    live = "Zk3pQ9xLm2Vt8RbY6wNc4HdS"
+    shared = "Ab1Cd2Ef3Gh4Ij5Kl6Mn7Op8"
+    texts = [("o1", f'say é password = "{shared}" and AKIA{"Q1" * 8} or {"ab" * 16}'), ("o2", f"token: {shared}"), ("o3", f"API-KEY x apikey={shared}"),
+             ("o1", f"plain {live} here"), ("o1", f"and {shared} there"), ("o9", "token=secret:abcdefgh AKIAX"), (None, None), ("o1", ""),
+             ("o2", "-----BEGIN RSA PRIVATE KEY-----")]
+    df = spark.createDataFrame([(i, t, o) for i, (o, t) in enumerate(texts)], "doc_id long, text string, source string") \
+        .withColumn("spans", F.lit(1)).withColumn("hash", F.lit(2))
+    got = {r.doc_id: r for r in secrets.scan(df).collect()}
+    assert len(got) == len(texts)
+    t0 = texts[0][1]
+    a, b, c = t0.index("password"), t0.index("AKIA"), t0.index("abab")
+    end = t0.index(shared) + len(shared)
+    base = f"assign:{a}:{end},access:{b}:{b + 20},hex:{c}:{c + 32}"
+    assert (got[0].n_assign, got[0].n_access, got[0].n_hex) == (1, 1, 1)
+    assert got[0].base_sha256 == hashlib.sha256(base.encode()).hexdigest() and got[0].spans == base
+    assert got[0].n_example == 1 and got[1].n_assign == 1 and got[2].n_assign == 1
+    assert got[3].spans == "entropy:6:30" and got[3].n_live == 1      # one owner's random string is added
+    assert got[4].spans == "" and got[4].n_assign == 0                # a copied one is not
+    assert got[5].n_assign == 0 and got[5].n_access == 0              # the failing match uses up the text
+    assert got[6].spans == "" and got[7].base_sha256 == hashlib.sha256(b"").hexdigest()
+    assert got[8].spans.startswith("private_key:0:")
+    assert secrets.scan(df.limit(0)).count() == 0
+
+
+# --- 4 mixing ---
+
+def brute_targets(sizes):
+    names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + ([None] if None in sizes else [])
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    target, open_, left = {}, set(names), 1.5 * sum(sizes.values())
+    while open_:
+        level = left / sum(weight[s] for s in open_)
+        full = {s for s in open_ if level * weight[s] > 2 * sizes[s]}
+        if not full:
+            return {**target, **{s: level * weight[s] for s in open_}}
+        for s in full:
+            target[s] = 2.0 * sizes[s]
+            left -= target[s]
+        open_ -= full
+    return target
+
+
+def test_mixing(docs, rows, nothing):
+    got = mixing.mix(docs, block_words=8).collect()
+    again = mixing.mix(docs.repartition(5), block_words=8).collect()
+    sizes = Counter({s: 0 for _, _, s in rows})
+    for _, t, s in rows:
+        sizes[s] += len(SPLIT.findall(t or ""))
+    want = brute_targets(sizes)
+    taken = Counter()
+    for r in got:
+        assert r.source_size == sizes[r.source] and math.isclose(r.target, want[r.source], rel_tol=1e-9)
+        assert 0 <= r.taken <= 2 * r.size
+        taken[r.source] += r.taken
+    assert sorted((r.doc_id or -1, r.size) for r in got) == sorted((d or -1, len(SPLIT.findall(t or ""))) for d, t, _ in rows)
+    assert all(abs(taken[s] - want[s]) <= 4 * 8 for s in want)
+    key = lambda r: tuple(x if x is not None else -1 for x in (r.doc_id, r.size, r.target, r.taken))
+    assert sorted(map(key, got)) == sorted(map(key, again))
+    assert mixing.mix(nothing).count() == 0
+    blank = mixing.mix(docs.withColumn("text", F.lit(None).cast("string"))).collect()
+    assert all((r.size, r.target, r.taken) == (0, 0.0, 0) for r in blank)
+
+
+@pytest.mark.parametrize("sizes", [[5, 1000, 1], [10, 10, 10, 10], [1, 1, 1000, 50, 50, 2000, 7], [3]])
+def test_targets_share_excess(spark, sizes):
+    named = {f"s{i:02}": n for i, n in enumerate(sizes)}
+    df = spark.createDataFrame(list(named.items()), "source string, source_size long")
+    got = {r.source: r.target for r in mixing.targets(df).collect()}
+    want = brute_targets(named)
+    assert all(math.isclose(got[s], want[s], rel_tol=1e-12) for s in named)
+
+
+# --- 5 substring dedup ---
+
+def brute_dedup(rows, n=20):
+    first, words = {}, [SPLIT.findall(t or "") for _, t, _ in rows]
+    key = lambda d: math.inf if d is None else d
+    for (d, _, _), w in zip(rows, words):
+        for i in range(len(w) - n + 1):
+            s = tuple(w[i:i + n])
+            first[s] = min(first.get(s, (math.inf, math.inf)), (key(d), i))
+    out = []
+    for (d, _, _), w in zip(rows, words):
+        gone = set()
+        for i in range(len(w) - n + 1):
+            if first[tuple(w[i:i + n])] < (key(d), i):
+                gone.update(range(i, i + n))
+        kept = " ".join(x for i, x in enumerate(w) if i not in gone)
+        out.append((-1 if d is None else d, len(w), len(gone), hashlib.sha256(kept.encode()).hexdigest()))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_tokens", [60, 1_000_000])
+def test_substring_dedup(docs, rows, nothing, block_tokens):
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_words, r.n_removed, r.kept_sha256)
+                 for r in substring_dedup.dedup(docs, block_tokens=block_tokens).collect())
+    assert got == brute_dedup(rows)
+    assert sum(r[2] for r in got) > 300
+    if block_tokens == 60:
+        assert substring_dedup.dedup(nothing).count() == 0
+
+
+def test_cover_is_a_difference_cover():
+    n = substring_dedup.PERIOD
+    assert {(a - b) % n for a in substring_dedup.COVER for b in substring_dedup.COVER} == set(range(n))
+
+
+# --- 6 HTML ---
+
+def page(body, head=""):
+    return f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>"
+
+
+def test_html_roles(spark):
+    cases = {
+        page("<nav><li>Menu</li></nav><article><h1>A &amp; B</h1><p><b>one\n two<br><p>three</p></article><footer>&copy;</footer>"): "A & B\none two\nthree",
+        page('<article><p>x</p><div class="ad">buy</div><p>y</p><script>var t="</p>";</script><div id="comments"><p>hm</p></div></article>'): "x\ny",
+        page("<!-- <p>no</p> --><main><p>text &lt;b&gt; &#233;</p><form><p>mail</p></form></main><aside>s</aside>"): "text <b> é",
+        page("<article><header><h1>Head</h1></header><p>cut off <b>here")[:-14]: "Head\ncut off here",
+        "": "", "<article></article>": "", "plain words": "plain words", "<p>a<p>b": "a\nb",
+    }
+    rows = [(i, f"http://h{i}.org/{i}", h) for i, h in enumerate(cases)] + [(99, None, None), (0, "http://h0.org/0", list(cases)[0])]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("n", F.lit(1)).withColumn("host", F.lit("q"))
+    got = defaultdict(list)
+    for r in html_text.extract(df).collect():
+        assert r.n_chars == len(r.text)
+        got[r.page_id].append(r.text)
+    for i, want in enumerate(cases.values()):
+        assert got[i][0] == want, (i, got[i])
+    assert got[99] == [""] and len(got[0]) == 2
+    assert html_text.extract(df.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("shard_tokens", [20, 100_000])
+def test_html_boilerplate_by_host(spark, shard_tokens):
+    notice = "all of these words stand on every page of the host"
+    rows = [(i, f"https://Host.example:80/{i}", f"<div><p>{notice}</p><p>{' '.join(f'own{i}x{j}' for j in range(12))}</p></div>") for i in range(6)]
+    rows += [(10, "https://other.example/1", f"<p>{notice}</p>")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, shard_tokens=shard_tokens).collect()}
+    assert all(got[i] == " ".join(f"own{i}x{j}" for j in range(12)) for i in range(6))
+    assert got[10] == notice
+
+
+def test_suffix_array_orders_suffixes():
+    rng = np.random.default_rng(2)
+    t = rng.integers(0, 3, 200)
+    order, cls = html_text.repeated_runs(t, 4)
+    assert [t[i:].tolist() for i in order] == sorted(t[i:].tolist() for i in range(len(t)))
+    runs = defaultdict(set)
+    for i, c in zip(order, cls):
+        if i + 4 <= len(t):
+            runs[tuple(t[i:i + 4])].add(int(c))
+    assert all(len(c) == 1 for c in runs.values()) and len({min(c) for c in runs.values()}) == len(runs)
+
+
+# --- 7 nearest neighbours ---
+
+def test_ann(spark):
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 16))
+    v = (centres[rng.integers(0, 12, 900)] + 0.6 * rng.normal(size=(900, 16))).astype(np.float32)
+    v[300:420] = v[300]
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)]
+    rows += [(1000, None), (1050, []), (1100, [0.0] * 16), (1150, [float("nan")] * 16), (1200, [1.0] * 3), (None, rows[3][1]),
+             (1250, [None] + [1.0] * 15), (5, rows[5][1])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1)).withColumn("list", F.lit(2))
+    got = defaultdict(list)
+    for r in ann.search(df, list_rows=50).orderBy("query_id", "rank").collect():
+        got[r.query_id].append((r.rank, r.vec_id, r.score))
+    x = v.astype(np.float64)
+    hits = total = 0
+    for q in range(0, 900, 50):
+        s = (x * x[q]).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((x[q] * x[q]).sum()))
+        s[q] = -9
+        true = np.lexsort((np.arange(900), -s))[:5]
+        assert [r for r, _, _ in got[q]] == [1, 2, 3, 4, 5]
+        hits += len(set(true.tolist()) & {i for _, i, _ in got[q]})
+        total += 5
+        assert all(math.isclose(sc, s[i], rel_tol=1e-12) for _, i, sc in got[q])
+    assert hits / total >= 0.9 and set(got) == set(range(0, 900, 50))
+    assert [i for _, i, _ in got[300]] == [301, 302, 303, 304, 305]
+    assert ann.search(df.limit(0)).count() == 0
+    assert ann.search(spark.createDataFrame([(50, [1.0, 0.0]), (3, [0.0, 1.0])], "vec_id long, embedding array<double>")).collect()[0][1:] == (1, 3, 0.0)
+
+
+# --- 8 toxicity ---
+
+def test_toxicity(spark):
+    rng = random.Random(9)
+    syll = "ka lo mi ne ru ta ve so pi du".split()
+    word = lambda: "".join(rng.choice(syll) for _ in range(rng.randint(1, 4)))
+    bad = ["zorgblat", "vrixxen", "quarmpf"]
+    rows, labels = [], []
+    for i in range(700):
+        w = [word() for _ in range(rng.randint(10, 60))]
+        toxic = i % 4 == 0
+        if toxic:
+            for _ in range(rng.randint(3, 6)):
+                w.insert(rng.randrange(len(w)), rng.choice(bad) + rng.choice(syll + [""]))
+        rows.append((i, " ".join(w)))
+        if i % 7:
+            labels.append((i, int(toxic)))
+    rows += [(1000, None), (1001, ""), (None, "zorgblat"), (1, rows[1][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("score", F.lit(1)).withColumn("toxic", F.lit(1))
+    lab = spark.createDataFrame(labels + [(1, 0), (None, 1), (2, None)], "doc_id long, toxic int").withColumn("text", F.lit("z"))
+    model = toxicity.train(docs, lab)
+    got = toxicity.score(docs, model).collect()
+    assert len(got) == len(rows) and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got)
+    assert all(r.held_out == (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
+    test = [r for r in got if r.held_out and r.doc_id < 700]
+    assert np.mean([(r.doc_id % 4 == 0) == (r.predicted == 1) for r in test]) > 0.93
+    kept = toxicity.drop_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(r.predicted == 0 for r in got)
+    none = toxicity.train(docs, lab.where("toxic = 9"))
+    assert {r.score for r in toxicity.score(docs, none).collect()} == {0.0}
+    assert toxicity.score(docs.limit(0), model).count() == 0
+
+
+# --- 9 decontamination ---
+
+DOC_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+
+
+def brute_decontam(rows, items, n=13):
+    win = defaultdict(set)
+    for i, t in items:
+        w = DOC_WORD.findall(low(t or ""))
+        m = min(n, len(w))
+        for j in range(len(w) - m + 1 if w else 0):
+            win[tuple(w[j:j + m])].add(i)
+    lens = {len(k) for k in win}
+    out = []
+    for d, t, *_ in rows:
+        w = DOC_WORD.findall(low(t or ""))
+        hit, found = set(), set()
+        for m in lens:
+            for j in range(len(w) - m + 1):
+                owners = win.get(tuple(w[j:j + m]))
+                if owners is not None:
+                    hit.update(range(j, j + m))
+                    found |= owners - {None}
+        ids = ",".join(sorted(map(str, found)))
+        out.append((-1 if d is None else d, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(),
+                    bool(hit) and 20 * len(hit) >= len(w)))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("shard_bytes", [40, 1 << 20])
+def test_decontamination(spark, docs, rows, shard_bytes):
+    rng = random.Random(2)
+    items = [(1, "P3, p4 p5 p6! p7 p8 p9 p10 p11 p12 p13 p14 p15 p16 p17"), (2, "W1 w2é w3"), (3, "W5"), (10, None), (11, "!!"),
+             (None, "w14é w21é"), (1, "W9 W8"), (12, " ".join(f"p{i}" for i in range(40)))]
+    more = [(500 + i, " ".join(rng.choice(["w1", "W2É", "w2é", "w3", "w5,", "w9-w8", "pq"]) for _ in range(40)), None) for i in range(30)]
+    every = rows + more
+    df = spark.createDataFrame(every, "doc_id long, text string, source string").withColumn("n_hit", F.lit(1)).withColumn("hits", F.lit(1))
+    bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
+    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in decontam.report(df, bench, shard_bytes=shard_bytes).collect())
+    want = brute_decontam(every, items)
+    assert got == want
+    kept = decontam.clean(df, bench, shard_bytes=shard_bytes)
+    assert kept.columns == df.columns and kept.count() == sum(not r[-1] for r in want)
+    assert decontam.report(df.limit(0), bench).count() == 0
+    assert decontam.report(df, bench.limit(0)).where("n_hit > 0").count() == 0
+
+
+# --- 10 PII ---
+
+def luhn_ok(d):
+    return sum(x if i % 2 == 0 else (2 * x - 9 if x > 4 else 2 * x) for i, x in enumerate(int(c) for c in reversed(d))) % 10 == 0
+
+
+def test_pii(spark):
+    text = ("Mail A.b12@mail3.example.com or a.b12@mail3.example.com, é.x@mail3.example.com! ip 10.2.3.4; +1 (115) 555-9688 = +1 115 555 9688, "
+            "212-555-1234. card 4111 1111 1111 1111 and 4111111111111111, ssn 123-45-6789. Mr. John Smith met Mrs Anna Smith, Г-жа Иванова, "
+            "Herr Müller; DE89 3704 0044 0532 0130 00; not 2020-01-02 12345 or 1.2.3.4.5 or 12:30")
+    rows = [(1, text), (2, None), (3, ""), (4, "plain words only 12"), (5, "call +1 (115) 555-9688"), (5, "call +1 (115) 555-9688"), (None, "x" * 100_000 + " a@b.org")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("x", F.lit(1)).withColumn("k", F.lit(2)).withColumn("before", F.lit(3))
+    got = pii.report(df, key="k").collect()
+    one = next(r for r in got if r.doc_id == 1)
+    t = one.text
+    mails = re.findall(r"[a-z]+@[a-z]+\.example\.org", t)
+    assert len(mails) == 3 and mails[0] == mails[1] != mails[2] and len({m.split("@")[1] for m in mails}) == 1
+    cards = re.findall(r"\b\d{4} \d{4} \d{4} \d{4}\b|\b\d{16}\b", t)
+    assert cards[0].replace(" ", "") == cards[1] and luhn_ok(cards[1]) and cards[1][0] == "4" and cards[1] != "4" + "1" * 15
+    phones = re.findall(r"\+1[ ()\d-]{12,14}\d", t)
+    assert re.sub(r"\D", "", phones[0]) == re.sub(r"\D", "", phones[1]) and re.fullmatch(r"\+1 \(\d{3}\) \d{3}-\d{4}", phones[0])
+    for gone in ("b12", "10.2.3.4", "9688", "555-1234", "123-45-6789", "Smith", "John", "Иванова", "Müller", "3704"):
+        assert gone not in t
+    men, women = re.search(r"Mr\. (\w+) (\w+) met Mrs (\w+) (\w+),", t).group(1, 3)
+    assert men.endswith("n") and women.endswith("a") and re.search(r"Г-жа [А-я]+а;?,", t) and "Herr " in t
+    assert "not 2020-01-02 12345 or 1.2.3.4.5 or 12:30" in t
+    assert one.n_entities == 15
+    rest = [(r.doc_id, r.n_entities, r.text) for r in got if r.doc_id in (2, 3, 4)]
+    assert sorted(rest, key=lambda r: r[0]) == [(2, 0, None), (3, 0, ""), (4, 0, "plain words only 12")]
+    assert [r.text for r in got if r.doc_id == 5] == ["call " + phones[0]] * 2
+    clean = pii.replace(df, key="k", width=6)
+    assert clean.columns == df.columns
+    plan = clean._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Exchange" not in plan
+    assert pii.report(df.limit(0), key="k").count() == 0
+
+
+def test_pii_digits_are_permuted(spark):
+    for n in (2, 3, 5):
+        df = spark.range(10 ** n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("d"))
+        out = df.select(pii.permute_digits("key", "t", F.col("d")).alias("p"))
+        assert out.distinct().count() == 10 ** n and out.where(~F.col("p").rlike(f"^[0-9]{{{n}}}$")).count() == 0
+
+
+def test_pii_widens_on_collision(spark):
+    df = spark.createDataFrame([(f"m{i}@h.org",) for i in range(400)], "text string")
+    assert pii.surrogate_width(df, "k", width=1) > 1
+    wide = pii.surrogate_width(df, "k", width=1)
+    assert pii.replace(df, key="k", width=wide).distinct().count() == 400
