@@ -32,7 +32,8 @@ REPLY_SCHEMA = "part int, block long, data array<binary>"
 
 
 class Block:
-    """One block in memory: per document its id, fold and token count; token ids into ``words``."""
+    """One block in memory: per document its id, fold and token count; token ids into ``words``
+    (a row may leave the words out and give ``n_words``)."""
 
     def __init__(self, row):
         self.block = row.block
@@ -41,7 +42,9 @@ class Block:
         self.folds = unpack(row.folds, np.int8)
         self.lens = unpack(row.lens, np.int64)
         self.ids = unpack(row.ids, np.int32).astype(np.int64)
-        self.words = zstandard.ZstdDecompressor().decompress(row.words).split(b"\n")
+        if hasattr(row, "words"):
+            self.words = zstandard.ZstdDecompressor().decompress(row.words).split(b"\n")
+        self.n_words = len(self.words) if hasattr(row, "words") else row.n_words
         self.starts = np.concatenate([[0], np.cumsum(self.lens)])
 
     def doc_ids(self) -> list:

@@ -63,7 +63,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def pack(a: np.ndarray) -> bytes:
     """Compressed bytes of an array, its byte planes side by side (small numbers shrink well)."""
     a = np.ascontiguousarray(a)
-    return zstandard.ZstdCompressor(level=1).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
+    return zstandard.ZstdCompressor(level=3).compress(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes())
 
 
 def unpack(data: bytes, dtype) -> np.ndarray:

@@ -44,7 +44,7 @@ def _grams(b: B.Block):
     ctx = np.empty_like(tok)
     ctx[1:] = tok[:-1]
     ctx[np.concatenate([[0], np.cumsum(lens)[:-1]])] = BEGIN
-    pairs, inverse = np.unique(ctx * len(b.words) + tok, return_inverse=True)
+    pairs, inverse = np.unique(ctx * b.n_words + tok, return_inverse=True)
     return tok, ctx, doc, pairs, inverse
 
 
@@ -76,19 +76,25 @@ def _sent(b: B.Block):
 
 def _reply(keys, slots, n, arrays):
     a, held, kind = arrays
-    sum_a = np.bincount(slots, a, n).astype(np.uint64)
-    sum_all = sum_a + np.bincount(slots, held, n).astype(np.uint64)
+    sum_a, sum_held = (np.bincount(slots, x, n).astype(np.uint64) for x in (a, held))
     is_word = np.zeros(n, bool)
     is_word[slots[kind == 1]] = True
-    types = [np.uint64((is_word & (s > 0)).sum()) for s in (sum_a, sum_all)]
-    return [sum_a[slots], sum_all[slots], *types]
+    types = [np.uint64((is_word & (s > 0)).sum()) for s in (sum_a, sum_a + sum_held)]
+    return [sum_a[slots], sum_held[slots], *types]
 
 
-def _unsort(b: B.Block, counts: np.ndarray, pairs: np.ndarray):
+def _unsort(b: B.Block, counts: np.ndarray, pairs: np.ndarray) -> list[bytes]:
+    """Corpus counts of the block's words and pairs, in its own order, packed."""
     _, order, n_uni = _keys(b, pairs)
-    out = np.empty(len(order))
+    out = np.empty_like(counts)
     out[order] = counts
-    return out[:n_uni], out[n_uni:]
+    return [B.pack(out[:n_uni]), B.pack(out[n_uni:])]
+
+
+def _known(row, all_training: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Counts of words and pairs outside the held-out fold, or in all training documents."""
+    a_uni, a_bi, h_uni, h_bi = (B.unpack(x, np.uint64) for x in row.counts)
+    return (a_uni + h_uni, a_bi + h_bi) if all_training else (a_uni, a_bi)
 
 
 def _bucket(c: np.ndarray) -> np.ndarray:
@@ -96,7 +102,7 @@ def _bucket(c: np.ndarray) -> np.ndarray:
 
 
 def _estimates(b, pairs, uni, bi, total, types):
-    v, w = pairs // len(b.words), pairs % len(b.words)
+    v, w = pairs // b.n_words, pairs % b.n_words
     c = uni[v]
     return _bucket(c), np.where(c > 0, bi / np.maximum(c, 1), 0.0), uni[w] / max(total, 1), 1.0 / (types + 1)
 
@@ -148,13 +154,16 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mod: i
 
     def counted(row, arrays):
         b = B.Block(row)
-        return pd.DataFrame({**{k: [getattr(row, k)] for k in cols},
-                             "counts": [[B.pack(x) for x in arrays[:2]]],
-                             "types": [[int(arrays[2].sum()), int(arrays[3].sum())]]}) if len(b.lens) else None
-
-    cols = [x.split()[0] for x in B.BLOCK_SCHEMA.split(", ")]
+        pairs = _grams(b)[3]
+        return pd.DataFrame({**{k: [getattr(row, k)] for k in cols}, "n_words": [b.n_words],
+                             "counts": [[x for c in arrays[:2] for x in _unsort(b, c, pairs)]],
+                             "types": [[int(arrays[2].sum()), int(arrays[3].sum())]]})
+
+    # later passes need the tokens and counts, not the words
+    kept = [x for x in B.BLOCK_SCHEMA.split(", ") if x != "words binary"]
+    cols = [x.split()[0] for x in kept]
     known = stored(B.apply_replies(table, replies, [np.uint64] * 4, counted,
-                                   B.BLOCK_SCHEMA + ", counts array<binary>, types array<long>"), "lm-counts")
+                                   ", ".join([*kept, "n_words long, counts array<binary>, types array<long>"])), "lm-counts")
 
     def histogram(frames):
         for frame in frames:
@@ -164,7 +173,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mod: i
                     continue
                 tok, ctx, doc, pairs, inverse = _grams(b)
                 n = np.bincount(inverse[b.folds[doc] == 1], minlength=len(pairs))
-                uni, bi = _unsort(b, B.unpack(row.counts[0], np.uint64), pairs)
+                uni, bi = _known(row, False)
                 bucket, p2, p1, p0 = _estimates(b, pairs, uni, bi, n_a, row.types[0])
                 q = [np.where(p > 0, np.round(np.log2(np.maximum(p, 1e-300) / p0) * STEP), -(1 << 20)).astype(np.int64)
                      for p in (p2, p1)]
@@ -180,7 +189,7 @@ def score(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", mod: i
             for row in frame.itertuples():
                 b = B.Block(row)
                 tok, ctx, doc, pairs, inverse = _grams(b)
-                uni, bi = _unsort(b, B.unpack(row.counts[1], np.uint64), pairs)
+                uni, bi = _known(row, True)
                 types = row.types[1]
                 bucket, p2, p1, p0 = _estimates(b, pairs, uni, bi, n_all, types)
                 x = lam[bucket]
