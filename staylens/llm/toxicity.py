@@ -24,7 +24,6 @@ ignored.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from staylens.llm.common import crc_fold, text_bytes
+from staylens.llm.common import crc_fold, text_bytes, xx
 
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)
 LENGTHS = (5, 6, 8)      # bytes of a typical sequence
@@ -51,55 +50,59 @@ def _widen(window: bytes) -> bytes:
     return np.stack([a, a ^ 0x80], axis=1).tobytes()
 
 
-def _sequences(window: bytes) -> set[bytes]:
-    return {window[i:i + n] for n in LENGTHS for i in range(len(window) - n + 1)}
-
-
-def typical(toxic: list[set], ordinary: list[set]) -> list[bytes]:
-    """Byte sequences of toxic documents (sets of windows), chosen greedily by cover."""
-    memo: dict[bytes, set] = {}
-
-    def of(doc):
-        out = set()
-        for w in doc:
-            if w not in memo:
-                memo[w] = _sequences(w)
-            out |= memo[w]
-        return out
-
-    in_ordinary = Counter()
-    for doc in ordinary:
-        in_ordinary.update(of(doc))
-    held = [of(doc) for doc in toxic]
-    in_toxic = Counter()
-    for s in held:
-        in_toxic.update(s)
-    least = max(2, len(toxic) // 250)
-    good = {s for s, c in in_toxic.items()
-            if c >= least and c / len(toxic) >= 4 * (in_ordinary[s] + 1) / max(len(ordinary), 1)}
-    held = [sorted(s & good) for s in held]
-    cost = {s: in_ordinary[s] / max(len(ordinary), 1) for s in good}
-    gain = Counter()
-    for s in held:
-        gain.update(s)
-    where: dict[bytes, list[int]] = {}
-    for i, s in enumerate(held):
-        for x in s:
-            where.setdefault(x, []).append(i)
-    covered, chosen = np.zeros(len(toxic), int), []
-    while gain and len(chosen) < SEQUENCES:
-        best = max(gain, key=lambda s: (gain[s] / len(toxic) - cost[s], len(s), s))
-        if gain[best] / len(toxic) - cost[best] <= 0.003:
-            break
-        chosen.append(best)
-        del gain[best]
-        for i in where[best]:
-            covered[i] += 1
-            if covered[i] == COVER:
-                for s in held[i]:
-                    if s in gain:
-                        gain[s] -= 1
-    return chosen
+class Sample:
+    """The sample's windows by number: each document's windows, and each window's byte sequences."""
+
+    def __init__(self, classes: list[list[bytes]], n: int):
+        ids: dict[bytes, int] = {}
+        self.docs = [[np.fromiter((ids.setdefault(w, len(ids)) for w in windows(t, n)), np.int64) for t in texts]
+                     for texts in classes]
+        self.windows = list(ids)
+        count = [sum(max(len(w) - k + 1, 0) for k in LENGTHS) for w in self.windows]
+        self.at = np.concatenate([[0], np.cumsum(count)]).astype(np.int64)
+        found = (xx(w[i:i + k]) for w in self.windows for k in LENGTHS for i in range(len(w) - k + 1))
+        hashes = np.fromiter(found, np.uint64, int(self.at[-1]))
+        # each sequence's first place gives its bytes
+        _, self.first, self.sequence = np.unique(hashes, return_index=True, return_inverse=True)
+
+    def sequences(self, doc: np.ndarray) -> np.ndarray:
+        parts = [self.sequence[self.at[w]:self.at[w + 1]] for w in np.unique(doc)]
+        return np.unique(np.concatenate(parts)) if parts else np.zeros(0, np.int64)
+
+    def share(self, docs: list[np.ndarray]) -> np.ndarray:
+        """Documents that hold each sequence."""
+        n = np.zeros(len(self.first), np.int64)
+        for doc in docs:
+            n[self.sequences(doc)] += 1
+        return n
+
+    def typical(self) -> np.ndarray:
+        """Sequences of the first class, chosen greedily by cover."""
+        toxic, ordinary = self.docs
+        in_toxic, in_ordinary = self.share(toxic), self.share(ordinary)
+        n_toxic, n_ordinary = len(toxic), max(len(ordinary), 1)
+        good = (in_toxic >= max(2, n_toxic // 250)) & (in_toxic / n_toxic >= 4 * (in_ordinary + 1) / n_ordinary)
+        number = np.cumsum(good) - 1
+        held = [number[s[good[s]]] for s in map(self.sequences, toxic)]
+        chosen, cost = np.flatnonzero(good), in_ordinary[good] / n_ordinary
+        gain = in_toxic[good].astype(float)
+        docs = np.repeat(np.arange(n_toxic), [len(h) for h in held])
+        flat = np.concatenate(held) if held else np.zeros(0, np.int64)
+        order = np.argsort(flat, kind="stable")
+        ends = np.searchsorted(flat[order], np.arange(len(chosen) + 1))
+        covered, picked = np.zeros(n_toxic, int), []
+        while len(picked) < min(SEQUENCES, len(chosen)):
+            worth = gain / n_toxic - cost
+            best = int(worth.argmax())
+            if worth[best] <= 0.003:
+                break
+            picked.append(chosen[best])
+            gain[best] = -np.inf
+            for d in docs[order[ends[best]:ends[best + 1]]]:
+                covered[d] += 1
+                if covered[d] == COVER:
+                    gain[held[d]] -= 1
+        return np.array(picked, np.int64)
 
 
 class Model:
@@ -141,11 +144,17 @@ class Model:
 
     def fit(self, toxic: list[bytes], ordinary: list[bytes], dict_bytes: int):
         n = self.window_words
-        sets = [[set(windows(t, n)) for t in texts] for texts in (toxic, ordinary)]
-        chosen = typical(*sets)
-        like_toxic = [_widen(w) for t in toxic for w in windows(t, n) if any(s in w for s in chosen)]
-        common = Counter(w for s in sets[1] for w in s)
-        like_ordinary = [_widen(w) for w, _ in sorted(common.items(), key=lambda x: (-x[1], x[0]))[:20_000]]
+        sample = Sample([toxic, ordinary], n)
+        marked = np.isin(sample.sequence, sample.typical())
+        sums = np.concatenate([[0], np.cumsum(marked)])
+        like = sums[sample.at[1:]] > sums[sample.at[:-1]]
+        like_toxic = [_widen(sample.windows[w]) for doc in sample.docs[0] for w in doc[like[doc]]]
+        common = np.zeros(len(sample.windows), np.int64)
+        for doc in sample.docs[1]:
+            common[np.unique(doc)] += 1
+        top = np.argsort(-common, kind="stable")[:20_000]
+        like_ordinary = [_widen(sample.windows[w]) for w in top[common[top] > 0]]
+        del sample
         try:
             self.dicts = [zstandard.train_dictionary(dict_bytes, s).as_bytes() for s in (like_ordinary, like_toxic)]
         except zstandard.ZstdError:  # too little text to train on: the share of toxic labels stands
@@ -177,7 +186,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: np.ndarray, ridge: float = 1.
 
 
 def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
-          mod: int = 5, held: int = 0, sample_docs: int = 2500, sample_bytes: int = 24 << 20, window_words: int = 1,
+          mod: int = 5, held: int = 0, sample_docs: int = 2500, sample_bytes: int = 12 << 20, window_words: int = 1,
           dict_bytes: int = 4096) -> Model:
     """Fit on at most ``sample_docs`` toxic and as many ordinary documents (and ``sample_bytes`` of each),
     those whose ids hash lowest, outside the fold crc32(id) mod ``mod`` == ``held``."""
