@@ -142,8 +142,8 @@ def valid(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def search(table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding", query_mod: int = 50, k: int = 5,
-           sample_rows: int = 20_000, lists: int = 4096, list_rows: int = 2000, replicate: float = 1.15, copies: int = 6,
-           recall: float = 0.985, breadth: int = 256) -> DataFrame:
+           sample_rows: int = 20_000, lists: int = 4096, mean_list: int = 512, list_rows: int = 4000, replicate: float = 1.3,
+           copies: int = 8, recall: float = 0.95, breadth: int = 256) -> DataFrame:
     """The ``k`` nearest of each row whose id is divisible by ``query_mod``: query_id, rank, vec_id, score."""
     rows = stored(valid(table, vec_id, vector), "ann-vectors")
     n = rows.count()
@@ -151,7 +151,7 @@ def search(table: DataFrame, *, vec_id: str = "vec_id", vector: str = "embedding
     if not len(sample):
         return rows.select(F.col("vec_id").alias("query_id"), F.lit(0).alias("rank"), "vec_id", F.lit(0.0).alias("score")).limit(0)
     x = unit(np.stack(sample["v"].to_numpy()).astype(np.float64))
-    want = int(max(1, min(lists, len(x) // 8 + 1, n // 128 + 1)))
+    want = int(max(1, min(lists, len(x) // 64 + 1, n // mean_list + 1)))
     cents = Centroids(kmeans(np.unique(x, axis=0), want))
     ratio = fit_ratio(x, cents, replicate, copies, k, recall, min(breadth, want))
 

@@ -334,7 +334,7 @@ def test_ann(spark):
              (1250, [None] + [1.0] * 15), (5, rows[5][1])]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").withColumn("rank", F.lit(1)).withColumn("list", F.lit(2))
     got = defaultdict(list)
-    for r in ann.search(df, list_rows=50).orderBy("query_id", "rank").collect():
+    for r in ann.search(df, list_rows=50, mean_list=64).orderBy("query_id", "rank").collect():
         got[r.query_id].append((r.rank, r.vec_id, r.score))
     x = v.astype(np.float64)
     hits = total = 0
