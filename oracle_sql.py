@@ -58,9 +58,24 @@ def strict_ts(s: str) -> str:
             f"ELSE TRY_CAST({s} AS TIMESTAMP) END)")
 
 
+ISO_RE = (r"(\d{4})-?(\d{2})-?(\d{2})(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?"
+          r"(?:Z|([+-]\d{2})(?::?(\d{2}))?)?)?")
+
+
+def iso_ts(s: str) -> str:
+    """Any ISO spelling: the usual ones as they are, the others spelled out first."""
+    g = lambda i: f"regexp_extract({s}, '^{ISO_RE}$', {i})"
+    two = lambda i: f"lpad({g(i)}, 2, '0')"
+    full = (f"{g(1)} || '-' || {g(2)} || '-' || {g(3)} || ' ' || {two(4)} || ':' || {two(5)} || ':' || {two(6)} || '.' "
+            f"|| rpad({g(7)}, 6, '0') || CASE WHEN {g(8)} = '' THEN '+00' ELSE {g(8)} END || ':' || {two(9)}")
+    return (f"coalesce({strict_ts(s)}, CASE WHEN regexp_full_match({s}, '{ISO_RE}') "
+            f"AND NOT regexp_full_match({s}, '{TS_RE}') THEN timezone('UTC', TRY_CAST({full} AS TIMESTAMPTZ)) END)")
+
+
 def falsy(j: str, f: str) -> str:
-    t = jtext(j, f)
-    return f"({t} IS NULL OR {t} IN ('', '0', '0.0', 'false', '[]', '{{}}') OR {jnum(j, f)} = 0)"
+    t = f"CAST(json_extract({j}, '$.{f}') AS VARCHAR)"
+    return (f"({t} IS NULL OR {t} IN ('null', 'false', '\"\"', '[]', '{{}}') "
+            f"OR ({t} NOT LIKE '\"%' AND coalesce({jnum(j, f)} = 0, false)))")
 
 
 # --- derived search feed ---------------------------------------------------
@@ -100,7 +115,9 @@ feed_g AS (
   SELECT *,
     CASE WHEN d = 9 THEN arr - nights ELSE arr + nights + dep_extra END AS dep,
     CAST(nights + dep_extra + los_extra AS VARCHAR) AS los,
-    CASE WHEN d = 13 THEN ts_text0 || 'Z' WHEN d = 14 THEN ts_text0 || '-05:00' ELSE ts_text0 END AS ts_text,
+    CASE WHEN d = 13 THEN ts_text0 || 'Z' WHEN d = 14 THEN ts_text0 || '-05:00'
+         WHEN d = 16 THEN ts_text0 || '.1234567Z' WHEN d = 17 THEN ts_text0 || '+0500'
+         WHEN d = 18 THEN strftime(ts, '%Y%m%dT%H%M%S') ELSE ts_text0 END AS ts_text,
     {_list([a[1] for a in S.SEED_ANCHORS])}[hid - 1235 + 1] || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') AS lat,
     {_list([a[2] for a in S.SEED_ANCHORS])}[hid - 1235 + 1] || lpad(CAST(k * 7 % 1000 AS VARCHAR), 3, '0') AS lon
   FROM feed_f
@@ -150,10 +167,9 @@ landed_t AS (
                           coalesce({jtext('j', 'user_country')}, 'None'), coalesce({jtext('j', 'arrival_date')}, 'None')))
       AS dedup_key,
     {jint('j', 'hotel_id')} AS hotel_id,
-    {strict_ts(jtext('j', 'timestamp'))} AS search_timestamp,
+    {iso_ts(jtext('j', 'timestamp'))} AS search_timestamp,
     CAST(ingestion_time AS DATE) AS ingest_date,
     CASE WHEN payload IS NULL THEN 'invalid_json'
-         WHEN strlen(payload) > {R.MAX_REQUEST_BYTES} THEN 'payload_too_large'
          WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'invalid_json' END AS pre_reason
   FROM landed_j
 )"""
@@ -316,7 +332,7 @@ def _item_rules() -> str:
 
 def _business(known=None) -> str:
     from staylens.operators import validation as V
-    a, d, t = strict_date("s_arrival_date"), strict_date("s_departure_date"), strict_ts("s_timestamp")
+    a, d, t = strict_date("s_arrival_date"), strict_date("s_departure_date"), iso_ts("s_timestamp")
     los = "CAST(n_length_of_stay AS INTEGER)"
     nights = f"date_diff('day', {a}, {d})"
     both = f"{a} IS NOT NULL AND {d} IS NOT NULL"
@@ -384,10 +400,11 @@ def error_rule(e: str) -> str:
 LANDED_FULL = validated_cte() + f""",
 landed_full AS (
   SELECT t.event_id, t.ingestion_time, t.payload, t.ingest_date,
-    CASE WHEN t.pre_reason IS NOT NULL THEN t.pre_reason WHEN len(v.errors) > 0 THEN 'validation_failed' END
+    CASE WHEN t.payload IS NOT NULL AND strlen(t.payload) > 2048 THEN 'payload_too_large'
+         WHEN t.pre_reason IS NOT NULL THEN t.pre_reason WHEN len(v.errors) > 0 THEN 'validation_failed' END
       AS reason,
-    CASE WHEN t.pre_reason = 'payload_too_large' THEN
-           [printf('root: body of %d bytes exceeds {R.MAX_REQUEST_BYTES}', strlen(t.payload))]
+    CASE WHEN t.payload IS NOT NULL AND strlen(t.payload) > 2048 THEN
+           [printf('root: body of %d bytes exceeds 2048', strlen(t.payload))]
          WHEN t.pre_reason = 'invalid_json' THEN ['root: invalid JSON'] ELSE v.errors END AS errors
   FROM landed_t t JOIN validated v ON t.event_id = v.event_id
 )"""
@@ -483,7 +500,7 @@ def oracles() -> dict[str, str]:
               round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM validated), 2) AS pct_of_events
               FROM (SELECT unnest(errors) AS e FROM validated) GROUP BY ALL""",
         "quarantine_full": f"""SELECT event_id, ingestion_time, reason, array_to_string(errors, ' | ') AS error_text,
-              CASE WHEN reason IN ('invalid_json', 'payload_too_large') THEN left(payload, {R.DLQ_RAW_CHARS})
+              CASE WHEN reason = 'invalid_json' THEN left(payload, {R.DLQ_RAW_CHARS})
                    ELSE payload END AS raw, 1 AS attempts, ingest_date
               FROM landed_full WHERE reason IS NOT NULL""",
     })
@@ -524,8 +541,8 @@ def oracles() -> dict[str, str]:
                    (SELECT count(*) AS dead_letters FROM landed WHERE reason IS NOT NULL) q""",
     })
     q.update({
-        "oversize_quarantine": f"""SELECT event_id, ingestion_time, CAST(strlen(left(payload, {R.DLQ_RAW_CHARS})) AS INTEGER) AS kept_bytes,
-              left(payload, {R.DLQ_RAW_CHARS}) AS raw FROM landed WHERE reason = 'payload_too_large'""",
+        "oversize_quarantine": f"""SELECT event_id, ingestion_time, CAST(strlen(payload) AS INTEGER) AS kept_bytes,
+              payload AS raw FROM landed_full WHERE reason = 'payload_too_large'""",
         "rate_limit_audit": f"""SELECT client, request_id, received_at,
               count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
                              RANGE BETWEEN 999999 PRECEDING AND CURRENT ROW) AS window_count,

@@ -11,8 +11,8 @@ Gates:
   timestamp must parse (``invalid_timestamp``) so search_date is never NULL.
 * ``"full"``  — the request path: the whole contract (V1-V24) must hold
   (reason ``validation_failed``, errors listed).
-Both gates first apply the body-size cap (``payload_too_large``) and JSON
-parsing (``invalid_json``, also for non-object JSON).
+Both gates first test that the body is a JSON object (``invalid_json``); the
+request path also caps the body's size (``payload_too_large``).
 """
 
 from __future__ import annotations
@@ -33,21 +33,27 @@ REASON_BAD_TIMESTAMP = "invalid_timestamp"
 REASON_VALIDATION = "validation_failed"
 REASON_VERSION = "unsupported_schema_version"
 
-# JSON spellings of Python-falsy values (None, 0, "", False, [], {}).
-_FALSY_TEXT = ["", "0", "0.0", "false", "[]", "{}"]
+# JSON spellings of empty values; numbers are compared with 0 (the string "0" is not empty).
+_FALSY_JSON = ["null", "false", '""', "[]", "{}"]
 
 
 def _falsy(v: Column, field: str) -> Column:
-    t = J.text(v, field)
-    return t.isNull() | t.isin(*_FALSY_TEXT) | (J.number(v, field) == 0)
+    j = F.to_json(J.node(v, field))
+    zero = ~j.startswith('"') & F.coalesce(J.number(v, field) == 0, F.lit(False))
+    return j.isNull() | j.isin(*_FALSY_JSON) | zero
 
 
 def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
-         schema_version: str = R.SCHEMA_VERSION, max_bytes: int = R.MAX_REQUEST_BYTES,
+         schema_version: str = R.SCHEMA_VERSION, max_bytes: int | None = None,
          known_countries=None, currencies=None) -> DataFrame:
-    """Label each raw body; returns bronze columns + ``reason``, ``errors``, ``raw``."""
+    """Label each raw body; returns bronze columns + ``reason``, ``errors``, ``raw``.
+
+    ``max_bytes`` None: the request cap with gate="full", no cap on the stream path.
+    """
     if gate not in ("light", "full"):
         raise ValueError(f"unknown gate {gate!r}")
+    if max_bytes is None and gate == "full":
+        max_bytes = R.MAX_REQUEST_BYTES
     cols = set(raw.columns)
     event_id = F.col("request_id") if "request_id" in cols else F.expr("uuid()")
     received = F.col("received_at") if "received_at" in cols else F.current_timestamp()
@@ -72,7 +78,7 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
         errors = F.col("_contract_errors")
         gate_reason = F.when(F.size(F.col("errors")) > 0, REASON_VALIDATION)
 
-    too_large = F.octet_length(body) > max_bytes
+    too_large = F.octet_length(body) > max_bytes if max_bytes is not None else F.lit(False)
     not_json = v.isNull() | ~is_obj
     staged = J.with_parsed(raw.select(event_id.cast("string").alias("event_id"),
                                       received.cast("timestamp").alias("ingestion_time"),
@@ -85,7 +91,7 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
                                              F.array(F.format_string("root: unsupported schema version %s",
                                                                      F.col("schema_version"))))
                             .when(too_large, F.array(F.format_string(
-                                          "root: body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes))))
+                                          "root: body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes or 0))))
                             .when(not_json, F.array(F.lit("root: invalid JSON")))
                             .otherwise(errors))
                 .withColumn("reason", F.when(~F.col("schema_version").isin(*R.ACCEPTED_SCHEMA_VERSIONS),
@@ -118,8 +124,8 @@ def bronze_rows(labelled: DataFrame) -> DataFrame:
 
 
 def quarantine_rows(labelled: DataFrame, attempts: int | Column = 1) -> DataFrame:
-    """Dead letters: reason, errors and the body (first 500 chars when it is not usable JSON)."""
-    short = F.col("reason").isin(REASON_INVALID_JSON, REASON_TOO_LARGE)
+    """Dead letters: reason, errors and the body (its first 500 chars when it is no JSON object)."""
+    short = F.col("reason") == REASON_INVALID_JSON
     return (labelled.filter(F.col("reason").isNotNull())
             .select("event_id", "ingestion_time", "reason", "errors",
                     F.when(short, F.substring("payload", 1, R.DLQ_RAW_CHARS)).otherwise(F.col("payload")).alias("raw"),

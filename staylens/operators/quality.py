@@ -69,7 +69,7 @@ def scan(silver: DataFrame, country: DataFrame, los: DataFrame) -> DataFrame:
     s = _metric_rows("searches_enriched", silver, [
         ("row_count", n, ">", "0", SEVERITY_ERROR),
         ("missing_count_city", F.count_if(F.col("city").isNull()), "<", "1", SEVERITY_WARN),
-        ("missing_pct_city", F.coalesce(F.count_if(F.col("city").isNull()) * 100.0 / n, F.lit(0.0)), "<", "1",
+        ("missing_pct_city", F.coalesce(F.try_divide(F.count_if(F.col("city").isNull()) * 100.0, n), F.lit(0.0)), "<", "1",
          SEVERITY_WARN),
         ("duplicate_count_dedup_key", n - F.count_distinct("dedup_key"), "=", "0", SEVERITY_ERROR),
     ])
@@ -128,8 +128,8 @@ def freshness(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, as_of
         "newest_ingestion",
         F.round(lag_min, 2).alias("ingest_lag_minutes"),
         (gold_lag > Ref.GOLD_STALE_MINUTES).alias("gold_stale"),
-        F.round(null_city * 100.0 / silver_rows, 2).cast("double").alias("null_city_pct"),
-        F.round((F.col("bronze_rows") - F.col("bronze_keys")) * 100.0 / F.col("bronze_rows"), 2)
+        F.round(F.try_divide(null_city * 100.0, silver_rows), 2).cast("double").alias("null_city_pct"),
+        F.round(F.try_divide((F.col("bronze_rows") - F.col("bronze_keys")) * 100.0, F.col("bronze_rows")), 2)
         .cast("double").alias("duplicate_pct"),
-        F.round(dead * 100.0 / (dead + F.col("bronze_rows")), 2).cast("double").alias("dead_letter_pct"),
+        F.round(F.try_divide(dead * 100.0, dead + F.col("bronze_rows")), 2).cast("double").alias("dead_letter_pct"),
         "bronze_rows", silver_rows.alias("silver_rows"), dead.alias("dead_letters"))

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
@@ -105,7 +106,9 @@ def load_marts(spark: SparkSession, root: str) -> Marts:
     def read(name):
         try:
             return spark.read.parquet(f"{root.rstrip('/')}/{name}")
-        except Exception:  # AnalysisException: path does not exist
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
     return Marts(read("gold_arrival_date_popularity"), read("gold_country_trends"), read("gold_los_distribution"))
 

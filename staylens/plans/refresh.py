@@ -28,40 +28,44 @@ MARTS = {
 }
 
 
-def silver_candidates(bronze: DataFrame) -> DataFrame:
-    """Consistent, enriched rows of a bronze slice (before the latest-wins step)."""
+def silver_candidates(bronze: DataFrame, dim_hotels: DataFrame | None = None) -> DataFrame:
+    """Consistent, enriched rows of a bronze slice (before the latest-wins step).
+
+    ``dim_hotels`` is the hotel dimension to use (``silver.read_dim_hotels``), the seed rows by default.
+    """
     spark = bronze.sparkSession
-    return keep_consistent(enrich(stage(bronze), Ref.dim_hotels(spark), Ref.country_map(spark))) \
+    hotels = Ref.dim_hotels(spark) if dim_hotels is None else dim_hotels
+    return keep_consistent(enrich(stage(bronze), hotels, Ref.country_map(spark))) \
         .select(*SILVER_COLUMNS)
 
 
 def _touched(df: DataFrame) -> DataFrame:
-    # Distinct days of a batch: bounded by the calendar, not by data volume.
     return df.select("search_date").distinct()
 
 
 def _stage_then_publish(spark: SparkSession, df: DataFrame, target: str, name: str,
-                        tiebreak: str | None = None) -> None:
+                        tiebreak: str | None = None, whole_table: bool = False) -> None:
     staging = work_dir(spark, f"staging-{name}")
     sinks.write_partitions(df, staging, tiebreak=tiebreak)
-    sinks.write_partitions(spark.read.parquet(staging), target, tiebreak=tiebreak)
+    sinks.write_partitions(spark.read.parquet(staging), target, tiebreak=tiebreak, whole_table=whole_table)
 
 
-def merge_silver(spark: SparkSession, new_bronze: DataFrame, silver_path: str) -> DataFrame:
+def merge_silver(spark: SparkSession, new_bronze: DataFrame, silver_path: str,
+                 dim_hotels: DataFrame | None = None) -> DataFrame:
     """Merge a bronze batch into silver; returns the touched search dates.
 
     Stored rows of the touched days are re-ranked together with the batch
     (latest ingestion wins), so the result equals a full rebuild whatever the
     order in which batches arrive (late arrivals included).
     """
-    cand = silver_candidates(new_bronze)
+    cand = silver_candidates(new_bronze, dim_hotels)
     stage_dir = work_dir(spark, "silver-batch")
     cand.write.mode("overwrite").parquet(stage_dir)        # cut lineage; read twice below
     cand = spark.read.parquet(stage_dir)
     touched = _touched(cand)
     union = cand
     if sinks.table_exists(spark, silver_path):
-        stored = spark.read.parquet(silver_path).join(F.broadcast(touched), "search_date", "left_semi")
+        stored = spark.read.parquet(silver_path).join(touched, "search_date", "left_semi")
         union = cand.unionByName(stored.select(*SILVER_COLUMNS))
     _stage_then_publish(spark, latest_per_key(union), silver_path, "silver", tiebreak="dedup_key")
     return touched
@@ -71,24 +75,25 @@ def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str, touched:
     """Recompute the marts for the touched search dates (all dates when None)."""
     silver = spark.read.parquet(silver_path)
     if touched is not None:
-        silver = silver.join(F.broadcast(touched), "search_date", "left_semi")
+        silver = silver.join(touched, "search_date", "left_semi")
     for name, build in MARTS.items():
-        _stage_then_publish(spark, build(silver), f"{gold_root.rstrip('/')}/{name}", name)
+        _stage_then_publish(spark, build(silver), f"{gold_root.rstrip('/')}/{name}", name, whole_table=touched is None)
 
 
 def full_refresh(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_root: str,
-                 enforce_gate: bool = True) -> dict[str, int]:
+                 enforce_gate: bool = True, dim_hotels: DataFrame | None = None) -> dict[str, int]:
     """Rebuild silver, check it, then publish silver and the marts.
 
     The quality gate runs on the staged silver candidate and its marts; an
-    error-severity failure raises before anything is published.
+    error-severity failure raises before anything is published. Whole tables
+    are replaced, so days that bronze no longer holds go.
     """
     staging = work_dir(spark, "silver-full")
-    sinks.write_partitions(latest_per_key(silver_candidates(bronze)), staging, tiebreak="dedup_key")
+    sinks.write_partitions(latest_per_key(silver_candidates(bronze, dim_hotels)), staging, tiebreak="dedup_key")
     cand = spark.read.parquet(staging)
     if enforce_gate:
         quality.enforce(quality.scan(cand, gold.country_trends(cand), gold.los_distribution(cand)))
-    sinks.write_partitions(cand, silver_path, tiebreak="dedup_key")
+    sinks.write_partitions(cand, silver_path, tiebreak="dedup_key", whole_table=True)
     refresh_gold(spark, silver_path, gold_root)
     counts = {"silver_rows": spark.read.parquet(silver_path).count()}
     for name in MARTS:
@@ -96,19 +101,18 @@ def full_refresh(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_
     return counts
 
 
-def backfill(spark: SparkSession, bronze: DataFrame, from_date: str, to_date: str) -> dict[str, DataFrame]:
+def backfill(spark: SparkSession, bronze: DataFrame, from_date: str, to_date: str,
+             dim_hotels: DataFrame | None = None) -> dict[str, DataFrame]:
     """Silver and marts rebuilt from bronze for search dates in [from, to].
 
-    A search on day d can only be ingested on day d or later, so the bronze
-    scan is pruned to ``ingest_date >= from`` (partition filter) and the
-    search-date range is pushed to Parquet as a timestamp range, before the
-    dedup shuffle.
+    The search-date range is pushed to Parquet as a timestamp range, before
+    the dedup shuffle. The ingest day says nothing about it: the search date
+    comes from the payload, whose clock or offset may run ahead of ours.
     """
     lo = F.lit(from_date).cast("date")
     ts_lo = lo.cast("timestamp")
     ts_hi = F.date_add(F.lit(to_date).cast("date"), 1).cast("timestamp")
     # A range on the raw timestamp column (not on to_date of it) reaches the Parquet reader.
-    sliced = bronze.filter((F.col("ingest_date") >= lo) & (F.col("search_timestamp") >= ts_lo)
-                           & (F.col("search_timestamp") < ts_hi))
-    silver = latest_per_key(silver_candidates(sliced))
+    sliced = bronze.filter((F.col("search_timestamp") >= ts_lo) & (F.col("search_timestamp") < ts_hi))
+    silver = latest_per_key(silver_candidates(sliced, dim_hotels))
     return {"silver": silver, **{name: build(silver) for name, build in MARTS.items()}}

@@ -43,22 +43,21 @@ def build_session(master: str | None = None, shuffle_partitions: int = 8, app: s
 def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime SQL settings operators depend on to an existing session."""
     for k, v in REQUIRED_CONF.items():
-        try:
-            spark.conf.set(k, v)
-        except Exception:  # static conf on a managed session: keep what is there
-            pass
+        spark.conf.set(k, v)
     return spark
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediate tables.
 
-    Uses the cluster's ``spark.checkpoint.dir``. Only when none is configured
-    (local tests) is a scratch folder created and registered.
+    Uses the cluster's ``spark.checkpoint.dir``. Only in local mode, where driver
+    and tasks share the machine, a scratch folder stands in for a missing one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
+    if not root and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="staylens-ckpt-")
         spark.sparkContext.setCheckpointDir(root)

@@ -21,7 +21,7 @@ Rule (k = event_id):
   received_at   ts + 5 s (+ 3600 s for the copy)
   client        sending address, 'client-' + user_id mod 16
 
-With ``dirty=True`` rows with k mod 50 in 1..15 get one defect each (see DEFECTS).
+With ``dirty=True`` rows with k mod 50 in 1..18 get one defect each (see DEFECTS).
 """
 
 from __future__ import annotations
@@ -60,6 +60,9 @@ DEFECTS = {
     13: "timestamp with Z",
     14: "timestamp with -05:00 offset",
     15: "hotel_id 0",
+    16: "timestamp with seven fraction digits and Z",
+    17: "timestamp with +0500 offset",
+    18: "timestamp in basic form",
 }
 
 
@@ -95,7 +98,10 @@ def search_feed(events: DataFrame, dirty: bool = True) -> DataFrame:
     los = (nights + dep_extra + los_extra).cast("string")
     ts_text = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss")
     ts_text = (F.when(d == 13, F.concat(ts_text, F.lit("Z")))
-               .when(d == 14, F.concat(ts_text, F.lit("-05:00"))).otherwise(ts_text))
+               .when(d == 14, F.concat(ts_text, F.lit("-05:00")))
+               .when(d == 16, F.concat(ts_text, F.lit(".1234567Z")))
+               .when(d == 17, F.concat(ts_text, F.lit("+0500")))
+               .when(d == 18, F.date_format("ts", "yyyyMMdd'T'HHmmss")).otherwise(ts_text))
     anchor = (hid - 1235 + 1)
     lat = F.concat(F.element_at(_lits([a[1] for a in SEED_ANCHORS]), anchor),
                    F.lpad((k % 1000).cast("string"), 3, "0"))

@@ -61,26 +61,25 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
-def stored_ids(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame:
-    """(ingest_date, event_id) already stored on the days present in ``batch``.
+def stored_ids(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
+    """Stored ``event_id`` values: of all days, or of the days from ``since`` (partition pruning).
 
-    The batch's days (bounded by the calendar) are broadcast into a semi join
-    on the partition column, which prunes the stored scan to those days.
+    An id may come again on a later ingest day, so a look-back is only safe
+    where the sender's resend window is known.
     """
-    days = F.broadcast(batch.select("ingest_date").distinct())
-    return spark.read.parquet(path).select("ingest_date", "event_id").join(days, "ingest_date", "left_semi")
+    stored = spark.read.parquet(path)
+    return (stored if since is None else stored.filter(F.col("ingest_date") >= F.lit(since))).select("event_id")
 
 
-def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str) -> DataFrame:
+def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str, since: dt.date | None = None) -> DataFrame:
     """Append only events whose ``event_id`` is not stored yet (re-runs add nothing).
 
-    The anti join reads only the stored days present in the batch (the batch's
-    ingest dates drive partition pruning), and is keyed on the unique event id.
-    Returns the rows that were appended.
+    Keyed on the event id alone: an id stored on another ingest day is not
+    stored again. Returns the rows that were appended.
     """
     batch = new.select(*BRONZE_COLUMNS).dropDuplicates(["event_id"])
     if table_exists(spark, path):
-        batch = batch.join(stored_ids(spark, path, batch), ["ingest_date", "event_id"], "left_anti")
+        batch = batch.join(stored_ids(spark, path, since), "event_id", "left_anti")
     write_bronze(batch, path, "append")
     return batch
 
@@ -92,11 +91,10 @@ def write_quarantine(quarantine: DataFrame, path: str) -> None:
 
 
 def write_partitions(df: DataFrame, path: str, partition_col: str = "search_date",
-                     tiebreak: str | None = None) -> None:
-    """Replace exactly the partitions present in ``df`` (dynamic overwrite)."""
-    df.sparkSession.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+                     tiebreak: str | None = None, whole_table: bool = False) -> None:
+    """Replace the partitions present in ``df`` (dynamic overwrite), or the whole table."""
     (clustered(df, partition_col, "city", tiebreak or partition_col)
-     .write.mode("overwrite")
+     .write.mode("overwrite").option("partitionOverwriteMode", "static" if whole_table else "dynamic")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(partition_col).parquet(path))
 
 
@@ -123,7 +121,10 @@ def publish_envelope(bronze: DataFrame) -> DataFrame:
 
 
 def partition_dates(spark: SparkSession, path: str, column: str = "ingest_date") -> list[dt.date]:
-    """Dates of the ``column=...`` partition directories (a metadata listing, no data read)."""
+    """Dates of the ``column=...`` partition directories (a metadata listing, no data read).
+
+    The folder of rows without a date (``__HIVE_DEFAULT_PARTITION__``) has no age and is left out.
+    """
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
@@ -132,7 +133,7 @@ def partition_dates(spark: SparkSession, path: str, column: str = "ingest_date")
         return out
     for st in fs.listStatus(p):
         name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(column + "="):
+        if st.isDirectory() and name.startswith(column + "=") and not name.endswith("=__HIVE_DEFAULT_PARTITION__"):
             out.append(dt.date.fromisoformat(name.split("=", 1)[1]))
     return sorted(out)
 

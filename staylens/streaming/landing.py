@@ -13,13 +13,14 @@ leaves exactly one copy of each event.
 from __future__ import annotations
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StringType, StructField, StructType
 
 from staylens.operators.landing import bronze_rows, land, quarantine_rows
 from staylens.schemas import RAW_MESSAGE
 from staylens.sources import sinks
 
-MESSAGE_SCHEMA = RAW_MESSAGE.add("client", "string")
+MESSAGE_SCHEMA = StructType([*RAW_MESSAGE.fields, StructField("client", StringType())])
 
 
 def read_messages(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -30,9 +31,10 @@ def read_messages(spark: SparkSession, source_dir: str, max_files_per_trigger: i
 
 
 def _append_new(spark: SparkSession, df: DataFrame, path: str, partition_cols: list[str]) -> None:
-    """Append rows whose event_id is not stored yet (idempotent under batch replay)."""
+    """Append rows whose event_id is not stored yet, each once (idempotent under batch replay)."""
+    df = df.dropDuplicates(["event_id"])
     if sinks.table_exists(spark, path):
-        df = df.join(sinks.stored_ids(spark, path, df), ["ingest_date", "event_id"], "left_anti")
+        df = df.join(sinks.stored_ids(spark, path), "event_id", "left_anti")
     df.write.mode("append").partitionBy(*partition_cols).parquet(path)
 
 

@@ -48,12 +48,12 @@ def test_dedup_key_matches_python_formatting(spark, base_event):
     ev = {**base_event}
     del ev["arrival_date"]
     labelled = landing.land(messages(spark, [("a", "2022-01-24 11:01:13", ev)]), "light")
-    expected = hashlib.sha256("1235|2022-01-24T11:01:12|Belgium|None".encode()).hexdigest()
+    expected = hashlib.sha256("1235|2022-01-24T09:20:00|Netherlands|None".encode()).hexdigest()
     assert labelled.first().dedup_key == expected
 
 
 def test_latest_valid_duplicate_wins_and_invalid_latest_loses(spark, base_event):
-    fixed = {**base_event, "departure_date": "2022-03-06", "length_of_stay": 5}
+    fixed = {**base_event, "departure_date": "2022-06-15", "length_of_stay": 5}
     broken = {**base_event, "length_of_stay": 7}
     _, _, s = run(spark, [("old", "2022-01-24 11:01:13", base_event), ("new", "2022-01-24 12:01:13", fixed)], "light")
     assert [r.event_id for r in s.collect()] == ["new"]
@@ -69,8 +69,8 @@ def test_unknown_hotel_kept_without_city_and_absent_from_marts(spark, base_event
 
 
 def test_los_14_kept_15_dropped(spark, base_event):
-    e14 = {**base_event, "departure_date": "2022-03-15", "length_of_stay": 14}
-    e15 = {**base_event, "departure_date": "2022-03-16", "length_of_stay": 15, "timestamp": "2022-01-24T11:05:00"}
+    e14 = {**base_event, "departure_date": "2022-06-24", "length_of_stay": 14}
+    e15 = {**base_event, "departure_date": "2022-06-25", "length_of_stay": 15, "timestamp": "2022-01-24T11:05:00"}
     _, bronze, s = run(spark, [("a", "2022-01-24 11:01:13", e14), ("b", "2022-01-24 11:05:01", e15)])
     assert bronze.count() == 2 and [r.los_bucket for r in s.collect()] == ["8-14"]
     reasons = {r.event_id: r.reason for r in silver_rejects(bronze).collect()}
@@ -96,14 +96,19 @@ def test_light_gate_routes_bad_bodies(spark, base_event):
              ("list", "2022-01-24 11:01:13", "[1]"),
              ("zero", "2022-01-24 11:01:13", {**base_event, "hotel_id": 0}),
              ("big", "2022-01-24 11:01:13", {**base_event, "pad": "x" * 3000}),
+             ("zero_text", "2022-01-24 11:01:13", {**base_event, "hotel_id": "0"}),
+             ("compact", "2022-01-24 11:01:13", {**base_event, "timestamp": "20220124T110112,25+05"}),
              ("ok", "2022-01-24 11:01:13", {**base_event, "hotel_id": "1235"})]
     labelled = landing.land(messages(spark, items), "light")
     got = {r.event_id: (r.reason, r.hotel_id) for r in labelled.collect()}
     assert got == {"json": ("invalid_json", None), "list": ("invalid_json", None),
-                   "zero": ("missing_required_fields", 0), "big": ("payload_too_large", 1235),
+                   "zero": ("missing_required_fields", 0), "big": (None, 1235), "zero_text": (None, 0), "compact": (None, 1235),
                    "ok": (None, 1235)}
-    q = {r.event_id: len(r.raw) for r in landing.quarantine_rows(labelled).collect()}
-    assert q["big"] == 500
+    at = {r.event_id: str(r.search_timestamp) for r in labelled.collect()}
+    assert at["compact"] == "2022-01-24 06:01:12.250000"
+    full = landing.quarantine_rows(landing.land(messages(spark, items), "full"))
+    q = {r.event_id: (r.reason, len(r.raw)) for r in full.collect()}
+    assert q["big"][0] == "payload_too_large" and q["big"][1] > 3000  # kept whole, so it can be replayed
 
 
 def test_share_sums_to_100(spark, base_event):
