@@ -32,4 +32,30 @@ SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(nh.n, 0)::BIGINT AS n_hit
        coalesce(nh.n, 0) > 0 AND 20 * coalesce(nh.n, 0) >= len(d.w) AS contaminated
 FROM d LEFT JOIN nh ON d.doc_id = nh.doc_id LEFT JOIN it ON d.doc_id = it.doc_id"""
 
-ORACLES = {"op5_substring_dedup": OP5, "op9_decontamination": OP9}
+OP4 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, len({WORDS})::BIGINT AS size, md5(doc_id::VARCHAR) AS hash FROM documents),
+src AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) AS ordinal FROM d GROUP BY source),
+w AS (SELECT *, [3, 1, 2][((ordinal - 1) % 3 + 1)::INT]::DOUBLE AS weight, 2 * source_size::DOUBLE AS cap FROM src),
+lv AS (SELECT *, ((SELECT sum(source_size) FROM w)::DOUBLE * 1.5::DOUBLE
+                  - coalesce(sum(cap) OVER (ORDER BY cap / weight, ordinal ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                 / sum(weight) OVER (ORDER BY cap / weight, ordinal ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level FROM w),
+goal AS (SELECT *, least(cap, coalesce((SELECT level FROM lv WHERE cap / weight > level ORDER BY cap / weight, ordinal LIMIT 1) * weight, cap)) AS target FROM lv),
+ends AS (SELECT ordinal, source_size, CASE WHEN ordinal = (SELECT max(ordinal) FROM goal) THEN 1::DOUBLE
+                ELSE sum(target) OVER (ORDER BY ordinal) / (SELECT sum(target) FROM goal) END AS hi FROM goal),
+spans AS (SELECT *, coalesce(lag(hi) OVER (ORDER BY ordinal), 0::DOUBLE) AS lo FROM ends),
+points AS (SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS x
+           FROM (SELECT unnest(range((SELECT coalesce(round_even(sum(target) / 64, 0), 0)::BIGINT FROM goal))) AS slot)),
+ranked AS (SELECT ordinal, source_size, row_number() OVER (PARTITION BY ordinal ORDER BY slot) - 1 AS rank
+           FROM points JOIN spans ON x >= lo AND x < hi),
+uses AS (SELECT ordinal, rank % ((source_size + 63) // 64) AS block, count(*) AS times FROM ranked
+         WHERE rank < 2 * ((source_size + 63) // 64) GROUP BY ALL),
+placed AS (SELECT d.*, g.ordinal, g.source_size, g.target,
+                  sum(d.size) OVER (PARTITION BY g.ordinal ORDER BY hash, doc_id, size, r)::BIGINT AS e
+           FROM d JOIN goal g ON d.source IS NOT DISTINCT FROM g.source),
+pieces AS (SELECT r, ordinal, e - size AS b, e, unnest(range((e - size) // 64, (e - 1) // 64 + 1)) AS block FROM placed WHERE size > 0),
+taken AS (SELECT r, sum((least(e, (block + 1) * 64) - greatest(b, block * 64)) * times) AS taken
+          FROM pieces JOIN uses USING (ordinal, block) GROUP BY r)
+SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, source
+FROM placed LEFT JOIN taken USING (r)"""
+
+ORACLES = {"op4_mixing": OP4, "op5_substring_dedup": OP5, "op9_decontamination": OP9}
