@@ -393,7 +393,7 @@ def validated_cte(source: str = "feed", id_col: str = "request_id", known=None,
 
 def error_rule(e: str) -> str:
     r = f"regexp_replace({e}, 'search_results(\\.\\d+|\\[\\d+\\])', 'search_results[]', 'g')"
-    r = "regexp_replace(" + r + ", '''[^'']*''$', '''?''')"
+    r = "regexp_replace(" + r + ", '(?s)(country|currency|match) ''.*''$', '\\1 ''?''')"
     return f"regexp_replace({r}, '-?\\d+ based on dates, got -?\\d+', 'N based on dates, got M', 'g')"
 
 
@@ -444,6 +444,14 @@ DQ_SCAN = " UNION ALL ".join([
             "coalesce(count(*) FILTER (WHERE city IS NULL) * 100.0 / count(*), 0.0)", "<", "1", "warn", "silver"),
     _metric("searches_enriched", "duplicate_count_dedup_key", "count(*) - count(DISTINCT dedup_key)", "=", "0",
             "error", "silver"),
+    _metric("searches_enriched", "missing_count_dedup_key", "count(*) - count(dedup_key)", "=", "0", "error", "silver"),
+    _metric("searches_enriched", "missing_count_length_of_stay", "count(*) - count(length_of_stay)", "=", "0", "error",
+            "silver"),
+    _metric("searches_enriched", "failed_rows_los_bucket",
+            f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", "silver"),
+    _metric("searches_enriched", "failed_rows_los_consistency",
+            f"count(*) FILTER (WHERE NOT coalesce(date_diff('day', {strict_date('arrival_date')}, "
+            f"{strict_date('departure_date')}) = length_of_stay, false))", "=", "0", "error", "silver"),
     _metric("gold_country_trends", "row_count", "count(*)", ">", "0", "error", "gold_country"),
     _metric("gold_country_trends", "invalid_count_pct_of_total",
             "count(*) FILTER (WHERE pct_of_total IS NULL OR NOT pct_of_total BETWEEN 0 AND 100)", "=", "0", "error",
@@ -454,6 +462,21 @@ DQ_SCAN = " UNION ALL ".join([
 ])
 
 
+def _panels(where: str = "true", position: bool = False) -> str:
+    """The three marts as one row per panel entry, numbered in panel order on request."""
+    def part(panel, entry, iso, pct, avg, src, order):
+        at = f"CAST(row_number() OVER (PARTITION BY city ORDER BY {order}) - 1 AS INTEGER) AS position, " if position else ""
+        return (f"SELECT '{panel}' AS panel, city, {at}search_date, CAST({entry} AS VARCHAR) AS entry, "
+                f"CAST({iso} AS VARCHAR) AS user_country_iso, search_count, CAST({pct} AS DOUBLE) AS pct_of_total, "
+                f"CAST({avg} AS DOUBLE) AS avg_los FROM {src} WHERE {where}")
+    return " UNION ALL ".join([
+        part("arrival", "arrival_date", "NULL", "NULL", "NULL", "gold_arrival", "search_date, arrival_date NULLS FIRST"),
+        part("country", "user_country", "user_country_iso", "pct_of_total", "avg_los", "gold_country",
+             "search_count DESC, user_country NULLS FIRST, search_date, user_country_iso NULLS FIRST"),
+        part("stay", "los_bucket", "NULL", "pct_of_total", "NULL", "gold_los", "los_bucket NULLS FIRST, search_date"),
+    ])
+
+
 def oracles() -> dict[str, str]:
     q = {
         "bronze_landing": "SELECT * FROM bronze",
@@ -570,10 +593,27 @@ def oracles() -> dict[str, str]:
               WHERE ingest_date >= DATE '{RETENTION_AS_OF}' - {R.RETENTION_DAYS} GROUP BY ingest_date""",
         "bronze_idempotent_insert": "SELECT event_id, dedup_key, ingestion_time, ingest_date FROM bronze",
         "silver_incremental": "SELECT * EXCLUDE (payload) FROM silver",
-        "gold_incremental": "SELECT * FROM gold_los",
+        "gold_incremental": _panels(),
         "backfill_range": f"SELECT * FROM gold_country WHERE search_date BETWEEN DATE '{BACKFILL[0]}' AND DATE '{BACKFILL[1]}'",
     })
     q.update({
+        "city_trends": _panels(RANGE, position=True),
+        "archive_jsonl": "SELECT * FROM bronze",
+        "publish_envelope": """SELECT event_id AS "key", payload AS "value", h.header AS header, h.text AS header_value
+              FROM (SELECT *, unnest([
+                {'header': 'ingestion_time', 'text': strftime(ingestion_time, '%Y-%m-%dT%H:%M:%S.%f') || 'Z'},
+                {'header': 'partner_id', 'text': partner_id},
+                {'header': 'schema_version', 'text': schema_version}]) AS h FROM bronze)""",
+        "gold_last_7_days_arrivals": """SELECT city, (SELECT max(search_date) FROM silver) - 6 AS from_date,
+              (SELECT max(search_date) FROM silver) AS to_date, CAST(arrival_date AS DATE) AS arrival_date,
+              count(*) AS search_count FROM silver
+              WHERE city IS NOT NULL AND search_date BETWEEN (SELECT max(search_date) FROM silver) - 6
+                AND (SELECT max(search_date) FROM silver) GROUP BY city, arrival_date""",
+        "gold_last_7_days_los": f"""SELECT city, (SELECT max(search_date) FROM silver) - 6 AS from_date,
+              (SELECT max(search_date) FROM silver) AS to_date, los_bucket, count(*) AS search_count,
+              {share('count(*)', 'sum(count(*)) OVER (PARTITION BY city)')} AS pct_of_total FROM silver
+              WHERE city IS NOT NULL AND search_date BETWEEN (SELECT max(search_date) FROM silver) - 6
+                AND (SELECT max(search_date) FROM silver) GROUP BY city, los_bucket""",
         "stream_landing": "SELECT * FROM bronze",
         "stream_alerts": f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, requests, dead_letters,
               round(CAST(dead_letters AS DOUBLE) / requests * 100.0, 2) AS error_pct,

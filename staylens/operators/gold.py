@@ -70,6 +70,24 @@ def trailing_days(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
         F.round("_avg_los", 1).alias("avg_los"))
 
 
+def trailing_arrivals(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Searches per city and arrival date over the last ``days`` search dates."""
+    recent = _with_city(silver).filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
+    counts = recent.groupBy("city", "arrival_date").agg(F.count(F.lit(1)).alias("search_count"))
+    return counts.select("city", F.date_sub(as_of, days - 1).alias("from_date"), as_of.alias("to_date"),
+                         F.to_date("arrival_date").alias("arrival_date"), "search_count")
+
+
+def trailing_los(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Searches per city and LOS bucket over the last ``days`` search dates, with the city's share."""
+    recent = _with_city(silver).filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
+    counts = recent.groupBy("city", "los_bucket").agg(F.count(F.lit(1)).alias("search_count"))
+    city = Window.partitionBy("city")
+    return counts.select("city", F.date_sub(as_of, days - 1).alias("from_date"), as_of.alias("to_date"),
+                         "los_bucket", "search_count",
+                         _share(F.col("search_count"), F.sum("search_count").over(city)).alias("pct_of_total"))
+
+
 def weekly_arrivals(silver: DataFrame, threshold: int = Ref.WEEKLY_HIGHLIGHT_THRESHOLD) -> DataFrame:
     """Searches per city and 7-day arrival window (epoch-aligned tumbling), flagged at a threshold."""
     with_city = _with_city(silver).withColumn("_arr", F.to_date("arrival_date").cast("timestamp"))

@@ -43,10 +43,18 @@ def unaccepted_los_buckets(df: DataFrame) -> DataFrame:
     return df.join(accepted, "los_bucket", "left_anti")
 
 
+def _unaccepted_bucket() -> Column:
+    return ~F.coalesce(F.col("los_bucket").isin(*Ref.ACCEPTED_LOS_BUCKETS), F.lit(False))
+
+
+def _inconsistent_stay() -> Column:
+    nights = F.datediff(strict_date(F.col("departure_date")), strict_date(F.col("arrival_date")))
+    return ~F.coalesce(nights == F.col("length_of_stay"), F.lit(False))
+
+
 def los_inconsistent(silver: DataFrame) -> DataFrame:
     """Rows whose stay differs from departure minus arrival."""
-    nights = F.datediff(strict_date(F.col("departure_date")), strict_date(F.col("arrival_date")))
-    return (silver.filter(~F.coalesce(nights == F.col("length_of_stay"), F.lit(False)))
+    return (silver.filter(_inconsistent_stay())
             .select("dedup_key", "length_of_stay", "arrival_date", "departure_date"))
 
 
@@ -72,6 +80,10 @@ def scan(silver: DataFrame, country: DataFrame, los: DataFrame) -> DataFrame:
         ("missing_pct_city", F.coalesce(F.try_divide(F.count_if(F.col("city").isNull()) * 100.0, n), F.lit(0.0)), "<", "1",
          SEVERITY_WARN),
         ("duplicate_count_dedup_key", n - F.count_distinct("dedup_key"), "=", "0", SEVERITY_ERROR),
+        ("missing_count_dedup_key", F.count_if(F.col("dedup_key").isNull()), "=", "0", SEVERITY_ERROR),
+        ("missing_count_length_of_stay", F.count_if(F.col("length_of_stay").isNull()), "=", "0", SEVERITY_ERROR),
+        ("failed_rows_los_bucket", F.count_if(_unaccepted_bucket()), "=", "0", SEVERITY_ERROR),
+        ("failed_rows_los_consistency", F.count_if(_inconsistent_stay()), "=", "0", SEVERITY_ERROR),
     ])
     c = _metric_rows("gold_country_trends", country, [
         ("row_count", n, ">", "0", SEVERITY_ERROR),
@@ -81,8 +93,7 @@ def scan(silver: DataFrame, country: DataFrame, los: DataFrame) -> DataFrame:
     ])
     d = _metric_rows("gold_los_distribution", los, [
         ("row_count", n, ">", "0", SEVERITY_ERROR),
-        ("failed_rows_los_bucket", F.count_if(~F.coalesce(F.col("los_bucket").isin(*Ref.ACCEPTED_LOS_BUCKETS),
-                                                          F.lit(False))), "=", "0", SEVERITY_ERROR),
+        ("failed_rows_los_bucket", F.count_if(_unaccepted_bucket()), "=", "0", SEVERITY_ERROR),
     ])
     return s.unionByName(c).unionByName(d)
 

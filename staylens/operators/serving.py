@@ -84,6 +84,22 @@ def city_trends(arrival: DataFrame, country: DataFrame, los: DataFrame, city: st
                     F.coalesce("los_distribution", F.array()).alias("los_distribution")))
 
 
+def panel_entries(nested: DataFrame) -> DataFrame:
+    """Q5 as rows: one per panel entry of ``city_trends``, with its position in the panel."""
+    def rows(panel, name, entry, value=lambda x, c: F.lit(None)):
+        return F.transform(name, lambda x, i: F.struct(
+            F.lit(panel).alias("panel"), i.alias("position"), x["search_date"].alias("search_date"),
+            x[entry].cast("string").alias("entry"), value(x, "user_country_iso").cast("string").alias("user_country_iso"),
+            x["search_count"].alias("search_count"), value(x, "pct_of_total").cast("double").alias("pct_of_total"),
+            value(x, "avg_los").cast("double").alias("avg_los")))
+
+    entries = F.concat(
+        rows("arrival", "arrival_date_popularity", "arrival_date"),
+        rows("country", "country_trends", "user_country", lambda x, c: x[c]),
+        rows("stay", "los_distribution", "los_bucket", lambda x, c: x[c] if c == "pct_of_total" else F.lit(None)))
+    return nested.select("city", F.inline(entries))
+
+
 # FIXED VALUES: read outcomes (HTTP 200 / 404 / 503 in the service form).
 STATUS_OK = "ok"
 STATUS_NO_DATA = "not_found"
@@ -113,6 +129,18 @@ def load_marts(spark: SparkSession, root: str) -> Marts:
     return Marts(read("gold_arrival_date_popularity"), read("gold_country_trends"), read("gold_los_distribution"))
 
 
+def panel_rows(marts: Marts) -> DataFrame:
+    """The three marts as rows of one shape: panel, city, search_date, entry and its measures."""
+    def rows(df, panel, entry, *own):
+        extra = {"user_country_iso": "string", "pct_of_total": "double", "avg_los": "double"}
+        return df.select(F.lit(panel).alias("panel"), "city", "search_date", F.col(entry).cast("string").alias("entry"),
+                         "search_count", *[(F.col(c) if c in own else F.lit(None)).cast(t).alias(c) for c, t in extra.items()])
+
+    return (rows(marts.arrival, "arrival", "arrival_date")
+            .unionByName(rows(marts.country, "country", "user_country", "user_country_iso", "pct_of_total", "avg_los"))
+            .unionByName(rows(marts.los, "stay", "los_bucket", "pct_of_total")))
+
+
 def trends_status(marts: Marts, requested: DataFrame) -> DataFrame:
     """Q7: outcome per requested city: ok, not_found (no rows in any panel), not_ready."""
     if not marts.ready:

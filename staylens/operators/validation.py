@@ -204,7 +204,7 @@ def validate(raw: DataFrame, text_col: str = "value") -> DataFrame:
 def error_rule(error: Column) -> Column:
     """Rule of an error message: item indices and offending values replaced by placeholders."""
     r = F.regexp_replace(error, r"search_results(\.\d+|\[\d+\])", "search_results[]")
-    r = F.regexp_replace(r, r"'[^']*'$", "'?'")
+    r = F.regexp_replace(r, r"(?s)(country|currency|match) '.*'$", "$1 '?'")
     return F.regexp_replace(r, r"-?\d+ based on dates, got -?\d+", "N based on dates, got M")
 
 

@@ -122,7 +122,7 @@ def los_trends(spark, sf_dir):
 @query
 def city_trends(spark, sf_dir):
     f = Flow(spark, sf_dir, stored=("silver",))
-    return serving.city_trends(f.arrival, f.country, f.los, CITY, FROM_DATE, TO_DATE)
+    return serving.panel_entries(serving.city_trends(f.arrival, f.country, f.los, CITY, FROM_DATE, TO_DATE))
 
 
 @query
@@ -249,6 +249,20 @@ def gold_last_7_days(spark, sf_dir):
     return trailing_days(s, s.select(F.max("search_date")).scalar())
 
 
+@query
+def gold_last_7_days_arrivals(spark, sf_dir):
+    from staylens.operators.gold import trailing_arrivals
+    s = Flow(spark, sf_dir, stored=("silver",)).silver
+    return trailing_arrivals(s, s.select(F.max("search_date")).scalar())
+
+
+@query
+def gold_last_7_days_los(spark, sf_dir):
+    from staylens.operators.gold import trailing_los
+    s = Flow(spark, sf_dir, stored=("silver",)).silver
+    return trailing_los(s, s.select(F.max("search_date")).scalar())
+
+
 @query
 def gold_weekly_arrivals(spark, sf_dir):
     from staylens.operators.gold import weekly_arrivals
@@ -321,7 +335,7 @@ def silver_incremental(spark, sf_dir):
 
 @query
 def gold_incremental(spark, sf_dir):
-    """Marts refreshed per touched day after each merged batch equal the full marts."""
+    """Marts refreshed per touched day after each merged batch equal the full marts (all three, as panel rows)."""
     from staylens.plans.refresh import merge_silver, refresh_gold
     from staylens.session import work_dir
     f = Flow(spark, sf_dir)
@@ -330,7 +344,7 @@ def gold_incremental(spark, sf_dir):
     lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
     for cond in [d < lo, (d >= lo) & (d < hi), d >= hi]:
         refresh_gold(spark, silver_path, gold_root, merge_silver(spark, f.bronze.filter(cond), silver_path))
-    return spark.read.parquet(f"{gold_root}/gold_los_distribution")
+    return serving.panel_rows(serving.load_marts(spark, gold_root))
 
 
 BACKFILL = ("2024-01-08", "2024-01-14")
@@ -350,13 +364,15 @@ def archive_jsonl(spark, sf_dir):
     from staylens.sources import sinks
     path = work_dir(spark, "archive")
     sinks.write_archive(Flow(spark, sf_dir).bronze, path)
-    return spark.read.text(path)
+    return sinks.read_archive(spark, path)
 
 
 @query
 def publish_envelope(spark, sf_dir):
     from staylens.sources import sinks
-    return sinks.publish_envelope(Flow(spark, sf_dir).bronze)
+    sent = sinks.publish_envelope(Flow(spark, sf_dir).bronze)
+    return (sent.select("key", "value", F.explode("headers").alias("h"))
+            .select("key", "value", F.col("h.key").alias("header"), F.col("h.value").cast("string").alias("header_value")))
 
 
 # --- streaming ---------------------------------------------------------------

@@ -17,6 +17,8 @@ from staylens.operators.landing import BRONZE_COLUMNS
 
 # Upper bound of rows per output file (keeps files a few hundred MB at scale).
 MAX_RECORDS_PER_FILE = 5_000_000
+# Archive lines keep microseconds (the default format stops at milliseconds).
+ARCHIVE_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
 def clustered(df: DataFrame, partition_col: str, cluster_col: str, tiebreak: str,
@@ -101,7 +103,7 @@ def write_partitions(df: DataFrame, path: str, partition_col: str = "search_date
 def archive_lines(bronze: DataFrame) -> DataFrame:
     """One JSON line per landed event: the record and its original payload."""
     record = F.struct(*[c for c in BRONZE_COLUMNS if c not in ("payload",)])
-    return bronze.select(F.to_json(F.struct(F.col("payload"), record.alias("record"))).alias("value"))
+    return bronze.select(F.to_json(F.struct(F.col("payload"), record.alias("record")), ARCHIVE_FORMAT).alias("value"))
 
 
 def write_archive(bronze: DataFrame, path: str) -> None:
@@ -109,6 +111,14 @@ def write_archive(bronze: DataFrame, path: str) -> None:
     archive_lines(bronze).write.mode("append").option("compression", "gzip").text(path)
 
 
+def read_archive(spark: SparkSession, path: str) -> DataFrame:
+    """The landed events of an archive, columns as in bronze."""
+    from staylens.schemas import BRONZE
+    record = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in BRONZE if f.name != "payload")
+    lines = spark.read.options(**ARCHIVE_FORMAT).schema(f"payload string, record struct<{record}>").json(path)
+    return lines.select("record.*", "payload").select(*BRONZE_COLUMNS)
+
+
 def publish_envelope(bronze: DataFrame) -> DataFrame:
     """Message-bus form (key, value, headers) of each landed event."""
     headers = F.array(

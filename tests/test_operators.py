@@ -100,6 +100,26 @@ def test_quality_gate_blocks_duplicates(spark, base_event):
         quality.enforce(quality.scan(bad, gold.country_trends(bad), gold.los_distribution(bad)))
 
 
+def test_quality_gate_blocks_wrong_rows(spark, base_event):
+    """D2, D4-D6 on silver: a null key, a null or wrong stay and an unknown bucket each fail their own check."""
+    from staylens.operators import gold, landing, quality
+    from staylens.operators.silver import silver as build_silver
+    s = build_silver(landing.bronze_rows(landing.land(messages(spark, [("a", "2022-01-24 11:01:13", base_event)]))))
+    stay = F.lit(None).cast("int")
+    for column, value, checks in [
+            ("dedup_key", F.lit(None).cast("string"), {"missing_count_dedup_key"}),
+            ("length_of_stay", stay, {"missing_count_length_of_stay", "failed_rows_los_consistency"}),
+            ("length_of_stay", F.lit(9), {"failed_rows_los_consistency"}),
+            ("los_bucket", F.lit("a while"), {"failed_rows_los_bucket"})]:
+        scan = quality.scan(s.withColumn(column, value), gold.country_trends(s), gold.los_distribution(s))
+        failed = {r.check for r in scan.filter("outcome = 'fail' and severity = 'error' and table_name = 'searches_enriched'").collect()}
+        assert checks <= failed, (column, failed)
+        assert not quality.gate(scan).first()["passed"]
+    empty = s.limit(0)
+    scan = quality.scan(empty, gold.country_trends(empty), gold.los_distribution(empty))
+    assert not quality.gate(scan).first()["passed"]
+
+
 def test_marts_agree_with_silver(spark):
     from staylens.plans.derived import Flow
     f = Flow(spark, "/root/testdata/sf0.001")

@@ -56,6 +56,15 @@ def test_rule_rejects(spark, base_event, rule, change, stage, paths):
     assert all(any(p in e for e in errs) for p in paths)
 
 
+def test_rule_of_values_with_quotes(spark, base_event):
+    """A quoted value never makes a rule of its own."""
+    from staylens.operators.validation import rejections_by_rule
+    bodies = [{**base_event, "user_country": c} for c in ("Cote d'Ivoire", "X'Y'Z", "Atlantis", "A\nB'")]
+    df = validate(messages(spark, [(str(i), "2022-01-24 11:01:13", json.dumps(b)) for i, b in enumerate(bodies)]))
+    got = [(r.rule, r.error_count, r.pct_of_events) for r in rejections_by_rule(df).collect()]
+    assert got == [("user_country: unknown country '?'", 4, 100.0)]
+
+
 def test_accepted_events(spark, base_event):
     """V1-V24 hold; V21: an arrival in the past is fine."""
     past = {"arrival_date": "2019-12-31", "departure_date": "2020-01-04"}
