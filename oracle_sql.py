@@ -330,7 +330,7 @@ def _item_rules() -> str:
     return "[" + ", ".join(rules) + "]"
 
 
-def _business(known=None) -> str:
+def _business(known=None, currency=None) -> str:
     from staylens.operators import validation as V
     a, d, t = strict_date("s_arrival_date"), strict_date("s_departure_date"), iso_ts("s_timestamp")
     los = "CAST(n_length_of_stay AS INTEGER)"
@@ -348,14 +348,14 @@ def _business(known=None) -> str:
         f"THEN printf('user_country: {_sq(V.MSG_COUNTRY)}', s_user_country) END",
     ]
     cur = jtext("x", "currency")
-    currencies = _list(R.VALID_CURRENCIES)
+    currencies = _list(currency or R.VALID_CURRENCIES)
     items = (f"list_transform(items, lambda x, i: CASE WHEN NOT list_contains({currencies}, {cur}) "
              f"THEN printf('search_results[%d].currency: {_sq(V.MSG_CURRENCY)}', i - 1, {cur}) END)")
     return f"list_filter(list_concat([{', '.join(rules)}], {items}), lambda e: e IS NOT NULL)"
 
 
 def validated_cte(source: str = "feed", id_col: str = "request_id", known=None, name: str = "validated",
-                  p: str = "v") -> str:
+                  p: str = "v", currency=None) -> str:
     """CTE ``validated(event_id, value, errors, failed_stage)`` over a raw message relation."""
     from staylens.operators import validation as V
     facts = [f"{jkind('j', f)} AS k_{f}" for f in R.REQUIRED_FIELDS]
@@ -379,7 +379,7 @@ def validated_cte(source: str = "feed", id_col: str = "request_id", known=None,
   FROM {p}_facts
 ),
 {p}_stage2 AS (
-  SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business(known)} END AS stage2 FROM {p}_stage1
+  SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business(known, currency)} END AS stage2 FROM {p}_stage1
 ),
 {name} AS (
   SELECT event_id, value,
@@ -507,10 +507,13 @@ def oracles() -> dict[str, str]:
         "country_trends": f"""SELECT city, search_date, user_country, user_country_iso, search_count, pct_of_total,
               avg_los FROM gold_country WHERE {RANGE}""",
         "los_trends": f"SELECT city, search_date, los_bucket, search_count, pct_of_total FROM gold_los WHERE {RANGE}",
-        "trends_missing_city": """SELECT h.city, CASE WHEN p.city IS NOT NULL THEN 'ok' ELSE 'not_found' END AS status
-              FROM (SELECT DISTINCT city FROM dim_hotels) h LEFT JOIN (
+        "trends_missing_city": """SELECT h.city, CASE WHEN p.city IS NOT NULL THEN 'ok' ELSE 'not_found' END AS status,
+                'all' AS marts
+              FROM (SELECT city FROM dim_hotels UNION SELECT 'Atlantis') h LEFT JOIN (
                 SELECT city FROM gold_arrival UNION SELECT city FROM gold_country UNION SELECT city FROM gold_los) p
-              ON h.city = p.city""",
+              ON h.city = p.city
+              UNION ALL SELECT city, 'not_ready', 'no_arrival' FROM dim_hotels
+              UNION ALL SELECT 'Atlantis', 'not_ready', 'no_arrival'""",
     }
     q.update({
         "validate_schema_errors": """SELECT event_id, CAST(len(errors) AS INTEGER) AS error_count,
@@ -568,9 +571,9 @@ def oracles() -> dict[str, str]:
               payload AS raw FROM landed_full WHERE reason = 'payload_too_large'""",
         "rate_limit_audit": f"""SELECT client, request_id, received_at,
               count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
-                             RANGE BETWEEN 999999 PRECEDING AND CURRENT ROW) AS window_count,
+                             RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) AS window_count,
               count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
-                             RANGE BETWEEN 999999 PRECEDING AND CURRENT ROW) > {R.RATE_LIMIT_PER_SECOND} AS over_limit
+                             RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) > 2 AS over_limit
               FROM feed""",
         "gold_last_7_days": f"""SELECT city, (SELECT max(search_date) FROM silver) - 6 AS from_date,
               (SELECT max(search_date) FROM silver) AS to_date, user_country, user_country_iso,
@@ -592,12 +595,24 @@ def oracles() -> dict[str, str]:
         "bronze_retention": f"""SELECT ingest_date, count(*) AS rows FROM bronze
               WHERE ingest_date >= DATE '{RETENTION_AS_OF}' - {R.RETENTION_DAYS} GROUP BY ingest_date""",
         "bronze_idempotent_insert": "SELECT event_id, dedup_key, ingestion_time, ingest_date FROM bronze",
+        "silver_watermark": "SELECT * EXCLUDE (payload) FROM silver",
+        "full_refresh_counts": " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, count(*) AS rows, max(search_date) AS last_day FROM {src} "
+            "WHERE search_date < DATE '2024-01-20'"
+            for name, src in [("silver", "silver"), ("gold_arrival_date_popularity", "gold_arrival"),
+                              ("gold_country_trends", "gold_country"), ("gold_los_distribution", "gold_los")]),
+        "quarantine_retention": f"""SELECT ingest_date, reason, count(*) AS rows FROM landed_full
+              WHERE reason IS NOT NULL AND ingest_date >= DATE '{RETENTION_AS_OF}' - {R.RETENTION_DAYS}
+              GROUP BY ingest_date, reason""",
+        "request_bodies": """SELECT coalesce(f.reason, 'none') AS reason, count(*) AS events,
+              count(DISTINCT t.dedup_key) AS keys FROM landed_full f JOIN landed_t t USING (event_id) GROUP BY ALL""",
         "silver_incremental": "SELECT * EXCLUDE (payload) FROM silver",
         "gold_incremental": _panels(),
         "backfill_range": f"SELECT * FROM gold_country WHERE search_date BETWEEN DATE '{BACKFILL[0]}' AND DATE '{BACKFILL[1]}'",
     })
     q.update({
         "city_trends": _panels(RANGE, position=True),
+        "city_trends_undated": _panels(f"city = '{CITY}'", position=True),
         "archive_jsonl": "SELECT * FROM bronze",
         "publish_envelope": """SELECT event_id AS "key", payload AS "value", h.header AS header, h.text AS header_value
               FROM (SELECT *, unnest([
@@ -615,27 +630,40 @@ def oracles() -> dict[str, str]:
               WHERE city IS NOT NULL AND search_date BETWEEN (SELECT max(search_date) FROM silver) - 6
                 AND (SELECT max(search_date) FROM silver) GROUP BY city, los_bucket""",
         "stream_landing": "SELECT * FROM bronze",
-        "stream_alerts": f"""SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, requests, dead_letters,
-              round(CAST(dead_letters AS DOUBLE) / requests * 100.0, 2) AS error_pct,
-              CAST(dead_letters AS DOUBLE) / requests > {R.ALERT_ERROR_RATE} AS error_rate_alert,
-              dead_letters > {R.ALERT_DEAD_LETTERS} AS dead_letter_alert
-              FROM (SELECT time_bucket(INTERVAL 5 MINUTE, ingestion_time) AS window_start, count(*) AS requests,
-                           count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters
-                    FROM landed GROUP BY ALL)""",
+        "stream_alerts": f"""WITH alert_counts AS (
+                SELECT time_bucket(INTERVAL 5 MINUTE, ingestion_time) AS window_start, count(*) AS requests,
+                       count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters
+                FROM landed GROUP BY ALL),
+              alert_rates AS (
+                SELECT c.*, CAST(c.dead_letters + coalesce(p.dead_letters, 0) AS DOUBLE)
+                            / (c.requests + coalesce(p.requests, 0)) AS rate
+                FROM alert_counts c LEFT JOIN alert_counts p ON p.window_start = c.window_start - INTERVAL 5 MINUTE)
+              SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, requests, dead_letters,
+              round(rate * 100.0, 2) AS error_pct, rate > {R.ALERT_ERROR_RATE} AS error_rate_alert,
+              dead_letters > {R.ALERT_DEAD_LETTERS} AS dead_letter_alert FROM alert_rates""",
     })
-    replay_ctes = ("replay_src AS (SELECT event_id AS request_id, payload AS value FROM landed_full "
-                   "WHERE reason = 'validation_failed')," + validated_cte(
-                       "replay_src", "request_id", R.KNOWN_COUNTRIES + ["norway"], "revalidated", "r"))
+    admitted = R.VALID_CURRENCIES + ["XYZ"]
+    replay_ctes = (
+        "replay_src AS (SELECT event_id AS request_id, payload AS value FROM landed_full "
+        "WHERE reason = 'validation_failed'),"
+        + validated_cte("replay_src", "request_id", None, "replayed_1", "r1", admitted) + ","
+        + validated_cte("replay_src", "request_id", R.KNOWN_COUNTRIES + ["norway"], "replayed_2", "r2", admitted) + """,
+        keys_0 AS (SELECT t.dedup_key FROM landed_t t JOIN landed_full f USING (event_id) WHERE f.reason IS NULL),
+        landed_1 AS (SELECT r.event_id, t.dedup_key FROM replayed_1 r JOIN landed_t t USING (event_id)
+                     WHERE len(r.errors) = 0 AND t.dedup_key NOT IN (SELECT dedup_key FROM keys_0)),
+        keys_1 AS (SELECT dedup_key FROM keys_0 UNION SELECT dedup_key FROM landed_1),
+        outcomes_2 AS (SELECT r.event_id, t.dedup_key,
+                         CASE WHEN len(r.errors) > 0 THEN 'still_failing'
+                              WHEN t.dedup_key IN (SELECT dedup_key FROM keys_1) THEN 'already_landed'
+                              ELSE 'relanded' END AS outcome
+                       FROM replayed_2 r JOIN landed_t t ON r.event_id = t.event_id)""")
     hav = (f"2 * 6371.0088 * asin(least(1.0, sqrt(pow(sin((radians(c_lat) - radians(lat)) / 2), 2) + "
            f"cos(radians(lat)) * cos(radians(c_lat)) * pow(sin((radians(c_lon) - radians(lon)) / 2), 2))))")
     q.update({
         "quarantine_replay": f"""WITH {replay_ctes}
-              SELECT r.event_id, t.dedup_key,
-                CASE WHEN len(r.errors) > 0 THEN 'still_failing'
-                     WHEN t.dedup_key IN (SELECT t2.dedup_key FROM landed_t t2 JOIN landed_full f2 USING (event_id)
-                                          WHERE f2.reason IS NULL) THEN 'already_landed'
-                     ELSE 'relanded' END AS outcome, 2 AS attempts
-              FROM revalidated r JOIN landed_t t ON r.event_id = t.event_id""",
+              SELECT event_id, dedup_key, outcome, 3 AS attempts,
+                outcome = 'relanded' OR event_id IN (SELECT event_id FROM landed_1) AS in_bronze
+              FROM outcomes_2""",
         "nearest_city_fallback": f"""SELECT u.hotel_id, round(u.lat, 6) AS lat, round(u.lon, 6) AS lon,
                 b.city AS fallback_city, round(b.d, 3) AS distance_km
               FROM (SELECT hotel_id, avg(hotel_latitude) AS lat, avg(hotel_longitude) AS lon FROM silver

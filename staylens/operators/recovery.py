@@ -2,23 +2,28 @@
 
 Replay re-validates quarantined events under the current contract (e.g. after
 an allow list was extended) and re-lands those that now pass, unless an event
-with the same dedup key is already in bronze. Each replay counts an attempt.
+with the same dedup key is already in bronze. Each replay counts an attempt; a
+dead letter that has used up its attempts is abandoned.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staylens.operators.landing import REASON_VALIDATION, land
+from staylens.operators.landing import BRONZE_COLUMNS, REASON_VALIDATION, land
+from staylens.session import work_dir
+from staylens.sources import sinks
 
 # FIXED VALUES: replay outcomes.
 RELANDED = "relanded"
 ALREADY_LANDED = "already_landed"
 STILL_FAILING = "still_failing"
+ABANDONED = "abandoned"
+MAX_ATTEMPTS = 5
 
 
 def replay(quarantine: DataFrame, bronze: DataFrame, known_countries=None, currencies=None) -> DataFrame:
-    """Outcome per replayed dead letter, with the bronze record of the re-landed ones.
+    """Outcome per replayed dead letter, with its bronze record.
 
     The dedup keys already landed are reduced with a distinct (partial
     aggregation collapses a hot key before the shuffle) and matched with a
@@ -29,10 +34,25 @@ def replay(quarantine: DataFrame, bronze: DataFrame, known_countries=None, curre
                      F.col("raw").alias("value"), "attempts"))
     relabelled = land(retry, "full", known_countries=known_countries, currencies=currencies)
     attempts = retry.select(F.col("request_id").alias("event_id"), "attempts")
+    spent = F.col("attempts") + 1 >= MAX_ATTEMPTS
     landed_keys = bronze.select("dedup_key").distinct().withColumn("_landed", F.lit(True))
     return (relabelled.join(attempts, "event_id")
             .join(landed_keys, "dedup_key", "left")
-            .select("event_id", "dedup_key", "ingestion_time", "ingest_date",
-                    F.when(F.col("reason").isNotNull(), STILL_FAILING)
+            .select(*BRONZE_COLUMNS,
+                    F.when(F.col("reason").isNotNull(), F.when(spent, ABANDONED).otherwise(STILL_FAILING))
                     .when(F.col("_landed"), ALREADY_LANDED).otherwise(RELANDED).alias("outcome"),
                     (F.col("attempts") + 1).alias("attempts")))
+
+
+def replay_and_land(spark: SparkSession, quarantine: DataFrame, bronze_path: str, known_countries=None,
+                    currencies=None) -> DataFrame:
+    """Replay dead letters against a stored bronze table and append the re-landed ones to it.
+
+    The outcomes are written first, so the append and the caller see the same ones;
+    the append skips event ids already stored, so a repeated run adds nothing.
+    """
+    path = work_dir(spark, "replay")
+    replay(quarantine, sinks.read_bronze(spark, bronze_path), known_countries, currencies).write.parquet(path)
+    outcomes = spark.read.parquet(path)
+    sinks.append_bronze_idempotent(spark, outcomes.filter(F.col("outcome") == RELANDED), bronze_path)
+    return outcomes

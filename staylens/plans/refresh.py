@@ -71,6 +71,25 @@ def merge_silver(spark: SparkSession, new_bronze: DataFrame, silver_path: str,
     return touched
 
 
+def merge_since_mark(spark: SparkSession, bronze: DataFrame, silver_path: str, mark_path: str,
+                     look_back: str = "INTERVAL 1 DAY", dim_hotels: DataFrame | None = None) -> DataFrame:
+    """Merge what bronze gained since the stored ingestion-time mark; returns the touched search dates.
+
+    The slice begins ``look_back`` before the mark, so rows that reach bronze late,
+    with times at or below the mark, are kept; rows merged before are merged again
+    to no effect. The mark (its newest row counts) is advanced only after the merge.
+    """
+    newest = work_dir(spark, "mark")
+    bronze.agg(F.max("ingestion_time").alias("mark")).write.parquet(newest)  # before the slice is read
+    new = bronze
+    if sinks.table_exists(spark, mark_path):
+        mark = spark.read.parquet(mark_path).select((F.max("mark") - F.expr(look_back)).alias("from")).scalar()
+        new = bronze.filter((F.col("ingestion_time") > mark) & (F.col("ingest_date") >= F.to_date(mark)))
+    touched = merge_silver(spark, new, silver_path, dim_hotels)
+    spark.read.parquet(newest).write.mode("append").parquet(mark_path)
+    return touched
+
+
 def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str, touched: DataFrame | None = None) -> None:
     """Recompute the marts for the touched search dates (all dates when None)."""
     silver = spark.read.parquet(silver_path)

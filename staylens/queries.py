@@ -13,6 +13,7 @@ from staylens.plans.derived import Flow
 CITY = "Paris"
 FROM_DATE = "2024-01-08"
 TO_DATE = "2024-01-14"
+CITY_WITHOUT_DATA = "Atlantis"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -97,39 +98,61 @@ def pipeline_counts(spark, sf_dir):
         n(f.los).alias("gold_los_distribution"))
 
 
-# --- serving ---------------------------------------------------------------
+# --- serving (from stored marts) ---------------------------------------------
+
+def _stored_marts(spark, sf_dir, *names):
+    """The named marts (default: all) written by search date, as a refresh leaves them, and opened for reading."""
+    from staylens.plans.refresh import MARTS
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    silver = Flow(spark, sf_dir, stored=("silver",)).silver
+    root = work_dir(spark, "marts")
+    for name in names or MARTS:
+        sinks.write_partitions(MARTS[name](silver), f"{root}/{name}")
+    return serving.load_marts(spark, root)
+
 
 @query
 def cities(spark, sf_dir):
-    return serving.cities(Flow(spark, sf_dir).country)
+    return serving.cities(_stored_marts(spark, sf_dir, "gold_country_trends").country)
 
 
 @query
 def arrival_trends(spark, sf_dir):
-    return serving.arrival_trends(Flow(spark, sf_dir).arrival, CITY, FROM_DATE, TO_DATE)
+    return serving.arrival_trends(_stored_marts(spark, sf_dir, "gold_arrival_date_popularity").arrival, CITY, FROM_DATE, TO_DATE)
 
 
 @query
 def country_trends(spark, sf_dir):
-    return serving.country_trends(Flow(spark, sf_dir).country, CITY, FROM_DATE, TO_DATE)
+    return serving.country_trends(_stored_marts(spark, sf_dir, "gold_country_trends").country, CITY, FROM_DATE, TO_DATE)
 
 
 @query
 def los_trends(spark, sf_dir):
-    return serving.los_trends(Flow(spark, sf_dir).los, CITY, FROM_DATE, TO_DATE)
+    return serving.los_trends(_stored_marts(spark, sf_dir, "gold_los_distribution").los, CITY, FROM_DATE, TO_DATE)
 
 
 @query
 def city_trends(spark, sf_dir):
-    f = Flow(spark, sf_dir, stored=("silver",))
-    return serving.panel_entries(serving.city_trends(f.arrival, f.country, f.los, CITY, FROM_DATE, TO_DATE))
+    m = _stored_marts(spark, sf_dir)
+    return serving.panel_entries(serving.city_trends(m.arrival, m.country, m.los, CITY, FROM_DATE, TO_DATE))
+
+
+@query
+def city_trends_undated(spark, sf_dir):
+    m = _stored_marts(spark, sf_dir)
+    return serving.panel_entries(serving.city_trends(m.arrival, m.country, m.los, CITY))
 
 
 @query
 def trends_missing_city(spark, sf_dir):
-    f = Flow(spark, sf_dir, stored=("silver",))
-    requested = f.dim_hotels.select("city")
-    return serving.trends_status(serving.Marts(f.arrival, f.country, f.los), requested)
+    """Outcome per city: with all marts, and while the arrival mart is not built."""
+    m = _stored_marts(spark, sf_dir)
+    requested = Flow(spark, sf_dir).dim_hotels.select("city").unionByName(
+        spark.range(1).select(F.lit(CITY_WITHOUT_DATA).alias("city")))
+    return (serving.trends_status(m, requested).withColumn("marts", F.lit("all"))
+            .unionByName(serving.trends_status(serving.Marts(None, m.country, m.los), requested)
+                         .withColumn("marts", F.lit("no_arrival"))))
 
 
 # --- validation / dead letters --------------------------------------------
@@ -234,10 +257,14 @@ def oversize_quarantine(spark, sf_dir):
             .select("event_id", "ingestion_time", F.octet_length("raw").alias("kept_bytes"), "raw"))
 
 
+# The feed's clients send about one request an hour: a limit that bites there.
+RATE_LIMIT = {"limit": 2, "window_us": 3_600_000_000}
+
+
 @query
 def rate_limit_audit(spark, sf_dir):
     from staylens.operators.rate_limit import rate_limit_audit as audit
-    return audit(Flow(spark, sf_dir).raw.select("client", "request_id", "received_at"))
+    return audit(Flow(spark, sf_dir).raw.select("client", "request_id", "received_at"), **RATE_LIMIT)
 
 
 # --- marts over several days -------------------------------------------------
@@ -347,6 +374,75 @@ def gold_incremental(spark, sf_dir):
     return serving.panel_rows(serving.load_marts(spark, gold_root))
 
 
+def _late(column):
+    """A fifth of the rows, by the CRC of their id."""
+    return F.crc32(F.col(column).cast("binary")) % 5 == 0
+
+
+@query
+def silver_watermark(spark, sf_dir):
+    """Bronze grows in three steps and silver follows its stored mark; a fifth of each step's last day comes late."""
+    from staylens.plans.refresh import merge_since_mark
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    path = _stored_bronze(spark, sf_dir, "bronze-mark")
+    bronze = sinks.read_bronze(spark, path)
+    silver_path, mark_path = work_dir(spark, "silver-mark"), work_dir(spark, "mark-table")
+    for bound in BATCH_BOUNDS:
+        day = F.lit(bound).cast("date")
+        late = (F.col("ingest_date") == F.date_sub(day, 1)) & _late("event_id")
+        merge_since_mark(spark, bronze.filter((F.col("ingest_date") < day) & ~late), silver_path, mark_path)
+    merge_since_mark(spark, bronze, silver_path, mark_path)
+    return spark.read.parquet(silver_path).drop("payload")
+
+
+REBUILD_BEFORE = "2024-01-20"
+
+
+@query
+def full_refresh_counts(spark, sf_dir):
+    """Silver and marts rebuilt twice, the second time from fewer days: row counts of the stored tables."""
+    from staylens.plans.refresh import MARTS, full_refresh
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    bronze = sinks.read_bronze(spark, _stored_bronze(spark, sf_dir, "bronze-full"))
+    silver_path, gold_root = work_dir(spark, "silver-full-table"), work_dir(spark, "gold-full")
+    full_refresh(spark, bronze, silver_path, gold_root)
+    full_refresh(spark, bronze.filter(F.col("search_timestamp") < F.lit(REBUILD_BEFORE).cast("timestamp")), silver_path, gold_root)
+    tables = {"silver": silver_path, **{name: f"{gold_root}/{name}" for name in MARTS}}
+    counts = None
+    for name, path in tables.items():
+        one = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.max("search_date").alias("last_day")) \
+            .select(F.lit(name).alias("table_name"), "rows", "last_day")
+        counts = one if counts is None else counts.unionByName(one)
+    return counts
+
+
+@query
+def quarantine_retention(spark, sf_dir):
+    """Dead letters stored by day and reason, days past the retention period dropped."""
+    import datetime as dt
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    path = work_dir(spark, "quarantine")
+    sinks.write_quarantine(Flow(spark, sf_dir, gate="full").quarantine, path)
+    sinks.apply_retention(spark, path, dt.date.fromisoformat(RETENTION_AS_OF))
+    return spark.read.parquet(path).groupBy("ingest_date", "reason").agg(F.count("*").alias("rows"))
+
+
+@query
+def request_bodies(spark, sf_dir):
+    """Files of one request body a line, read and landed by the request path's gate."""
+    from staylens.operators.landing import land
+    from staylens.session import work_dir
+    from staylens.sources.requests import read_request_bodies
+    path = work_dir(spark, "bodies")
+    Flow(spark, sf_dir).raw.select("value").write.text(path)
+    return (land(read_request_bodies(spark, path), "full")
+            .groupBy(F.coalesce("reason", F.lit("none")).alias("reason"))
+            .agg(F.count("*").alias("events"), F.count_distinct("dedup_key").alias("keys")))
+
+
 BACKFILL = ("2024-01-08", "2024-01-14")
 
 
@@ -377,37 +473,30 @@ def publish_envelope(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-STREAM_FILES = 6
-
+def _drain(spark, sf_dir, start):
+    """Feed the derived message log to a stream as it would arrive: a span of days lands, the stream drains it.
 
-def _message_log(spark, sf_dir):
-    """The derived feed written as a folder of message-log files (the stream's source).
-
-    Files are written one time slice after another, so the stream sees them in
-    arrival order, as a message bus would deliver them.
+    ``start(source)`` starts the stream on the landing zone (``availableNow``, same checkpoint every
+    time). The log is derived once and stored by span; each span is then moved in by its own write.
     """
     from staylens.session import work_dir
-    path = work_dir(spark, "landing-zone")
-    raw = Flow(spark, sf_dir).raw
-    t = F.unix_micros("received_at")
-    lo, hi = raw.agg(F.min(t), F.max(t)).first()
-    width = (hi - lo) // STREAM_FILES + 1
-    for i in range(STREAM_FILES):
-        part = raw.filter((t >= lo + i * width) & (t < lo + (i + 1) * width))
-        part.coalesce(1).write.mode("append").parquet(path)
-    return path
+    log, zone = work_dir(spark, "message-log"), work_dir(spark, "landing-zone")
+    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
+    day = F.to_date("received_at")
+    Flow(spark, sf_dir).raw.withColumn("span", F.when(day >= hi, 2).when(day >= lo, 1).otherwise(0)) \
+        .write.partitionBy("span").parquet(log)
+    for span in range(len(BATCH_BOUNDS) + 1):
+        spark.read.parquet(log).filter(F.col("span") == span).drop("span").write.mode("append").parquet(zone)
+        start(zone).awaitTermination()
 
 
 @query
 def stream_landing(spark, sf_dir):
     from staylens.session import work_dir
-    from staylens.streaming.landing import start_landing
-    src = _message_log(spark, sf_dir)
-    bronze, quarantine, archive = (work_dir(spark, n) for n in ("s-bronze", "s-quarantine", "s-archive"))
-    q = start_landing(spark, src, bronze, quarantine, work_dir(spark, "s-ckpt"), archive,
-                      available_now=True, max_files_per_trigger=2)
-    q.awaitTermination()
     from staylens.sources.sinks import read_bronze
+    from staylens.streaming.landing import start_landing
+    bronze, quarantine, archive, ckpt = (work_dir(spark, n) for n in ("s-bronze", "s-quarantine", "s-archive", "s-ckpt"))
+    _drain(spark, sf_dir, lambda src: start_landing(spark, src, bronze, quarantine, ckpt, archive, available_now=True))
     return read_bronze(spark, bronze)
 
 
@@ -416,26 +505,35 @@ def stream_alerts(spark, sf_dir):
     from staylens.session import work_dir
     from staylens.streaming.alerts import latest_windows, start_alerts
     from staylens.streaming.landing import read_messages
-    src = _message_log(spark, sf_dir)
-    out = work_dir(spark, "s-alerts")
-    q = start_alerts(spark, read_messages(spark, src, 2), out, work_dir(spark, "a-ckpt"), available_now=True)
-    q.awaitTermination()
+    out, ckpt = work_dir(spark, "s-alerts"), work_dir(spark, "a-ckpt")
+    _drain(spark, sf_dir, lambda src: start_alerts(spark, read_messages(spark, src), out, ckpt, available_now=True))
     return latest_windows(spark, out)
 
 
 # --- recovery and fallbacks ---------------------------------------------------
 
-# Allow list after a contract update that admits one more country.
+# Allow lists after two contract updates: one more currency, then one more country.
+REPLAY_CURRENCIES = ["XYZ"]
 REPLAY_COUNTRIES = ["norway"]
 
 
 @query
 def quarantine_replay(spark, sf_dir):
+    """Two replays into stored bronze; outcomes of the second, and whether the event is in bronze after it."""
     from staylens import reference_data as Ref
-    from staylens.operators.recovery import replay
-    f = Flow(spark, sf_dir, gate="full")
-    return replay(f.quarantine, f.bronze, known_countries=Ref.KNOWN_COUNTRIES + REPLAY_COUNTRIES) \
-        .select("event_id", "dedup_key", "outcome", "attempts")
+    from staylens.operators.recovery import replay_and_land
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    f = Flow(spark, sf_dir, gate="full", stored=("landed",))
+    path = work_dir(spark, "bronze-replay")
+    sinks.write_bronze(f.bronze, path)
+    currencies = Ref.VALID_CURRENCIES + REPLAY_CURRENCIES
+    first = replay_and_land(spark, f.quarantine, path, currencies=currencies)
+    again = f.quarantine.drop("attempts").join(first.select("event_id", "attempts"), "event_id")
+    second = replay_and_land(spark, again, path, Ref.KNOWN_COUNTRIES + REPLAY_COUNTRIES, currencies)
+    stored = sinks.stored_ids(spark, path).withColumn("in_bronze", F.lit(True))
+    return second.join(stored, "event_id", "left").select(
+        "event_id", "dedup_key", "outcome", "attempts", F.coalesce("in_bronze", F.lit(False)).alias("in_bronze"))
 
 
 @query
@@ -451,9 +549,7 @@ def rate_limit_exact(spark, sf_dir):
     from staylens.session import work_dir
     from staylens.streaming.landing import read_messages
     from staylens.streaming.rate_limiter import limit_requests
-    src = _message_log(spark, sf_dir)
-    out = work_dir(spark, "s-limit")
-    q = (limit_requests(read_messages(spark, src, 2)).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", work_dir(spark, "l-ckpt")).trigger(availableNow=True).start())
-    q.awaitTermination()
+    out, ckpt = work_dir(spark, "s-limit"), work_dir(spark, "l-ckpt")
+    _drain(spark, sf_dir, lambda src: limit_requests(read_messages(spark, src), **RATE_LIMIT).writeStream.format("parquet")
+           .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     return spark.read.parquet(out)

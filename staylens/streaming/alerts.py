@@ -1,11 +1,13 @@
 """Dead-letter alerts over the landing stream.
 
-Event-time tumbling windows on ``ingestion_time`` with a watermark: per
-window, requests, dead letters, the error rate and the two alert flags
-(error rate above 1 %, more than 100 dead letters). The aggregation is
-partial per micro-batch and kept in the state store; the watermark bounds the
-state. Updated windows are written per micro-batch (update mode) into a
-``batch_id`` folder; a window's final value is its latest version.
+Event-time tumbling 5-minute windows on ``ingestion_time`` with a watermark count
+requests and dead letters. The aggregation is partial per micro-batch and kept in
+the state store; the watermark bounds the state (rows more than 10 minutes older
+than the newest of the batches before are not counted). Updated windows are written
+per micro-batch (update mode) into a ``batch_id`` folder; a window's final value is
+its latest version. ``latest_windows`` reads them with the two alerts: more than 100
+dead letters in the 5 minutes, and an error rate above 1 % in the 10 minutes that end
+with the window (this window and the one before).
 """
 
 from __future__ import annotations
@@ -24,10 +26,14 @@ def window_counts(labelled: DataFrame, window: str = R.ALERT_WINDOW, watermark:
 
 
 def with_flags(counts: DataFrame) -> DataFrame:
-    rate = F.col("dead_letters").cast("double") / F.col("requests").cast("double")
-    return counts.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
-        "requests", "dead_letters", F.round(rate * 100.0, 2).alias("error_pct"),
+    """Both alerts for rows (window_start, window_end, requests, dead_letters), one a window."""
+    # a window's end is its successor's start: an equi-join on the counted windows
+    before = counts.select(F.col("window_end").alias("window_start"), F.col("requests").alias("_requests"),
+                           F.col("dead_letters").alias("_dead"))
+    dead = F.col("dead_letters") + F.coalesce("_dead", F.lit(0))
+    rate = dead.cast("double") / (F.col("requests") + F.coalesce("_requests", F.lit(0))).cast("double")
+    return counts.join(before, "window_start", "left").select(
+        "window_start", "window_end", "requests", "dead_letters", F.round(rate * 100.0, 2).alias("error_pct"),
         (rate > R.ALERT_ERROR_RATE).alias("error_rate_alert"),
         (F.col("dead_letters") > R.ALERT_DEAD_LETTERS).alias("dead_letter_alert"))
 
@@ -37,7 +43,9 @@ def start_alerts(spark: SparkSession, messages: DataFrame, out_path: str, checkp
     counts = window_counts(land(messages, gate).select("ingestion_time", "reason"))
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        with_flags(batch).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
+        rows = batch.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                            "requests", "dead_letters")
+        rows.write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/batch_id={batch_id}")
 
     w = (counts.writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", checkpoint))
@@ -46,7 +54,7 @@ def start_alerts(spark: SparkSession, messages: DataFrame, out_path: str, checkp
 
 
 def latest_windows(spark: SparkSession, out_path: str) -> DataFrame:
-    """Final value of every window: its version from the latest micro-batch."""
+    """Final value of every window (its version from the latest micro-batch) and its alerts."""
     rows = spark.read.parquet(out_path)
     w = Window.partitionBy("window_start").orderBy(F.col("batch_id").desc())
-    return rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id")
+    return with_flags(rows.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "batch_id"))
