@@ -3,13 +3,15 @@
 Both dictionaries come from a bounded sample of labelled documents (``sample_docs``
 of each class, taken by hash of the id). Toxic documents are mostly ordinary
 prose, so the windows that train the toxic dictionary are those holding a byte
-sequence typical of the class: sequences are picked one by one, each time the one
-that covers most toxic documents not yet covered often, less its share in ordinary
-ones. Every window (``window_words`` words) of a text is compressed under both
-dictionaries; the difference of the lengths says which text it resembles. Windows
-are widened to two bytes a letter first, which lets matches of short words pay for
-their sequence header. How many windows reach each of a row of thresholds, and at
-what rate, goes into a logistic function whose weights are calibrated on the sample.
+sequence typical of the class: sequences too frequent there for chance are picked one
+by one, each time the one that covers most toxic documents not yet covered often, less
+its share in ordinary ones; windows that hold any are kept from the ordinary dictionary.
+Every window (``window_words`` words) of a text is compressed under both dictionaries;
+the difference of the lengths says which text it resembles. Windows are widened to two
+bytes a letter first, the second a hash of the word so far: matches of short words then
+pay for their sequence header, and only words that begin alike match. How many windows
+reach each of a row of thresholds (of the difference, and of the difference a byte), and
+at what rate, goes into a logistic function whose weights are calibrated on the sample.
 
 Only ``toxic`` labels of the learning folds are read; nothing but the text is
 scored. The model (two dictionaries, at most ``dict_bytes`` each, and some weights)
@@ -34,6 +36,7 @@ from pyspark.sql import DataFrame, functions as F
 from staylens.llm.common import crc_fold, text_bytes, xx
 
 THRESHOLDS = (1, 2, 3, 4, 5, 6, 8, 10, 12, 16)
+RATES = (0.3, 0.45, 0.6, 0.75, 0.9, 1.1)  # differences a byte of the window
 LENGTHS = (5, 6, 8)      # bytes of a typical sequence
 COVER = 8                # times a toxic document is to be covered
 SEQUENCES = 256          # at most so many typical sequences
@@ -46,8 +49,18 @@ def windows(text: bytes, n: int) -> list[bytes]:
 
 
 def _widen(window: bytes) -> bytes:
-    a = np.frombuffer(window, np.uint8)
-    return np.stack([a, a ^ 0x80], axis=1).tobytes()
+    """Each byte, and after it a byte that hashes the word so far."""
+    out, h = bytearray(), 0
+    for c in window:
+        h = 0 if c == 32 else (h * 167 + c * 59 + 13) & 0xFF
+        out += bytes((c, h))
+    return bytes(out)
+
+
+def _significant(k: np.ndarray, n: np.ndarray, p: float) -> np.ndarray:
+    """Whether k of n is so far above the share p that no sequence should come so far by chance (Chernoff's bound)."""
+    q = np.clip(k / np.maximum(n, 1), p, 1 - 1e-12)
+    return n * (q * np.log(q / p) + (1 - q) * np.log((1 - q) / (1 - p))) >= np.log(max(len(k), 1)) + 2
 
 
 class Sample:
@@ -81,7 +94,8 @@ class Sample:
         toxic, ordinary = self.docs
         in_toxic, in_ordinary = self.share(toxic), self.share(ordinary)
         n_toxic, n_ordinary = len(toxic), max(len(ordinary), 1)
-        good = (in_toxic >= max(2, n_toxic // 250)) & (in_toxic / n_toxic >= 4 * (in_ordinary + 1) / n_ordinary)
+        good = (in_toxic / n_toxic >= 4 * (in_ordinary + 1) / n_ordinary) & _significant(
+            in_toxic, in_toxic + in_ordinary, n_toxic / (n_toxic + n_ordinary))
         number = np.cumsum(good) - 1
         held = [number[s[good[s]]] for s in map(self.sequences, toxic)]
         chosen, cost = np.flatnonzero(good), in_ordinary[good] / n_ordinary
@@ -139,7 +153,8 @@ class Model:
     def features(self, text: bytes) -> np.ndarray:
         w = windows(text, self.window_words)
         d = np.fromiter(map(self._difference, w), np.int64, len(w))
-        reach = np.array([(d >= t).sum() for t in THRESHOLDS], float)
+        rate = d / np.fromiter(map(len, w), np.int64, len(w))
+        reach = np.array([*((d >= t).sum() for t in THRESHOLDS), *((rate >= t).sum() for t in RATES)], float)
         return np.concatenate([np.log1p(reach), reach / (len(w) + 3), [np.log1p(len(w))]])
 
     def fit(self, toxic: list[bytes], ordinary: list[bytes], dict_bytes: int):
@@ -152,6 +167,7 @@ class Model:
         common = np.zeros(len(sample.windows), np.int64)
         for doc in sample.docs[1]:
             common[np.unique(doc)] += 1
+        common[like] = 0  # what is typical of the other class teaches the ordinary dictionary nothing
         top = np.argsort(-common, kind="stable")[:20_000]
         like_ordinary = [_widen(sample.windows[w]) for w in top[common[top] > 0]]
         del sample
