@@ -129,3 +129,24 @@ def test_schema_version_routing(spark, base_event):
                                "request_id string, received_at timestamp, schema_version string, value string")
     got = {r.event_id: (r.schema_version, r.reason) for r in landing.land(df, "full").collect()}
     assert got == {"a": ("v1", None), "b": ("v1", None), "c": ("v9", "unsupported_schema_version")}
+
+
+def test_replay_lands_once_and_abandons_after_five_attempts(spark, base_event):
+    import json
+    from staylens.operators.recovery import replay_and_land
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    body = json.dumps({**base_event, "user_country": "Norway"})
+    bad = json.dumps({**base_event, "hotel_id": -1})
+    q = landing.quarantine_rows(landing.land(messages(spark, [
+        ("n", "2022-01-24 11:01:13", body), ("x", "2022-01-24 11:01:13", bad)]), "full"))
+    path = work_dir(spark, "replay-bronze")
+    sinks.write_bronze(landing.bronze_rows(landing.land(messages(
+        spark, [("seed", "2022-01-24 10:00:00", {**base_event, "timestamp": "2022-01-23T08:00:00"})]), "full")), path)
+    known = ["netherlands", "norway"]
+    first = {r.event_id: (r.outcome, r.attempts) for r in replay_and_land(spark, q, path, known).collect()}
+    assert first == {"n": ("relanded", 2), "x": ("still_failing", 2)}
+    late = q.drop("attempts").selectExpr("*", "4 as attempts")
+    again = {r.event_id: (r.outcome, r.attempts) for r in replay_and_land(spark, late, path, known).collect()}
+    assert again == {"n": ("already_landed", 5), "x": ("abandoned", 5)}
+    assert sorted(r.event_id for r in sinks.read_bronze(spark, path).select("event_id").collect()) == ["n", "seed"]
