@@ -299,6 +299,20 @@ def test_html_roles(spark):
     assert html_text.extract(df.limit(0)).count() == 0
 
 
+def test_html_class_marks():
+    def text(body):
+        got, has = html_text.blocks(page(body))
+        return "\n".join(t for r, t in got if r == (html_text.TEXT if has else html_text.OPEN))
+
+    for mark in ('class="content-sidebar-wrap"', 'class="no-sidebar"', 'id="related-work"', 'class="wide search"', "class=sidebar"):
+        assert text(f"<div {mark}><main><p>a</p><div class='ads'>buy</div><p>b</p></main></div><div>foot</div>") == "a\nb", mark
+    assert text('<article><h1 class="entry-header">H</h1><div class="post-header">by me</div><div class="header">on</div><p>x</p></article>') == "H\nby me\non\nx"
+    assert text('<article>x<p class="ad">buy<p>y<ul><li class="menu-item">m<li>z</ul></article>') == "x\ny\nz"
+    assert text('<article><table><tr><td class="ad">buy<td>y<tr><td>z</table><dl><dt class="ad">buy<dd>w</dl></article>') == "y\nz\nw"
+    assert text('<article>x</article><ol class="comments"><li><article>hm</article></ol><aside><article>teaser</article></aside>') == "x"
+    assert text('<article><ul><li class="related-posts">r<ul><li>in it</ul><li>own</ul></article>') == "own"
+
+
 @pytest.mark.parametrize("shard_tokens", [20, 100_000])
 def test_html_boilerplate_by_host(spark, shard_tokens):
     notice = "all of these words stand on every page of the host"
