@@ -324,6 +324,26 @@ def test_html_boilerplate_by_host(spark, shard_tokens):
     assert got[10] == notice
 
 
+@pytest.mark.parametrize("shard_tokens", [60, 100_000])
+def test_html_drops_only_whole_repeated_blocks(spark, shard_tokens):
+    own = lambda i, n=30: " ".join(f"own{i}x{j}" for j in range(n))
+    quote, rare = "to be or not to be that is the question", "these lines are quoted on three pages of the host"
+    notice = "all of these words stand on every page of the host"
+    rows = [(i, "http://copies.org/x", f"<p>{own('a', 60)}</p>") for i in range(4)]                # exact copies of one page
+    rows += [(10 + i, "http://many.org/x", f"<p>{own(i)} {quote} {own(-i)}</p><p>{notice}</p>" + f"<p>{rare}</p>" * (i < 3))
+             for i in range(20)]                                                             # a phrase, notices, a rare block
+    near = [f"w{j}" for j in range(400)]
+    rows += [(40 + i, "http://near.org/x", f"<p>{' '.join(near[:100])}</p><p>{' '.join([*near[100:], f'v{i}'])}</p>") for i in range(3)]
+    rows += [(50 + i, "http://near.org/x", f"<p>{own(100 + i)}</p>") for i in range(12)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, shard_tokens=shard_tokens).collect()}
+    assert all(got[i] == own("a", 60) for i in range(4))
+    for i in range(20):
+        assert got[10 + i] == f"{own(i)} {quote} {own(-i)}" + f"\n{rare}" * (i < 3)
+    assert all(got[40 + i] == " ".join(near[:100]) + "\n" + " ".join([*near[100:], f"v{i}"]) for i in range(3))
+    assert all(got[50 + i] == own(100 + i) for i in range(12))
+
+
 def test_suffix_array_orders_suffixes():
     rng = np.random.default_rng(2)
     t = rng.integers(0, 3, 200)
