@@ -1,8 +1,9 @@
 """Surrogates for personal data (DataFrame functions only).
 
 Detected: e-mail addresses, IPv4 addresses, IBANs, social security numbers, phone
-numbers, payment card numbers (13 to 19 digits) and persons named with a title. Each
-is replaced by a keyed surrogate of its own type and format:
+numbers, payment card numbers (13 to 19 digits) and persons named with a title: all the
+capitalised parts that follow it, and every other mention of one of these parts (as it
+stands, in capitals or with one capital) in the same document. Each is replaced by a keyed surrogate of its own type and format:
 
 * digits go through a keyed Feistel permutation of the digit strings of that length,
   so different numbers stay different, the same number written in another way gets
@@ -12,11 +13,12 @@ is replaced by a keyed surrogate of its own type and format:
 * e-mail addresses get a pronounceable local part and a reserved domain, each hashed
   from its own half, so addresses of one domain stay together;
 * names keep their title; each name becomes syllables in the same script, with an
-  ending that fits the title's gender. The same name gives the same syllables.
+  ending that fits the title's gender (a mention: that of the first title with the name;
+  Dr. and Prof. alone: as Mr). The same name gives the same syllables. Particles stay.
 
 Hashed names are not distinct by construction. ``surrogate_width`` looks for two
 different originals with one surrogate, or a surrogate that is some other original,
-over the whole corpus, and lengthens all hashed names until there is none.
+over the whole corpus (names also part by part), and lengthens all hashed names until there is none.
 
 Cases: null texts stay null; texts without personal data stay as they are; repeated
 rows are treated alike; an empty table gives no rows; other columns pass unchanged.
@@ -35,14 +37,23 @@ IPV4 = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\d|\.\d)"
 IBAN = r"(?<![\p{L}\p{N}])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){3,7}(?: ?[A-Z0-9]{1,3})?(?![\p{L}\p{N}])"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = (r"(?<![\d+])\+\d{1,3}[ .-]?(?:\(\d{1,4}\)|\d{1,4})(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-         r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[.-]\d{3}[.-]\d{4}(?!\d|[.-]\d)")
+         r"|\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d.-])\d{3}[ .-]\d{3}[ .-]\d{4}(?!\d|[ .-]\d)"
+         r"|(?:\(0\d{1,4}\) ?|(?<![\d.-])0\d{1,4}[ .-])\d{3,4}[ .-]\d{3,4}(?!\d|[ .-]\d)")
 CARD = r"(?<![\d-])(?:\d{13,19}|\d{4}(?:[ -]\d{4}){2,3}(?:[ -]\d{1,4})?|\d{4}[ -]\d{6}[ -]\d{5})(?!\d|-\d)"
 MALE = r"Mr|Herr|Señor|Sr|Monsieur|Г-н|Κύριος"
 FEMALE = r"Mrs|Ms|Miss|Frau|Señora|Sra|Mme|Madame|Г-жа|Κυρία"
-PERSON = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE})\.? \p{{Lu}}\p{{Ll}}+(?:[ -]\p{{Lu}}\p{{Ll}}+)?"
+NEUTRAL = r"Dr|Prof"
+TITLE = rf"(?:{MALE}|{FEMALE}|{NEUTRAL})"
+TITLES = rf"{TITLE}\.?(?: {TITLE}\.?(?= ))*+"
+PARTICLE = r"(?:(?:van|von|vom|der|den|de|del|della|di|da|dos|das|du|la|le|el|al|bin|ibn|zu|ter|ten) ){0,3}+"
+# A capitalised part: initials, or letters with inner capitals, apostrophes (not a genitive 's) and hyphens.
+TAIL = r"[\p{L}\p{M}]*+"
+PART = rf"(?!{TITLE}(?![\p{{L}}\p{{M}}]))\p{{Lu}}(?:\.(?:\p{{Lu}}\.)*+|{TAIL}(?:['’](?!S(?!\p{{L}}))\p{{Lu}}{TAIL}|[-‐]\p{{Lu}}{TAIL})*+)"
+PERSON = rf"(?<![\p{{L}}\p{{N}}]){TITLES} {PARTICLE}{PART}(?: {PARTICLE}{PART})*+"
 ANY = "|".join((EMAIL, IPV4, IBAN, SSN, PHONE, CARD, PERSON))
 # A text without any of these holds none of the above.
-HINT = rf"@|\d\D?\d|(?:{MALE}|{FEMALE})\.? \p{{Lu}}"
+NAME_HINT = rf"{TITLE}\.? \p{{L}}"
+HINT = rf"@|\d\D?\d|{NAME_HINT}"
 # Sixteen syllables per script: one per hexadecimal digit of a hash.
 SYLLABLES = {
     "latin": "ba de fi go lu ma ne pi ro su ta ve wi zo ka li".split(),
@@ -116,8 +127,44 @@ def _name(key: str, name: Column, female: Column, width: int) -> Column:
         return F.initcap(F.concat(_syllables(h, width, script),
                                   F.when(female, F.lit(ENDINGS[script][1])).otherwise(F.lit(ENDINGS[script][0]))))
 
-    return (F.when(name.rlike(r"\p{IsCyrillic}"), written("cyrillic")).when(name.rlike(r"\p{IsGreek}"), written("greek"))
-            .otherwise(written("latin")))
+    new = (F.when(name.rlike(r"\p{IsCyrillic}"), written("cyrillic")).when(name.rlike(r"\p{IsGreek}"), written("greek"))
+           .otherwise(written("latin")))
+    return F.when(name.rlike(r"^\p{Lu}[^\p{Ll}.]+$"), F.upper(new)).otherwise(new)
+
+
+def _let(value: Column, f) -> Column:
+    """f(value) with the value computed once."""
+    return F.element_at(F.transform(F.array(value), f), 1)
+
+
+def _title(x: Column) -> Column:
+    return F.regexp_extract(x, rf"^{TITLES}(?= )", 0)
+
+
+def _female(title: Column) -> Column:
+    return title.rlike(rf"(?:^| )(?:{FEMALE})\.?(?: |$)")
+
+
+def _parts(x: Column) -> Column:
+    """The parts of a person's name, particles too, without the title."""
+    return F.split(F.trim(F.substr(x, F.length(_title(x)) + 1)), " ")
+
+
+def known_names(t: Column) -> Column:
+    """Array of (part, female) of the persons that a text names with a title, initials left out."""
+    persons = F.filter(F.regexp_extract_all(t, F.lit(ANY), 0), lambda x: _title(x) != "")
+    named = F.flatten(F.transform(persons, lambda x: F.transform(
+        F.filter(_parts(x), lambda n: n.rlike(r"^\p{Lu}[^.]+$")), lambda n: F.struct(n.alias("n"), _female(_title(x)).alias("f")))))
+    return F.when(t.rlike(NAME_HINT), named).otherwise(F.array().cast("array<struct<n:string,f:boolean>>"))
+
+
+def pattern_of(known: Column) -> Column:
+    """ANY, and whole-word mentions of the known names."""
+    forms = F.array_distinct(F.flatten(F.transform(known, lambda e: F.array(e["n"], F.upper(e["n"]), F.initcap(F.lower(e["n"]))))))
+    longest = F.transform(F.sort_array(F.transform(forms, lambda n: F.struct((-F.length(n)).alias("l"), n.alias("n")))), lambda e: e["n"])
+    word = F.concat(F.lit("(?:"), F.array_join(longest, "|"), F.lit(r")(?![\p{L}\p{M}])"))
+    return F.when(F.size(known) == 0, F.lit(ANY)).otherwise(_let(word, lambda w: F.concat(
+        F.lit(ANY + r"|(?<![\p{L}\p{M}\p{N}])"), w, F.lit("(?: "), w, F.lit(")*+"))))
 
 
 def kind_of(x: Column) -> Column:
@@ -134,8 +181,8 @@ def canonical(x: Column, kind: Column) -> Column:
             .when(kind == "person", F.lower(x)).otherwise(x))
 
 
-def surrogate(x: Column, kind: Column, key: str, width: int) -> Column:
-    """The replacement of one detected string."""
+def surrogate(x: Column, kind: Column, key: str, width: int, known: Column | None = None) -> Column:
+    """The replacement of one detected string; ``known`` are the names of its document."""
     digits = F.regexp_replace(x, "[^0-9]", "")
     local, domain = F.lower(F.substring_index(x, "@", 1)), F.lower(F.substring_index(x, "@", -1))
     email = F.concat(_syllables(_hash(key, F.lit("email"), local, domain), width, "latin"), F.lit("@"),
@@ -157,10 +204,16 @@ def surrogate(x: Column, kind: Column, key: str, width: int) -> Column:
     bare = F.regexp_replace(x, " ", "")
     iban_h = F.conv(F.substring(_hash(key, F.lit("iban"), bare), 1, 15), 16, 10)
     iban = refill(x, F.rpad(F.concat(iban_h, F.conv(F.substring(_hash(key, F.lit("iban2"), bare), 1, 15), 16, 10)), 40, "7"))
-    title = F.regexp_extract(x, rf"^(?:{MALE}|{FEMALE})\.?(?= )", 0)
-    female = title.rlike(rf"^(?:{FEMALE})\.?$")
-    names = F.split(F.trim(F.substr(x, F.length(title) + 1)), " ")
-    person = F.concat(title, F.lit(" "), F.array_join(F.transform(names, lambda n: _name(key, n, female, width)), " "))
+    title = _title(x)
+
+    def female(n):
+        if known is None:
+            return _female(title)
+        first = F.get(F.filter(known, lambda e: F.lower(e["n"]) == F.lower(n)), F.lit(0))["f"]
+        return F.when(title != "", _female(title)).otherwise(F.coalesce(first, F.lit(False)))
+
+    names = F.transform(_parts(x), lambda n: F.when(n.rlike(r"^\p{Lu}"), _name(key, n, female(n), width)).otherwise(n))
+    person = F.concat(title, F.when(title != "", F.lit(" ")).otherwise(F.lit("")), F.array_join(names, " "))
     return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "iban", iban).when(kind == "ssn", ssn)
             .when(kind == "phone", phone).when(kind == "card", card).otherwise(person))
 
@@ -175,13 +228,18 @@ def surrogate_pairs(docs: DataFrame, key: str, width: int, text: str = "text") -
     """Per entity its kind and keyed hashes of original and surrogate (no personal data is written)."""
     x, k = F.col("x"), F.col("k")
     named = entities(docs, text).withColumn("k", kind_of(x)).withColumn("new", surrogate(x, k, key, width))
-    return named.select("k", _hash(key, canonical(x, k)).alias("c"), _hash(key, canonical(F.col("new"), k)).alias("s")).distinct()
+    whole = F.struct(k.alias("k"), canonical(x, k).alias("c"), canonical(F.col("new"), k).alias("s"))
+    parts = F.transform(F.filter(_parts(x), lambda n: n.rlike(r"^\p{Lu}")), lambda n: F.struct(
+        F.lit("name").alias("k"), F.lower(n).alias("c"), F.lower(_name(key, n, _female(_title(x)), width)).alias("s")))
+    each = F.when(k == "person", F.concat(F.array(whole), parts)).otherwise(F.array(whole))
+    return named.select(F.explode(each).alias("e")).select(
+        "e.k", _hash(key, F.col("e.c")).alias("c"), _hash(key, F.col("e.s")).alias("s")).distinct()
 
 
 def collisions(pairs: DataFrame) -> DataFrame:
     """Surrogates of several originals, and hashed ones equal to some original."""
     many = pairs.groupBy("k", "s").agg(F.count("*").alias("n")).where("n > 1").select("k", "s")
-    hashed = pairs.where(F.col("k").isin("email", "person", "iban")).select("k", "s")
+    hashed = pairs.where(F.col("k").isin("email", "person", "name", "iban")).select("k", "s")
     return many.union(hashed.join(pairs.select("k", F.col("c").alias("s")), ["k", "s"]))
 
 
@@ -198,15 +256,20 @@ def replace(docs: DataFrame, *, text: str = "text", key: str, width: int | None
     """``docs`` with the personal data in ``text`` replaced; all other columns as they are."""
     width = surrogate_width(docs, key, text=text) if width is None else width
     t = F.col(text)
-    found = F.regexp_extract_all(t, F.lit(ANY), 0)
-    kinds = F.transform(found, lambda x: F.struct(x.alias("x"), kind_of(x).alias("k")))
-    new = F.concat(F.transform(kinds, lambda p: surrogate(p["x"], p["k"], key, width)), F.array(F.lit("")))
-    joined = F.array_join(F.zip_with(F.split(t, ANY, -1), new, lambda a, b: F.concat(a, b)), "")
-    return docs.withColumn(text, F.when(t.rlike(HINT), joined).otherwise(t))
+
+    def joined(known, pattern):
+        kinds = F.transform(F.regexp_extract_all(t, pattern, 0), lambda x: F.struct(x.alias("x"), kind_of(x).alias("k")))
+        new = F.concat(F.transform(kinds, lambda p: surrogate(p["x"], p["k"], key, width, known)), F.array(F.lit("")))
+        return F.array_join(F.zip_with(F.split(t, pattern, -1), new, lambda a, b: F.concat(a, b)), "")
+
+    whole = _let(known_names(t), lambda known: _let(pattern_of(known), lambda pattern: joined(known, pattern)))
+    return docs.withColumn(text, F.when(t.rlike(HINT), whole).otherwise(t))
 
 
 def report(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", key: str) -> DataFrame:
     """One row per document: doc_id, n_entities, text with surrogates."""
     src = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(text).alias("before"))
-    n = F.when(F.col("before").rlike(HINT), F.size(F.regexp_extract_all("before", F.lit(ANY), 0))).otherwise(0)
+    before = F.col("before")
+    found = _let(pattern_of(known_names(before)), lambda pattern: F.regexp_extract_all(before, pattern, 0))
+    n = F.when(before.rlike(HINT), F.size(found)).otherwise(0)
     return replace(src, text="text", key=key).select("doc_id", F.coalesce(n, F.lit(0)).cast("long").alias("n_entities"), "text")

@@ -503,6 +503,26 @@ def test_pii(spark):
     assert pii.report(df.limit(0), key="k").count() == 0
 
 
+def test_pii_whole_names_and_mentions(spark):
+    names = ["McDonald", "Jean-Luc Picard", "John Ronald Smith", "O'Brien", "J. Smith", "JOHN SMITH", "Ludwig van Beethoven", "DeVito", "J.R. Tolkien"]
+    rows = [(i, f"so Mr. {n} said") for i, n in enumerate(names)]
+    rows += [(20, "Dr. Jones, Prof. Dr. Weber and Frau Dr. Lang's cat"), (21, "Mr. McAdam"),
+             (30, "Smith knew. Mrs. Anna Smith's car; Anna Smith and SMITH, not Smithson or smith; Anna. a@smith.org"), (31, "Smith elsewhere"),
+             (40, "call 555 123 4567 or 020 7946 0958, (020) 7946 0958; card 0123 4567 8901 2345"), (50, "Mr. " + "Xa " * 50_000)]
+    got = {r.doc_id: r for r in pii.report(spark.createDataFrame(rows, "doc_id long, text string"), key="k").collect()}
+    for i, n in enumerate(names):
+        assert re.fullmatch(r"so Mr\. [A-Za-z]+( (van )?[A-Za-z]+)* said", got[i].text) and got[i].n_entities == 1, got[i]
+        assert not set(re.findall(r"[A-Z]\w+", n)) & set(re.findall(r"\w+", got[i].text)), got[i]
+    assert got[0].text != got[21].text.replace("Mr.", "so Mr.") + " said"
+    assert got[4].text.split()[-2] == got[2].text.split()[-2] and got[5].text.split()[3] == got[2].text.split()[-2].upper()
+    assert not re.search("Jones|Weber|Lang", got[20].text) and "'s cat" in got[20].text and got[20].n_entities == 3
+    m = re.fullmatch(r"(\w+) knew\. Mrs\. (\w+) (\w+)'s car; (\w+) (\w+) and (\w+), not Smithson or smith; (\w+)\. \w+@\w+\.example\.org", got[30].text)
+    assert m and m[1] == m[3] == m[5] == m[6].capitalize() != "Smith" and m[2] == m[4] == m[7] != "Anna" and m[1].endswith("a")
+    assert got[31].text == "Smith elsewhere" and got[30].n_entities == 6
+    assert got[40].n_entities == 4 and not re.search("4567|7946|0958", got[40].text)
+    assert "Xa" not in got[50].text
+
+
 def test_pii_digits_are_permuted(spark):
     for n in (2, 3, 5):
         df = spark.range(10 ** n).select(F.lpad(F.col("id").cast("string"), n, "0").alias("d"))
