@@ -4,8 +4,10 @@ Candidates are found per text: the base kinds (keyword assignments, access key
 ids, long hex runs) and, as additions, private-key headers, prefixed service
 tokens and high-entropy strings. Each candidate's hash is then counted over the
 corpus by distinct owners and distinct repositories: a value many owners carry is
-a copied example; a value of one owner that looks random is live. Base spans are
-always reported; an added span only where its value belongs to one owner.
+a copied example; a value of one owner that looks random is live; others are unclear.
+Base spans are always reported; an added span unless its value is a copied example.
+All candidates are judged and counted, reported or not. The value of a private key is
+its body: what follows the header up to its end mark, or else the base64 lines.
 
 The hash is a 128-bit prefix of SHA-256, so no secret leaves the scan.
 
@@ -35,6 +37,9 @@ ASSIGN_WORDS = ("password", "passwd", "secret", "token", "api")
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")
 PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----")
+KEY_LINES = re.compile(r"(?:(?:\s|\\[nr])+[A-Za-z0-9+/=]{16,})+")
+KEY_END = re.compile(r"-----(BEGIN|END)")
+KEY_GAP = re.compile(r"\s|\\[nr]")
 SERVICE = re.compile(r"(?:gh[oprsu]_|xox[abprs]-|sk_live_|AIza)[A-Za-z0-9_-]{16,}")
 ENTROPY = re.compile(r"[A-Za-z0-9+/_-]{20,}")
 MIN_BITS = 3.5  # Shannon entropy a character from which a string looks random
@@ -54,6 +59,15 @@ def looks_random(value: str) -> bool:
     return any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and bits(value) >= min(MIN_BITS, 0.8 * math.log2(max(len(value), 2)))
 
 
+def key_value(text: str, at: int) -> str:
+    """Body of the private key whose header ends at ``at``, without line ends; "" if there is none."""
+    mark = KEY_END.search(text, at)
+    if mark and mark[1] == "END":
+        return KEY_GAP.sub("", text[at:mark.start()])
+    lines = KEY_LINES.match(text, at)
+    return KEY_GAP.sub("", lines[0]) if lines else ""
+
+
 def find(text: str) -> list[tuple[int, int, int, str]]:
     """Candidate spans (start, kind number, end, value) of one text, sorted."""
     out = []
@@ -65,7 +79,7 @@ def find(text: str) -> list[tuple[int, int, int, str]]:
     out += [(m.start(), 2, m.end(), m[0]) for m in HEX.finditer(text)]
     base = sorted(out)
     if "-----BEGIN" in text:
-        out += [(m.start(), 3, m.end(), m[0]) for m in PRIVATE_KEY.finditer(text)]
+        out += [(m.start(), 3, m.end(), key_value(text, m.end()) or m[0]) for m in PRIVATE_KEY.finditer(text)]
     out += [(m.start(), 4, m.end(), m[0]) for m in SERVICE.finditer(text)]
     out += [(m.start(), 5, m.end(), m[0]) for m in ENTROPY.finditer(text) if looks_random(m[0])]
     taken, k = [], 0
@@ -110,10 +124,11 @@ def scan(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", owner:
     judged = spans.select("row", "s.*").join(owned, "hash")
     verdict = (F.when(F.col("n_owners") >= example_owners, "example")
                .when((F.col("n_owners") == 1) & F.col("random"), "live").otherwise("unclear"))
-    listed = judged.withColumn("verdict", verdict).where((F.col("order") < 3) | (F.col("n_owners") == 1))
+    judged = judged.withColumn("verdict", verdict)
+    listed = (F.col("order") < 3) | (F.col("verdict") != "example")
     kinds = F.array(*[F.lit(k) for k in KINDS])
-    per_row = listed.groupBy("row").agg(
-        F.array_sort(F.collect_list(F.struct("start", "order", "end"))).alias("all"),
+    per_row = judged.groupBy("row").agg(
+        F.array_sort(F.collect_list(F.when(listed, F.struct("start", "order", "end")))).alias("all"),
         F.sum((F.col("verdict") == "live").cast("long")).alias("n_live"),
         F.sum((F.col("verdict") == "example").cast("long")).alias("n_example"))
     text_of = F.array_join(F.transform("all", lambda x: F.concat_ws(
