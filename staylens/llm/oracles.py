@@ -58,4 +58,41 @@ taken AS (SELECT r, sum((least(e, (block + 1) * 64) - greatest(b, block * 64)) *
 SELECT doc_id, size, source_size, target, coalesce(taken, 0)::BIGINT AS taken, source
 FROM placed LEFT JOIN taken USING (r)"""
 
-ORACLES = {"op4_mixing": OP4, "op5_substring_dedup": OP5, "op9_decontamination": OP9}
+TERMS = rf"regexp_extract_all({ASCII.format("coalesce(text, '')")}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP11 = f"""
+WITH d AS (SELECT doc_id, {TERMS} AS w FROM documents),
+r AS (SELECT row_number() OVER () AS r, doc_id, len(w)::BIGINT AS n, w FROM d WHERE len(w) > 0),
+total AS (SELECT count(*)::BIGINT AS big_n, sum(n)::BIGINT AS l FROM r),
+tf AS (SELECT r, t, count(*)::BIGINT AS tf FROM (SELECT r, unnest(w) AS t FROM r) GROUP BY r, t),
+q AS (SELECT row_number() OVER () AS q, item_id, {TERMS} AS w FROM benchmark),
+qt AS (SELECT q, item_id, t, count(*)::BIGINT AS times FROM (SELECT q, item_id, unnest(w) AS t FROM q) GROUP BY q, item_id, t),
+wt AS (SELECT t, floor(1000 * ln((2 * big_n + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+       FROM (SELECT t, count(*) AS df FROM tf WHERE t IN (SELECT t FROM qt) GROUP BY t), total),
+m AS (SELECT r, doc_id, 100 - 25 + ((25 * n * big_n) // l) AS m FROM r, total),
+s AS (SELECT q, item_id, doc_id, r, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+      FROM qt JOIN wt USING (t) JOIN tf USING (t) JOIN m USING (r) GROUP BY q, item_id, doc_id, r)
+SELECT item_id, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 20"""
+
+OP13 = rf"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, regexp_split_to_array({ASCII.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]') AS pieces FROM documents),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT lang, unnest(pieces) AS piece FROM d)),
+g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, w[i:i + m - 1] AS w
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM p, (VALUES (1), (2), (3)) AS v(m) WHERE len(w) >= m)),
+c AS (SELECT lang, m, phrase, any_value(w) AS w, count(*) AS f FROM g GROUP BY lang, m, phrase),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM c WHERE m = 1 GROUP BY lang),
+cand AS (SELECT lang, m, phrase, w, f AS a FROM c WHERE m > 1 AND f >= 10),
+cuts AS (SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:m], ' ') AS y
+         FROM (SELECT *, unnest(range(1, m)) AS k FROM cand)),
+scored AS (SELECT s.lang, s.phrase, a, l.f AS l, r.f AS r, 1000000::HUGEINT * a * a // (l.f::HUGEINT * r.f) AS score
+           FROM cuts s JOIN c l ON s.lang = l.lang AND s.x = l.phrase JOIN c r ON s.lang = r.lang AND s.y = r.phrase
+           QUALIFY row_number() OVER (PARTITION BY s.lang, s.phrase ORDER BY score, k) = 1),
+held AS (SELECT lang, part, max(a) AS longer FROM (
+           SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM cand WHERE m = 3) GROUP BY lang, part),
+left_over AS (SELECT s.* FROM scored s LEFT JOIN held h ON s.lang = h.lang AND s.phrase = h.part WHERE NOT coalesce(100 * longer >= 50 * a, false))
+SELECT t.lang, row_number() OVER (PARTITION BY t.lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM left_over t JOIN n USING (lang) QUALIFY rank <= 2000"""
+
+ORACLES = {"op4_mixing": OP4, "op5_substring_dedup": OP5, "op9_decontamination": OP9,
+           "op11_lexical": OP11, "op13_collocations": OP13}

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from staylens.llm import ann, decontam, html_text, lm_score, mixing, pii, secrets, simhash, substring_dedup, toxicity
+from staylens.llm import (ann, collocations, decontam, html_text, lexical, lm_score, mixing, pii, quality, secrets, simhash,
+                          substring_dedup, toxicity)
 from staylens.llm.common import read
 
 PII_KEY = "corpus-surrogates"  # a deployment passes its own secret
@@ -52,10 +53,23 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(read(spark, sf_dir, "documents"), key=PII_KEY)
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(lexical.index(read(spark, sf_dir, "documents")), read(spark, sf_dir, "benchmark"))
+
+
+def op12_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.filter_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
 
 
 QUERIES = {f.__name__: f for f in (op1_lm_scoring, op2_simhash, op3_secrets, op4_mixing, op5_substring_dedup, op6_html_text,
-                                   op7_ann, op8_toxicity, op9_decontamination, op10_pii, pipeline)}
+                                   op7_ann, op8_toxicity, op9_decontamination, op10_pii, op11_lexical, op12_quality,
+                                   op13_collocations, pipeline)}

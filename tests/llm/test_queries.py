@@ -23,12 +23,15 @@ COLUMNS = {
     "op8": "doc_id held_out score predicted",
     "op9": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op10": "doc_id n_entities text",
+    "op11": "item_id rank doc_id score",
+    "op12": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
+    "op13": "lang rank phrase a l r n score",
 }
 
 
 def test_registered():
     assert set(QUERIES) <= set(E.queries()) and set(ORACLES) <= set(E.oracle_sql())
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES if n != "pipeline") == list(range(1, 14))
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash", "decontamination", "pii", "mixing"]
 
 
