@@ -38,6 +38,11 @@ def jint(j: str, f: str) -> str:
             f"THEN CAST({d} AS INTEGER) END)")
 
 
+def jspelled(j: str, f: str) -> str:
+    """The scalar as the dedup key spells it."""
+    return f"(CASE WHEN json_type({j}, '$.{f}') = 'BOOLEAN' THEN upper(left({jtext(j, f)}, 1)) || substr({jtext(j, f)}, 2) ELSE {jtext(j, f)} END)"
+
+
 def jkind(j: str, f: str | None = None) -> str:
     t = f"json_type({j})" if f is None else f"json_type({j}, '$.{f}')"
     return (f"(CASE WHEN {t} IS NULL THEN NULL WHEN {t} IN ('OBJECT','ARRAY','BOOLEAN') THEN {t} "
@@ -83,11 +88,17 @@ def falsy(j: str, f: str) -> str:
 def _item(i: int) -> str:
     cents = f"(CAST(floor(value * 100 + 0.5) AS BIGINT) + {100 * (i + 1)})"
     price = f"(CAST({cents} // 100 AS VARCHAR) || '.' || lpad(CAST({cents} % 100 AS VARCHAR), 2, '0'))"
+    room = _list(S.SEED_ROOMS) + f"[CAST((k + {i}) % 4 + 1 AS INTEGER)]"
+    currency = _list(S.SEED_CURRENCIES) + f"[CAST((k + {i}) % 6 + 1 AS INTEGER)]"
     if i == 0:
         price = f"(CASE WHEN d = 7 THEN '0' ELSE {price} END)"
-    return ("('{\"room_name\":\"' || " + _list(S.SEED_ROOMS) + f"[CAST((k + {i}) % 4 + 1 AS INTEGER)] || "
-            "'\",\"price\":' || " + price + " || ',\"currency\":\"' || "
-            + _list(S.SEED_CURRENCIES) + f"[CAST((k + {i}) % 6 + 1 AS INTEGER)] || '\"}}')")
+    price = f"',\"price\":' || {price}"
+    if i == 0:
+        room = f"CASE WHEN d = 27 THEN '' ELSE {room} END"
+        price = f"CASE WHEN d = 26 THEN '' ELSE {price} END"
+        currency = f"CASE WHEN d = 28 THEN 'eur' ELSE {currency} END"
+    whole = (f"'{{\"room_name\":\"' || ({room}) || '\"' || ({price}) || ',\"currency\":\"' || ({currency}) || '\"}}'")
+    return f"(CASE WHEN d = 24 THEN '5' ELSE {whole} END)" if i == 0 else f"({whole})"
 
 
 def _q(x: str) -> str:
@@ -119,7 +130,8 @@ feed_g AS (
          WHEN d = 16 THEN ts_text0 || '.1234567Z' WHEN d = 17 THEN ts_text0 || '+0500'
          WHEN d = 18 THEN strftime(ts, '%Y%m%dT%H%M%S') ELSE ts_text0 END AS ts_text,
     {_list([a[1] for a in S.SEED_ANCHORS])}[hid - 1235 + 1] || lpad(CAST(k % 1000 AS VARCHAR), 3, '0') AS lat,
-    {_list([a[2] for a in S.SEED_ANCHORS])}[hid - 1235 + 1] || lpad(CAST(k * 7 % 1000 AS VARCHAR), 3, '0') AS lon
+    CASE WHEN hid = 1241 AND k % 2 = 1 THEN '-179.9' ELSE {_list([a[2] for a in S.SEED_ANCHORS])}[hid - 1235 + 1] END
+      || lpad(CAST(k * 7 % 1000 AS VARCHAR), 3, '0') AS lon
   FROM feed_f
 ),
 feed_h AS (
@@ -137,13 +149,14 @@ feed AS (
            '"arrival_date":' || CASE WHEN k % 97 = 0 THEN 'null' WHEN d = 11 THEN {_q("strftime(arr, '%d-%m-%Y')")}
                                      ELSE {_q("strftime(arr, '%Y-%m-%d')")} END,
            '"departure_date":' || {_q("strftime(dep, '%Y-%m-%d')")},
-           '"length_of_stay":' || CASE WHEN d = 12 THEN los || '.0' ELSE los END,
-           '"user_country":' || {_q(_list(S.SEED_COUNTRIES) + "[CAST(k % 12 + 1 AS INTEGER)]")},
+           '"length_of_stay":' || CASE WHEN d = 12 THEN los || '.0' WHEN d = 19 THEN '0' WHEN d = 31 THEN '400' ELSE los END,
+           '"user_country":' || {_q("CASE WHEN d = 21 THEN '' ELSE " + _list(S.SEED_COUNTRIES) + "[CAST(k % 12 + 1 AS INTEGER)] END")},
            '"hotel_id":' || CASE WHEN d = 3 THEN NULL WHEN d = 4 THEN {_q("CAST(hid AS VARCHAR)")}
-                                 WHEN d = 15 THEN '0' ELSE CAST(hid AS VARCHAR) END,
-           '"hotel_name":' || {_q("'Hotel ' || CAST(hid AS VARCHAR)")},
+                                 WHEN d = 15 THEN '0' WHEN d = 29 THEN CAST(hid AS VARCHAR) || '.0'
+                                 ELSE CAST(hid AS VARCHAR) END,
+           '"hotel_name":' || {_q("CASE WHEN d = 22 THEN '' ELSE 'Hotel ' || CAST(hid AS VARCHAR) END")},
            '"hotel_latitude":' || CASE WHEN d = 5 THEN '95.0' ELSE lat END,
-           '"hotel_longitude":' || lon,
+           '"hotel_longitude":' || CASE WHEN d = 23 THEN '200.5' ELSE lon END,
            '"timestamp":' || {_q("ts_text")},
            '"search_results":' || results,
            CASE WHEN d = 10 THEN '"partner_ref":' || {_q("'p' || CAST(k AS VARCHAR)")} END,
@@ -163,8 +176,8 @@ landed_j AS (
 ),
 landed_t AS (
   SELECT *,
-    sha256(concat_ws('|', coalesce({jtext('j', 'hotel_id')}, 'None'), coalesce({jtext('j', 'timestamp')}, 'None'),
-                          coalesce({jtext('j', 'user_country')}, 'None'), coalesce({jtext('j', 'arrival_date')}, 'None')))
+    sha256(concat_ws('|', coalesce({jspelled('j', 'hotel_id')}, 'None'), coalesce({jspelled('j', 'timestamp')}, 'None'),
+                          coalesce({jspelled('j', 'user_country')}, 'None'), coalesce({jspelled('j', 'arrival_date')}, 'None')))
       AS dedup_key,
     {jint('j', 'hotel_id')} AS hotel_id,
     {iso_ts(jtext('j', 'timestamp'))} AS search_timestamp,
@@ -251,7 +264,7 @@ gold_arrival AS (
 gold_country AS (
   SELECT city, search_date, user_country, user_country_iso, count(*) AS search_count,
     {share('count(*)', 'sum(count(*)) OVER (PARTITION BY city, search_date)')} AS pct_of_total,
-    round(avg(length_of_stay), 1) AS avg_los
+    round(avg(length_of_stay), 1) AS avg_los, sum(length_of_stay)::BIGINT AS total_nights
   FROM silver WHERE city IS NOT NULL GROUP BY city, search_date, user_country, user_country_iso
 ),
 gold_los AS (
@@ -267,39 +280,31 @@ def _sq(x: str) -> str:
     return x.replace("'", "''")
 
 
-def _err(key: str, path: str, msg: str, cond: str) -> str:
-    return f"CASE WHEN {cond} THEN {{'k': {key}, 'e': {path} || ': ' || '{_sq(msg)}'}} END"
+def _err(key: str, path: str, msg: str, cond: str, code: str) -> str:
+    return f"CASE WHEN {cond} THEN {{'k': {key}, 'e': {path} || ': ' || '{_sq(msg)}', 'c': '{code}'}} END"
 
 
-def _contract_rules() -> list[str]:
+def _contract_rules(version: str | None) -> list[str]:
+    """The field rules as SQL; ``version`` is the column with the event's contract version (None: all are v1)."""
     from staylens.operators import validation as V
+    integers = {f for c in R.CONTRACTS.values() for f in c.integers}
     out = []
-    k = {f: f"k_{f}" for f in R.REQUIRED_FIELDS}
-    for f in R.REQUIRED_FIELDS:
-        out.append(_err("''", "'root'", V.MSG_REQUIRED.format(field=f), f"{k[f]} IS NULL"))
-    for f in R.STRING_FIELDS:
-        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="string"),
-                        f"{k[f]} IS NOT NULL AND {k[f]} <> 'STRING'"))
-    is_int = {f: f"({k[f]} = 'NUMBER' AND n_{f} = floor(n_{f}))" for f in R.INTEGER_FIELDS}
-    for f in R.INTEGER_FIELDS:
-        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="integer"),
-                        f"{k[f]} IS NOT NULL AND NOT {is_int[f]}"))
-    for f in R.NUMBER_FIELDS:
-        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TYPE.format(type="number"),
-                        f"{k[f]} IS NOT NULL AND {k[f]} <> 'NUMBER'"))
-    for f, lo, hi in R.NUMERIC_BOUNDS:
-        ok = is_int[f] if f in R.INTEGER_FIELDS else f"({k[f]} = 'NUMBER')"
-        if lo is not None:
-            out.append(_err(f"'{f}'", f"'{f}'", V.MSG_MIN.format(bound=lo), f"{ok} AND n_{f} < {lo}"))
-        if hi is not None:
-            out.append(_err(f"'{f}'", f"'{f}'", V.MSG_MAX.format(bound=hi), f"{ok} AND n_{f} > {hi}"))
-    for f, lo, hi in R.LENGTH_BOUNDS:
-        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TOO_SHORT, f"{k[f]} = 'STRING' AND length(s_{f}) < {lo}"))
-        out.append(_err(f"'{f}'", f"'{f}'", V.MSG_TOO_LONG, f"{k[f]} = 'STRING' AND length(s_{f}) > {hi}"))
-    kr = k["search_results"]
-    out.append(_err("'search_results'", "'search_results'", V.MSG_TYPE.format(type="array"),
-                    f"{kr} IS NOT NULL AND {kr} <> 'ARRAY'"))
-    out.append(_err("'search_results'", "'search_results'", V.MSG_EMPTY, f"{kr} = 'ARRAY' AND len(items) = 0"))
+    for r in V.field_rules():
+        k, n, s = f"k_{r.field}", f"n_{r.field}", f"s_{r.field}"
+        is_int = f"({k} = 'NUMBER' AND {n} = floor({n}))"
+        typed = is_int if r.field in integers else f"({k} = 'NUMBER')"
+        cond = {"required": f"{k} IS NULL", "integer": f"{k} IS NOT NULL AND NOT {is_int}",
+                "string": f"{k} IS NOT NULL AND {k} <> 'STRING'", "number": f"{k} IS NOT NULL AND {k} <> 'NUMBER'",
+                "array": f"{k} IS NOT NULL AND {k} <> 'ARRAY'", "minimum": f"{typed} AND {n} < {r.bound}",
+                "maximum": f"{typed} AND {n} > {r.bound}", "empty": f"{k} = 'ARRAY' AND len(items) = 0",
+                "too_short": f"{k} = 'STRING' AND length({s}) < {r.bound}",
+                "too_long": f"{k} = 'STRING' AND length({s}) > {r.bound}"}[r.check]
+        if set(r.versions) != set(R.CONTRACTS):
+            if version is None and "v1" not in r.versions:
+                continue
+            if version is not None:
+                cond = f"{version} IN ({', '.join(repr(v) for v in r.versions)}) AND {cond}"
+        out.append(_err("''" if r.check == "required" else f"'{r.path}'", f"'{r.path}'", r.message, cond, r.code))
     return out
 
 
@@ -310,22 +315,25 @@ def _item_rules() -> str:
     kx = jkind("x")
     kf = {f: jkind("x", f) for f in R.RESULT_ITEM_FIELDS}
     obj = f"{kx} = 'OBJECT'"
-    rules = [_err(key, base, V.MSG_NOT_OBJECT, f"NOT ({obj})")]
+    codes = V.ITEM_CODES
+    rules = [_err(key, base, V.MSG_NOT_OBJECT, f"NOT ({obj})", codes["object"])]
     for f in R.RESULT_ITEM_FIELDS:
-        rules.append(_err(key, base, V.MSG_REQUIRED.format(field=f), f"{obj} AND {kf[f]} IS NULL"))
+        rules.append(_err(key, base, V.MSG_REQUIRED.format(field=f), f"{obj} AND {kf[f]} IS NULL", codes[f]))
     sub = {f: (f"({key} || '.{f}')", f"({base} || '.{f}')") for f in R.RESULT_ITEM_FIELDS}
     room, price, cur = jtext("x", "room_name"), jnum("x", "price"), jtext("x", "currency")
     rules += [
         _err(*sub["room_name"], V.MSG_TYPE.format(type="string"),
-             f"{obj} AND {kf['room_name']} IS NOT NULL AND {kf['room_name']} <> 'STRING'"),
-        _err(*sub["room_name"], V.MSG_TOO_SHORT, f"{obj} AND {kf['room_name']} = 'STRING' AND length({room}) < 1"),
+             f"{obj} AND {kf['room_name']} IS NOT NULL AND {kf['room_name']} <> 'STRING'", codes["room_type"]),
+        _err(*sub["room_name"], V.MSG_TOO_SHORT, f"{obj} AND {kf['room_name']} = 'STRING' AND length({room}) < 1",
+             codes["room_empty"]),
         _err(*sub["price"], V.MSG_TYPE.format(type="number"),
-             f"{obj} AND {kf['price']} IS NOT NULL AND {kf['price']} <> 'NUMBER'"),
-        _err(*sub["price"], V.MSG_EXCL_MIN, f"{obj} AND {kf['price']} = 'NUMBER' AND {price} <= 0"),
+             f"{obj} AND {kf['price']} IS NOT NULL AND {kf['price']} <> 'NUMBER'", codes["price_type"]),
+        _err(*sub["price"], V.MSG_EXCL_MIN, f"{obj} AND {kf['price']} = 'NUMBER' AND {price} <= 0", codes["price_low"]),
         _err(*sub["currency"], V.MSG_TYPE.format(type="string"),
-             f"{obj} AND {kf['currency']} IS NOT NULL AND {kf['currency']} <> 'STRING'"),
+             f"{obj} AND {kf['currency']} IS NOT NULL AND {kf['currency']} <> 'STRING'", codes["currency_type"]),
         _err(*sub["currency"], V.MSG_PATTERN.format(pattern=R.CURRENCY_PATTERN),
-             f"{obj} AND {kf['currency']} = 'STRING' AND NOT regexp_matches({cur}, '{R.CURRENCY_PATTERN}')"),
+             f"{obj} AND {kf['currency']} = 'STRING' AND NOT regexp_matches({cur}, '{R.CURRENCY_PATTERN}')",
+             codes["currency_form"]),
     ]
     return "[" + ", ".join(rules) + "]"
 
@@ -337,33 +345,41 @@ def _business(known=None, currency=None) -> str:
     nights = f"date_diff('day', {a}, {d})"
     both = f"{a} IS NOT NULL AND {d} IS NOT NULL"
     known = _list(known or R.KNOWN_COUNTRIES)
+    codes = V.BUSINESS_CODES
+
+    def rule(name: str, cond: str, text: str) -> str:
+        return f"CASE WHEN {cond} THEN {{'e': {text}, 'c': '{codes[name]}'}} END"
+
     rules = [
-        f"CASE WHEN {a} IS NULL THEN 'arrival_date: {V.MSG_BAD_DATE}' END",
-        f"CASE WHEN {d} IS NULL THEN 'departure_date: {V.MSG_BAD_DATE}' END",
-        f"CASE WHEN {t} IS NULL THEN 'timestamp: {V.MSG_BAD_DATETIME}' END",
-        f"CASE WHEN {both} AND {d} <= {a} THEN 'departure_date: {V.MSG_DEP_AFTER}' END",
-        f"CASE WHEN {both} AND {d} > {a} AND {los} <> {nights} "
-        f"THEN printf('length_of_stay: {V.MSG_LOS}', {nights}, {los}) END",
-        f"CASE WHEN NOT list_contains({known}, lower(regexp_replace(s_user_country, '^\\s+|\\s+$', '', 'g'))) "
-        f"THEN printf('user_country: {_sq(V.MSG_COUNTRY)}', s_user_country) END",
+        rule("arrival", f"{a} IS NULL", f"'arrival_date: {V.MSG_BAD_DATE}'"),
+        rule("departure", f"{d} IS NULL", f"'departure_date: {V.MSG_BAD_DATE}'"),
+        rule("timestamp", f"{t} IS NULL", f"'timestamp: {V.MSG_BAD_DATETIME}'"),
+        rule("order", f"{both} AND {d} <= {a}", f"'departure_date: {V.MSG_DEP_AFTER}'"),
+        rule("nights", f"{both} AND {d} > {a} AND {los} <> {nights}", f"printf('length_of_stay: {V.MSG_LOS}', {nights}, {los})"),
+        rule("country", f"NOT list_contains({known}, lower(regexp_replace(s_user_country, '^\\s+|\\s+$', '', 'g')))",
+             f"printf('user_country: {_sq(V.MSG_COUNTRY)}', s_user_country)"),
     ]
     cur = jtext("x", "currency")
     currencies = _list(currency or R.VALID_CURRENCIES)
-    items = (f"list_transform(items, lambda x, i: CASE WHEN NOT list_contains({currencies}, {cur}) "
-             f"THEN printf('search_results[%d].currency: {_sq(V.MSG_CURRENCY)}', i - 1, {cur}) END)")
+    unsupported = rule("currency", f"NOT list_contains({currencies}, {cur})",
+                       f"printf('search_results[%d].currency: {_sq(V.MSG_CURRENCY)}', i - 1, {cur})")
+    items = f"list_transform(items, lambda x, i: {unsupported})"
     return f"list_filter(list_concat([{', '.join(rules)}], {items}), lambda e: e IS NOT NULL)"
 
 
 def validated_cte(source: str = "feed", id_col: str = "request_id", known=None, name: str = "validated",
-                  p: str = "v", currency=None) -> str:
-    """CTE ``validated(event_id, value, errors, failed_stage)`` over a raw message relation."""
+                  p: str = "v", currency=None, version: str | None = None) -> str:
+    """CTE ``validated(event_id, value, errors, codes, failed_stage)`` over a raw message relation."""
     from staylens.operators import validation as V
-    facts = [f"{jkind('j', f)} AS k_{f}" for f in R.REQUIRED_FIELDS]
-    facts += [f"{jnum('j', f)} AS n_{f}" for f in R.INTEGER_FIELDS + R.NUMBER_FIELDS]
-    facts += [f"{jtext('j', f)} AS s_{f}" for f in R.STRING_FIELDS]
+    every = R.CONTRACTS.values()
+    union = lambda kind: list(dict.fromkeys(f for c in every for f in getattr(c, kind)))
+    facts = [f"{jkind('j', f)} AS k_{f}" for f in dict.fromkeys(union("required") + union("strings"))]
+    facts += [f"{jnum('j', f)} AS n_{f}" for f in union("integers") + union("numbers")]
+    facts += [f"{jtext('j', f)} AS s_{f}" for f in union("strings")]
+    version_col = f", {version}" if version else ""
     return f"""
 {p}_j AS (
-  SELECT {id_col} AS event_id, value, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM {source}
+  SELECT {id_col} AS event_id, value{version_col}, CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS j FROM {source}
 ),
 {p}_facts AS (
   SELECT *, {jkind('j')} AS k_root, {', '.join(facts)},
@@ -372,31 +388,29 @@ def validated_cte(source: str = "feed", id_col: str = "request_id", known=None,
   FROM {p}_j
 ),
 {p}_stage1 AS (
-  SELECT *, CASE WHEN k_root <> 'OBJECT' THEN ['root: {_sq(V.MSG_NOT_OBJECT)}'] ELSE list_transform(list_sort(
-      list_filter(list_concat([{', '.join(_contract_rules())}],
+  SELECT *, CASE WHEN k_root <> 'OBJECT' THEN [{{'e': 'root: {_sq(V.MSG_NOT_OBJECT)}', 'c': '{V.CODE_NOT_OBJECT}'}}]
+    ELSE list_transform(list_sort(
+      list_filter(list_concat([{', '.join(_contract_rules(version))}],
                               flatten(list_transform(items, lambda x, i: {_item_rules()}))),
-      lambda e: e IS NOT NULL)), lambda e: e.e) END AS stage1
+      lambda e: e IS NOT NULL)), lambda e: {{'e': e.e, 'c': e.c}}) END AS stage1
   FROM {p}_facts
 ),
 {p}_stage2 AS (
   SELECT *, CASE WHEN j IS NOT NULL AND len(stage1) = 0 THEN {_business(known, currency)} END AS stage2 FROM {p}_stage1
 ),
+{p}_found AS (
+  SELECT *, CASE WHEN j IS NULL THEN [{{'e': 'root: {V.MSG_INVALID_JSON}', 'c': '{V.CODE_NOT_JSON}'}}]
+                 WHEN len(stage1) > 0 THEN stage1 ELSE stage2 END AS found
+  FROM {p}_stage2
+),
 {name} AS (
-  SELECT event_id, value,
-    CASE WHEN j IS NULL THEN ['root: {V.MSG_INVALID_JSON}'] WHEN len(stage1) > 0 THEN stage1 ELSE stage2 END
-      AS errors,
+  SELECT event_id, value, j{version_col}, list_transform(found, lambda e: e.e) AS errors, list_transform(found, lambda e: e.c) AS codes,
     CASE WHEN j IS NULL THEN 'parse' WHEN len(stage1) > 0 THEN 'contract' WHEN len(stage2) > 0 THEN 'business' END
       AS failed_stage
-  FROM {p}_stage2
+  FROM {p}_found
 )"""
 
 
-def error_rule(e: str) -> str:
-    r = f"regexp_replace({e}, 'search_results(\\.\\d+|\\[\\d+\\])', 'search_results[]', 'g')"
-    r = "regexp_replace(" + r + ", '(?s)(country|currency|match) ''.*''$', '\\1 ''?''')"
-    return f"regexp_replace({r}, '-?\\d+ based on dates, got -?\\d+', 'N based on dates, got M', 'g')"
-
-
 LANDED_FULL = validated_cte() + f""",
 landed_full AS (
   SELECT t.event_id, t.ingestion_time, t.payload, t.ingest_date,
@@ -405,7 +419,9 @@ landed_full AS (
       AS reason,
     CASE WHEN t.payload IS NOT NULL AND strlen(t.payload) > 2048 THEN
            [printf('root: body of %d bytes exceeds 2048', strlen(t.payload))]
-         WHEN t.pre_reason = 'invalid_json' THEN ['root: invalid JSON'] ELSE v.errors END AS errors
+         WHEN t.pre_reason = 'invalid_json' THEN ['root: invalid JSON'] ELSE v.errors END AS errors,
+    CASE WHEN t.payload IS NOT NULL AND strlen(t.payload) > 2048 THEN ['root.size']
+         WHEN t.pre_reason = 'invalid_json' THEN ['root.json'] ELSE v.codes END AS codes
   FROM landed_t t JOIN validated v ON t.event_id = v.event_id
 )"""
 
@@ -436,30 +452,31 @@ def _metric(table: str, check: str, value: str, op: str, threshold: str, severit
             f"(SELECT CAST({value} AS DOUBLE) AS metric, CAST({threshold} AS DOUBLE) AS threshold FROM {src})")
 
 
-DQ_SCAN = " UNION ALL ".join([
-    _metric("searches_enriched", "row_count", "count(*)", ">", "0", "error", "silver"),
-    _metric("searches_enriched", "missing_count_city", "count(*) FILTER (WHERE city IS NULL)", "<", "1", "warn",
-            "silver"),
-    _metric("searches_enriched", "missing_pct_city",
-            "coalesce(count(*) FILTER (WHERE city IS NULL) * 100.0 / count(*), 0.0)", "<", "1", "warn", "silver"),
-    _metric("searches_enriched", "duplicate_count_dedup_key", "count(*) - count(DISTINCT dedup_key)", "=", "0",
-            "error", "silver"),
-    _metric("searches_enriched", "missing_count_dedup_key", "count(*) - count(dedup_key)", "=", "0", "error", "silver"),
-    _metric("searches_enriched", "missing_count_length_of_stay", "count(*) - count(length_of_stay)", "=", "0", "error",
-            "silver"),
-    _metric("searches_enriched", "failed_rows_los_bucket",
-            f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", "silver"),
-    _metric("searches_enriched", "failed_rows_los_consistency",
-            f"count(*) FILTER (WHERE NOT coalesce(date_diff('day', {strict_date('arrival_date')}, "
-            f"{strict_date('departure_date')}) = length_of_stay, false))", "=", "0", "error", "silver"),
-    _metric("gold_country_trends", "row_count", "count(*)", ">", "0", "error", "gold_country"),
-    _metric("gold_country_trends", "invalid_count_pct_of_total",
-            "count(*) FILTER (WHERE pct_of_total IS NULL OR NOT pct_of_total BETWEEN 0 AND 100)", "=", "0", "error",
-            "gold_country"),
-    _metric("gold_los_distribution", "row_count", "count(*)", ">", "0", "error", "gold_los"),
-    _metric("gold_los_distribution", "failed_rows_los_bucket",
-            f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", "gold_los"),
-])
+def dq_scan(silver: str = "silver") -> str:
+    return " UNION ALL ".join([
+        _metric("searches_enriched", "row_count", "count(*)", ">", "0", "error", silver),
+        _metric("searches_enriched", "missing_count_city", "count(*) FILTER (WHERE city IS NULL)", "<", "1", "warn",
+                silver),
+        _metric("searches_enriched", "missing_pct_city",
+                "coalesce(count(*) FILTER (WHERE city IS NULL) * 100.0 / count(*), 0.0)", "<", "1", "warn", silver),
+        _metric("searches_enriched", "duplicate_count_dedup_key", "count(*) - count(DISTINCT dedup_key)", "=", "0",
+                "error", silver),
+        _metric("searches_enriched", "missing_count_dedup_key", "count(*) - count(dedup_key)", "=", "0", "error", silver),
+        _metric("searches_enriched", "missing_count_length_of_stay", "count(*) - count(length_of_stay)", "=", "0", "error",
+                silver),
+        _metric("searches_enriched", "failed_rows_los_bucket",
+                f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", silver),
+        _metric("searches_enriched", "failed_rows_los_consistency",
+                f"count(*) FILTER (WHERE NOT coalesce(date_diff('day', {strict_date('arrival_date')}, "
+                f"{strict_date('departure_date')}) = length_of_stay, false))", "=", "0", "error", silver),
+        _metric("gold_country_trends", "row_count", "count(*)", ">", "0", "error", "gold_country"),
+        _metric("gold_country_trends", "invalid_count_pct_of_total",
+                "count(*) FILTER (WHERE pct_of_total IS NULL OR NOT pct_of_total BETWEEN 0 AND 100)", "=", "0", "error",
+                "gold_country"),
+        _metric("gold_los_distribution", "row_count", "count(*)", ">", "0", "error", "gold_los"),
+        _metric("gold_los_distribution", "failed_rows_los_bucket",
+                f"count(*) FILTER (WHERE NOT coalesce(los_bucket IN ({_ACC}), false))", "=", "0", "error", "gold_los"),
+    ])
 
 
 def _panels(where: str = "true", position: bool = False) -> str:
@@ -477,7 +494,47 @@ def _panels(where: str = "true", position: bool = False) -> str:
     ])
 
 
+def _mean(part: str, lat: str, lon: str) -> str:
+    la, lo = f"radians({lat})", f"radians({lon})"
+    return {"x": f"avg(cos({la}) * cos({lo}))", "y": f"avg(cos({la}) * sin({lo}))", "z": f"avg(sin({la}))"}[part]
+
+
+def mean_lat(lat: str, lon: str) -> str:
+    x, y, z = (_mean(p, lat, lon) for p in "xyz")
+    return f"degrees(atan2({z}, sqrt({x} * {x} + {y} * {y})))"
+
+
+def mean_lon(lat: str, lon: str) -> str:
+    return f"degrees(atan2({_mean('y', lat, lon)}, {_mean('x', lat, lon)}))"
+
+
+def draw(column: str, n: int) -> str:
+    return f"(CAST(rtrim({column}, 'r') AS BIGINT) // 7 % {n})"
+
+
+# Silver with the faults of ``queries._damaged``.
+DAMAGED = f"""damaged AS (
+  SELECT * EXCLUDE (c) REPLACE (
+      CASE WHEN c = 1 THEN length_of_stay + 1 WHEN c = 2 THEN NULL ELSE length_of_stay END AS length_of_stay,
+      CASE WHEN c = 3 THEN 'a while' ELSE los_bucket END AS los_bucket,
+      CASE WHEN c = 4 THEN NULL ELSE dedup_key END AS dedup_key)
+  FROM (SELECT *, {draw("event_id", 100)} AS c FROM silver), LATERAL (SELECT unnest(CASE WHEN c = 0 THEN [1, 2] ELSE [1] END) AS copy)
+)"""
+
+
+def gate_sql(silver: str) -> str:
+    return f"""SELECT '{silver}' AS candidate, count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') = 0 AS passed,
+              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') AS failed_errors,
+              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'warn') AS failed_warnings,
+              coalesce(string_agg(CASE WHEN outcome = 'fail' AND severity = 'error'
+                                       THEN table_name || '.' || "check" END, ',' ORDER BY
+                                  CASE WHEN outcome = 'fail' AND severity = 'error'
+                                       THEN table_name || '.' || "check" END), '') AS failed_checks
+              FROM ({dq_scan(silver)})"""
+
+
 def oracles() -> dict[str, str]:
+    from staylens.operators.validation import rule_codes
     q = {
         "bronze_landing": "SELECT * FROM bronze",
         "bronze_dedup_key": """SELECT dedup_key, count(*) AS copies, min(ingestion_time) AS first_ingestion,
@@ -517,51 +574,52 @@ def oracles() -> dict[str, str]:
     }
     q.update({
         "validate_schema_errors": """SELECT event_id, CAST(len(errors) AS INTEGER) AS error_count,
-              array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'contract'""",
+              array_to_string(errors, ' | ') AS error_text, array_to_string(codes, ',') AS error_codes
+              FROM validated WHERE failed_stage = 'contract'""",
         "validate_business_errors": """SELECT event_id, CAST(len(errors) AS INTEGER) AS error_count,
-              array_to_string(errors, ' | ') AS error_text FROM validated WHERE failed_stage = 'business'""",
+              array_to_string(errors, ' | ') AS error_text, array_to_string(codes, ',') AS error_codes
+              FROM validated WHERE failed_stage = 'business'""",
         "validate_split": """SELECT CASE WHEN reason IS NULL THEN 'accepted' ELSE 'rejected' END AS outcome,
               coalesce(reason, 'none') AS reason, count(*) AS events FROM landed_full GROUP BY ALL""",
-        "rejections_by_code": f"""SELECT {error_rule('e')} AS rule, count(*) AS error_count,
-              round(CAST(count(*) AS DOUBLE) * 100.0 / (SELECT count(*) FROM validated), 2) AS pct_of_events
-              FROM (SELECT unnest(errors) AS e FROM validated) GROUP BY ALL""",
-        "quarantine_full": f"""SELECT event_id, ingestion_time, reason, array_to_string(errors, ' | ') AS error_text,
+        "rejections_by_code": f"""SELECT r.code, coalesce(n, 0) AS error_count,
+              coalesce(round(CAST(n AS DOUBLE) * 100.0 / (SELECT count(*) FROM validated), 2), 0.0) AS pct_of_events
+              FROM (VALUES {_values([(c,) for c in rule_codes()])}) r(code)
+              LEFT JOIN (SELECT c, count(*) AS n FROM (SELECT unnest(codes) AS c FROM validated) GROUP BY c) f ON r.code = f.c""",
+        "quarantine_full": f"""SELECT event_id, ingestion_time, '{R.SCHEMA_VERSION}' AS schema_version, reason,
+              array_to_string(errors, ' | ') AS error_text, array_to_string(codes, ',') AS error_codes,
               CASE WHEN reason = 'invalid_json' THEN left(payload, {R.DLQ_RAW_CHARS})
                    ELSE payload END AS raw, 1 AS attempts, ingest_date
               FROM landed_full WHERE reason IS NOT NULL""",
     })
     q.update({
-        "dq_unique": "SELECT dedup_key, count(*) AS copies FROM silver GROUP BY dedup_key HAVING count(*) > 1",
-        "dq_not_null": """SELECT event_id, dedup_key, hotel_id, c.check AS "check", c.severity AS severity FROM (
+        "dq_unique": f"WITH {DAMAGED} SELECT dedup_key, count(*) AS copies FROM damaged GROUP BY dedup_key HAVING count(*) > 1",
+        "dq_not_null": f"""WITH {DAMAGED} SELECT event_id, dedup_key, hotel_id, c.check AS "check", c.severity AS severity FROM (
               SELECT event_id, dedup_key, hotel_id, unnest(list_filter([
-                CASE WHEN dedup_key IS NULL THEN {'check': 'not_null_dedup_key', 'severity': 'error'} END,
+                CASE WHEN dedup_key IS NULL THEN {{'check': 'not_null_dedup_key', 'severity': 'error'}} END,
                 CASE WHEN hotel_id IS NOT NULL AND city IS NULL
-                     THEN {'check': 'not_null_city', 'severity': 'warn'} END,
-                CASE WHEN length_of_stay IS NULL THEN {'check': 'not_null_length_of_stay', 'severity': 'error'} END
-              ], lambda c: c IS NOT NULL)) AS c FROM silver)""",
-        "dq_accepted_values": f"""SELECT city, search_date, los_bucket FROM gold_los
-              WHERE los_bucket NOT IN ({', '.join("'" + b + "'" for b in R.ACCEPTED_LOS_BUCKETS)})""",
-        "dq_los_consistency": f"""SELECT dedup_key, length_of_stay, arrival_date, departure_date FROM silver
+                     THEN {{'check': 'not_null_city', 'severity': 'warn'}} END,
+                CASE WHEN length_of_stay IS NULL THEN {{'check': 'not_null_length_of_stay', 'severity': 'error'}} END
+              ], lambda c: c IS NOT NULL)) AS c FROM damaged)""",
+        "dq_accepted_values": f"""WITH {DAMAGED} SELECT event_id, search_date, los_bucket FROM damaged
+              WHERE los_bucket NOT IN ({_ACC})""",
+        "dq_los_consistency": f"""WITH {DAMAGED} SELECT dedup_key, length_of_stay, arrival_date, departure_date FROM damaged
               WHERE NOT coalesce(date_diff('day', {strict_date('arrival_date')}, {strict_date('departure_date')})
                                  = length_of_stay, false)""",
-        "dq_scan": DQ_SCAN,
-        "dq_gate": """SELECT count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') = 0 AS passed,
-              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'error') AS failed_errors,
-              count(*) FILTER (WHERE outcome = 'fail' AND severity = 'warn') AS failed_warnings,
-              coalesce(string_agg(CASE WHEN outcome = 'fail' AND severity = 'error'
-                                       THEN table_name || '.' || "check" END, ',' ORDER BY
-                                  CASE WHEN outcome = 'fail' AND severity = 'error'
-                                       THEN table_name || '.' || "check" END), '') AS failed_checks
-              FROM (""" + DQ_SCAN + ")",
-        "dq_freshness": f"""SELECT newest_ingestion,
+        "dq_scan": dq_scan(),
+        "dq_gate": f"""WITH {DAMAGED} SELECT * REPLACE ('built' AS candidate) FROM ({gate_sql('silver')})
+              UNION ALL {gate_sql('damaged')}""",
+        "dq_freshness": f"""SELECT table_name, refreshed_at,
+                round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(refreshed_at)) / 6.0e7, 2) AS refresh_lag_minutes,
+                (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(refreshed_at)) / 6.0e7 > {R.GOLD_STALE_MINUTES} AS stale,
+                newest_ingestion,
                 round((epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(newest_ingestion)) / 6.0e7, 2) AS ingest_lag_minutes,
-                (epoch_us(TIMESTAMP '{AS_OF}') - epoch_us(newest_ingestion)) / 6.0e7 > {R.GOLD_STALE_MINUTES}
-                  AS gold_stale,
                 round(null_city * 100.0 / silver_rows, 2) AS null_city_pct,
                 round((bronze_rows - bronze_keys) * 100.0 / bronze_rows, 2) AS duplicate_pct,
                 round(dead_letters * 100.0 / (dead_letters + bronze_rows), 2) AS dead_letter_pct,
                 bronze_rows, silver_rows, dead_letters
-              FROM (SELECT max(ingestion_time) AS newest_ingestion, count(*) AS bronze_rows,
+              FROM (VALUES ('gold_arrival_date_popularity', TIMESTAMP '2024-01-20 06:00:00'),
+                           ('gold_los_distribution', TIMESTAMP '2024-01-30 23:45:00')) m(table_name, refreshed_at),
+                   (SELECT max(ingestion_time) AS newest_ingestion, count(*) AS bronze_rows,
                       count(DISTINCT dedup_key) AS bronze_keys FROM bronze) b,
                    (SELECT count(*) AS silver_rows, count(*) FILTER (WHERE city IS NULL) AS null_city FROM silver) s,
                    (SELECT count(*) AS dead_letters FROM landed WHERE reason IS NOT NULL) q""",
@@ -575,6 +633,19 @@ def oracles() -> dict[str, str]:
               count(*) OVER (PARTITION BY client ORDER BY epoch_us(received_at)
                              RANGE BETWEEN 3599999999 PRECEDING AND CURRENT ROW) > 2 AS over_limit
               FROM feed""",
+        "rate_limit_exact": f"""WITH RECURSIVE request_log AS MATERIALIZED (
+                SELECT client, request_id, received_at, epoch_us(received_at) AS t,
+                       row_number() OVER (PARTITION BY client ORDER BY received_at, request_id) AS rn
+                FROM (SELECT CASE WHEN {draw("request_id", 3)} = 0 THEN 'client-hot' ELSE client END AS client,
+                             request_id, received_at FROM feed)),
+              limited AS (
+                SELECT client, request_id, received_at, rn, true AS accepted, [t] AS recent FROM request_log WHERE rn = 1
+                UNION ALL
+                SELECT client, request_id, received_at, rn, len(kept) < 2,
+                       CASE WHEN len(kept) < 2 THEN list_append(kept, t) ELSE kept END
+                FROM (SELECT l.*, list_filter(p.recent, lambda x: x > l.t - 3600000000) AS kept
+                      FROM limited p JOIN request_log l ON l.client = p.client AND l.rn = p.rn + 1))
+              SELECT client, request_id, received_at, accepted FROM limited""",
         "gold_last_7_days": f"""SELECT city, (SELECT max(search_date) FROM silver) - 6 AS from_date,
               (SELECT max(search_date) FROM silver) AS to_date, user_country, user_country_iso,
               count(*) AS search_count,
@@ -591,7 +662,7 @@ def oracles() -> dict[str, str]:
     })
     q.update({
         "bronze_layout": """SELECT ingest_date, count(*) AS rows, count(DISTINCT hotel_id) AS hotels,
-              min(hotel_id) AS min_hotel_id, max(hotel_id) AS max_hotel_id FROM bronze GROUP BY ingest_date""",
+              min(hotel_id) AS min_hotel_id, max(hotel_id) AS max_hotel_id, 0::BIGINT AS overlapping_files FROM bronze GROUP BY ingest_date""",
         "bronze_retention": f"""SELECT ingest_date, count(*) AS rows FROM bronze
               WHERE ingest_date >= DATE '{RETENTION_AS_OF}' - {R.RETENTION_DAYS} GROUP BY ingest_date""",
         "bronze_idempotent_insert": "SELECT event_id, dedup_key, ingestion_time, ingest_date FROM bronze",
@@ -630,60 +701,82 @@ def oracles() -> dict[str, str]:
               WHERE city IS NOT NULL AND search_date BETWEEN (SELECT max(search_date) FROM silver) - 6
                 AND (SELECT max(search_date) FROM silver) GROUP BY city, los_bucket""",
         "stream_landing": "SELECT * FROM bronze",
-        "stream_alerts": f"""WITH alert_counts AS (
-                SELECT time_bucket(INTERVAL 5 MINUTE, ingestion_time) AS window_start, count(*) AS requests,
-                       count(*) FILTER (WHERE reason IS NOT NULL) AS dead_letters
-                FROM landed GROUP BY ALL),
-              alert_rates AS (
-                SELECT c.*, CAST(c.dead_letters + coalesce(p.dead_letters, 0) AS DOUBLE)
-                            / (c.requests + coalesce(p.requests, 0)) AS rate
-                FROM alert_counts c LEFT JOIN alert_counts p ON p.window_start = c.window_start - INTERVAL 5 MINUTE)
-              SELECT window_start, window_start + INTERVAL 5 MINUTE AS window_end, requests, dead_letters,
-              round(rate * 100.0, 2) AS error_pct, rate > {R.ALERT_ERROR_RATE} AS error_rate_alert,
-              dead_letters > {R.ALERT_DEAD_LETTERS} AS dead_letter_alert FROM alert_rates""",
+        "stream_stable_ids": """SELECT coalesce(reason, 'none') AS reason, count(*) AS events, count(*) AS ids, count(*) AS same_again
+              FROM landed GROUP BY ALL""",
+        "stream_alerts": f"""WITH delivered AS (
+                SELECT t, reason, CASE WHEN late THEN 1 ELSE span END AS span, time_bucket(INTERVAL 5 MINUTE, t) + INTERVAL 5 MINUTE AS own
+                FROM (SELECT ingestion_time AS t, reason,
+                        CASE WHEN ingest_date >= DATE '2024-01-21' THEN 2 WHEN ingest_date >= DATE '2024-01-11' THEN 1 ELSE 0 END AS span,
+                        {draw("event_id", 5)} = 0 AND ingestion_time >= TIMESTAMP '2024-01-10 12:00:00'
+                          AND ingestion_time < TIMESTAMP '2024-01-11' AS late FROM landed)),
+              marks AS (SELECT s.span, (SELECT max(t) FROM delivered d WHERE d.span < s.span) - INTERVAL 10 MINUTE AS mark
+                        FROM (VALUES (0), (1), (2)) s(span)),
+              placed AS (SELECT w, own, reason FROM (SELECT *, unnest([own, own + INTERVAL 5 MINUTE]) AS w FROM delivered) JOIN marks USING (span)
+                         WHERE mark IS NULL OR w > mark),
+              counted AS (SELECT w, count(*) FILTER (WHERE own = w) AS requests,
+                            count(*) FILTER (WHERE own = w AND reason IS NOT NULL) AS dead_letters,
+                            CAST(count(*) FILTER (WHERE reason IS NOT NULL) AS DOUBLE) / count(*) AS rate
+                          FROM placed GROUP BY w HAVING requests > 0)
+              SELECT a.own - INTERVAL 5 MINUTE AS window_start, a.own AS window_end, coalesce(requests, 0) AS requests,
+                coalesce(dead_letters, 0) AS dead_letters, round(rate * 100.0, 2) AS error_pct, rate > 0.3 AS error_rate_alert,
+                dead_letters > 0 AS dead_letter_alert, arrived - coalesce(requests, 0) AS late_requests
+              FROM (SELECT own, count(*) AS arrived FROM delivered GROUP BY own) a LEFT JOIN counted ON w = own""",
+        "contract_versions": f"""WITH vfeed_n AS (SELECT request_id, value, CAST(rtrim(request_id, 'r') AS BIGINT) AS n FROM feed),
+              vfeed_v AS (SELECT *, CASE WHEN n % 3 = 1 THEN 'v2' WHEN n % 11 = 3 THEN 'v9' ELSE 'v1' END AS version FROM vfeed_n),
+              vfeed AS (SELECT request_id, version, CASE WHEN version = 'v2' AND value LIKE '{{%' THEN '{{' ||
+                  CASE WHEN n % 7 = 0 THEN '' ELSE '"guests":' || CAST(n % 24 + 1 AS VARCHAR) || ',' END ||
+                  CASE WHEN n % 2 = 0 THEN '"trip_purpose":"leisure",' ELSE '' END || substr(value, 2) ELSE value END AS value FROM vfeed_v),
+              {validated_cte("vfeed", "request_id", None, "vvalidated", "vv", None, "version")},
+              judged AS (SELECT version, j, CASE WHEN version = 'v9' THEN 'unsupported_schema_version' WHEN strlen(value) > 2048 THEN 'payload_too_large'
+                  WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'invalid_json' WHEN len(errors) > 0 THEN 'validation_failed'
+                  ELSE 'none' END AS reason FROM vvalidated)
+              SELECT version AS schema_version, reason, count(*) AS events,
+                count(g) AS with_guests, sum(g)::BIGINT AS guests, count(p) AS with_purpose
+              FROM (SELECT *, CASE WHEN reason = 'none' AND version = 'v2' THEN {jint('j', 'guests')} END AS g,
+                      CASE WHEN reason = 'none' AND version = 'v2' THEN {jtext('j', 'trip_purpose')} END AS p FROM judged)
+              GROUP BY version, reason""",
     })
     admitted = R.VALID_CURRENCIES + ["XYZ"]
+    spent = f"({draw('r.event_id', 3)} = 0)"  # three attempts before: the second replay is the fifth
     replay_ctes = (
         "replay_src AS (SELECT event_id AS request_id, payload AS value FROM landed_full "
-        "WHERE reason = 'validation_failed'),"
+        "WHERE reason IN ('validation_failed', 'payload_too_large')),"
         + validated_cte("replay_src", "request_id", None, "replayed_1", "r1", admitted) + ","
         + validated_cte("replay_src", "request_id", R.KNOWN_COUNTRIES + ["norway"], "replayed_2", "r2", admitted) + """,
         keys_0 AS (SELECT t.dedup_key FROM landed_t t JOIN landed_full f USING (event_id) WHERE f.reason IS NULL),
         landed_1 AS (SELECT r.event_id, t.dedup_key FROM replayed_1 r JOIN landed_t t USING (event_id)
-                     WHERE len(r.errors) = 0 AND t.dedup_key NOT IN (SELECT dedup_key FROM keys_0)),
+                     WHERE len(r.errors) = 0 AND strlen(r.value) <= 2048 AND t.dedup_key NOT IN (SELECT dedup_key FROM keys_0)),
         keys_1 AS (SELECT dedup_key FROM keys_0 UNION SELECT dedup_key FROM landed_1),
         outcomes_2 AS (SELECT r.event_id, t.dedup_key,
-                         CASE WHEN len(r.errors) > 0 THEN 'still_failing'
+                         CASE WHEN len(r.errors) > 0 THEN CASE WHEN {SPENT} THEN 'abandoned' ELSE 'still_failing' END
                               WHEN t.dedup_key IN (SELECT dedup_key FROM keys_1) THEN 'already_landed'
                               ELSE 'relanded' END AS outcome
-                       FROM replayed_2 r JOIN landed_t t ON r.event_id = t.event_id)""")
+                       FROM replayed_2 r JOIN landed_t t ON r.event_id = t.event_id)""".replace("{SPENT}", spent))
     hav = (f"2 * 6371.0088 * asin(least(1.0, sqrt(pow(sin((radians(c_lat) - radians(lat)) / 2), 2) + "
            f"cos(radians(lat)) * cos(radians(c_lat)) * pow(sin((radians(c_lon) - radians(lon)) / 2), 2))))")
     q.update({
         "quarantine_replay": f"""WITH {replay_ctes}
-              SELECT event_id, dedup_key, outcome, 3 AS attempts,
+              SELECT event_id, dedup_key, outcome, CAST(CASE WHEN {draw('event_id', 3)} = 0 THEN 5 ELSE 3 END AS INTEGER) AS attempts,
                 outcome = 'relanded' OR event_id IN (SELECT event_id FROM landed_1) AS in_bronze
               FROM outcomes_2""",
-        "nearest_city_fallback": f"""SELECT u.hotel_id, round(u.lat, 6) AS lat, round(u.lon, 6) AS lon,
-                b.city AS fallback_city, round(b.d, 3) AS distance_km
-              FROM (SELECT hotel_id, avg(hotel_latitude) AS lat, avg(hotel_longitude) AS lon FROM silver
-                    WHERE city IS NULL AND hotel_id IS NOT NULL AND hotel_latitude BETWEEN -90 AND 90
-                      AND hotel_longitude BETWEEN -180 AND 180 GROUP BY hotel_id) u
-              LEFT JOIN (
-                SELECT hotel_id, city, d FROM (
-                  SELECT u2.hotel_id, c.city, {hav} AS d
-                  FROM (SELECT hotel_id, avg(hotel_latitude) AS lat, avg(hotel_longitude) AS lon FROM silver
-                        WHERE city IS NULL AND hotel_id IS NOT NULL AND hotel_latitude BETWEEN -90 AND 90
-                          AND hotel_longitude BETWEEN -180 AND 180 GROUP BY hotel_id) u2,
-                       (SELECT city, avg(hotel_latitude) AS c_lat, avg(hotel_longitude) AS c_lon FROM silver
-                        WHERE city IS NOT NULL AND hotel_latitude IS NOT NULL AND hotel_longitude IS NOT NULL
-                        GROUP BY city) c)
-                WHERE d <= 100.0 QUALIFY row_number() OVER (PARTITION BY hotel_id ORDER BY d, city) = 1
-              ) b ON u.hotel_id = b.hotel_id""",
+        "nearest_city_fallback": f"""WITH placed AS (SELECT * FROM silver WHERE hotel_id IS NOT NULL
+                  AND hotel_latitude BETWEEN -90 AND 90 AND hotel_longitude BETWEEN -180 AND 180),
+              u AS (SELECT hotel_id, {mean_lat('hotel_latitude', 'hotel_longitude')} AS lat, {mean_lon('hotel_latitude', 'hotel_longitude')} AS lon
+                    FROM placed WHERE city IS NULL GROUP BY hotel_id),
+              h AS (SELECT city, hotel_id, {mean_lat('hotel_latitude', 'hotel_longitude')} AS lat, {mean_lon('hotel_latitude', 'hotel_longitude')} AS lon
+                    FROM placed WHERE city IS NOT NULL GROUP BY city, hotel_id),
+              c AS (SELECT city, {mean_lat('lat', 'lon')} AS c_lat, {mean_lon('lat', 'lon')} AS c_lon FROM h GROUP BY city),
+              near AS (SELECT hotel_id, city, d FROM (SELECT hotel_id, city, {hav} AS d FROM u, c) WHERE d <= 100.0
+                       QUALIFY row_number() OVER (PARTITION BY hotel_id ORDER BY d, city) = 1)
+              SELECT u.hotel_id, round(u.lat, 6) AS lat, round(u.lon, 6) AS lon, n.city AS fallback_city, round(n.d, 3) AS distance_km
+              FROM u LEFT JOIN near n ON u.hotel_id = n.hotel_id""",
     })
     out = {}
     for k, v in q.items():
         v = v.strip()
         # A query with its own CTEs extends the shared WITH list.
-        out[k] = ("WITH " + BASE + "," + v[5:]) if v.startswith("WITH ") else with_base(v)
+        if v.startswith("WITH RECURSIVE "):
+            out[k] = "WITH RECURSIVE " + BASE + "," + v[15:]
+        else:
+            out[k] = ("WITH " + BASE + "," + v[5:]) if v.startswith("WITH ") else with_base(v)
     return out

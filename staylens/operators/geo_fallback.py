@@ -1,7 +1,7 @@
 """City fallback by coordinates for hotels missing from the hotel dimension.
 
-Reference points are the centroids of each known city's hotels (one row per
-city, derived from silver). Unknown hotels (one row per hotel) look for the
+Reference points are the centroids of each known city's distinct hotels (one row
+per city, derived from silver; means of unit vectors). Unknown hotels (one row per hotel) look for the
 nearest centroid within ``radius_km``: both sides are keyed by 1-degree grid
 cells and joined on the cell, each hotel probing only the cells its radius
 can reach (more longitude cells towards the poles, wrapping at the
@@ -20,16 +20,29 @@ KM_PER_DEGREE = 111.32
 DEFAULT_RADIUS_KM = 100.0
 
 
+def _mean_point(points: DataFrame, key: str, lat: str, lon: str, out_lat: str, out_lon: str) -> DataFrame:
+    """Per key the direction of the mean unit vector: longitudes on both sides of 180 degrees average rightly."""
+    la, lo = F.radians(lat), F.radians(lon)
+    v = points.groupBy(key).agg(F.avg(F.cos(la) * F.cos(lo)).alias("_x"), F.avg(F.cos(la) * F.sin(lo)).alias("_y"),
+                                F.avg(F.sin(la)).alias("_z"))
+    return v.select(key, F.degrees(F.atan2("_z", F.sqrt(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y")))).alias(out_lat),
+                    F.degrees(F.atan2("_y", "_x")).alias(out_lon))
+
+
+def _placed(silver: DataFrame) -> DataFrame:
+    return silver.filter(F.col("hotel_id").isNotNull() & F.col("hotel_latitude").between(-90, 90)
+                         & F.col("hotel_longitude").between(-180, 180))
+
+
 def city_centroids(silver: DataFrame) -> DataFrame:
-    return (silver.filter(F.col("city").isNotNull() & F.col("hotel_latitude").isNotNull()
-                          & F.col("hotel_longitude").isNotNull())
-            .groupBy("city").agg(F.avg("hotel_latitude").alias("c_lat"), F.avg("hotel_longitude").alias("c_lon")))
+    """One point a city: the mean of its hotels, each hotel counted once however often it was searched."""
+    known = _placed(silver).filter(F.col("city").isNotNull())
+    hotels = _mean_point(known.withColumn("_hotel", F.struct("city", "hotel_id")), "_hotel", "hotel_latitude", "hotel_longitude", "lat", "lon")
+    return _mean_point(hotels.select(F.col("_hotel.city").alias("city"), "lat", "lon"), "city", "lat", "lon", "c_lat", "c_lon")
 
 
 def unknown_hotels(silver: DataFrame) -> DataFrame:
-    return (silver.filter(F.col("city").isNull() & F.col("hotel_id").isNotNull()
-                          & F.col("hotel_latitude").between(-90, 90) & F.col("hotel_longitude").between(-180, 180))
-            .groupBy("hotel_id").agg(F.avg("hotel_latitude").alias("lat"), F.avg("hotel_longitude").alias("lon")))
+    return _mean_point(_placed(silver).filter(F.col("city").isNull()), "hotel_id", "hotel_latitude", "hotel_longitude", "lat", "lon")
 
 
 def nearest_city(points: DataFrame, centroids: DataFrame, radius_km: float = DEFAULT_RADIUS_KM) -> DataFrame:

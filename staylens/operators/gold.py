@@ -19,6 +19,10 @@ def _share(count: Column, total: Column) -> Column:
     return F.round(count.cast("double") * 100.0 / total.cast("double"), 1)
 
 
+def _mean_stay() -> Column:
+    return F.round(F.col("total_nights").cast("double") / F.col("search_count").cast("double"), 1)
+
+
 def _with_city(silver: DataFrame) -> DataFrame:
     return silver.filter(F.col("city").isNotNull())
 
@@ -32,15 +36,18 @@ def arrival_popularity(silver: DataFrame) -> DataFrame:
 
 
 def country_trends(silver: DataFrame) -> DataFrame:
-    """Searches and average stay per user country, with the share of the city-day."""
+    """Searches and average stay per user country, with the share of the city-day.
+
+    ``total_nights`` is kept beside the average, so that several days can be averaged from the mart.
+    """
     counts = (_with_city(silver)
               .groupBy("city", "search_date", "user_country", "user_country_iso")
-              .agg(F.count(F.lit(1)).alias("search_count"), F.avg("length_of_stay").alias("_avg_los")))
+              .agg(F.count(F.lit(1)).alias("search_count"), F.sum("length_of_stay").alias("total_nights")))
     day = Window.partitionBy("city", "search_date")
     return counts.select(
         "city", "search_date", "user_country", "user_country_iso", "search_count",
         _share(F.col("search_count"), F.sum("search_count").over(day)).alias("pct_of_total"),
-        F.round("_avg_los", 1).alias("avg_los"))
+        _mean_stay().alias("avg_los"), "total_nights")
 
 
 def los_distribution(silver: DataFrame) -> DataFrame:
@@ -52,40 +59,40 @@ def los_distribution(silver: DataFrame) -> DataFrame:
                          _share(F.col("search_count"), F.sum("search_count").over(day)).alias("pct_of_total"))
 
 
-def trailing_days(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    """The dashboard's trailing-window country panel per city.
+def _trailing(mart: DataFrame, as_of: Column, days: int) -> DataFrame:
+    return mart.filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
 
-    Rows of the last ``days`` search dates up to ``as_of`` are re-aggregated per
-    city and user country: share of the city's searches in the window and the
-    average stay (weighted by searches, i.e. the mean over the searches).
-    """
-    recent = _with_city(silver).filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
-    counts = (recent.groupBy("city", "user_country", "user_country_iso")
-              .agg(F.count(F.lit(1)).alias("search_count"), F.avg("length_of_stay").alias("_avg_los")))
+
+def _panel(counts: DataFrame, as_of: Column, days: int, *columns) -> DataFrame:
     city = Window.partitionBy("city")
     return counts.select(
         "city", F.date_sub(as_of, days - 1).alias("from_date"), as_of.alias("to_date"),
-        "user_country", "user_country_iso", "search_count",
-        _share(F.col("search_count"), F.sum("search_count").over(city)).alias("pct_of_total"),
-        F.round("_avg_los", 1).alias("avg_los"))
+        *[_share(F.col("search_count"), F.sum("search_count").over(city)).alias(c) if c == "pct_of_total" else c for c in columns])
 
 
-def trailing_arrivals(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    """Searches per city and arrival date over the last ``days`` search dates."""
-    recent = _with_city(silver).filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
-    counts = recent.groupBy("city", "arrival_date").agg(F.count(F.lit(1)).alias("search_count"))
-    return counts.select("city", F.date_sub(as_of, days - 1).alias("from_date"), as_of.alias("to_date"),
-                         F.to_date("arrival_date").alias("arrival_date"), "search_count")
+def trailing_days(country: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """The dashboard's trailing-window country panel per city, from the stored country mart.
 
+    The mart's rows of the last ``days`` search dates up to ``as_of`` are summed per
+    city and user country: share of the city's searches in the window and the
+    average stay (nights over searches). No silver row is read.
+    """
+    counts = (_trailing(country, as_of, days).groupBy("city", "user_country", "user_country_iso")
+              .agg(F.sum("search_count").alias("search_count"), F.sum("total_nights").alias("total_nights"))
+              .withColumn("avg_los", _mean_stay()))
+    return _panel(counts, as_of, days, "user_country", "user_country_iso", "search_count", "pct_of_total", "avg_los")
 
-def trailing_los(silver: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
-    """Searches per city and LOS bucket over the last ``days`` search dates, with the city's share."""
-    recent = _with_city(silver).filter(F.col("search_date").between(F.date_sub(as_of, days - 1), as_of))
-    counts = recent.groupBy("city", "los_bucket").agg(F.count(F.lit(1)).alias("search_count"))
-    city = Window.partitionBy("city")
-    return counts.select("city", F.date_sub(as_of, days - 1).alias("from_date"), as_of.alias("to_date"),
-                         "los_bucket", "search_count",
-                         _share(F.col("search_count"), F.sum("search_count").over(city)).alias("pct_of_total"))
+
+def trailing_arrivals(arrival: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Searches per city and arrival date over the last ``days`` search dates, from the stored arrival mart."""
+    counts = _trailing(arrival, as_of, days).groupBy("city", "arrival_date").agg(F.sum("search_count").alias("search_count"))
+    return _panel(counts, as_of, days, "arrival_date", "search_count")
+
+
+def trailing_los(los: DataFrame, as_of: Column, days: int = 7) -> DataFrame:
+    """Searches per city and LOS bucket over the last ``days`` search dates, with the city's share, from the stored mart."""
+    counts = _trailing(los, as_of, days).groupBy("city", "los_bucket").agg(F.sum("search_count").alias("search_count"))
+    return _panel(counts, as_of, days, "los_bucket", "search_count", "pct_of_total")
 
 
 def weekly_arrivals(silver: DataFrame, threshold: int = Ref.WEEKLY_HIGHLIGHT_THRESHOLD) -> DataFrame:

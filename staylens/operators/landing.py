@@ -23,7 +23,7 @@ from staylens import reference_data as R
 from staylens.functions import json as J
 from staylens.functions.dates import strict_timestamp
 from staylens.functions.keys import dedup_key
-from staylens.operators.validation import with_errors
+from staylens.operators.validation import BUSINESS_CODES, CODE_NOT_JSON, error, no_errors, with_errors
 
 # FIXED VALUES: dead-letter reasons.
 REASON_TOO_LARGE = "payload_too_large"
@@ -32,6 +32,10 @@ REASON_MISSING = "missing_required_fields"
 REASON_BAD_TIMESTAMP = "invalid_timestamp"
 REASON_VALIDATION = "validation_failed"
 REASON_VERSION = "unsupported_schema_version"
+# FIXED VALUES: codes of errors that only landing finds.
+CODE_PRESENCE = "root.presence"
+CODE_SIZE = "root.size"
+CODE_VERSION = "root.version"
 
 # JSON spellings of empty values; numbers are compared with 0 (the string "0" is not empty).
 _FALSY_JSON = ["null", "false", '""', "[]", "{}"]
@@ -69,9 +73,9 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
 
     if gate == "light":
         errors = (F.when(_falsy(v, "hotel_id") | _falsy(v, "timestamp"),
-                         F.array(F.lit("root: hotel_id and timestamp are required")))
-                  .when(ts.isNull(), F.array(F.lit("timestamp: invalid datetime format")))
-                  .otherwise(F.array().cast("array<string>")))
+                         F.array(error("root", CODE_PRESENCE, "hotel_id and timestamp are required")))
+                  .when(ts.isNull(), F.array(error("timestamp", BUSINESS_CODES["timestamp"], "invalid datetime format")))
+                  .otherwise(no_errors()))
         gate_reason = (F.when(_falsy(v, "hotel_id") | _falsy(v, "timestamp"), REASON_MISSING)
                        .when(ts.isNull(), REASON_BAD_TIMESTAMP))
     else:
@@ -88,11 +92,11 @@ def land(raw: DataFrame, gate: str = "light", partner_id: str = R.PARTNER_ID,
                              currencies=currencies)
     labelled = (staged
                 .withColumn("errors", F.when(~F.col("schema_version").isin(*R.ACCEPTED_SCHEMA_VERSIONS),
-                                             F.array(F.format_string("root: unsupported schema version %s",
-                                                                     F.col("schema_version"))))
-                            .when(too_large, F.array(F.format_string(
-                                          "root: body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes or 0))))
-                            .when(not_json, F.array(F.lit("root: invalid JSON")))
+                                             F.array(error("root", CODE_VERSION, F.format_string(
+                                                 "unsupported schema version %s", F.col("schema_version")))))
+                            .when(too_large, F.array(error("root", CODE_SIZE, F.format_string(
+                                "body of %d bytes exceeds %d", F.octet_length(body), F.lit(max_bytes or 0)))))
+                            .when(not_json, F.array(error("root", CODE_NOT_JSON, "invalid JSON")))
                             .otherwise(errors))
                 .withColumn("reason", F.when(~F.col("schema_version").isin(*R.ACCEPTED_SCHEMA_VERSIONS),
                                              REASON_VERSION)
@@ -124,10 +128,10 @@ def bronze_rows(labelled: DataFrame) -> DataFrame:
 
 
 def quarantine_rows(labelled: DataFrame, attempts: int | Column = 1) -> DataFrame:
-    """Dead letters: reason, errors and the body (its first 500 chars when it is no JSON object)."""
+    """Dead letters: reason, errors (path, code, message) and the body (its first 500 chars when it is no JSON object)."""
     short = F.col("reason") == REASON_INVALID_JSON
     return (labelled.filter(F.col("reason").isNotNull())
-            .select("event_id", "ingestion_time", "reason", "errors",
+            .select("event_id", "ingestion_time", "schema_version", "reason", "errors",
                     F.when(short, F.substring("payload", 1, R.DLQ_RAW_CHARS)).otherwise(F.col("payload")).alias("raw"),
                     (attempts if isinstance(attempts, Column) else F.lit(attempts)).cast("int").alias("attempts"),
                     "ingest_date"))

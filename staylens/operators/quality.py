@@ -120,25 +120,29 @@ def enforce(scan_rows: DataFrame) -> None:
         raise QualityGateError(f"quality gate failed: {row['failed_checks']}")
 
 
-def freshness(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, as_of: Column,
-              gold_refreshed_at: Column | None = None) -> DataFrame:
-    """Lag of the newest ingestion, staleness and the pipeline's rates as one row.
+def freshness(bronze: DataFrame, silver: DataFrame, quarantine: DataFrame, refreshed: DataFrame, as_of: Column) -> DataFrame:
+    """One row a published table: when it was refreshed, whether that is too long ago, and the pipeline's lag and rates.
 
-    One aggregate over bronze; the silver and dead-letter counts are scalar
-    subqueries (each a single partial-aggregated count).
+    ``refreshed`` holds (table_name, refreshed_at) of the published tables
+    (``Tables.refreshed``): a refresh job that has stopped shows there, however
+    fresh the ingestion is. One aggregate over bronze; the silver and dead-letter
+    counts are scalar subqueries (each a single partial-aggregated count).
     """
     silver_rows = silver.select(F.count(F.lit(1))).scalar()
     null_city = silver.select(F.count_if(F.col("city").isNull())).scalar()
     dead = quarantine.select(F.count(F.lit(1))).scalar()
-    b = bronze.agg(F.max("ingestion_time").alias("newest_ingestion"), F.count(F.lit(1)).alias("bronze_rows"),
-                   F.count_distinct("dedup_key").alias("bronze_keys"))
-    refreshed = gold_refreshed_at if gold_refreshed_at is not None else F.col("newest_ingestion")
-    lag_min = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col("newest_ingestion"))) / 6.0e7
-    gold_lag = (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(refreshed.cast("timestamp"))) / 6.0e7
-    return b.select(
+    landed = bronze.agg(F.max("ingestion_time").alias("newest_ingestion"), F.count(F.lit(1)).alias("bronze_rows"),
+                        F.count_distinct("dedup_key").alias("bronze_keys")).select(F.struct("*")).scalar()
+    rows = refreshed.select("table_name", "refreshed_at", landed.alias("_b")).select("table_name", "refreshed_at", "_b.*")
+
+    def minutes(since: str) -> Column:
+        return (F.unix_micros(as_of.cast("timestamp")) - F.unix_micros(F.col(since))) / 6.0e7
+
+    return rows.select(
+        "table_name", "refreshed_at", F.round(minutes("refreshed_at"), 2).alias("refresh_lag_minutes"),
+        (minutes("refreshed_at") > Ref.GOLD_STALE_MINUTES).alias("stale"),
         "newest_ingestion",
-        F.round(lag_min, 2).alias("ingest_lag_minutes"),
-        (gold_lag > Ref.GOLD_STALE_MINUTES).alias("gold_stale"),
+        F.round(minutes("newest_ingestion"), 2).alias("ingest_lag_minutes"),
         F.round(F.try_divide(null_city * 100.0, silver_rows), 2).cast("double").alias("null_city_pct"),
         F.round(F.try_divide((F.col("bronze_rows") - F.col("bronze_keys")) * 100.0, F.col("bronze_rows")), 2)
         .cast("double").alias("duplicate_pct"),

@@ -8,9 +8,12 @@ dead letter that has used up its attempts is abandoned.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from staylens.operators.landing import BRONZE_COLUMNS, REASON_VALIDATION, land
+from staylens.operators.landing import (BRONZE_COLUMNS, REASON_BAD_TIMESTAMP, REASON_MISSING, REASON_TOO_LARGE, REASON_VALIDATION,
+                                       REASON_VERSION, land)
 from staylens.session import work_dir
 from staylens.sources import sinks
 
@@ -20,19 +23,22 @@ ALREADY_LANDED = "already_landed"
 STILL_FAILING = "still_failing"
 ABANDONED = "abandoned"
 MAX_ATTEMPTS = 5
+# Reasons that a changed contract, limit or version list may lift; text that is no JSON stays what it is.
+REPLAYABLE = [REASON_VALIDATION, REASON_MISSING, REASON_BAD_TIMESTAMP, REASON_TOO_LARGE, REASON_VERSION]
 
 
-def replay(quarantine: DataFrame, bronze: DataFrame, known_countries=None, currencies=None) -> DataFrame:
-    """Outcome per replayed dead letter, with its bronze record.
+def replay(quarantine: DataFrame, bronze: DataFrame, known_countries=None, currencies=None,
+           max_bytes: int | None = None) -> DataFrame:
+    """Outcome per replayed dead letter (every reason but text that is no JSON), with its bronze record.
 
     The dedup keys already landed are reduced with a distinct (partial
     aggregation collapses a hot key before the shuffle) and matched with a
     left join, so no key is ever gathered whole into one task.
     """
-    retry = (quarantine.filter(F.col("reason") == REASON_VALIDATION)
+    retry = (quarantine.filter(F.col("reason").isin(*REPLAYABLE))
              .select(F.col("event_id").alias("request_id"), F.col("ingestion_time").alias("received_at"),
-                     F.col("raw").alias("value"), "attempts"))
-    relabelled = land(retry, "full", known_countries=known_countries, currencies=currencies)
+                     F.col("raw").alias("value"), "schema_version", "attempts"))
+    relabelled = land(retry, "full", known_countries=known_countries, currencies=currencies, max_bytes=max_bytes)
     attempts = retry.select(F.col("request_id").alias("event_id"), "attempts")
     spent = F.col("attempts") + 1 >= MAX_ATTEMPTS
     landed_keys = bronze.select("dedup_key").distinct().withColumn("_landed", F.lit(True))
@@ -45,14 +51,15 @@ def replay(quarantine: DataFrame, bronze: DataFrame, known_countries=None, curre
 
 
 def replay_and_land(spark: SparkSession, quarantine: DataFrame, bronze_path: str, known_countries=None,
-                    currencies=None) -> DataFrame:
+                    currencies=None, max_bytes: int | None = None, batch: str | None = None) -> DataFrame:
     """Replay dead letters against a stored bronze table and append the re-landed ones to it.
 
     The outcomes are written first, so the append and the caller see the same ones;
-    the append skips event ids already stored, so a repeated run adds nothing.
+    the append skips event ids filed by other batches and overwrites its own ``batch``.
     """
     path = work_dir(spark, "replay")
-    replay(quarantine, sinks.read_bronze(spark, bronze_path), known_countries, currencies).write.parquet(path)
+    replay(quarantine, sinks.read_bronze(spark, bronze_path), known_countries, currencies, max_bytes).write.parquet(path)
     outcomes = spark.read.parquet(path)
-    sinks.append_bronze_idempotent(spark, outcomes.filter(F.col("outcome") == RELANDED), bronze_path)
+    sinks.append_bronze_idempotent(spark, outcomes.filter(F.col("outcome") == RELANDED), bronze_path,
+                                   batch or f"replay-{uuid.uuid4().hex}")
     return outcomes

@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from staylens.sources.versions import Tables
+
 
 def _window(df: DataFrame, city: str | None, from_date=None, to_date=None) -> DataFrame:
     if city is not None:
@@ -118,15 +119,9 @@ class Marts:
 
 
 def load_marts(spark: SparkSession, root: str) -> Marts:
-    """Marts stored under ``root``; a missing one is None (the 'not ready' outcome)."""
-    def read(name):
-        try:
-            return spark.read.parquet(f"{root.rstrip('/')}/{name}")
-        except AnalysisException as e:
-            if e.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-    return Marts(read("gold_arrival_date_popularity"), read("gold_country_trends"), read("gold_los_distribution"))
+    """The marts of the newest published version; a missing one is None (the 'not ready' outcome)."""
+    tables = Tables(spark, root)
+    return Marts(*map(tables.read, ("gold_arrival_date_popularity", "gold_country_trends", "gold_los_distribution")))
 
 
 def panel_rows(marts: Marts) -> DataFrame:

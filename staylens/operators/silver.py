@@ -40,6 +40,22 @@ def stage(bronze: DataFrame) -> DataFrame:
             .select(*[c for c in bronze.columns if c != "ingest_date"], F.inline(F.array(fields))))
 
 
+# FIXED VALUES: payload fields that a contract version adds, with their types (FIXTURES.md 6).
+VERSION_FIELDS = {"v1": {}, "v2": {"guests": J.integer, "trip_purpose": J.text}}
+
+
+def stage_versions(bronze: DataFrame) -> DataFrame:
+    """Staging by contract version, each version's own fields beside the common ones (NULL where a version lacks them)."""
+    out = None
+    for version, fields in VERSION_FIELDS.items():
+        rows = stage(bronze.where(F.col("schema_version") == version))
+        if fields:
+            own = F.struct(*[read(F.col("_v"), f).alias(f) for f, read in fields.items()])
+            rows = J.with_parsed(rows, "payload").select(*rows.columns, F.inline(F.array(own)))
+        out = rows if out is None else out.unionByName(rows, allowMissingColumns=True)
+    return out
+
+
 def enrich(staged: DataFrame, dim_hotels: DataFrame, country_map: DataFrame) -> DataFrame:
     """Hotel city (left join), user country ISO (left join on trimmed lower name),
     search_date, LOS bucket and the stay computed from the dates.
@@ -93,32 +109,49 @@ REJECT_LOS_RANGE = "los_out_of_range"
 REJECT_DUPLICATE = "duplicate"
 
 
+# Parts that the copies of one key are ranked in first.
+KEY_PARTS = 16
+
+
 def silver_rejects(bronze: DataFrame, dim_hotels: DataFrame | None = None,
                    country_map: DataFrame | None = None) -> DataFrame:
     """Bronze rows that did not become silver rows, with the reason.
 
-    Rows kept by silver are identified by ``event_id`` (unique, so the join is
-    evenly spread whatever the skew of ``dedup_key``); a consistent row that
-    was not kept lost to a later copy of its key.
+    One pass: a row's own reason is a column, and the loser of a key is marked by a window over
+    the consistent rows of the key. The others stand in windows of their own (by event id).
+    Copies of a key are ranked in ``KEY_PARTS`` parts and then the parts' winners, so a key that
+    holds a large share of the rows is not sorted by one task. Nothing is joined back.
     """
     spark = bronze.sparkSession
     dim_hotels = dim_hotels if dim_hotels is not None else Ref.dim_hotels(spark)
     country_map = country_map if country_map is not None else Ref.country_map(spark)
     e = enrich(stage(bronze), dim_hotels, country_map)
-    kept = latest_per_key(keep_consistent(e)).select("event_id", F.lit(True).alias("_kept"))
     complete = (F.col("arrival_date").isNotNull() & F.col("departure_date").isNotNull()
                 & F.col("length_of_stay").isNotNull())
-    reason = (F.when(~complete, REJECT_NULL_FIELD)
-              .when(F.coalesce(F.col("computed_los") != F.col("length_of_stay"), F.lit(True)), REJECT_LOS_MISMATCH)
-              .when(F.col("los_bucket") == Ref.LOS_OTHER, REJECT_LOS_RANGE)
-              .when(F.col("_kept").isNull(), REJECT_DUPLICATE))
-    return (e.join(kept, "event_id", "left")
-            .withColumn("reason", reason)
-            .filter(F.col("reason").isNotNull())
-            .select("event_id", "dedup_key", "ingestion_time", "hotel_id", "search_date", "reason"))
+    own = (F.when(~complete, REJECT_NULL_FIELD)
+           .when(F.coalesce(F.col("computed_los") != F.col("length_of_stay"), F.lit(True)), REJECT_LOS_MISMATCH)
+           .when(F.col("los_bucket") == Ref.LOS_OTHER, REJECT_LOS_RANGE))
+    rows = e.select("event_id", "dedup_key", "ingestion_time", "hotel_id", "search_date", own.alias("reason"))
+    newest = [F.col("ingestion_time").desc(), F.col("event_id").desc()]
+
+    def beaten(df: DataFrame, *parts) -> DataFrame:
+        alone = F.when(F.col("reason").isNull(), F.col("dedup_key")).otherwise(F.col("event_id"))
+        w = Window.partitionBy(F.col("reason").isNull(), alone, *parts).orderBy(*newest)
+        lost = F.col("reason").isNull() & (F.row_number().over(w) > 1)
+        return df.withColumn("reason", F.when(lost, REJECT_DUPLICATE).otherwise(F.col("reason")))
+
+    part = F.pmod(F.xxhash64("event_id"), F.lit(KEY_PARTS))
+    return beaten(beaten(rows, part)).filter(F.col("reason").isNotNull())
 
 
 def read_dim_hotels(spark: SparkSession, path: str) -> DataFrame:
-    """A4: the hotel dimension from a CSV with a header (explicit schema, no inference)."""
+    """A4: the hotel dimension from a CSV with a header (explicit schema, no inference).
+
+    T4: a hotel listed twice would double its searches in the join, so it ends the job.
+    """
     from staylens.schemas import DIM_HOTELS
-    return spark.read.schema(DIM_HOTELS).option("header", True).csv(path)
+    rows = spark.read.schema(DIM_HOTELS).option("header", True).csv(path)
+    one = rows.groupBy("hotel_id").agg(F.count(F.lit(1)).alias("n"), F.max("city").alias("city"),
+                                       F.max("country_iso").alias("country_iso"))
+    twice = F.raise_error(F.concat(F.lit("hotel listed twice: "), F.col("hotel_id").cast("string"))).cast("int")
+    return one.select(F.when(F.col("n") == 1, F.col("hotel_id")).otherwise(twice).alias("hotel_id"), "city", "country_iso")

@@ -1,26 +1,26 @@
-"""Refresh plans over stored tables: full rebuild, incremental merge, backfill.
-
-Silver and the marts are partitioned by ``search_date``. All copies of a
-``dedup_key`` share one search_date (the key hashes the timestamp text), and
-every mart share is computed within (city, search_date), so a refresh is
-exact per partition: gather the touched dates, rebuild only those partitions
-from the union of stored and new rows, and replace them with a dynamic
-partition overwrite. New partitions are first written to a staging folder
-under the shared checkpoint root, so a failed run never publishes half a
-refresh and never overwrites a path it is still reading.
+"""Refresh plans over stored tables: full rebuild, incremental merge, stream of bronze files, backfill.
+
+Silver and the marts are partitioned by ``search_date`` and published together
+(``sources.versions.Tables``). All copies of a ``dedup_key`` share one
+search_date (the key hashes the timestamp text), and every mart share is
+computed within (city, search_date), so a refresh is exact per day: the
+touched days are rebuilt from the union of stored and new rows, written once,
+and one version switch shows them in silver and all marts.
 """
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staylens import reference_data as Ref
 from staylens.operators import gold, quality
 from staylens.operators.silver import enrich, keep_consistent, latest_per_key, stage
-from staylens.schemas import SILVER_COLUMNS
-from staylens.session import work_dir
-from staylens.sources import sinks
+from staylens.schemas import BRONZE, SILVER_COLUMNS
+from staylens.sources.versions import Tables, Written
 
+SILVER = "silver"
 MARTS = {
     "gold_arrival_date_popularity": gold.arrival_popularity,
     "gold_country_trends": gold.country_trends,
@@ -39,85 +39,79 @@ def silver_candidates(bronze: DataFrame, dim_hotels: DataFrame | None = None) ->
         .select(*SILVER_COLUMNS)
 
 
-def _touched(df: DataFrame) -> DataFrame:
-    return df.select("search_date").distinct()
-
-
-def _stage_then_publish(spark: SparkSession, df: DataFrame, target: str, name: str,
-                        tiebreak: str | None = None, whole_table: bool = False) -> None:
-    staging = work_dir(spark, f"staging-{name}")
-    sinks.write_partitions(df, staging, tiebreak=tiebreak)
-    sinks.write_partitions(spark.read.parquet(staging), target, tiebreak=tiebreak, whole_table=whole_table)
+def _write_marts(tables: Tables, run: str, silver: DataFrame) -> dict[str, Written]:
+    return {name: tables.write(name, run, build(silver)) for name, build in MARTS.items()}
 
 
-def merge_silver(spark: SparkSession, new_bronze: DataFrame, silver_path: str,
-                 dim_hotels: DataFrame | None = None) -> DataFrame:
-    """Merge a bronze batch into silver; returns the touched search dates.
+def merge(spark: SparkSession, new_bronze: DataFrame, root: str, dim_hotels: DataFrame | None = None,
+          at: dt.datetime | None = None) -> list[dt.date]:
+    """Merge a bronze batch into silver and refresh the marts of its days; returns those days.
 
     Stored rows of the touched days are re-ranked together with the batch
     (latest ingestion wins), so the result equals a full rebuild whatever the
-    order in which batches arrive (late arrivals included).
+    order in which batches arrive, and a batch that is merged again changes
+    nothing. The days are read off the timestamp column, before any parsing.
     """
-    cand = silver_candidates(new_bronze, dim_hotels)
-    stage_dir = work_dir(spark, "silver-batch")
-    cand.write.mode("overwrite").parquet(stage_dir)        # cut lineage; read twice below
-    cand = spark.read.parquet(stage_dir)
-    touched = _touched(cand)
-    union = cand
-    if sinks.table_exists(spark, silver_path):
-        stored = spark.read.parquet(silver_path).join(touched, "search_date", "left_semi")
-        union = cand.unionByName(stored.select(*SILVER_COLUMNS))
-    _stage_then_publish(spark, latest_per_key(union), silver_path, "silver", tiebreak="dedup_key")
+    tables = Tables(spark, root)
+    day = F.to_date("search_timestamp")
+    touched = [r.d for r in new_bronze.select(day.alias("d")).where("d is not null").distinct().collect()]
+    union = silver_candidates(new_bronze, dim_hotels)
+    stored = tables.read(SILVER)
+    if stored is not None:
+        union = union.unionByName(stored.where(F.col("search_date").isin(touched)).select(*SILVER_COLUMNS))
+    run = tables.new_run()
+    silver = tables.write(SILVER, run, latest_per_key(union), tiebreak="dedup_key")
+    marts = _write_marts(tables, run, tables.written(SILVER, run, silver.schema))
+    tables.publish(run, {SILVER: silver, **marts}, touched, at)
     return touched
 
 
-def merge_since_mark(spark: SparkSession, bronze: DataFrame, silver_path: str, mark_path: str,
-                     look_back: str = "INTERVAL 1 DAY", dim_hotels: DataFrame | None = None) -> DataFrame:
-    """Merge what bronze gained since the stored ingestion-time mark; returns the touched search dates.
+def follow_bronze(spark: SparkSession, bronze_path: str, root: str, checkpoint: str, available_now: bool = True,
+                  max_files_per_trigger: int | None = None, processing_time: str = "15 minutes",
+                  dim_hotels: DataFrame | None = None):
+    """Silver and marts follow bronze file by file, without a time mark.
 
-    The slice begins ``look_back`` before the mark, so rows that reach bronze late,
-    with times at or below the mark, are kept; rows merged before are merged again
-    to no effect. The mark (its newest row counts) is advanced only after the merge.
+    The file source's checkpoint remembers which bronze files were merged, so a
+    row is merged whenever its file appears, however late its times are. A
+    micro-batch that is run again after a failure merges to the same rows.
     """
-    newest = work_dir(spark, "mark")
-    bronze.agg(F.max("ingestion_time").alias("mark")).write.parquet(newest)  # before the slice is read
-    new = bronze
-    if sinks.table_exists(spark, mark_path):
-        mark = spark.read.parquet(mark_path).select((F.max("mark") - F.expr(look_back)).alias("from")).scalar()
-        new = bronze.filter((F.col("ingestion_time") > mark) & (F.col("ingest_date") >= F.to_date(mark)))
-    touched = merge_silver(spark, new, silver_path, dim_hotels)
-    spark.read.parquet(newest).write.mode("append").parquet(mark_path)
-    return touched
+    source = spark.readStream.schema(BRONZE)
+    if max_files_per_trigger:
+        source = source.option("maxFilesPerTrigger", max_files_per_trigger)
+
+    def run(batch: DataFrame, _batch_id: int) -> None:
+        merge(batch.sparkSession, batch.select(*BRONZE.names), root, dim_hotels)
+
+    w = source.parquet(bronze_path).writeStream.foreachBatch(run).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)
+    return w.start()
 
 
-def refresh_gold(spark: SparkSession, silver_path: str, gold_root: str, touched: DataFrame | None = None) -> None:
-    """Recompute the marts for the touched search dates (all dates when None)."""
-    silver = spark.read.parquet(silver_path)
-    if touched is not None:
-        silver = silver.join(touched, "search_date", "left_semi")
-    for name, build in MARTS.items():
-        _stage_then_publish(spark, build(silver), f"{gold_root.rstrip('/')}/{name}", name, whole_table=touched is None)
+def publish_marts(spark: SparkSession, silver: DataFrame, root: str, names=None, at: dt.datetime | None = None) -> Tables:
+    """The named marts (default: all) of a silver frame, published."""
+    tables = Tables(spark, root)
+    run = tables.new_run()
+    tables.publish(run, {name: tables.write(name, run, MARTS[name](silver)) for name in names or MARTS}, at=at)
+    return tables
 
 
-def full_refresh(spark: SparkSession, bronze: DataFrame, silver_path: str, gold_root: str,
-                 enforce_gate: bool = True, dim_hotels: DataFrame | None = None) -> dict[str, int]:
-    """Rebuild silver, check it, then publish silver and the marts.
+def full_refresh(spark: SparkSession, bronze: DataFrame, root: str, enforce_gate: bool = True,
+                 dim_hotels: DataFrame | None = None, at: dt.datetime | None = None) -> dict[str, int]:
+    """Rebuild silver and the marts, check them, then publish them by one switch.
 
-    The quality gate runs on the staged silver candidate and its marts; an
-    error-severity failure raises before anything is published. Whole tables
-    are replaced, so days that bronze no longer holds go.
+    The quality gate runs on what was written and before it is published: an
+    error-severity failure, or a crash at any point, leaves the tables as they
+    were. Whole tables are replaced, so days that bronze no longer holds go.
     """
-    staging = work_dir(spark, "silver-full")
-    sinks.write_partitions(latest_per_key(silver_candidates(bronze, dim_hotels)), staging, tiebreak="dedup_key")
-    cand = spark.read.parquet(staging)
+    tables = Tables(spark, root)
+    run = tables.new_run()
+    new = {SILVER: tables.write(SILVER, run, latest_per_key(silver_candidates(bronze, dim_hotels)), tiebreak="dedup_key")}
+    new.update(_write_marts(tables, run, tables.written(SILVER, run, new[SILVER].schema)))
+    now = {name: tables.written(name, run, w.schema) for name, w in new.items()}
     if enforce_gate:
-        quality.enforce(quality.scan(cand, gold.country_trends(cand), gold.los_distribution(cand)))
-    sinks.write_partitions(cand, silver_path, tiebreak="dedup_key", whole_table=True)
-    refresh_gold(spark, silver_path, gold_root)
-    counts = {"silver_rows": spark.read.parquet(silver_path).count()}
-    for name in MARTS:
-        counts[name] = spark.read.parquet(f"{gold_root.rstrip('/')}/{name}").count()
-    return counts
+        quality.enforce(quality.scan(now[SILVER], now["gold_country_trends"], now["gold_los_distribution"]))
+    tables.publish(run, new, at=at)
+    return {"silver_rows" if name == SILVER else name: df.count() for name, df in now.items()}
 
 
 def backfill(spark: SparkSession, bronze: DataFrame, from_date: str, to_date: str,

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staylens.operators import serving
+from staylens.operators.validation import error_texts
 from staylens.plans.derived import Flow
 
 # Read parameters of the serving queries (fixed request values).
@@ -14,6 +15,7 @@ CITY = "Paris"
 FROM_DATE = "2024-01-08"
 TO_DATE = "2024-01-14"
 CITY_WITHOUT_DATA = "Atlantis"
+MONTH = ("2024-01-01", "2024-01-31")
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -24,12 +26,18 @@ def query(fn):
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 for all cities over a month: a date range bounds the arrays of a city."""
     f = Flow(spark, sf_dir, stored=("silver",))
-    return serving.city_trends(f.arrival, f.country, f.los)
+    return serving.city_trends(f.arrival, f.country, f.los, None, *MONTH)
 
 
 # --- landing / bronze ------------------------------------------------------
 
+def _draw(column, n):
+    """A number below n from the number in an event's id (a re-sent copy draws as its original)."""
+    return F.expr(f"cast(rtrim('r', {column}) as bigint) div 7 % {n}")
+
+
 @query
 def bronze_landing(spark, sf_dir):
     return Flow(spark, sf_dir).bronze
@@ -101,14 +109,11 @@ def pipeline_counts(spark, sf_dir):
 # --- serving (from stored marts) ---------------------------------------------
 
 def _stored_marts(spark, sf_dir, *names):
-    """The named marts (default: all) written by search date, as a refresh leaves them, and opened for reading."""
-    from staylens.plans.refresh import MARTS
+    """The named marts (default: all) published by search date, as a refresh leaves them, and opened for reading."""
+    from staylens.plans.refresh import publish_marts
     from staylens.session import work_dir
-    from staylens.sources import sinks
-    silver = Flow(spark, sf_dir, stored=("silver",)).silver
     root = work_dir(spark, "marts")
-    for name in names or MARTS:
-        sinks.write_partitions(MARTS[name](silver), f"{root}/{name}")
+    publish_marts(spark, Flow(spark, sf_dir, stored=("silver",)).silver, root, names or None)
     return serving.load_marts(spark, root)
 
 
@@ -165,7 +170,8 @@ def _validated(spark, sf_dir):
 def _error_rows(df, stage):
     return (df.filter(F.col("failed_stage") == stage)
             .select("event_id", F.size("errors").alias("error_count"),
-                    F.array_join("errors", " | ").alias("error_text")))
+                    F.array_join(error_texts("errors"), " | ").alias("error_text"),
+                    F.array_join("errors.code", ",").alias("error_codes")))
 
 
 @query
@@ -188,14 +194,15 @@ def validate_split(spark, sf_dir):
 
 @query
 def rejections_by_code(spark, sf_dir):
-    from staylens.operators.validation import rejections_by_rule
-    return rejections_by_rule(_validated(spark, sf_dir))
+    from staylens.operators.validation import rejections_by_code as by_code
+    return by_code(_validated(spark, sf_dir))
 
 
 @query
 def quarantine_full(spark, sf_dir):
     q = Flow(spark, sf_dir, gate="full").quarantine
-    return q.withColumn("error_text", F.array_join("errors", " | ")).drop("errors")
+    return q.withColumns({"error_text": F.array_join(error_texts("errors"), " | "),
+                          "error_codes": F.array_join("errors.code", ",")}).drop("errors")
 
 
 # --- data quality ------------------------------------------------------------
@@ -203,28 +210,41 @@ def quarantine_full(spark, sf_dir):
 AS_OF = "2024-01-31 00:00:00"
 
 
+def _damaged(silver):
+    """Silver with faults that its own build never leaves: what the failing-row checks are for.
+
+    Of 100 draws: 0 stands twice, 1 has a wrong stay, 2 no stay, 3 an unknown bucket, 4 no key.
+    """
+    c = _draw("event_id", 100)
+    return (silver.withColumn("_copies", F.explode(F.when(c == 0, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))))
+            .drop("_copies")
+            .withColumns({"length_of_stay": F.when(c == 1, F.col("length_of_stay") + 1).when(c == 2, F.lit(None)).otherwise(F.col("length_of_stay")),
+                          "los_bucket": F.when(c == 3, F.lit("a while")).otherwise(F.col("los_bucket")),
+                          "dedup_key": F.when(c == 4, F.lit(None)).otherwise(F.col("dedup_key"))}))
+
+
 @query
 def dq_unique(spark, sf_dir):
     from staylens.operators.quality import duplicate_keys
-    return duplicate_keys(Flow(spark, sf_dir).silver)
+    return duplicate_keys(_damaged(Flow(spark, sf_dir).silver))
 
 
 @query
 def dq_not_null(spark, sf_dir):
     from staylens.operators.quality import null_violations
-    return null_violations(Flow(spark, sf_dir).silver)
+    return null_violations(_damaged(Flow(spark, sf_dir).silver))
 
 
 @query
 def dq_accepted_values(spark, sf_dir):
     from staylens.operators.quality import unaccepted_los_buckets
-    return unaccepted_los_buckets(Flow(spark, sf_dir).los).select("city", "search_date", "los_bucket")
+    return unaccepted_los_buckets(_damaged(Flow(spark, sf_dir).silver)).select("event_id", "search_date", "los_bucket")
 
 
 @query
 def dq_los_consistency(spark, sf_dir):
     from staylens.operators.quality import los_inconsistent
-    return los_inconsistent(Flow(spark, sf_dir).silver)
+    return los_inconsistent(_damaged(Flow(spark, sf_dir).silver))
 
 
 @query
@@ -236,16 +256,29 @@ def dq_scan(spark, sf_dir):
 
 @query
 def dq_gate(spark, sf_dir):
+    """The gate on silver as it is built, and on a damaged candidate."""
     from staylens.operators.quality import gate, scan
     f = Flow(spark, sf_dir, stored=("silver",))
-    return gate(scan(f.silver, f.country, f.los))
+    return (gate(scan(f.silver, f.country, f.los)).withColumn("candidate", F.lit("built"))
+            .unionByName(gate(scan(_damaged(f.silver), f.country, f.los)).withColumn("candidate", F.lit("damaged"))))
+
+
+# The refresh of the marts: silver goes on after the arrival mart's last run.
+REFRESHED_AT = {"gold_arrival_date_popularity": "2024-01-20 06:00:00", "gold_los_distribution": "2024-01-30 23:45:00"}
 
 
 @query
 def dq_freshness(spark, sf_dir):
+    """The arrival mart's job has stopped on the 20th, the stay mart is 15 minutes old."""
+    import datetime as dt
     from staylens.operators.quality import freshness
+    from staylens.plans.refresh import publish_marts
+    from staylens.session import work_dir
     f = Flow(spark, sf_dir, stored=True)
-    return freshness(f.bronze, f.silver, f.quarantine, F.lit(AS_OF).cast("timestamp"))
+    root = work_dir(spark, "fresh-marts")
+    for name, at in REFRESHED_AT.items():
+        tables = publish_marts(spark, f.silver, root, [name], dt.datetime.fromisoformat(at).replace(tzinfo=dt.timezone.utc))
+    return freshness(f.bronze, f.silver, f.quarantine, tables.refreshed(), F.lit(AS_OF).cast("timestamp"))
 
 
 # --- edge checks -------------------------------------------------------------
@@ -267,27 +300,41 @@ def rate_limit_audit(spark, sf_dir):
     return audit(Flow(spark, sf_dir).raw.select("client", "request_id", "received_at"), **RATE_LIMIT)
 
 
+@query
+def rate_limit_exact(spark, sf_dir):
+    """The accepted-only rule over the whole log; one client sends a third of it."""
+    from staylens.operators.rate_limit import limit_exact
+    log = Flow(spark, sf_dir).raw.select(
+        F.when(_draw("request_id", 3) == 0, "client-hot").otherwise(F.col("client")).alias("client"),
+        "request_id", "received_at")
+    return limit_exact(log, **RATE_LIMIT)
+
+
 # --- marts over several days -------------------------------------------------
 
+def _newest(mart):
+    return mart.select(F.max("search_date")).scalar()
+
+
 @query
 def gold_last_7_days(spark, sf_dir):
     from staylens.operators.gold import trailing_days
-    s = Flow(spark, sf_dir, stored=("silver",)).silver
-    return trailing_days(s, s.select(F.max("search_date")).scalar())
+    mart = _stored_marts(spark, sf_dir, "gold_country_trends").country
+    return trailing_days(mart, _newest(mart))
 
 
 @query
 def gold_last_7_days_arrivals(spark, sf_dir):
     from staylens.operators.gold import trailing_arrivals
-    s = Flow(spark, sf_dir, stored=("silver",)).silver
-    return trailing_arrivals(s, s.select(F.max("search_date")).scalar())
+    mart = _stored_marts(spark, sf_dir, "gold_arrival_date_popularity").arrival
+    return trailing_arrivals(mart, _newest(mart))
 
 
 @query
 def gold_last_7_days_los(spark, sf_dir):
     from staylens.operators.gold import trailing_los
-    s = Flow(spark, sf_dir, stored=("silver",)).silver
-    return trailing_los(s, s.select(F.max("search_date")).scalar())
+    mart = _stored_marts(spark, sf_dir, "gold_los_distribution").los
+    return trailing_los(mart, _newest(mart))
 
 
 @query
@@ -308,11 +355,19 @@ def _stored_bronze(spark, sf_dir, name):
 
 @query
 def bronze_layout(spark, sf_dir):
+    """Rows and hotels by day, and how many files of the day reach back into the hotels of the file before."""
+    from pyspark.sql import Window
     from staylens.sources import sinks
     path = _stored_bronze(spark, sf_dir, "bronze-layout")
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"))
+    files = rows.groupBy("ingest_date", "file").agg(F.min("hotel_id").alias("lo"), F.max("hotel_id").alias("hi"))
+    before = F.lag("hi").over(Window.partitionBy("ingest_date").orderBy("lo", "hi"))
+    overlaps = (files.withColumn("before", before).groupBy("ingest_date")
+                .agg(F.count_if(F.col("before") > F.col("lo")).alias("overlapping_files")))
     return (sinks.read_bronze(spark, path).groupBy("ingest_date")
             .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("hotel_id").alias("hotels"),
-                 F.min("hotel_id").alias("min_hotel_id"), F.max("hotel_id").alias("max_hotel_id")))
+                 F.min("hotel_id").alias("min_hotel_id"), F.max("hotel_id").alias("max_hotel_id"))
+            .join(overlaps, "ingest_date"))
 
 
 RETENTION_AS_OF = "2024-04-15"
@@ -332,68 +387,67 @@ SPLIT_DAY = "2024-01-16"
 
 @query
 def bronze_idempotent_insert(spark, sf_dir):
-    """The table holds the days before SPLIT_DAY; the whole batch is then replayed into it."""
+    """The table holds the days before SPLIT_DAY; the whole log then comes as one batch, and the batch a second time."""
     from staylens.session import work_dir
     from staylens.sources import sinks
     f = Flow(spark, sf_dir)
     path = work_dir(spark, "bronze-idempotent")
-    sinks.write_bronze(f.bronze.filter(F.col("ingest_date") < F.lit(SPLIT_DAY).cast("date")), path)
-    sinks.append_bronze_idempotent(spark, f.bronze, path)
-    sinks.append_bronze_idempotent(spark, f.bronze, path)  # a second replay adds nothing
+    sinks.append_bronze_idempotent(spark, f.bronze.filter(F.col("ingest_date") < F.lit(SPLIT_DAY).cast("date")), path, "history")
+    sinks.append_bronze_idempotent(spark, f.bronze, path, "resent")
+    sinks.append_bronze_idempotent(spark, f.bronze, path, "resent")  # the batch is run again
+    sinks.append_bronze_idempotent(spark, f.bronze, path, "resent-again")  # and sent again under another name
     return sinks.read_bronze(spark, path).select("event_id", "dedup_key", "ingestion_time", "ingest_date")
 
 
 BATCH_BOUNDS = ["2024-01-11", "2024-01-21"]
 
 
+def _bronze_batches(f, *order):
+    d = F.col("ingest_date")
+    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
+    parts = [d < lo, (d >= lo) & (d < hi), d >= hi]
+    return [f.bronze.filter(parts[k]) for k in order]
+
+
 @query
 def silver_incremental(spark, sf_dir):
     """Bronze arrives in three ingest-day batches (newest first); silver is merged after each."""
-    from staylens.plans.refresh import merge_silver
+    from staylens.plans.refresh import SILVER, Tables, merge
     from staylens.session import work_dir
-    f = Flow(spark, sf_dir)
-    silver_path = work_dir(spark, "silver-incremental")
-    d = F.col("ingest_date")
-    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
-    for cond in [d >= hi, d < lo, (d >= lo) & (d < hi)]:
-        merge_silver(spark, f.bronze.filter(cond), silver_path)
-    return spark.read.parquet(silver_path).drop("payload")
+    root = work_dir(spark, "silver-incremental")
+    for batch in _bronze_batches(Flow(spark, sf_dir), 2, 0, 1):
+        merge(spark, batch, root)
+    return Tables(spark, root).read(SILVER).drop("payload")
 
 
 @query
 def gold_incremental(spark, sf_dir):
-    """Marts refreshed per touched day after each merged batch equal the full marts (all three, as panel rows)."""
-    from staylens.plans.refresh import merge_silver, refresh_gold
+    """Marts refreshed per touched day with each merged batch equal the full marts (all three, as panel rows)."""
+    from staylens.plans.refresh import merge
     from staylens.session import work_dir
-    f = Flow(spark, sf_dir)
-    silver_path, gold_root = work_dir(spark, "silver-inc"), work_dir(spark, "gold-inc")
-    d = F.col("ingest_date")
-    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
-    for cond in [d < lo, (d >= lo) & (d < hi), d >= hi]:
-        refresh_gold(spark, silver_path, gold_root, merge_silver(spark, f.bronze.filter(cond), silver_path))
-    return serving.panel_rows(serving.load_marts(spark, gold_root))
-
-
-def _late(column):
-    """A fifth of the rows, by the CRC of their id."""
-    return F.crc32(F.col(column).cast("binary")) % 5 == 0
+    root = work_dir(spark, "gold-inc")
+    for batch in _bronze_batches(Flow(spark, sf_dir), 0, 1, 2):
+        merge(spark, batch, root)
+    return serving.panel_rows(serving.load_marts(spark, root))
 
 
 @query
 def silver_watermark(spark, sf_dir):
-    """Bronze grows in three steps and silver follows its stored mark; a fifth of each step's last day comes late."""
-    from staylens.plans.refresh import merge_since_mark
+    """Bronze grows in three steps and silver follows its files; a fifth of every step's rows come five days late or more."""
+    from staylens.plans.refresh import SILVER, Tables, follow_bronze
     from staylens.session import work_dir
     from staylens.sources import sinks
-    path = _stored_bronze(spark, sf_dir, "bronze-mark")
-    bronze = sinks.read_bronze(spark, path)
-    silver_path, mark_path = work_dir(spark, "silver-mark"), work_dir(spark, "mark-table")
-    for bound in BATCH_BOUNDS:
-        day = F.lit(bound).cast("date")
-        late = (F.col("ingest_date") == F.date_sub(day, 1)) & _late("event_id")
-        merge_since_mark(spark, bronze.filter((F.col("ingest_date") < day) & ~late), silver_path, mark_path)
-    merge_since_mark(spark, bronze, silver_path, mark_path)
-    return spark.read.parquet(silver_path).drop("payload")
+    bronze = sinks.read_bronze(spark, _stored_bronze(spark, sf_dir, "bronze-whole"))
+    path, root, ckpt = (work_dir(spark, n) for n in ("bronze-growing", "silver-following", "follow-ckpt"))
+    day = F.col("ingest_date")
+    lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
+    span = F.when(day >= hi, 2).when(day >= lo, 1).otherwise(0)
+    waits = F.when(span == 0, day < F.date_sub(lo, 5)).when(span == 1, day < F.date_sub(hi, 5)).otherwise(False)
+    step = span + F.when(waits & (_draw("event_id", 5) == 0), 1).otherwise(0)
+    for k in range(len(BATCH_BOUNDS) + 1):
+        sinks.write_bronze(bronze.where(step == k), path, f"step-{k}")
+        follow_bronze(spark, path, root, ckpt).awaitTermination()
+    return Tables(spark, root).read(SILVER).drop("payload")
 
 
 REBUILD_BEFORE = "2024-01-20"
@@ -401,18 +455,21 @@ REBUILD_BEFORE = "2024-01-20"
 
 @query
 def full_refresh_counts(spark, sf_dir):
-    """Silver and marts rebuilt twice, the second time from fewer days: row counts of the stored tables."""
-    from staylens.plans.refresh import MARTS, full_refresh
+    """Silver and marts rebuilt twice, the second time from fewer days and with the hotels read from a CSV file."""
+    from staylens.operators.silver import read_dim_hotels
+    from staylens.plans.refresh import MARTS, SILVER, Tables, full_refresh
     from staylens.session import work_dir
     from staylens.sources import sinks
+    f = Flow(spark, sf_dir)
     bronze = sinks.read_bronze(spark, _stored_bronze(spark, sf_dir, "bronze-full"))
-    silver_path, gold_root = work_dir(spark, "silver-full-table"), work_dir(spark, "gold-full")
-    full_refresh(spark, bronze, silver_path, gold_root)
-    full_refresh(spark, bronze.filter(F.col("search_timestamp") < F.lit(REBUILD_BEFORE).cast("timestamp")), silver_path, gold_root)
-    tables = {"silver": silver_path, **{name: f"{gold_root}/{name}" for name in MARTS}}
-    counts = None
-    for name, path in tables.items():
-        one = spark.read.parquet(path).agg(F.count("*").alias("rows"), F.max("search_date").alias("last_day")) \
+    root, csv = work_dir(spark, "full-tables"), work_dir(spark, "dim-csv")
+    f.dim_hotels.write.option("header", True).csv(csv)
+    full_refresh(spark, bronze, root)
+    full_refresh(spark, bronze.filter(F.col("search_timestamp") < F.lit(REBUILD_BEFORE).cast("timestamp")), root,
+                 dim_hotels=read_dim_hotels(spark, csv))
+    tables, counts = Tables(spark, root), None
+    for name in (SILVER, *MARTS):
+        one = tables.read(name).agg(F.count("*").alias("rows"), F.max("search_date").alias("last_day")) \
             .select(F.lit(name).alias("table_name"), "rows", "last_day")
         counts = one if counts is None else counts.unionByName(one)
     return counts
@@ -473,43 +530,101 @@ def publish_envelope(spark, sf_dir):
 
 # --- streaming ---------------------------------------------------------------
 
-def _drain(spark, sf_dir, start):
+def _drain(spark, sf_dir, start, late=None, columns=("request_id", "received_at", "value", "client")):
     """Feed the derived message log to a stream as it would arrive: a span of days lands, the stream drains it.
 
-    ``start(source)`` starts the stream on the landing zone (``availableNow``, same checkpoint every
+    ``start(source)`` starts the streams on the landing zone (``availableNow``, same checkpoint every
     time). The log is derived once and stored by span; each span is then moved in by its own write.
+    Rows for which ``late`` holds come one span later.
     """
     from staylens.session import work_dir
     log, zone = work_dir(spark, "message-log"), work_dir(spark, "landing-zone")
     lo, hi = (F.lit(x).cast("date") for x in BATCH_BOUNDS)
     day = F.to_date("received_at")
-    Flow(spark, sf_dir).raw.withColumn("span", F.when(day >= hi, 2).when(day >= lo, 1).otherwise(0)) \
-        .write.partitionBy("span").parquet(log)
-    for span in range(len(BATCH_BOUNDS) + 1):
-        spark.read.parquet(log).filter(F.col("span") == span).drop("span").write.mode("append").parquet(zone)
-        start(zone).awaitTermination()
+    span = F.when(day >= hi, 2).when(day >= lo, 1).otherwise(0)
+    if late is not None:
+        span = F.least(F.lit(2), span + F.when(late, 1).otherwise(0))
+    Flow(spark, sf_dir).raw.withColumn("span", span).write.partitionBy("span").parquet(log)
+    for k in range(len(BATCH_BOUNDS) + 1):
+        spark.read.parquet(log).filter(F.col("span") == k).select(*columns).write.mode("append").parquet(zone)
+        started = start(zone)
+        for q in started if isinstance(started, list) else [started]:
+            q.awaitTermination()
 
 
 @query
 def stream_landing(spark, sf_dir):
+    """The log landed span by span, and every micro-batch written twice, as after a failure."""
     from staylens.session import work_dir
-    from staylens.sources.sinks import read_bronze
-    from staylens.streaming.landing import start_landing
+    from staylens.sources import sinks
+    from staylens.streaming import landing
     bronze, quarantine, archive, ckpt = (work_dir(spark, n) for n in ("s-bronze", "s-quarantine", "s-archive", "s-ckpt"))
-    _drain(spark, sf_dir, lambda src: start_landing(spark, src, bronze, quarantine, ckpt, archive, available_now=True))
-    return read_bronze(spark, bronze)
+    sinks.create_bronze(spark, bronze)
+    _drain(spark, sf_dir, lambda src: landing.start_landing(spark, src, bronze, quarantine, ckpt, archive, available_now=True,
+                                                            times=2))
+    return sinks.read_bronze(spark, bronze)
+
+
+@query
+def stream_stable_ids(spark, sf_dir):
+    """Messages without id and time, landed by two independent streams: events by reason, and how many got the same id and time."""
+    from staylens.session import work_dir
+    from staylens.sources import sinks
+    from staylens.streaming import landing
+    runs = [{n: work_dir(spark, f"ids-{n}-{k}") for n in ("bronze", "quarantine", "ckpt")} for k in range(2)]
+
+    def start(source):
+        out = []
+        for r in runs:
+            sinks.create_bronze(spark, r["bronze"])
+            out.append(landing.start_landing(spark, source, r["bronze"], r["quarantine"], r["ckpt"], available_now=True))
+        return out
+
+    _drain(spark, sf_dir, start, columns=("value",))
+    first, second = (sinks.read_bronze(spark, r["bronze"]).select("event_id", "ingestion_time", F.lit("none").alias("reason"))
+                     .unionByName(sinks.read_quarantine(spark, r["quarantine"]).select("event_id", "ingestion_time", "reason")) for r in runs)
+    same = second.withColumnRenamed("reason", "again")
+    return (first.join(same, ["event_id", "ingestion_time"], "left").groupBy("reason")
+            .agg(F.count(F.lit(1)).alias("events"), F.count_distinct("event_id").alias("ids"),
+                 F.count_if(F.col("again") == F.col("reason")).alias("same_again")))
+
+
+# Limits that bite in the feed, which sends about one request in five minutes.
+ALERT_LIMITS = {"error_rate": 0.3, "dead_letters": 0}
+# Part of the last day before a bound that comes with the span after it.
+LATE_FROM = "2024-01-10 12:00:00"
 
 
 @query
 def stream_alerts(spark, sf_dir):
+    """A fifth of the first span's last twelve hours comes behind the watermark."""
     from staylens.session import work_dir
-    from staylens.streaming.alerts import latest_windows, start_alerts
+    from staylens.streaming.alerts import Thresholds, latest_windows, start_alerts
     from staylens.streaming.landing import read_messages
     out, ckpt = work_dir(spark, "s-alerts"), work_dir(spark, "a-ckpt")
-    _drain(spark, sf_dir, lambda src: start_alerts(spark, read_messages(spark, src), out, ckpt, available_now=True))
+    behind = (_draw("request_id", 5) == 0) & (F.col("received_at") >= F.lit(LATE_FROM).cast("timestamp")) \
+        & (F.col("received_at") < F.lit(BATCH_BOUNDS[0]).cast("timestamp"))
+    _drain(spark, sf_dir, lambda src: start_alerts(spark, read_messages(spark, src), out, ckpt, available_now=True,
+                                                   limits=Thresholds(**ALERT_LIMITS)), late=behind)
     return latest_windows(spark, out)
 
 
+@query
+def contract_versions(spark, sf_dir):
+    """Two contract versions and an unknown one through one gate, staged by version."""
+    from staylens.operators.landing import bronze_rows, land
+    from staylens.operators.silver import stage_versions
+    from staylens.sources.search_feed import versioned_feed
+    landed = land(versioned_feed(Flow(spark, sf_dir).events), "full")
+    none = F.lit(None)
+    staged = stage_versions(bronze_rows(landed)).select("schema_version", none.cast("string").alias("reason"), "guests", "trip_purpose")
+    rejected = landed.where(F.col("reason").isNotNull()).select("schema_version", "reason", none.cast("int").alias("guests"),
+                                                                none.cast("string").alias("trip_purpose"))
+    return (staged.unionByName(rejected).groupBy("schema_version", F.coalesce("reason", F.lit("none")).alias("reason"))
+            .agg(F.count(F.lit(1)).alias("events"), F.count("guests").alias("with_guests"), F.sum("guests").alias("guests"),
+                 F.count("trip_purpose").alias("with_purpose")))
+
+
 # --- recovery and fallbacks ---------------------------------------------------
 
 # Allow lists after two contract updates: one more currency, then one more country.
@@ -517,21 +632,30 @@ REPLAY_CURRENCIES = ["XYZ"]
 REPLAY_COUNTRIES = ["norway"]
 
 
+# The size limit after the second update: bodies that were too large pass.
+REPLAY_MAX_BYTES = 4096
+
+
 @query
 def quarantine_replay(spark, sf_dir):
-    """Two replays into stored bronze; outcomes of the second, and whether the event is in bronze after it."""
+    """Two replays into stored bronze; outcomes of the second, and whether the event is in bronze after it.
+
+    Every reason but text that is no JSON is replayed. A third of the dead letters had used up three attempts before.
+    """
     from staylens import reference_data as Ref
     from staylens.operators.recovery import replay_and_land
     from staylens.session import work_dir
     from staylens.sources import sinks
     f = Flow(spark, sf_dir, gate="full", stored=("landed",))
     path = work_dir(spark, "bronze-replay")
-    sinks.write_bronze(f.bronze, path)
+    sinks.append_bronze_idempotent(spark, f.bronze, path, "landed")
     currencies = Ref.VALID_CURRENCIES + REPLAY_CURRENCIES
-    first = replay_and_land(spark, f.quarantine, path, currencies=currencies)
-    again = f.quarantine.drop("attempts").join(first.select("event_id", "attempts"), "event_id")
-    second = replay_and_land(spark, again, path, Ref.KNOWN_COUNTRIES + REPLAY_COUNTRIES, currencies)
-    stored = sinks.stored_ids(spark, path).withColumn("in_bronze", F.lit(True))
+    spent = F.when(_draw("event_id", 3) == 0, 3).otherwise(1).cast("int")
+    dead = f.quarantine.withColumn("attempts", spent)
+    first = replay_and_land(spark, dead, path, currencies=currencies, batch="replay-1")
+    again = dead.drop("attempts").join(first.select("event_id", "attempts"), "event_id")
+    second = replay_and_land(spark, again, path, Ref.KNOWN_COUNTRIES + REPLAY_COUNTRIES, currencies, REPLAY_MAX_BYTES, batch="replay-2")
+    stored = sinks.stored_ids(spark, path).select("event_id", F.lit(True).alias("in_bronze"))
     return second.join(stored, "event_id", "left").select(
         "event_id", "dedup_key", "outcome", "attempts", F.coalesce("in_bronze", F.lit(False)).alias("in_bronze"))
 
@@ -541,15 +665,3 @@ def nearest_city_fallback(spark, sf_dir):
     from staylens.operators.geo_fallback import city_centroids, nearest_city, unknown_hotels
     s = Flow(spark, sf_dir, stored=("silver",)).silver
     return nearest_city(unknown_hotels(s), city_centroids(s))
-
-
-@query
-def rate_limit_exact(spark, sf_dir):
-    """Accepted-only limiter run as a stateful stream over the message log (no SQL twin)."""
-    from staylens.session import work_dir
-    from staylens.streaming.landing import read_messages
-    from staylens.streaming.rate_limiter import limit_requests
-    out, ckpt = work_dir(spark, "s-limit"), work_dir(spark, "l-ckpt")
-    _drain(spark, sf_dir, lambda src: limit_requests(read_messages(spark, src), **RATE_LIMIT).writeStream.format("parquet")
-           .option("path", out).option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    return spark.read.parquet(out)

@@ -6,6 +6,8 @@ results to match; it is kept as data (small DataFrames / literals), not logic.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
 
 # ---------------------------------------------------------------------------
@@ -14,8 +16,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 PARTNER_ID = "ota-partner-1"
 SCHEMA_VERSION = "v1"
-# Contract versions landing accepts (a new version is added here with its rules).
-ACCEPTED_SCHEMA_VERSIONS = ["v1"]
 MAX_REQUEST_BYTES = 2048
 RATE_LIMIT_PER_SECOND = 100
 RETENTION_DAYS = 90
@@ -77,6 +77,13 @@ RESULT_ITEM_FIELDS = ["room_name", "price", "currency"]
 CURRENCY_PATTERN = "^[A-Z]{3}$"
 DATE_PATTERN = r"^\d{4}-\d{2}-\d{2}$"
 
+# Contract v2 (FIXTURES.md 6): v1 with the party size, and optionally why they travel.
+V2_REQUIRED_FIELDS = ["guests"]
+V2_STRING_FIELDS = ["trip_purpose"]
+V2_INTEGER_FIELDS = ["guests"]
+V2_NUMERIC_BOUNDS = [("guests", 1, 20)]
+V2_LENGTH_BOUNDS = [("trip_purpose", 1, 50)]
+
 # Data-quality thresholds of the marts' monitoring checks.
 GOLD_STALE_MINUTES = 30
 ALERT_ERROR_RATE = 0.01          # > 1 % rejected within the window
@@ -87,11 +94,34 @@ WEEKLY_HIGHLIGHT_THRESHOLD = 170
 # ---------------------------------------------------------------------------
 
 
+@dataclass(frozen=True)
+class Contract:
+    """The field rules of one contract version, as data (item and business rules hold for every version)."""
+
+    required: tuple[str, ...]
+    strings: tuple[str, ...]
+    integers: tuple[str, ...]
+    numbers: tuple[str, ...]
+    bounds: tuple[tuple, ...]
+    lengths: tuple[tuple, ...]
+
+
+CONTRACTS = {
+    "v1": Contract(tuple(REQUIRED_FIELDS), tuple(STRING_FIELDS), tuple(INTEGER_FIELDS), tuple(NUMBER_FIELDS),
+                   tuple(NUMERIC_BOUNDS), tuple(LENGTH_BOUNDS)),
+    "v2": Contract(tuple(REQUIRED_FIELDS + V2_REQUIRED_FIELDS), tuple(STRING_FIELDS + V2_STRING_FIELDS),
+                   tuple(INTEGER_FIELDS + V2_INTEGER_FIELDS), tuple(NUMBER_FIELDS),
+                   tuple(NUMERIC_BOUNDS + V2_NUMERIC_BOUNDS), tuple(LENGTH_BOUNDS + V2_LENGTH_BOUNDS)),
+}
+# Contract versions landing accepts.
+ACCEPTED_SCHEMA_VERSIONS = list(CONTRACTS)
+
+
 def _sql_literal(x) -> str:
     return str(x) if isinstance(x, int) else "'" + str(x).replace("'", "''") + "'"
 
 
-def _values(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
+def relation(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFrame:
     """A5: inline relation (``VALUES``): a local relation with exact size statistics."""
     body = ", ".join("(" + ", ".join(_sql_literal(x) for x in r) + ")" for r in rows)
     names = ", ".join(c for c, _ in columns)
@@ -100,17 +130,13 @@ def _values(spark: SparkSession, rows, columns: list[tuple[str, str]]) -> DataFr
 
 
 def dim_hotels(spark: SparkSession) -> DataFrame:
-    return _values(spark, DIM_HOTELS, [("hotel_id", "INT"), ("city", "STRING"), ("country_iso", "STRING")])
+    return relation(spark, DIM_HOTELS, [("hotel_id", "INT"), ("city", "STRING"), ("country_iso", "STRING")])
 
 
 def country_map(spark: SparkSession) -> DataFrame:
-    return _values(spark, COUNTRY_MAP, [("name", "STRING"), ("iso", "STRING")])
-
-
-def known_countries(spark: SparkSession) -> DataFrame:
-    return _values(spark, [(c,) for c in KNOWN_COUNTRIES], [("country_key", "STRING")])
+    return relation(spark, COUNTRY_MAP, [("name", "STRING"), ("iso", "STRING")])
 
 
 def accepted_los_buckets(spark: SparkSession) -> DataFrame:
-    return _values(spark, [(b,) for b in ACCEPTED_LOS_BUCKETS], [("los_bucket", "STRING")])
+    return relation(spark, [(b,) for b in ACCEPTED_LOS_BUCKETS], [("los_bucket", "STRING")])
 

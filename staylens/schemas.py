@@ -26,8 +26,10 @@ BRONZE = T.StructType([
 QUARANTINE = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("ingestion_time", T.TimestampType(), False),
+    T.StructField("schema_version", T.StringType(), False),
     T.StructField("reason", T.StringType(), False),
-    T.StructField("errors", T.ArrayType(T.StringType()), True),
+    T.StructField("errors", T.ArrayType(T.StructType([
+        T.StructField("path", T.StringType()), T.StructField("code", T.StringType()), T.StructField("message", T.StringType())])), True),
     T.StructField("raw", T.StringType(), True),
     T.StructField("attempts", T.IntegerType(), False),
     T.StructField("ingest_date", T.DateType(), True),
@@ -39,12 +41,6 @@ DIM_HOTELS = T.StructType([
     T.StructField("country_iso", T.StringType(), True),
 ])
 
-SEARCH_RESULT = T.StructType([
-    T.StructField("room_name", T.StringType(), True),
-    T.StructField("price", T.DoubleType(), True),
-    T.StructField("currency", T.StringType(), True),
-])
-
 SILVER_COLUMNS = [
     "event_id", "dedup_key", "ingestion_time", "partner_id", "schema_version", "payload",
     "hotel_id", "search_timestamp", "arrival_date", "departure_date", "length_of_stay",

@@ -13,7 +13,7 @@ Rule (k = event_id):
   arrival_date  date(ts) + k mod 60 days; JSON null when k mod 97 = 0
   nights        1 + k mod 16; departure = arrival + nights
   length_of_stay nights, +1 when k mod 29 = 0
-  coordinates   anchor of the hotel + k-derived digits
+  coordinates   anchor of the hotel + k-derived digits; for odd k hotel 1241 lies at -179.9.., across the 180th meridian
   search_results 1 + k mod 3 rooms; price from ``value``; currency item (k+i) mod 6
   request_id    k; a re-sent copy ``k`` + 'r' when k mod 20 = 0, received 1 h later;
                 the copy changes departure and stay by one night when k mod 40 = 0
@@ -21,7 +21,7 @@ Rule (k = event_id):
   received_at   ts + 5 s (+ 3600 s for the copy)
   client        sending address, 'client-' + user_id mod 16
 
-With ``dirty=True`` rows with k mod 50 in 1..18 get one defect each (see DEFECTS).
+With ``dirty=True`` rows with k mod 50 in DEFECTS get one defect each (see DEFECTS).
 """
 
 from __future__ import annotations
@@ -41,7 +41,7 @@ SEED_ANCHORS = [
     (1238, "52.5", "13.4"),
     (1239, "47.3", "8.5"),
     (1240, "48.9", "2.4"),
-    (1241, "-33.8", "151.2"),
+    (1241, "-17.9", "179.7"),
 ]
 # k mod 50 -> defect injected into the payload.
 DEFECTS = {
@@ -63,9 +63,34 @@ DEFECTS = {
     16: "timestamp with seven fraction digits and Z",
     17: "timestamp with +0500 offset",
     18: "timestamp in basic form",
+    19: "length_of_stay 0",
+    21: "user_country empty",
+    22: "hotel_name empty",
+    23: "longitude 200.5",
+    24: "first search result a number",
+    26: "first search result without price",
+    27: "first room_name empty",
+    28: "first currency in lower case",
+    29: "hotel_id written n.0",
+    31: "length_of_stay 400",
 }
 
 
+def versioned_feed(events: DataFrame) -> DataFrame:
+    """The feed with a contract version a message (X5, FIXTURES.md 6), decided by the number in its id.
+
+    n mod 3 = 1: v2 with guests 1 + n mod 24 (above 20 breaks the contract), left out when n mod 7 = 0;
+    trip_purpose when n mod 2 = 0; n mod 11 = 3: the unknown version v9; else v1.
+    """
+    n = F.regexp_replace("request_id", "r$", "").cast("long")
+    extra = F.concat(F.when(n % 7 == 0, F.lit("")).otherwise(F.concat(F.lit('"guests":'), (n % 24 + 1).cast("string"), F.lit(","))),
+                     F.when(n % 2 == 0, F.lit('"trip_purpose":"leisure",')).otherwise(F.lit("")))
+    version = F.when(n % 3 == 1, "v2").when(n % 11 == 3, "v9").otherwise("v1")
+    body = F.when((version == "v2") & F.col("value").startswith("{"),
+                  F.concat(F.lit("{"), extra, F.substring("value", 2, 1 << 30))).otherwise(F.col("value"))
+    return search_feed(events).withColumns({"schema_version": version, "value": body})
+
+
 def _lits(values):
     return F.array(*[F.lit(x) for x in values])
 
@@ -105,7 +130,8 @@ def search_feed(events: DataFrame, dirty: bool = True) -> DataFrame:
     anchor = (hid - 1235 + 1)
     lat = F.concat(F.element_at(_lits([a[1] for a in SEED_ANCHORS]), anchor),
                    F.lpad((k % 1000).cast("string"), 3, "0"))
-    lon = F.concat(F.element_at(_lits([a[2] for a in SEED_ANCHORS]), anchor),
+    across = (hid == 1241) & (k % 2 == 1)
+    lon = F.concat(F.when(across, F.lit("-179.9")).otherwise(F.element_at(_lits([a[2] for a in SEED_ANCHORS]), anchor)),
                    F.lpad((k * 7 % 1000).cast("string"), 3, "0"))
     base_cents = F.floor(F.col("value") * 100 + 0.5)
 
@@ -115,11 +141,15 @@ def search_feed(events: DataFrame, dirty: bool = True) -> DataFrame:
                          .cast("string"), F.lit("."), F.lpad((cents % 100).cast("bigint").cast("string"), 2, "0"))
         if i == 0:
             price = F.when(d == 7, F.lit("0")).otherwise(price)
-        return F.concat(
-            F.lit('{"room_name":"'), F.element_at(_lits(SEED_ROOMS), ((k + i) % 4 + 1).cast("int")),
-            F.lit('","price":'), price,
-            F.lit(',"currency":"'), F.element_at(_lits(SEED_CURRENCIES), ((k + i) % 6 + 1).cast("int")),
-            F.lit('"}'))
+        room = F.element_at(_lits(SEED_ROOMS), ((k + i) % 4 + 1).cast("int"))
+        currency = F.element_at(_lits(SEED_CURRENCIES), ((k + i) % 6 + 1).cast("int"))
+        price = F.concat(F.lit(',"price":'), price)
+        if i == 0:
+            room = F.when(d == 27, F.lit("")).otherwise(room)
+            price = F.when(d == 26, F.lit("")).otherwise(price)
+            currency = F.when(d == 28, F.lit("eur")).otherwise(currency)
+        whole = F.concat(F.lit('{"room_name":"'), room, F.lit('"'), price, F.lit(',"currency":"'), currency, F.lit('"}'))
+        return F.when(d == 24, F.lit("5")).otherwise(whole) if i == 0 else whole
 
     n_items = k % 3
     results = F.concat(F.lit("["), F.concat_ws(",", item(0),
@@ -133,17 +163,19 @@ def search_feed(events: DataFrame, dirty: bool = True) -> DataFrame:
     hotel = (F.when(d == 3, F.lit(None).cast("string"))
              .when(d == 4, _q(hid.cast("string")))
              .when(d == 15, F.lit("0"))
+             .when(d == 29, F.concat(hid.cast("string"), F.lit(".0")))
              .otherwise(hid.cast("string")))
     body = F.concat(F.lit("{"), F.concat_ws(
         ",",
         _kv("arrival_date", arrival),
         _kv("departure_date", _q(F.date_format(dep, "yyyy-MM-dd"))),
-        _kv("length_of_stay", F.when(d == 12, F.concat(los, F.lit(".0"))).otherwise(los)),
-        _kv("user_country", _q(F.element_at(_lits(SEED_COUNTRIES), (k % 12 + 1).cast("int")))),
+        _kv("length_of_stay", F.when(d == 12, F.concat(los, F.lit(".0"))).when(d == 19, F.lit("0")).when(d == 31, F.lit("400"))
+            .otherwise(los)),
+        _kv("user_country", _q(F.when(d == 21, F.lit("")).otherwise(F.element_at(_lits(SEED_COUNTRIES), (k % 12 + 1).cast("int"))))),
         _kv("hotel_id", hotel),
-        _kv("hotel_name", _q(F.concat(F.lit("Hotel "), hid.cast("string")))),
+        _kv("hotel_name", _q(F.when(d == 22, F.lit("")).otherwise(F.concat(F.lit("Hotel "), hid.cast("string"))))),
         _kv("hotel_latitude", F.when(d == 5, F.lit("95.0")).otherwise(lat)),
-        _kv("hotel_longitude", lon),
+        _kv("hotel_longitude", F.when(d == 23, F.lit("200.5")).otherwise(lon)),
         _kv("timestamp", _q(ts_text)),
         _kv("search_results", results),
         F.when(d == 10, _kv("partner_ref", _q(F.concat(F.lit("p"), k.cast("string"))))),

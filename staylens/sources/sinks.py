@@ -9,18 +9,30 @@ data are replaced.
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from staylens import reference_data as R
+from staylens.functions.joins import estimated_bytes
 from staylens.operators.landing import BRONZE_COLUMNS
+from staylens.session import work_dir
 
 # Upper bound of rows per output file (keeps files a few hundred MB at scale).
 MAX_RECORDS_PER_FILE = 5_000_000
+# Estimated bytes a writing task: what a table is range-partitioned for.
+TASK_BYTES = 256 * 1024 * 1024
+# Parts that event ids are filed in.
+ID_BUCKETS = 64
 # Archive lines keep microseconds (the default format stops at milliseconds).
 ARCHIVE_FORMAT = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
+def range_partitions(df: DataFrame, task_bytes: int = TASK_BYTES) -> int:
+    """Range partitions that give each writing task about ``task_bytes`` by Catalyst's estimate."""
+    return max(1, min(100_000, -(-estimated_bytes(df) // task_bytes)))
+
+
 def clustered(df: DataFrame, partition_col: str, cluster_col: str, tiebreak: str,
               num_partitions: int | None = None) -> DataFrame:
     """Range-partition on (partition, cluster, tiebreak) and sort within tasks.
@@ -28,25 +40,53 @@ def clustered(df: DataFrame, partition_col: str, cluster_col: str, tiebreak: str
     Each task writes a contiguous slice of one day sorted by the cluster key,
     so files carry tight min/max statistics on it (row-group skipping). The
     unique tie-break column lets the range partitioner split a hot day or a hot
-    hotel across tasks instead of sending it to one.
+    hotel across tasks instead of sending it to one. Without ``num_partitions``
+    the session's shuffle partitions are the start and AQE joins small ones.
     """
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (df.repartitionByRange(n, partition_col, cluster_col, tiebreak)
-            .sortWithinPartitions(partition_col, cluster_col))
+    keys = (partition_col, cluster_col, tiebreak)
+    ranged = df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(partition_col, cluster_col)
+
 
+def write_bronze(bronze: DataFrame, path: str, batch: str | None = None, cluster: bool = True) -> None:
+    """Add a batch of bronze rows, by ingest day and batch, clustered by hotel_id.
 
-def write_bronze(bronze: DataFrame, path: str, mode: str = "append", cluster: bool = True) -> None:
-    """Append bronze rows, partitioned by ingest day, clustered by hotel_id."""
+    A batch is written by overwriting its own partitions: written again after a failure, whole
+    or in part, it stands once, and nothing stored has to be read for that. The number of
+    tasks follows the size of the batch (a narrow projection, whose size Catalyst estimates well).
+    """
     out = bronze.select(*BRONZE_COLUMNS)
     if cluster:
-        out = clustered(out, "ingest_date", "hotel_id", "event_id")
-    (out.write.mode(mode).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy("ingest_date").parquet(path))
+        n = max(range_partitions(out), int(bronze.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        out = clustered(out, "ingest_date", "hotel_id", "event_id", n)
+    (out.withColumn("batch_id", F.lit(batch or uuid.uuid4().hex)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("ingest_date", "batch_id").parquet(path))
+
+
+def create_bronze(spark: SparkSession, path: str) -> None:
+    """The empty bronze table that a landing stream appends to."""
+    _fs_path(spark, path)[1].mkdirs(_fs_path(spark, path)[0])
+
+
+def _fs_path(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return fs.exists(p)
+
+
+def drop_folder(spark: SparkSession, path: str) -> bool:
+    p, fs = _fs_path(spark, path)
+    return fs.delete(p, True)
 
 
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     from staylens.schemas import BRONZE
-    return spark.read.schema(BRONZE).parquet(path)
+    return spark.read.schema(BRONZE).parquet(path).select(*BRONZE.names)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -63,40 +103,67 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not st.getPath().getName().startswith(("_", ".")) for st in fs.listStatus(p))
 
 
-def stored_ids(spark: SparkSession, path: str, since: dt.date | None = None) -> DataFrame:
-    """Stored ``event_id`` values: of all days, or of the days from ``since`` (partition pruning).
+def _id_bucket(column: str = "event_id"):
+    return F.pmod(F.xxhash64(column), F.lit(ID_BUCKETS)).cast("int")
+
+
+def stored_ids(spark: SparkSession, path: str, buckets: list[int] | None = None) -> DataFrame:
+    """Filed event ids (event_id, batch_id, id_bucket) of the given buckets: those partitions alone are read."""
+    filed = spark.read.schema("event_id string, id_bucket int, batch_id string").parquet(ids_path(path))
+    return filed if buckets is None else filed.where(F.col("id_bucket").isin(buckets))
+
+
+def ids_path(path: str) -> str:
+    return f"{path.rstrip('/')}_ids"
 
-    An id may come again on a later ingest day, so a look-back is only safe
-    where the sender's resend window is known.
-    """
-    stored = spark.read.parquet(path)
-    return (stored if since is None else stored.filter(F.col("ingest_date") >= F.lit(since))).select("event_id")
 
+def new_events(spark: SparkSession, batch: DataFrame, path: str, batch_id: str) -> DataFrame:
+    """The rows of ``batch`` whose event id no other batch has filed; ids are looked up in their own buckets only."""
+    if not table_exists(spark, ids_path(path)):
+        return batch
+    buckets = [r.b for r in batch.select(_id_bucket().alias("b")).distinct().collect()]  # at most ID_BUCKETS numbers
+    filed = stored_ids(spark, path, buckets).where(F.col("batch_id") != batch_id).select("id_bucket", "event_id")
+    return batch.withColumn("id_bucket", _id_bucket()).join(filed, ["id_bucket", "event_id"], "left_anti").drop("id_bucket")
 
-def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str, since: dt.date | None = None) -> DataFrame:
-    """Append only events whose ``event_id`` is not stored yet (re-runs add nothing).
 
-    Keyed on the event id alone: an id stored on another ingest day is not
-    stored again. Returns the rows that were appended.
+def append_bronze_idempotent(spark: SparkSession, new: DataFrame, path: str, batch: str) -> DataFrame:
+    """Append only events whose ``event_id`` no other batch has stored (re-runs add nothing).
+
+    Ids are filed beside the table by hash bucket and batch, so a look-up reads ids of the batch's
+    buckets and no event. Rows and ids are both written by overwriting the batch's own
+    partitions: a batch that failed half-way is simply run again. Returns the rows appended.
     """
-    batch = new.select(*BRONZE_COLUMNS).dropDuplicates(["event_id"])
-    if table_exists(spark, path):
-        batch = batch.join(stored_ids(spark, path, since), "event_id", "left_anti")
-    write_bronze(batch, path, "append")
-    return batch
+    work = work_dir(spark, "append")
+    new.select(*BRONZE_COLUMNS).dropDuplicates(["event_id"]).write.parquet(work)
+    rows = new_events(spark, spark.read.parquet(work), path, batch)
+    write_bronze(rows, path, batch)
+    file_ids(rows, path, batch)
+    return rows
+
+
+def file_ids(rows: DataFrame, path: str, batch: str) -> None:
+    """File the event ids of a stored batch (or of a day that a stream has landed) for later look-ups."""
+    (rows.select("event_id", _id_bucket().alias("id_bucket"), F.lit(batch).alias("batch_id"))
+     .repartition("id_bucket").sortWithinPartitions("id_bucket", "event_id").write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("id_bucket", "batch_id").parquet(ids_path(path)))
+
+
+def write_quarantine(quarantine: DataFrame, path: str, batch: str | None = None) -> None:
+    """A batch of dead letters by ingest day, reason and batch (a batch written again stands once)."""
+    (quarantine.withColumn("batch_id", F.lit(batch or uuid.uuid4().hex)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
+     .partitionBy("ingest_date", "reason", "batch_id").parquet(path))
 
 
-def write_quarantine(quarantine: DataFrame, path: str) -> None:
-    """Dead letters partitioned by ingest day and reason."""
-    (quarantine.write.mode("append").option("maxRecordsPerFile", MAX_RECORDS_PER_FILE)
-     .partitionBy("ingest_date", "reason").parquet(path))
+def read_quarantine(spark: SparkSession, path: str) -> DataFrame:
+    from staylens.schemas import QUARANTINE
+    return spark.read.schema(QUARANTINE).parquet(path).select(*QUARANTINE.names)
 
 
-def write_partitions(df: DataFrame, path: str, partition_col: str = "search_date",
-                     tiebreak: str | None = None, whole_table: bool = False) -> None:
-    """Replace the partitions present in ``df`` (dynamic overwrite), or the whole table."""
+def write_partitions(df: DataFrame, path: str, partition_col: str = "search_date", tiebreak: str | None = None) -> None:
+    """Write a table by day, clustered by city; days that are there already are replaced."""
     (clustered(df, partition_col, "city", tiebreak or partition_col)
-     .write.mode("overwrite").option("partitionOverwriteMode", "static" if whole_table else "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).partitionBy(partition_col).parquet(path))
 
 

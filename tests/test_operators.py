@@ -60,9 +60,49 @@ def test_idempotent_bronze_append(spark, base_event):
     batch = landing.bronze_rows(landing.land(messages(spark, [
         ("a", "2022-01-24 11:01:13", base_event),
         ("b", "2022-01-25 11:01:13", {**base_event, "timestamp": "2022-01-25T11:01:12"})]), "full"))
-    for _ in range(3):
-        sinks.append_bronze_idempotent(spark, batch, path)
+    for name in ("one", "one", "two"):
+        sinks.append_bronze_idempotent(spark, batch, path, name)
     assert sorted(r.event_id for r in sinks.read_bronze(spark, path).collect()) == ["a", "b"]
+    # a batch that died after its rows and before its ids, run again
+    late = batch.withColumn("event_id", F.concat("event_id", F.lit("2")))
+    sinks.write_bronze(late, path, "three")
+    sinks.append_bronze_idempotent(spark, late, path, "three")
+    sinks.append_bronze_idempotent(spark, late, path, "four")
+    assert sorted(r.event_id for r in sinks.read_bronze(spark, path).collect()) == ["a", "a2", "b", "b2"]
+
+
+def test_id_lookup_reads_the_batch_s_buckets_only(spark, base_event):
+    from staylens.operators import landing
+    path = work_dir(spark, "t-buckets")
+    items = [(f"e{i}", "2022-01-24 11:01:13", {**base_event, "timestamp": f"2022-01-24T11:{i:02d}:12"}) for i in range(40)]
+    rows = landing.bronze_rows(landing.land(messages(spark, items), "full"))
+    sinks.append_bronze_idempotent(spark, rows, path, "one")
+    plan = sinks.new_events(spark, rows.where("event_id = 'e7'"), path, "two")._jdf.queryExecution().sparkPlan().toString()
+    ids = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert "PartitionFilters: [" in ids and "id_bucket" in ids.split("PartitionFilters:")[1].split("]")[0]
+    assert "payload" not in ids
+
+
+def test_landing_micro_batch_reads_no_history(spark, base_event, monkeypatch):
+    """What a micro-batch writes is planned from the batch alone: no stored file is opened."""
+    from staylens.streaming.landing import landing_batch
+    bronze, quarantine = work_dir(spark, "t-nb"), work_dir(spark, "t-nq")
+    run = landing_batch("light", bronze, quarantine, None)
+    run(messages(spark, [("a", "2022-01-24 11:01:13", base_event)]), 0)
+    reads = []
+    monkeypatch.setattr(type(spark.read), "parquet", lambda self, *p: reads.append(p))
+    run(messages(spark, [("b", "2022-01-24 11:02:13", base_event), ("x", "2022-01-24 11:02:14", "nope")]), 1)
+    monkeypatch.undo()
+    assert not reads
+    assert sorted(r.event_id for r in sinks.read_bronze(spark, bronze).collect()) == ["a", "b"]
+    assert [r.errors[0].code for r in sinks.read_quarantine(spark, quarantine).collect()] == ["root.json"]
+
+
+def test_landing_stream_needs_its_table(spark):
+    import pytest
+    from staylens.streaming.landing import start_landing
+    with pytest.raises(FileNotFoundError):
+        start_landing(spark, work_dir(spark, "src"), work_dir(spark, "none"), work_dir(spark, "q"), work_dir(spark, "c"))
 
 
 def test_stream_batch_replay_adds_nothing(spark, base_event):
@@ -148,11 +188,141 @@ def test_full_refresh_publishes_and_counts(spark):
     from staylens.plans.derived import Flow
     from staylens.plans.refresh import full_refresh
     f = Flow(spark, "/root/testdata/sf0.001")
-    counts = full_refresh(spark, f.bronze, work_dir(spark, "fr-silver"), work_dir(spark, "fr-gold"))
+    counts = full_refresh(spark, f.bronze, work_dir(spark, "fr"))
     assert counts["silver_rows"] == f.silver.count()
     assert counts["gold_los_distribution"] == f.los.count()
 
 
+def _published(spark, root):
+    from staylens.plans.refresh import MARTS, SILVER, Tables
+    tables = Tables(spark, root)
+    return {n: sorted(map(str, tables.read(n).collect())) for n in (SILVER, *MARTS)}, tables.version()
+
+
+def test_failure_between_two_marts_leaves_the_old_state(spark, monkeypatch):
+    """Silver and the marts switch together; a run that dies in between shows nowhere."""
+    import pytest
+    from staylens.plans import refresh
+    from staylens.plans.derived import Flow
+    bronze = Flow(spark, "/root/testdata/sf0.001").bronze
+    root = work_dir(spark, "crash")
+    first = bronze.where("ingest_date < date'2024-01-15'")
+    refresh.full_refresh(spark, first, root)
+    before = _published(spark, root)
+
+    def dies(silver):
+        raise RuntimeError("lost")
+
+    for job in (lambda: refresh.full_refresh(spark, bronze, root), lambda: refresh.merge(spark, bronze, root)):
+        monkeypatch.setitem(refresh.MARTS, "gold_country_trends", dies)
+        with pytest.raises(RuntimeError):
+            job()
+        monkeypatch.undo()
+        assert _published(spark, root) == before
+    refresh.merge(spark, bronze, root)
+    after = _published(spark, root)
+    whole = work_dir(spark, "whole")
+    refresh.full_refresh(spark, bronze, whole)
+    assert after[0] == _published(spark, whole)[0] and after[1] == before[1] + 1
+    tables = refresh.Tables(spark, root)
+    assert tables.drop_unlisted(keep_versions=1) == 4 + 3  # the first run's tables that no day is left of, and what the failed runs wrote
+    assert _published(spark, root) == after
+
+
+def test_gate_failure_publishes_nothing(spark, monkeypatch):
+    import pytest
+    from staylens.operators.quality import QualityGateError
+    from staylens.plans import refresh
+    from staylens.plans.derived import Flow
+    bronze = Flow(spark, "/root/testdata/sf0.001").bronze
+    root = work_dir(spark, "gated")
+    monkeypatch.setattr(refresh, "latest_per_key", lambda df: df)  # copies of a key stay
+    with pytest.raises(QualityGateError):
+        refresh.full_refresh(spark, bronze, root)
+    assert refresh.Tables(spark, root).version() == 0
+
+
+def test_a_mart_that_loses_its_last_row_of_a_day(spark):
+    """The day goes from the mart, the table stays readable when it is empty."""
+    from staylens.sources.versions import Tables
+    root = work_dir(spark, "emptied")
+    tables = Tables(spark, root)
+    rows = spark.createDataFrame([("Paris", dt.date(2024, 1, 1), 3), ("Rome", dt.date(2024, 1, 2), 4)], "city string, search_date date, n int")
+    run = tables.new_run()
+    tables.publish(run, {"t": tables.write("t", run, rows)})
+    for left in (1, 0):
+        day = dt.date(2024, 1, 2 - left)
+        run = tables.new_run()
+        tables.publish(run, {"t": tables.write("t", run, rows.limit(0))}, [dt.date(2024, 1, 1) if left else dt.date(2024, 1, 2)])
+        assert tables.read("t").count() == left and tables.read("t").columns == ["city", "search_date", "n"], day
+    assert tables.read("other") is None
+
+
+def test_follow_bronze_merges_late_files(spark):
+    """A file that appears long after its time is merged, and merged once."""
+    from staylens.plans import refresh
+    from staylens.plans.derived import Flow
+    bronze = Flow(spark, "/root/testdata/sf0.001").bronze
+    path, root, ckpt, whole = (work_dir(spark, n) for n in ("fb-bronze", "fb", "fb-ckpt", "fb-whole"))
+    old = "ingest_date < date'2024-01-08'"
+    for k, cond in enumerate((f"not ({old})", old)):
+        sinks.write_bronze(bronze.where(cond), path, f"b{k}")
+        refresh.follow_bronze(spark, path, root, ckpt).awaitTermination()
+    refresh.full_refresh(spark, bronze, whole)
+    assert _published(spark, root)[0] == _published(spark, whole)[0]
+    version = refresh.Tables(spark, root).version()
+    refresh.follow_bronze(spark, path, root, ckpt).awaitTermination()
+    assert refresh.Tables(spark, root).version() == version
+
+
+def test_exact_limiter_over_a_log_matches_greedy(spark):
+    from staylens.operators.rate_limit import limit_exact, segments
+    rnd = random.Random(9)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [("hot" if i % 3 else f"c{rnd.randint(0, 4)}", f"r{i:04d}",
+             t0 + dt.timedelta(seconds=rnd.randint(0, 30) * 4, microseconds=rnd.choice([0, 0, 5, 250_000, 999_999, rnd.randint(0, 2_000_000)])))
+            for i in range(1500)]
+    df = spark.createDataFrame(rows, "client string, request_id string, received_at timestamp")
+    got = {r.request_id: r.accepted for r in limit_exact(df, limit=7).collect()}
+    want, kept = {}, {}
+    for c, rid, t in sorted(rows, key=lambda r: (r[2], r[1])):
+        mine = [x for x in kept.get(c, []) if x > t - dt.timedelta(seconds=1)]
+        want[rid] = len(mine) < 7
+        kept[c] = mine + [t] if want[rid] else mine
+    assert got == want and 0 < sum(got.values()) < len(rows)
+    cut = df.withColumn("_t", F.unix_micros("received_at")).withColumn("_b", F.floor(F.col("_t") / 1_000_000))
+    hot = segments(cut, 1_000_000).where("client = 'hot'").select("_segment", "_size").distinct().collect()
+    assert len(hot) > 10 and sum(r["_size"] for r in hot) == 1000  # split, and nothing lost
+
+
+def test_dim_hotels_listed_twice_end_the_job(spark):
+    import pytest
+    from staylens.operators.silver import read_dim_hotels
+    path = work_dir(spark, "twice")
+    spark.createDataFrame([(1, "A", "US"), (1, "B", "US"), (2, "C", "FR")], "hotel_id int, city string, country_iso string") \
+        .write.option("header", True).csv(path)
+    with pytest.raises(Exception, match="hotel listed twice: 1"):
+        read_dim_hotels(spark, path).collect()
+
+
+def test_centroid_across_the_antimeridian_counts_hotels_once(spark):
+    from staylens.operators.geo_fallback import city_centroids
+    rows = [("Suva", 1, -18.0, 179.9)] * 9 + [("Suva", 2, -18.0, -179.9), ("Rome", 3, 41.0, 12.0), ("Rome", 4, 43.0, 12.0), ("Rome", 4, 43.0, 12.0)]
+    got = {r.city: (r.c_lat, r.c_lon) for r in city_centroids(spark.createDataFrame(
+        rows, "city string, hotel_id int, hotel_latitude double, hotel_longitude double")).collect()}
+    assert abs(abs(got["Suva"][1]) - 180) < 1e-6 and abs(got["Suva"][0] + 18) < 0.01
+    assert abs(got["Rome"][0] - 42) < 0.01 and abs(got["Rome"][1] - 12) < 1e-6
+
+
+def test_rejects_are_found_in_one_pass(spark):
+    """One parse of the payload, no join back on the event."""
+    from staylens.operators.silver import silver_rejects
+    from staylens.plans.derived import Flow
+    plan = silver_rejects(Flow(spark, "/root/testdata/sf0.001", stored=("landed",)).bronze)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_parse_json") == 1 or plan.count("parse_json") == 1
+    assert all("event_id" not in line for line in plan.splitlines() if "Join" in line)
+
+
 def test_exact_rate_limiter_matches_greedy_brute_force(spark):
     import random
     from collections import deque

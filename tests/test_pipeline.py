@@ -120,6 +120,32 @@ def test_share_sums_to_100(spark, base_event):
     assert abs(total - 100.0) <= 0.15
 
 
+def test_second_contract_version(spark, base_event):
+    """v2 needs the party size, v1 does not know it; both are staged side by side."""
+    import json
+    from staylens.operators.silver import stage_versions
+    bodies = [("v1", {}), ("v2", {}), ("v2", {"guests": 2}), ("v2", {"guests": 21}), ("v2", {"guests": 3, "trip_purpose": ""}),
+              ("v2", {"guests": 4, "trip_purpose": "work"}), ("v1", {"guests": 99}), ("v3", {"guests": 2})]
+    df = messages(spark, [(f"e{i}", "2022-01-24 12:00:00", json.dumps({**base_event, **b})) for i, (_, b) in enumerate(bodies)])
+    version = F.element_at(F.array(*[F.lit(v) for v, _ in bodies]), F.substring("request_id", 2, 1).cast("int") + 1)
+    landed = landing.land(df.withColumn("schema_version", version), "full")
+    got = {r.event_id: (r.reason, [e.code for e in r.errors]) for r in landed.collect()}
+    assert got == {"e0": (None, []), "e1": ("validation_failed", ["guests.required"]), "e2": (None, []),
+                   "e3": ("validation_failed", ["guests.maximum"]), "e4": ("validation_failed", ["trip_purpose.too_short"]),
+                   "e5": (None, []), "e6": (None, []), "e7": ("unsupported_schema_version", ["root.version"])}
+    staged = {r.event_id: (r.guests, r.trip_purpose, r.length_of_stay) for r in stage_versions(landing.bronze_rows(landed)).collect()}
+    assert staged == {"e0": (None, None, 4), "e2": (2, None, 4), "e5": (4, "work", 4), "e6": (None, None, 4)}
+
+
+def test_dedup_key_spells_numbers_and_booleans(spark, base_event):
+    import json
+    for value, spelled in ((1235.0, "1235.0"), (True, "True"), (1235, "1235"), (1235.5, "1235.5"), ("1235", "1235")):
+        body = json.dumps({**base_event, "hotel_id": value})
+        key = landing.land(messages(spark, [("a", "2022-01-24 11:01:13", body)]), "light").first().dedup_key
+        text = f"{spelled}|{base_event['timestamp']}|{base_event['user_country']}|{base_event['arrival_date']}"
+        assert key == hashlib.sha256(text.encode()).hexdigest(), value
+
+
 def test_schema_version_routing(spark, base_event):
     import json
     rows = [("a", None, json.dumps(base_event)), ("b", "v1", json.dumps({**base_event, "timestamp": "2022-01-24T11:02:00"})),

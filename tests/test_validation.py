@@ -11,7 +11,7 @@ from staylens.operators.validation import validate
 def errors_of(spark, payload):
     body = payload if isinstance(payload, str) else json.dumps(payload)
     row = validate(messages(spark, [("1", "2022-01-24 11:01:13", body)])).first()
-    return row["errors"], row["failed_stage"]
+    return [f"{e.path}: {e.message}" for e in row["errors"]], row["failed_stage"]
 
 
 def joined(errs):
@@ -56,13 +56,55 @@ def test_rule_rejects(spark, base_event, rule, change, stage, paths):
     assert all(any(p in e for e in errs) for p in paths)
 
 
-def test_rule_of_values_with_quotes(spark, base_event):
-    """A quoted value never makes a rule of its own."""
-    from staylens.operators.validation import rejections_by_rule
+def codes_of(spark, payload):
+    row = validate(messages(spark, [("1", "2022-01-24 11:01:13", json.dumps(payload))])).first()
+    return [e.code for e in row["errors"]]
+
+
+def test_rejections_by_code(spark, base_event):
+    """Counted by the code of the rule, whatever the value; every rule is listed."""
+    from staylens.operators.validation import rejections_by_code, rule_codes
     bodies = [{**base_event, "user_country": c} for c in ("Cote d'Ivoire", "X'Y'Z", "Atlantis", "A\nB'")]
     df = validate(messages(spark, [(str(i), "2022-01-24 11:01:13", json.dumps(b)) for i, b in enumerate(bodies)]))
-    got = [(r.rule, r.error_count, r.pct_of_events) for r in rejections_by_rule(df).collect()]
-    assert got == [("user_country: unknown country '?'", 4, 100.0)]
+    got = {r.code: (r.error_count, r.pct_of_events) for r in rejections_by_code(df).collect()}
+    assert sorted(got) == sorted(rule_codes()) and len(got) > 50
+    assert {c: v for c, v in got.items() if v[0]} == {"user_country.known": (4, 100.0)}
+
+
+def test_codes_name_the_rule(spark, base_event):
+    assert codes_of(spark, {**base_event, "length_of_stay": 0}) == ["length_of_stay.minimum"]
+    assert codes_of(spark, {**base_event, "hotel_name": ""}) == ["hotel_name.too_short"]
+    assert codes_of(spark, {k: v for k, v in base_event.items() if k != "timestamp"}) == ["timestamp.required"]
+    assert codes_of(spark, {**base_event, "search_results": [7, {"room_name": "R", "price": 0, "currency": "eur"}]}) == [
+        "search_results[].object", "search_results[].currency.pattern", "search_results[].price.exclusive_minimum"]
+
+
+def test_every_code_can_fire(spark, base_event):
+    """Each rule of the contract's own version, broken once."""
+    from staylens.operators.validation import field_rules, rule_codes
+    wrong = {"string": 7, "integer": "7", "number": "x", "array": {}, "empty": []}
+    events = [{k: v for k, v in base_event.items() if k != f} for f in base_event]
+    for r in field_rules():
+        if "v1" not in r.versions or r.check == "required":
+            continue
+        if r.check in wrong:
+            value = wrong[r.check]
+        elif r.check in ("minimum", "maximum"):
+            value = r.bound + (1 if r.check == "maximum" else -1)
+        else:
+            value = "x" * (r.bound + 1 if r.check == "too_long" else r.bound - 1)
+        events.append({**base_event, r.field: value})
+    room = base_event["search_results"][0]
+    for item in (5, {}, {**room, "room_name": 1}, {**room, "room_name": ""}, {**room, "price": "1"}, {**room, "price": 0},
+                 {**room, "currency": 1}, {**room, "currency": "e"}, {**room, "currency": "XXX"}):
+        events.append({**base_event, "search_results": [item]})
+    events += [{**base_event, **c} for c in ({"arrival_date": "x"}, {"departure_date": "x"}, {"timestamp": "x"}, {"length_of_stay": 9},
+                                             {"departure_date": base_event["arrival_date"]}, {"user_country": "x"})]
+    bodies = [json.dumps(e) for e in events] + ["no json", "[]"]
+    df = validate(messages(spark, [(str(i), "2022-01-24 11:01:13", b) for i, b in enumerate(bodies)]))
+    fired = {e.code for r in df.select("errors").collect() for e in r.errors}
+    only_v2 = {r.code for r in field_rules() if "v1" not in r.versions}
+    assert set(rule_codes()) - fired == only_v2
 
 
 def test_accepted_events(spark, base_event):
