@@ -34,7 +34,7 @@ PIECE_ENDS = ".,;:!?\n\x0b\x0c\r"
 WORD_GAPS = " \t"
 
 UND = "und"
-CHUNK_BYTES = 16 << 20  # text counted together in a task before its counts are sent on
+CHUNK_BYTES = 8 << 20   # text counted together in a task before its counts are sent on
 BITS = 1 << 26          # bitmap of frequent phrases: 8 MB, whatever the corpus
 SLOT = 1 << 15          # bits of one bitmap aggregate
 SPREAD = 8              # parts that the pairs of one word are dealt to
@@ -66,7 +66,7 @@ class Chunk:
         tokens = b"\n".join([*texts, b""]).translate(TABLE).replace(b"\n", b" \n ").split(b" ")
         for word in set(tokens) - self.seen.keys():
             self.seen[word] = len(self.seen)
-        ids = np.fromiter(map(self.seen.__getitem__, tokens), np.int64, len(tokens))
+        ids = np.fromiter(map(self.seen.__getitem__, tokens), np.int32, len(tokens))
         self.ids.append(ids[ids != GAP])
 
     def words(self) -> pa.Array:
@@ -74,7 +74,9 @@ class Chunk:
         return pa.array(list(self.seen), pa.binary()).view(pa.string())
 
     def flow(self) -> np.ndarray:
-        return np.concatenate(self.ids)
+        flow = np.concatenate(self.ids).astype(np.int64)
+        self.ids = []
+        return flow
 
     def seed(self) -> int:
         return xxhash.xxh64_intdigest(self.lang.encode(), 42)
@@ -82,13 +84,13 @@ class Chunk:
     def frequent(self, bits: np.ndarray) -> np.ndarray:
         """Per id: may the word reach the least count?"""
         seed = self.seed()
-        ok = has(bits, [xxhash.xxh64_intdigest(w, seed) for w in self.seen])
+        ok = has(bits, (xxhash.xxh64_intdigest(w, seed) for w in self.seen), len(self.seen))
         ok[:FIRST_WORD] = False
         return ok
 
 
-def has(bits: np.ndarray, hashes: list[int]) -> np.ndarray:
-    at = np.fromiter((h & (BITS - 1) for h in hashes), np.int64, len(hashes))
+def has(bits: np.ndarray, hashes: Iterator[int], n: int) -> np.ndarray:
+    at = np.fromiter((h & (BITS - 1) for h in hashes), np.int64, n)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
@@ -133,6 +135,13 @@ def _pairs(words: np.ndarray):
     return run
 
 
+def _both(code: np.ndarray, v: int, step: int = 1 << 16) -> Iterator[tuple[int, int]]:
+    """The two ids of every code, a stretch at a time."""
+    for at in range(0, len(code), step):
+        part = code[at:at + step]
+        yield from zip((part // v).tolist(), (part % v).tolist())
+
+
 def _triples(words: np.ndarray, pairs: np.ndarray):
     def run(batches):
         for chunk in chunks(batches):
@@ -142,7 +151,7 @@ def _triples(words: np.ndarray, pairs: np.ndarray):
             code, which = np.unique(flow[at] * v + flow[at + 1], return_inverse=True)
             vocab = list(chunk.seen)
             lead = {int(a): xxhash.xxh64_intdigest(vocab[a], seed) for a in np.unique(code // v)}
-            good = has(pairs, [xxhash.xxh64_intdigest(vocab[b], lead[a]) for a, b in zip((code // v).tolist(), (code % v).tolist())])
+            good = has(pairs, (xxhash.xxh64_intdigest(vocab[b], lead[a]) for a, b in _both(code, v)), len(code))
             pair = np.full(len(flow), -1)
             pair[at] = np.where(good[which], which, -1)
             at = np.flatnonzero((pair[:-2] >= 0) & (pair[1:-1] >= 0))
