@@ -35,6 +35,7 @@ WORD_GAPS = " \t"
 
 UND = "und"
 CHUNK_BYTES = 8 << 20   # text counted together in a task before its counts are sent on
+BATCH_ROWS = 1 << 16    # counted rows handed to Spark at a time
 BITS = 1 << 26          # bitmap of frequent phrases: 8 MB, whatever the corpus
 SLOT = 1 << 15          # bits of one bitmap aggregate
 SPREAD = 8              # parts that the pairs of one word are dealt to
@@ -110,18 +111,21 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
     yield from held.values()
 
 
-def _rows(chunk: Chunk, columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
+def _rows(chunk: Chunk, columns: list[np.ndarray], counts: np.ndarray) -> Iterator[pa.RecordBatch]:
     words = chunk.words()
-    lang = pa.array([chunk.lang], pa.string()).take(pa.array(np.zeros(len(counts), np.int32)))
-    return pa.RecordBatch.from_arrays([lang, *(words.take(pa.array(c)) for c in columns), pa.array(counts, pa.int64())],
-                                      names=["lang", *(f"w{i + 1}" for i in range(len(columns))), "f"])
+    names = ["lang", *(f"w{i + 1}" for i in range(len(columns))), "f"]
+    for at in range(0, len(counts), BATCH_ROWS):
+        n = counts[at:at + BATCH_ROWS]
+        lang = pa.array([chunk.lang], pa.string()).take(pa.array(np.zeros(len(n), np.int32)))
+        yield pa.RecordBatch.from_arrays([lang, *(words.take(pa.array(c[at:at + BATCH_ROWS])) for c in columns), pa.array(n, pa.int64())],
+                                         names=names)
 
 
 def _singles(batches):
     for chunk in chunks(batches):
         n = np.bincount(chunk.flow(), minlength=len(chunk.seen))
         at = np.flatnonzero(n[FIRST_WORD:]) + FIRST_WORD
-        yield _rows(chunk, [at], n[at])
+        yield from _rows(chunk, [at], n[at])
 
 
 def _pairs(words: np.ndarray):
@@ -131,7 +135,7 @@ def _pairs(words: np.ndarray):
             ok = chunk.frequent(words)[flow]
             at = np.flatnonzero(ok[:-1] & ok[1:])
             code, n = np.unique(flow[at] * v + flow[at + 1], return_counts=True)
-            yield _rows(chunk, [code // v, code % v], n)
+            yield from _rows(chunk, [code // v, code % v], n)
     return run
 
 
@@ -157,7 +161,7 @@ def _triples(words: np.ndarray, pairs: np.ndarray):
             at = np.flatnonzero((pair[:-2] >= 0) & (pair[1:-1] >= 0))
             triple, n = np.unique(pair[at] * v + flow[at + 2], return_counts=True)
             first = code[triple // v]
-            yield _rows(chunk, [first // v, first % v, triple % v], n)
+            yield from _rows(chunk, [first // v, first % v, triple % v], n)
     return run
 
 

@@ -5,8 +5,10 @@ item with fewer words is one window), one search per window length. A shift tabl
 over blocks of two words says how far the search may skip; where it says zero, the
 bucket of the block selects the windows that end in it, and their words are
 compared directly. Many stretches of text are searched at once, one position each.
-No document is shuffled: the windows go to the tasks, at most ``shard_bytes`` of
-benchmark text at a time, with one pass over the documents per shard.
+No document is shuffled: the items are dealt by hash into shards of about ``shard_windows``
+windows, with one pass over the documents per shard. The driver holds one shard at a time (its
+tables have at most 2^``TABLE_BITS`` entries and its windows), and what a pass found is written
+before the next shard is read, so neither the driver nor a task grows with the benchmark.
 
 Cases: null text has no words and is clean; null item texts have no window; a null
 item_id hits but is not listed; an item_id given twice counts once; an item without
@@ -29,6 +31,10 @@ from staylens.llm.common import stored, text_bytes
 WORD_BYTES = bytes(b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32
                    for b in range(256))
 STRETCH = 512  # words one search position covers
+# FIXED VALUE of the contract: a word is a maximal match (A-Z lower-cased).
+WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SHARD_WINDOWS = 250_000  # about 50 MB in a task, 150 MB in the driver while its tables are made
+TABLE_BITS = 20
 REPORT_SCHEMA = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
 
 
@@ -53,14 +59,14 @@ class Patterns:
     def _table(self, m: int, windows: list[tuple], owners: list[list]):
         pats = np.array(windows, np.int64)
         size = 2 if m > 1 else 1
-        bits = max(10, int(len(windows) * m * 4).bit_length())
-        shift = np.full(1 << bits, m - size + 1, np.int64)
+        bits = min(TABLE_BITS, max(10, int(len(windows) * m * 4).bit_length()))
+        shift = np.full(1 << bits, m - size + 1, np.int16)
         for end in range(size - 1, m):
-            np.minimum.at(shift, self._bucket(pats[:, end - size + 1], pats[:, end], size, bits), m - 1 - end)
+            np.minimum.at(shift, self._bucket(pats[:, end - size + 1], pats[:, end], size, bits), np.int16(m - 1 - end))
         last = self._bucket(pats[:, m - size], pats[:, m - 1], size, bits)
         order = np.argsort(last, kind="stable")
-        starts = np.searchsorted(last[order], np.arange((1 << bits) + 1))
-        return m, size, bits, shift, pats[order], starts, [owners[i] for i in order]
+        starts = np.searchsorted(last[order], np.arange((1 << bits) + 1)).astype(np.int32)
+        return m, size, bits, shift, pats[order].astype(np.int32), starts, [owners[i] for i in order]
 
     @staticmethod
     def _bucket(first, second, size, bits):
@@ -118,18 +124,20 @@ def verdict(n_words: int, n_hit: int) -> bool:
     return n_hit > 0 and 20 * n_hit >= n_words
 
 
-def shards(benchmark: DataFrame, item_id: str, text: str, shard_bytes: int) -> Iterator[list[tuple]]:
-    """Benchmark items in lists of at most ``shard_bytes`` of text (one longer item is a list of its own)."""
-    part, size = [], 0
-    rows = benchmark.select(F.col(item_id).alias("i"), F.col(text).cast("binary").alias("t")).where("t is not null")
-    for row in rows.toLocalIterator():
-        t = bytes(row.t)
-        if part and size + len(t) > shard_bytes:
-            yield part
-            part, size = [], 0
-        part.append((row.i, t))
-        size += len(t)
-    yield part
+def shards(benchmark: DataFrame, item_id: str, text: str, window: int, shard_windows: int) -> tuple[int, Iterator[list[tuple]]]:
+    """Number of shards, and one after the other their items (id, text); an item is never cut."""
+    items = stored(benchmark.select(F.monotonically_increasing_id().alias("n"), F.col(item_id).alias("i"),
+                                    F.col(text).cast("string").alias("t")).where("t is not null"), "decontam-items")
+    words = F.regexp_count("t", F.lit(WORD))
+    total = items.agg(F.sum(F.greatest(words - (window - 1), F.lit(1)))).first()[0] or 0
+    n = 1 + total // shard_windows
+
+    def read() -> Iterator[list[tuple]]:
+        for k in range(n):
+            rows = items.where(F.pmod(F.xxhash64("n"), F.lit(n)) == k).select("i", F.col("t").cast("binary").alias("t"))
+            yield [(r.i, bytes(r.t)) for r in rows.collect()]
+
+    return n, read()
 
 
 def digest(items) -> str:
@@ -138,12 +146,12 @@ def digest(items) -> str:
 
 def report(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
            item_id: str = "item_id", item_text: str = "text", window: int = 13,
-           shard_bytes: int = 16 << 20) -> DataFrame:
+           shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """One row per document with its words hit, the items found and the verdict."""
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    groups = list(shards(benchmark, item_id, item_text, shard_bytes))
-    if len(groups) == 1:
-        pats = Patterns(groups[0], window)
+    n, groups = shards(benchmark, item_id, item_text, window, shard_windows)
+    if n == 1:
+        pats = Patterns(next(groups), window)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -159,26 +167,29 @@ def report(docs: DataFrame, benchmark: DataFrame, *, doc_id: str = "doc_id", tex
     return _merged(src, groups, window)
 
 
-def _merged(src: DataFrame, groups: list, window: int) -> DataFrame:
-    """Several shards: one pass each, then the union of hits per row (rows numbered in a written copy)."""
+def _merged(src: DataFrame, groups: Iterator[list[tuple]], window: int) -> DataFrame:
+    """Several shards: a pass each over numbered rows, its hits written; then their union by row.
+
+    The first pass lists every row, the others those they hit.
+    """
     rows = stored(src.withColumn("row", F.monotonically_increasing_id()), "decontam-rows")
-    passes = []
+    both = None
     for group in groups:
-        pats = Patterns(group, window)
+        pats, every = Patterns(group, window), both is None
 
-        def run(batches, pats=pats):
+        def run(batches, pats=pats, every=every):
             for batch in batches:
                 out = scan(text_bytes(batch.column(1)), pats)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(2), batch.column(0), pa.array([n for n, _, _ in out], pa.int64()),
                      pa.array([h.tolist() for _, h, _ in out], pa.list_(pa.int64())),
                      pa.array([sorted(map(str, i)) for _, _, i in out], pa.list_(pa.string()))],
-                    names=["row", "doc_id", "n_words", "hits", "items"])
+                    names=["row", "doc_id", "n_words", "hits", "items"]).filter(
+                    pa.array([every or len(h) > 0 for _, h, _ in out], pa.bool_()))
 
-        passes.append(rows.mapInArrow(run, "row long, doc_id long, n_words long, hits array<long>, items array<string>"))
-    both = passes[0]
-    for p in passes[1:]:
-        both = both.unionByName(p)
+        found = stored(rows.mapInArrow(run, "row long, doc_id long, n_words long, hits array<long>, items array<string>"),
+                       "decontam-hits")
+        both = found if both is None else both.unionByName(found)
     sets = both.groupBy("row").agg(F.first("doc_id").alias("doc_id"), F.first("n_words").alias("n_words"),
                                    F.array_distinct(F.flatten(F.collect_list("hits"))).alias("h"),
                                    F.array_distinct(F.flatten(F.collect_list("items"))).alias("i"))
@@ -189,12 +200,12 @@ def _merged(src: DataFrame, groups: list, window: int) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, *, text: str = "text", item_id: str = "item_id",
-          item_text: str = "text", window: int = 13, shard_bytes: int = 16 << 20) -> DataFrame:
+          item_text: str = "text", window: int = 13, shard_windows: int = SHARD_WINDOWS) -> DataFrame:
     """The rows of ``docs`` that are not contaminated, all columns as they are."""
-    groups = list(shards(benchmark, item_id, item_text, shard_bytes))
+    n, groups = shards(benchmark, item_id, item_text, window, shard_windows)
     at = docs.columns.index(text)
-    if len(groups) == 1:
-        pats = Patterns(groups[0], window)
+    if n == 1:
+        pats = Patterns(next(groups), window)
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:

@@ -296,6 +296,28 @@ def page(body, head=""):
     return f"<!DOCTYPE html><html><head><title>T</title>{head}</head><body>{body}</body></html>"
 
 
+@pytest.mark.parametrize("inner,want", [
+    ('<p>one</p><div class="user-comments"><p>c</p></div><p>two</p>', "one\ntwo"),
+    ('<p>one</p><ol class="commentlist"><li>c</li></ol>', "one"),
+    ('<div id="reader-comments">c</div><p>one</p>', "one"),
+    ('<p>one</p><div class="ad-box">c</div><div class="advertising">c</div><div class="sponsor">c</div>', "one"),
+    ('<div class="cookie-bar">c</div><div class="gdpr">c</div><p>one</p>', "one"),
+    ('<div class="no-comments"><p>one</p></div><div class="ad-free"><p>two</p></div>', "one\ntwo"),
+    ('<p>one <span class="ad">buy <span>it</span> now</span> two</p>', "one two"),
+    ('<p>one <a class="ad" href="x">buy</a>two <b>three</b></p>', "one two three"),
+    ('<p title="a > b">one</p><img alt="x > y"><p>two</p>', "one\ntwo"),
+    ("<p title='a > b' class=x>one</p>", "one"),
+    ('<p data-class="ad">one</p><p title="class=ad">two</p>', "one\ntwo"),
+    ("<p title=don't>one</p><p>isn't</p>", "one\nisn't"),
+    ('<p title="open>one</p>', "one"),
+    ('<p>one <span class="ad">never closed</p><p>two</p>', "one\ntwo"),
+])
+def test_html_markup_faults(spark, inner, want):
+    page = f"<html><body><nav>menu</nav><article>{inner}</article></body></html>"
+    got = html_text.extract(spark.createDataFrame([(1, "http://h.org/1", page)], "page_id long, url string, html string")).first()
+    assert got.text == want and got.n_chars == len(want)
+
+
 def test_html_roles(spark):
     cases = {
         page("<nav><li>Menu</li></nav><article><h1>A &amp; B</h1><p><b>one\n two<br><p>three</p></article><footer>&copy;</footer>"): "A & B\none two\nthree",
@@ -465,8 +487,8 @@ def brute_decontam(rows, items, n=13):
     return sorted(out)
 
 
-@pytest.mark.parametrize("shard_bytes", [40, 1 << 20])
-def test_decontamination(spark, docs, rows, shard_bytes):
+@pytest.mark.parametrize("shard_windows", [decontam.SHARD_WINDOWS, 20])
+def test_decontamination(spark, docs, rows, shard_windows):
     rng = random.Random(2)
     items = [(1, "P3, p4 p5 p6! p7 p8 p9 p10 p11 p12 p13 p14 p15 p16 p17"), (2, "W1 w2é w3"), (3, "W5"), (10, None), (11, "!!"),
              (None, "w14é w21é"), (1, "W9 W8"), (12, " ".join(f"p{i}" for i in range(40)))]
@@ -474,15 +496,29 @@ def test_decontamination(spark, docs, rows, shard_bytes):
     every = rows + more
     df = spark.createDataFrame(every, "doc_id long, text string, source string").withColumn("n_hit", F.lit(1)).withColumn("hits", F.lit(1))
     bench = spark.createDataFrame(items, "item_id long, text string").withColumn("doc_id", F.lit(1))
-    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in decontam.report(df, bench, shard_bytes=shard_bytes).collect())
+    got = sorted((-1 if r[0] is None else r[0], *r[1:]) for r in decontam.report(df, bench, shard_windows=shard_windows).collect())
     want = brute_decontam(every, items)
     assert got == want
-    kept = decontam.clean(df, bench, shard_bytes=shard_bytes)
+    kept = decontam.clean(df, bench, shard_windows=shard_windows)
     assert kept.columns == df.columns and kept.count() == sum(not r[-1] for r in want)
     assert decontam.report(df.limit(0), bench).count() == 0
     assert decontam.report(df, bench.limit(0)).where("n_hit > 0").count() == 0
 
 
+def test_decontamination_of_a_benchmark_of_several_default_shards(spark):
+    """Two megabytes of items, more windows than a shard holds: hits of every shard, tables of bounded size."""
+    rng = random.Random(8)
+    words = [f"q{i}" for i in range(5000)]
+    items = [(i, " ".join(rng.choices(words, k=400))) for i in range(900)]
+    assert 900 * 388 > decontam.SHARD_WINDOWS
+    docs = [(i, "clean words " * 20 + " ".join(items[i][1].split()[7:7 + 10 + i % 6]) + " more") for i in range(0, 900, 15)]
+    frame = spark.createDataFrame(docs, "doc_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in decontam.report(frame, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {i: ((10 + i % 6, 1) if 10 + i % 6 >= 13 else (0, 0)) for i, _ in docs}
+    tables = decontam.Patterns([(i, t.encode()) for i, t in items[:300]], 13).tables
+    assert all(len(t[3]) <= 1 << decontam.TABLE_BITS for t in tables)
+
+
 # --- 10 PII ---
 
 def luhn_ok(d):
