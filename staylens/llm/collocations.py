@@ -91,12 +91,13 @@ class Chunk:
 
 
 def has(bits: np.ndarray, hashes: Iterator[int], n: int) -> np.ndarray:
-    at = np.fromiter((h & (BITS - 1) for h in hashes), np.int64, n)
+    last = 8 * len(bits) - 1
+    at = np.fromiter((h & last for h in hashes), np.int64, n)
     return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
 
 
-def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
-    """(lang, text) batches as chunks of about ``CHUNK_BYTES``, one language each."""
+def chunks(batches: Iterator[pa.RecordBatch], chunk_bytes: int) -> Iterator[Chunk]:
+    """(lang, text) batches as chunks, one language each, of about ``chunk_bytes`` together."""
     held, size = {}, 0
     for batch in batches:
         by_lang: dict = {}
@@ -105,7 +106,7 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
             size += len(text)
         for lang, texts in by_lang.items():
             held.setdefault(lang, Chunk(lang)).add(texts)
-        if size >= CHUNK_BYTES:
+        if size >= chunk_bytes:
             yield from held.values()
             held, size = {}, 0
     yield from held.values()
@@ -121,16 +122,18 @@ def _rows(chunk: Chunk, columns: list[np.ndarray], counts: np.ndarray) -> Iterat
                                          names=names)
 
 
-def _singles(batches):
-    for chunk in chunks(batches):
-        n = np.bincount(chunk.flow(), minlength=len(chunk.seen))
-        at = np.flatnonzero(n[FIRST_WORD:]) + FIRST_WORD
-        yield from _rows(chunk, [at], n[at])
+def _singles(chunk_bytes: int):
+    def run(batches):
+        for chunk in chunks(batches, chunk_bytes):
+            n = np.bincount(chunk.flow(), minlength=len(chunk.seen))
+            at = np.flatnonzero(n[FIRST_WORD:]) + FIRST_WORD
+            yield from _rows(chunk, [at], n[at])
+    return run
 
 
-def _pairs(words: np.ndarray):
+def _pairs(chunk_bytes: int, words: np.ndarray):
     def run(batches):
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, chunk_bytes):
             flow, v = chunk.flow(), len(chunk.seen)
             ok = chunk.frequent(words)[flow]
             at = np.flatnonzero(ok[:-1] & ok[1:])
@@ -146,9 +149,9 @@ def _both(code: np.ndarray, v: int, step: int = 1 << 16) -> Iterator[tuple[int,
         yield from zip((part // v).tolist(), (part % v).tolist())
 
 
-def _triples(words: np.ndarray, pairs: np.ndarray):
+def _triples(chunk_bytes: int, words: np.ndarray, pairs: np.ndarray):
     def run(batches):
-        for chunk in chunks(batches):
+        for chunk in chunks(batches, chunk_bytes):
             flow, v, seed = chunk.flow(), len(chunk.seen), chunk.seed()
             ok = chunk.frequent(words)[flow]
             at = np.flatnonzero(ok[:-1] & ok[1:])
@@ -165,19 +168,19 @@ def _triples(words: np.ndarray, pairs: np.ndarray):
     return run
 
 
-def _bitmap(frequent: DataFrame, *columns: str) -> np.ndarray:
-    """Bits of the hashes of the rows; at most ``BITS / SLOT`` rows of ``SLOT`` bits reach the driver."""
-    at = F.pmod(F.xxhash64(*columns), F.lit(BITS))
+def _bitmap(frequent: DataFrame, size: int, *columns: str) -> np.ndarray:
+    """``size`` bits of the hashes of the rows; at most ``size / SLOT`` rows of ``SLOT`` bits reach the driver."""
+    at = F.pmod(F.xxhash64(*columns), F.lit(size))
     rows = (frequent.select(at.alias("at")).groupBy(F.floor(F.col("at") / SLOT).cast("int").alias("slot"))
             .agg(F.bitmap_construct_agg(F.col("at") % SLOT).alias("bits")).collect())
-    out = np.zeros(BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for r in rows:
         out[r.slot * (SLOT // 8):(r.slot + 1) * (SLOT // 8)] = np.frombuffer(bytes(r.bits), np.uint8)
     return out
 
 
 def count_streams(docs: DataFrame, *, lang: str = "lang", text: str = "text",
-                  min_count: int = 10) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+                  min_count: int = 10, chunk_bytes: int = CHUNK_BYTES, bits: int = BITS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Word totals (lang, n) and the phrases of one, two and three words that occur ``min_count`` times."""
     src = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit(UND)).alias("lang"), F.col(text).alias("text"))
 
@@ -186,13 +189,14 @@ def count_streams(docs: DataFrame, *, lang: str = "lang", text: str = "text",
         schema = "lang string, " + ", ".join(f"{w} string" for w in words) + ", f long"
         return src.mapInArrow(run, schema).groupBy("lang", *words).agg(F.sum("f").alias("f"))
 
-    singles = stored(counted(_singles, 1), "collocations-1")
+    singles = stored(counted(_singles(chunk_bytes), 1), "collocations-1")
     totals = singles.groupBy("lang").agg(F.sum("f").alias("n"))
     enough = F.col("f") >= min_count
     singles = singles.where(enough)
-    words = _bitmap(singles, "lang", "w1")
-    pairs = stored(counted(_pairs(words), 2).where(enough), "collocations-2")
-    triples = stored(counted(_triples(words, _bitmap(pairs, "lang", "w1", "w2")), 3).where(enough), "collocations-3")
+    words = _bitmap(singles, bits, "lang", "w1")
+    pairs = stored(counted(_pairs(chunk_bytes, words), 2).where(enough), "collocations-2")
+    both = _bitmap(pairs, bits, "lang", "w1", "w2")
+    triples = stored(counted(_triples(chunk_bytes, words, both), 3).where(enough), "collocations-3")
     return totals, singles, pairs, triples
 
 
@@ -247,12 +251,13 @@ def _score(left: str, right: str) -> str:
 
 
 def mine(docs: DataFrame, *, lang: str = "lang", text: str = "text", min_count: int = 10, share: int = 50,
-         top: int = 2000) -> DataFrame:
+         top: int = 2000, chunk_bytes: int = CHUNK_BYTES, bits: int = BITS) -> DataFrame:
     """The ``top`` collocations of each language.
 
     A candidate goes where a longer one that holds it occurs at least ``share`` per cent as often.
     """
-    totals, singles, pairs, triples = count_streams(docs, lang=lang, text=text, min_count=min_count)
+    totals, singles, pairs, triples = count_streams(docs, lang=lang, text=text, min_count=min_count,
+                                                    chunk_bytes=chunk_bytes, bits=bits)
     found = candidates(singles, pairs, triples).where(~F.coalesce(F.col("longer") * 100 >= F.col("a") * share, F.lit(False)))
     scored = (found.withColumn("s1", F.expr(_score("l1", "r1"))).withColumn("s2", F.expr(_score("l2", "r2")))
               .withColumn("second", F.coalesce(F.col("s2") < F.col("s1"), F.lit(False)))

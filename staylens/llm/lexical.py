@@ -81,7 +81,7 @@ def _positions(hashes: np.ndarray, level: np.ndarray | int, positions: int) -> n
     return ((a + steps * b) % np.uint64(positions)).astype(np.int64)
 
 
-def _block(rows: list[tuple]) -> dict:
+def _block(rows: list[tuple], bits_per_entry: int = BITS_PER_ENTRY) -> dict:
     """One index row of documents (id, text, term counts)."""
     seen: dict = {}
     term, doc, tf = [], [], []
@@ -93,7 +93,7 @@ def _block(rows: list[tuple]) -> dict:
     term, doc, tf = (np.array(x, np.int64) for x in (term, doc, tf))
     top = np.frexp(tf.astype(float))[1]  # levels 0..top-1: tf >= 2^level
     entries = np.bincount(doc, top, minlength=len(rows)).max() if len(tf) else 0
-    positions = max(64, int(entries) * BITS_PER_ENTRY)
+    positions = max(64, int(entries) * bits_per_entry)
     matrix = np.zeros((positions, (len(rows) + 7) // 8), np.uint8)
     for level in range(int(top.max()) if len(tf) else 0):
         on = top > level
@@ -103,7 +103,7 @@ def _block(rows: list[tuple]) -> dict:
             "positions": positions, "levels": int(top.max()) if len(tf) else 0, "slices": matrix.tobytes()}
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(block_rows: int, sort_rows: int, bits_per_entry: int):
     schema = pa.schema([("ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())), ("texts", pa.list_(pa.binary())),
                         ("positions", pa.int64()), ("levels", pa.int32()), ("slices", pa.binary())])
 
@@ -111,31 +111,35 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.sort(key=lambda r: len(r[2]))
         part, size = [], 0
         for r in held:
-            if part and (len(part) == BLOCK_ROWS or size + len(r[1]) > BLOCK_BYTES):
-                yield pa.RecordBatch.from_pylist([_block(part)], schema)
+            if part and (len(part) == block_rows or size + len(r[1]) > BLOCK_BYTES):
+                yield pa.RecordBatch.from_pylist([_block(part, bits_per_entry)], schema)
                 part, size = [], 0
             part.append(r)
             size += len(r[1])
         if part:
-            yield pa.RecordBatch.from_pylist([_block(part)], schema)
-
-    held, size = [], 0
-    for batch in batches:
-        for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
-            counts = Counter(terms_of(t))
-            if counts:
-                held.append((i, t, counts))
-                size += len(t)
-            if len(held) == SORT_ROWS or size > SORT_BYTES:
-                yield from cut(held)
-                held, size = [], 0
-    yield from cut(held)
-
-
-def index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+            yield pa.RecordBatch.from_pylist([_block(part, bits_per_entry)], schema)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for i, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                counts = Counter(terms_of(t))
+                if counts:
+                    held.append((i, t, counts))
+                    size += len(t)
+                if len(held) == sort_rows or size > SORT_BYTES:
+                    yield from cut(held)
+                    held, size = [], 0
+        yield from cut(held)
+
+    return run
+
+
+def index(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", block_rows: int = BLOCK_ROWS,
+          sort_rows: int = SORT_ROWS, bits_per_entry: int = BITS_PER_ENTRY) -> DataFrame:
     """The written index of the documents that have a term."""
     src = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    return stored(src.mapInArrow(_blocks, INDEX_SCHEMA), "lexical-index")
+    return stored(src.mapInArrow(_blocks(block_rows, sort_rows, bits_per_entry), INDEX_SCHEMA), "lexical-index")
 
 
 # --- queries ---

@@ -66,12 +66,11 @@ ITEMS = [(1, "The data of new york"), (2, "w1 w1 w2 x1 été"), (3, None), (4, "
          (7, "z" * 150_000), (8, "a b c a"), (8, "ab cd data"), (None, "naïve under w30")]
 
 
-@pytest.mark.parametrize("sizes", [{}, {"BLOCK_ROWS": 3, "SORT_ROWS": 7, "BITS_PER_ENTRY": 1}])
-def test_lexical_search(spark, docs, rows, monkeypatch, sizes):
-    for k, v in sizes.items():  # tiny blocks and full signatures: bounds hardly exclude, results stay
-        monkeypatch.setattr(lexical, k, v)
+# tiny blocks and full signatures: bounds hardly exclude, results stay
+@pytest.mark.parametrize("sizes", [{}, {"block_rows": 3, "sort_rows": 7, "bits_per_entry": 1}])
+def test_lexical_search(spark, docs, rows, sizes):
     items = spark.createDataFrame(ITEMS, "item_id long, text string").withColumn("query", F.lit("x"))
-    index = lexical.index(docs)
+    index = lexical.index(docs, **sizes)
     for shard_terms in (20_000, 12):
         got = sorted(map(tuple, lexical.search(index, items, shard_terms=shard_terms).collect()), key=str)
         assert got == ranked(rows, ITEMS)
@@ -185,12 +184,11 @@ def phrases(rows, min_count=10, share=50, top=2000):
                   for lang, found in by.items() for k, (s, a, p, l, r) in enumerate(sorted(found)[:top]))
 
 
-@pytest.mark.parametrize("sizes", [{}, {"CHUNK_BYTES": 200, "BITS": 1 << 15}])
-def test_collocations(docs, rows, nothing, monkeypatch, sizes):
-    for k, v in sizes.items():  # many chunks, a full bitmap
-        monkeypatch.setattr(collocations, k, v)
+# many chunks, and a bitmap that phrases share bits of
+@pytest.mark.parametrize("sizes", [{}, {"chunk_bytes": 200, "bits": 1 << 15}])
+def test_collocations(docs, rows, nothing, sizes):
     want = phrases(rows)
-    assert sorted(map(tuple, collocations.mine(docs).collect())) == want and len(want) >= 10
+    assert sorted(map(tuple, collocations.mine(docs, **sizes).collect())) == want and len(want) >= 10
     assert sorted(map(tuple, collocations.mine(docs, min_count=20, share=90, top=3).collect())) == phrases(rows, 20, 90, 3)
     assert collocations.mine(nothing).count() == 0
 
