@@ -725,7 +725,7 @@ def oracles() -> dict[str, str]:
               vfeed_v AS (SELECT *, CASE WHEN n % 3 = 1 THEN 'v2' WHEN n % 11 = 3 THEN 'v9' ELSE 'v1' END AS version FROM vfeed_n),
               vfeed AS (SELECT request_id, version, CASE WHEN version = 'v2' AND value LIKE '{{%' THEN '{{' ||
                   CASE WHEN n % 7 = 0 THEN '' ELSE '"guests":' || CAST(n % 24 + 1 AS VARCHAR) || ',' END ||
-                  CASE WHEN n % 2 = 0 THEN '"trip_purpose":"leisure",' ELSE '' END || substr(value, 2) ELSE value END AS value FROM vfeed_v),
+                  CASE WHEN n % 5 < 2 THEN '"trip_purpose":"leisure",' ELSE '' END || substr(value, 2) ELSE value END AS value FROM vfeed_v),
               {validated_cte("vfeed", "request_id", None, "vvalidated", "vv", None, "version")},
               judged AS (SELECT version, j, CASE WHEN version = 'v9' THEN 'unsupported_schema_version' WHEN strlen(value) > 2048 THEN 'payload_too_large'
                   WHEN j IS NULL OR json_type(j) <> 'OBJECT' THEN 'invalid_json' WHEN len(errors) > 0 THEN 'validation_failed'
