@@ -25,12 +25,20 @@ def decode_utf8(value) -> F.Column:
 
 
 def from_bus_records(records: DataFrame) -> DataFrame:
-    """(key, timestamp, value[, headers]) -> (request_id, received_at, value, schema_version)."""
+    """(key, timestamp, value[, headers, topic, partition, offset]) -> (request_id, received_at, value, schema_version).
+
+    A record without a key is named by its place on the bus (topic, partition, offset), so it
+    gets the same id whenever it is read again (S4).
+    """
     cols = records.columns
     version = (F.try_element_at(F.map_from_entries("headers"), F.lit("schema_version")).cast("string")
                if "headers" in cols else F.lit(None).cast("string"))
+    place = [c for c in ("topic", "partition", "offset") if c in cols]
+    key = F.col("key").cast("string")
+    if {"partition", "offset"} <= set(place):
+        key = F.coalesce(key, F.concat_ws("-", *[F.col(c).cast("string") for c in place]))
     return records.select(
-        F.col("key").cast("string").alias("request_id"),
+        key.alias("request_id"),
         F.col("timestamp").alias("received_at"),
         decode_utf8(F.col("value")).alias("value"),
         version.alias("schema_version"))

@@ -25,9 +25,12 @@ OUTPUT_SCHEMA = "client string, request_id string, received_at timestamp, accept
 STATE_SCHEMA = "accepted_us array<long>"
 
 
-def _limiter(limit: int, window_us: int):
+def _limiter(limit: int, window_us: int, idle_ms: int | None):
     def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         recent = deque(state.get[0] if state.exists else [])
+        if state.hasTimedOut:  # idle for long: none of its accepted times can count any more
+            state.remove()
+            return
         rows = pd.concat(list(batches), ignore_index=True)
         rows = rows.sort_values(["received_at", "request_id"], kind="stable")
         t_us = (rows["received_at"].astype("datetime64[us]").astype("int64")).to_numpy()
@@ -40,15 +43,24 @@ def _limiter(limit: int, window_us: int):
                 recent.append(int(t))
             accepted.append(ok)
         state.update((list(recent),))
+        if idle_ms is not None:
+            state.setTimeoutDuration(idle_ms)
         yield pd.DataFrame({"client": key[0], "request_id": rows["request_id"].to_numpy(),
                             "received_at": rows["received_at"].to_numpy(), "accepted": accepted})
     return step
 
 
 def limit_requests(requests: DataFrame, limit: int = R.RATE_LIMIT_PER_SECOND,
-                   window_us: int = 1_000_000) -> DataFrame:
-    """Streaming frame of (client, request_id, received_at) -> per-request accept/reject."""
+                   window_us: int = 1_000_000, idle_ms: int | None = None) -> DataFrame:
+    """Streaming frame of (client, request_id, received_at) -> per-request accept/reject.
+
+    With ``idle_ms`` the state of a client that sent nothing for so long (by the clock, a window at
+    least) is cleared. Set it well above what the stream may lag behind its source: after a longer
+    lag a client starts anew.
+    """
+    if idle_ms is not None and idle_ms * 1000 < window_us:
+        raise ValueError("idle_ms is shorter than the window")
     return (requests.select("client", "request_id", "received_at")
             .groupBy("client")
-            .applyInPandasWithState(_limiter(limit, window_us), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-                                    GroupStateTimeout.NoTimeout))
+            .applyInPandasWithState(_limiter(limit, window_us, idle_ms), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
+                                    GroupStateTimeout.NoTimeout if idle_ms is None else GroupStateTimeout.ProcessingTimeTimeout))

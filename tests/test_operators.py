@@ -181,6 +181,8 @@ def test_bus_records_decode_and_route(spark):
         "key binary, timestamp timestamp, value binary, headers array<struct<key:string,value:binary>>")
     msgs = from_bus_records(recs)
     assert {r.request_id: r.schema_version for r in msgs.collect()} == {"k1": "v1", "k2": None}
+    keyless = recs.selectExpr("cast(null as binary) as key", "timestamp", "value", "headers", "'t' as topic", "3 as partition", "17L as offset")
+    assert {r.request_id for r in from_bus_records(keyless).collect()} == {"t-3-17"}
     got = {r.event_id: r.reason for r in landing.land(msgs, "light").collect()}
     assert got == {"k1": None, "k2": "invalid_json"}
 
@@ -345,7 +347,7 @@ def test_exact_rate_limiter_matches_greedy_brute_force(spark):
     stream = (spark.readStream.schema("client string, request_id string, received_at timestamp")
               .option("maxFilesPerTrigger", 1).parquet(src))
     out = work_dir(spark, "rl-out")
-    q = (limit_requests(stream, limit=100).writeStream.format("parquet").option("path", out)
+    q = (limit_requests(stream, limit=100, idle_ms=3_600_000).writeStream.format("parquet").option("path", out)
          .option("checkpointLocation", work_dir(spark, "rl-ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     got = {r.request_id: r.accepted for r in spark.read.parquet(out).collect()}
