@@ -74,3 +74,29 @@ def test_backfill_pushes_timestamp_filters_only(spark):
     text = formatted(backfill(spark, sinks.read_bronze(spark, path), "2024-01-08", "2024-01-14")["silver"])
     assert "PartitionFilters: [isnotnull(ingest_date" not in text  # searches may be dated after their ingest day
     assert "GreaterThanOrEqual(search_timestamp" in text and "LessThan(search_timestamp" in text
+
+
+def test_landing_runs_in_compiled_code(spark):
+    # Generated methods over 8000 bytes are never compiled by the JVM: no stage of such a size may run whole.
+    from staylens.session import prepare
+    assert int(prepare(spark).conf.get("spark.sql.codegen.hugeMethodLimit")) <= 8000
+
+
+def test_spread_follows_the_input_size(spark, monkeypatch):
+    from staylens.sources import tables
+    df = spark.range(1000, numPartitions=1)
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 400)  # 8000 bytes by estimate
+    assert tables.spread(df, "id").rdd.getNumPartitions() == 20
+    monkeypatch.setattr(tables, "SPREAD_BYTES", 1 << 30)
+    assert tables.spread(df, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+
+
+def test_incremental_queries_land_once(spark, monkeypatch):
+    # Every batch used to derive and land the whole log again.
+    from staylens import queries
+    calls = []
+    monkeypatch.setattr(queries.Flow, "_store", lambda self, df, name, col, real=queries.Flow._store: (
+        calls.append(name) if name in self.stored else None, real(self, df, name, col))[1])
+    bronze = queries._bronze_batches(queries.Flow(spark, SF, stored=("landed",)), 0, 1, 2)
+    assert calls == ["landed"] and len(bronze) == 3
+    assert sum(b.count() for b in bronze) == E.queries()["bronze_count"](spark, SF).first()[0]
