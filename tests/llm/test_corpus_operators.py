@@ -383,6 +383,25 @@ def test_html_drops_only_whole_repeated_blocks(spark, shard_tokens):
     assert all(got[50 + i] == own(100 + i) for i in range(12))
 
 
+@pytest.mark.parametrize("shard_tokens", [60, 100_000])
+def test_html_host_runs_decide_in_articles(spark, shard_tokens):
+    own = lambda i, n=30: " ".join(f"own{i}x{j}" for j in range(n))
+    notice, rare = "all of these words stand on every page of the host", "these lines are quoted on three pages of the host"
+    article = lambda *p: "<article>" + "".join(f"<p>{x}</p>" for x in p) + "</article>"
+    rows = [(i, "http://a.org/x", article(own(i), notice, own(-i) + " " + notice) + "<footer>f</footer>") for i in range(1, 20)]
+    rows += [(20 + i, "http://a.org/x", article(own(20 + i), rare)) for i in range(3)]
+    rows += [(30, "http://b.org/x", article(notice, own(30)))]                       # one page says nothing about its host
+    near = [f"w{j}" for j in range(300)]
+    rows += [(40 + i, "http://near.org/x", article(" ".join(near), f"v{i} " * 40)) for i in range(8)]  # near copies: the article stays
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_text.extract(df, shard_tokens=shard_tokens).collect()}
+    assert len(got) == len(rows)
+    assert all(got[i] == f"{own(i)}\n{own(-i)} {notice}" for i in range(1, 20))
+    assert all(got[20 + i] == f"{own(20 + i)}\n{rare}" for i in range(3))
+    assert got[30] == f"{notice}\n{own(30)}"
+    assert all(got[40 + i] == " ".join(near) + "\n" + " ".join([f"v{i}"] * 40) for i in range(8))
+
+
 def test_suffix_array_orders_suffixes():
     rng = np.random.default_rng(2)
     t = rng.integers(0, 3, 200)
