@@ -100,3 +100,35 @@ def test_incremental_queries_land_once(spark, monkeypatch):
     bronze = queries._bronze_batches(queries.Flow(spark, SF, stored=("landed",)), 0, 1, 2)
     assert calls == ["landed"] and len(bronze) == 3
     assert sum(b.count() for b in bronze) == E.queries()["bronze_count"](spark, SF).first()[0]
+
+
+def test_spread_bounds_the_rows_of_a_task(spark, monkeypatch, tmp_path):
+    from staylens.sources import tables
+    monkeypatch.setattr(tables, "SPREAD_ROWS", 50)
+    assert tables.spread(spark.range(1000, numPartitions=1), "id").rdd.getNumPartitions() == 20
+    # Splits enough, but the file is one row group: all rows would go to one of them.
+    spark.range(1000).selectExpr("id", "sha2(cast(id as string), 256) as text").coalesce(1).write.parquet(str(tmp_path / "one"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        df = spark.read.parquet(str(tmp_path / "one"))
+        assert df.rdd.getNumPartitions() >= 20
+        out = tables.spread(df, "id")
+        rows = [n for n in out.rdd.glom().map(len).collect()]
+        assert sum(rows) == 1000 and max(rows) <= 100
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_quarantine_folders_hold_few_files(spark, tmp_path):
+    # Every task used to add a file to every folder.
+    from staylens.schemas import QUARANTINE
+    rows = (spark.range(400, numPartitions=40).selectExpr(
+        "cast(id as string) event_id", "timestamp'2024-01-01' ingestion_time", "'v1' schema_version", "concat('r', id % 2) reason",
+        "cast(array() as array<struct<path:string,code:string,message:string>>) errors", "'x' raw", "1 attempts",
+        "date_add(date'2024-01-01', cast(id div 2 % 2 as int)) ingest_date").select(*QUARANTINE.names))
+    path = str(tmp_path / "q")
+    sinks.write_quarantine(rows, path, "b")
+    stored = spark.read.parquet(path)
+    assert stored.count() == 400
+    assert len(stored.inputFiles()) == 4
