@@ -65,6 +65,8 @@ def start_alerts(spark: SparkSession, messages: DataFrame, out_path: str, checkp
                  limits: Thresholds = Thresholds()):
     """Both outputs as streams over ``messages``; returns the two queries (windows, all rows)."""
     labelled = land(messages, gate).select("ingestion_time", "reason")
+    # landing keeps every message, with its time as it came: counting them needs no body to be read
+    came = messages.select(F.col("received_at").cast("timestamp").alias("ingestion_time")) if "received_at" in messages.columns else labelled
 
     def flagged(batch: DataFrame, batch_id: int) -> None:
         with_flags(batch, limits).write.mode("overwrite").parquet(f"{out_path.rstrip('/')}/windows/batch_id={batch_id}")
@@ -75,7 +77,7 @@ def start_alerts(spark: SparkSession, messages: DataFrame, out_path: str, checkp
 
     out = []
     for frame, mode, sink, name in ((window_counts(labelled), "update", flagged, "windows"),
-                                    (labelled, "append", every, "arrivals")):
+                                    (came, "append", every, "arrivals")):
         w = (frame.writeStream.outputMode(mode).foreachBatch(sink)
              .option("checkpointLocation", f"{checkpoint.rstrip('/')}/{name}"))
         out.append((w.trigger(availableNow=True) if available_now else w.trigger(processingTime=processing_time)).start())

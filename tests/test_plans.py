@@ -132,3 +132,14 @@ def test_quarantine_folders_hold_few_files(spark, tmp_path):
     stored = spark.read.parquet(path)
     assert stored.count() == 400
     assert len(stored.inputFiles()) == 4
+
+
+def test_streamed_bronze_days_hold_few_files(spark, tmp_path):
+    # Every task of an unclustered write used to add a file to every day.
+    bronze = spark.range(400, numPartitions=40).selectExpr(
+        "cast(id as string) event_id", "'k' dedup_key", "timestamp'2024-01-01' ingestion_time", "'p' partner_id", "'v1' schema_version",
+        "'{}' payload", "1 hotel_id", "timestamp'2024-01-01' search_timestamp", "date_add(date'2024-01-01', cast(id % 4 as int)) ingest_date")
+    path = str(tmp_path / "b")
+    sinks.write_bronze(bronze, path, "0", cluster=False)
+    assert sinks.read_bronze(spark, path).count() == 400
+    assert len(spark.read.parquet(path).inputFiles()) == 4
