@@ -173,8 +173,10 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             e.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         low = pairs.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
         both = pairs.join(low, "a")
-        moved = both.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")) if large else \
-            both.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select("a", F.col("m").alias("b")))
+        if large:
+            moved = both.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        else:  # both ends of an edge move to the smallest; from one pass, so that the edges are planned and read once less
+            moved = both.select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b"))
         return moved.where("a <> b").distinct()
 
     def mark(e: DataFrame):

@@ -15,7 +15,8 @@ at what rate, goes into a logistic function whose weights are calibrated on the
 
 Only ``toxic`` labels of the learning folds are read; nothing but the text is
 scored. The model (two dictionaries, at most ``dict_bytes`` each, and some weights)
-is what goes to the tasks; documents are not shuffled.
+is what goes to the tasks; documents are not shuffled. The sample goes to one task, which
+fits; the driver holds the model alone.
 
 Cases: null text is empty; an empty text gets the score of no windows; null doc_ids
 are scored and never learned from; a label given twice for a doc_id counts once as
@@ -26,6 +27,7 @@ ignored.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 
 import numpy as np
@@ -214,16 +216,22 @@ def train(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: s
     ids = [marked.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(sample_docs) for y in (1, 0)]
     picked = ids[0].union(ids[1])
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).cast("binary").alias("t"))
-    sample = ([], [])
-    size = [0, 0]
-    got = texts.join(F.broadcast(picked), "id").orderBy(F.xxhash64("id"), "id", "t")  # at most 2 * sample_docs ids
-    for row in got.toLocalIterator():
-        t = bytes(row.t or b"")
-        if size[row.y] + len(t) <= sample_bytes:
-            size[row.y] += len(t)
-            sample[row.y].append(t)
-    model = Model(window_words, rate)
-    return model.fit(sample[1], sample[0], dict_bytes) if sample[0] and sample[1] else model
+    got = texts.join(F.broadcast(picked), "id")  # at most 2 * sample_docs ids
+    rows = got.repartition(1).sortWithinPartitions(F.xxhash64("id"), "id", "t").select("y", "t")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sample, size = ([], []), [0, 0]
+        for batch in batches:
+            for y, t in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1))):
+                if size[y] + len(t) <= sample_bytes:
+                    size[y] += len(t)
+                    sample[y].append(t)
+        if sample[0] and sample[1]:
+            model = Model(window_words, rate).fit(sample[1], sample[0], dict_bytes)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    made = rows.mapInArrow(run, "model binary").collect()  # one row: the fit's memory is a task's, not the driver's
+    return pickle.loads(made[0].model) if made else Model(window_words, rate)
 
 
 def score(docs: DataFrame, model: Model, *, doc_id: str = "doc_id", text: str = "text", mod: int = 5,

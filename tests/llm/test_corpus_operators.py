@@ -477,6 +477,23 @@ def test_toxicity(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
+def test_toxicity_fits_in_a_task(spark, monkeypatch):
+    rng = random.Random(3)
+    text = lambda bad: " ".join(rng.choice("kalomi nerutave sopidu mineka".split() + bad) + str(rng.randrange(50)) for _ in range(40))
+    rows = [(i, text(["zorgblat", "vrixxen"] if i % 3 == 0 else [])) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    lab = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(300)], "doc_id long, toxic int")
+    whole = toxicity.train(docs, lab)
+
+    def held_by_driver(*_):
+        raise AssertionError("the driver holds the sample")
+
+    monkeypatch.setattr(toxicity.Model, "fit", held_by_driver)
+    monkeypatch.setattr(type(docs), "toLocalIterator", held_by_driver)
+    model = toxicity.train(docs.repartition(7), lab)  # the same whatever the order of the documents
+    assert model.dicts == whole.dicts and model.dicts and (model.weights == whole.weights).all()
+
+
 # --- 9 decontamination ---
 
 DOC_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
