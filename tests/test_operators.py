@@ -84,6 +84,21 @@ def test_id_lookup_reads_the_batch_s_buckets_only(spark, base_event):
     assert "payload" not in ids
 
 
+def test_copies_and_stored_ids_go_in_one_shuffle_of_the_rows(spark, base_event):
+    from staylens.operators import landing
+    path = work_dir(spark, "t-once")
+    rows = landing.bronze_rows(landing.land(messages(spark, [(i, "2022-01-24 11:01:13", base_event) for i in "abccd"]), "full"))
+    sinks.append_bronze_idempotent(spark, rows.where("event_id < 'c'"), path, "one")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        new = sinks.new_events(spark, rows.union(rows.withColumn("event_id", F.lit(None).cast("string"))), path, "two")
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 2, plan  # the rows, the filed ids
+        assert sorted(str(r.event_id) for r in new.collect()) == ["None", "c", "d"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_landing_micro_batch_reads_no_history(spark, base_event, monkeypatch):
     """What a micro-batch writes is planned from the batch alone: no stored file is opened."""
     from staylens.streaming.landing import landing_batch
